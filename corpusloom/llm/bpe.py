@@ -177,23 +177,29 @@ def encode(docs: DataFrame, tokenizer_path: str, text_col: str = "text", id_col:
     return docs.selectExpr(f"cast({id_col} as long) doc_id", f"cast({text_col} as string) text").mapInArrow(run, SCHEMA)
 
 
-def digests(docs: DataFrame, tokenizer_path: str) -> DataFrame:
-    """As encode(), but ids and decoded text leave the worker as SHA-256 only."""
+def digests(docs: DataFrame, tokenizer_path: str, with_ids: bool = False) -> DataFrame:
+    """As encode(), but the decoded text leaves the worker as SHA-256 only, and ids too unless they are asked for."""
     with open(tokenizer_path, encoding="utf-8") as f:
         spec = docs.sparkSession.sparkContext.broadcast(f.read())
+    names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", *(["ids"] if with_ids else [])]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = ForcedBoundaryBpe(spec.value)
         for batch in batches:
-            n, x, y = [], [], []
-            for t in batch.column(1):
-                ids, said = bpe.encode_and_decode(t.as_py() or "")
-                n.append(len(ids) // 4)
-                x.append(hashlib.sha256(ids).hexdigest())
-                y.append(hashlib.sha256(said.encode()).hexdigest())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(x, pa.string()), pa.array(y, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-
-    return docs.selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text").mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+            for at in range(0, len(batch), 2048):
+                part = batch.slice(at, 2048)
+                n, x, y, z = [], [], [], []
+                for t in part.column(1):
+                    ids, said = bpe.encode_and_decode(t.as_py() or "")
+                    n.append(len(ids) // 4)
+                    x.append(hashlib.sha256(ids).hexdigest())
+                    y.append(hashlib.sha256(said.encode()).hexdigest())
+                    if with_ids:
+                        z.append(ids)
+                columns = [part.column(0), pa.array(n, pa.int64()), pa.array(x, pa.string()), pa.array(y, pa.string()), pa.array(z, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns[: len(names)], names)
+
+    return docs.selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text").mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids binary" * with_ids)
 
 
 def vocabulary() -> str:

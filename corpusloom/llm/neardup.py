@@ -3,9 +3,11 @@
 Every document is the set of its word shingles, hashed once to 64 bits. Sets
 that are equal are folded to one representative. A sketch keeps the KEEP
 smallest hashes; inverted lists over runs of RUN neighbouring retained values
-bring together documents whose sketches overlap. (If the union of two sets has a
-similarity of 0.85, its KEEP smallest hashes hold such a run but for odds of
-about 1e-13; where the sketch holds the whole sets there always is one.) Pairs
+bring together documents whose sketches overlap. (Of two sets with a similarity
+of 0.85, the KEEP smallest hashes of the union hold such a run but for odds of
+about 1e-13, at 0.8 of about 1e-10; where sketches hold the whole sets there
+always is one, or one of two values if a set has no more than FEW, which are
+listed as well. The similarity asked for is to be 0.8 or more.) Pairs
 of compatible sizes pass if the estimate from the sketch of the union is near
 enough, and are confirmed by the exact Jaccard similarity of their full sets.
 
@@ -35,7 +37,7 @@ from pyspark.sql import functions as F
 from .common import Packer, RangeHash, buckets, buffers, by_bucket, byte_codes, lower_ascii, mix, runs, slices, table, unpack, words, written
 from .components import components
 
-KEEP, RUN, PAIRED, CROWD, BLOCK, ESTIMATE = 64, 3, 16, 64, 1024, 0.6
+KEEP, RUN, FEW, PAIRED, CROWD, BLOCK, SLACK = 64, 3, 6, 16, 64, 1024, 0.28
 _A, _B, _C = np.uint64(0x9FB21C651E98DF25), np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F)
 
 _POST = np.dtype([("key", "<u8"), ("node", "<i8"), ("n", "<i4")])
@@ -100,9 +102,14 @@ def listed(reps: DataFrame, percent: int) -> DataFrame:
             own = np.repeat(np.arange(len(sk)), sizes)
             at = np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
             ok = np.flatnonzero(at + RUN <= sizes[own])
-            rows = np.zeros(len(ok), _POST)
-            rows["key"] = mix(mix(mix(flat[ok] + _A) + flat[ok + 1]) + flat[ok + 2]) if len(ok) else 0
-            rows["node"], rows["n"] = nodes[own[ok]], ns[own[ok]]
+            pair = np.flatnonzero((at + 2 <= sizes[own]) & (sizes[own] <= FEW))
+            rows = np.zeros(len(ok) + len(pair), _POST)
+            if len(ok):
+                rows["key"][: len(ok)] = mix(mix(mix(flat[ok] + _A) + flat[ok + 1]) + flat[ok + 2])
+            if len(pair):
+                rows["key"][len(ok) :] = mix(mix(flat[pair] + _B) + flat[pair + 1])
+            both = np.r_[ok, pair]
+            rows["node"], rows["n"] = nodes[own[both]], ns[own[both]]
             yield from pack.add(rows, rows["key"])
         yield from pack.flush()
 
@@ -192,7 +199,7 @@ def near_links(docs: DataFrame, size: int = 5, percent: int = 80) -> tuple[DataF
                 x, y = np.frombuffer(x, np.uint32), np.frombuffer(y, np.uint32)
                 union = np.union1d(x, y)[:KEEP]
                 both = np.intersect1d(np.intersect1d(x, y, True), union, True)
-                ok.append(len(both) >= ESTIMATE * len(union))
+                ok.append(len(both) >= (percent / 100 - SLACK) * len(union))
             yield f.loc[np.array(ok, bool), ["a", "b"]]
 
     pairs = lists.filter("m = 2").select(F.col("key").alias("a"), F.col("node").alias("b")).distinct()

@@ -90,14 +90,16 @@ def fragments(codes: np.ndarray, offsets: np.ndarray, unit: Unit) -> tuple[np.nd
     return doc, start - offsets[doc], m, h, ranges.of(start, start + m + w - 1)
 
 
-def keyed(docs: DataFrame) -> DataFrame:
-    """doc_id, text, key: a long that is unique and ordered as (doc_id, text), doc_ids null last."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+def keyed(docs: DataFrame, whole: bool = False) -> DataFrame:
+    """doc_id, text, key: a long that is unique and ordered as (doc_id, text), doc_ids null last. whole: and row, all columns."""
+    row = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] if whole else []
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *row)
     n, distinct, null = rows.agg(F.count("*"), F.count_distinct("doc_id"), F.count_if(F.col("doc_id").isNull())).first()
     if n == distinct and not null:
         return rows.withColumn("key", F.col("doc_id"))
     order = rows.withColumn("_null", F.col("doc_id").isNull().cast("int")).withColumn("_hash", F.md5("text")).withColumn("_one", F.lit(1).cast("long"))
-    return written(running(order, [], ["_null", "doc_id", "_hash"], {"key": "_one"}, "repeat-keys").select("doc_id", "text", "key"), "repeat-docs")
+    out = running(order, [], ["_null", "doc_id", "_hash"], {"key": "_one"}, "repeat-keys")
+    return written(out.select("doc_id", "text", *(["row"] if whole else []), "key"), "repeat-docs")
 
 
 def _joined(ranges: np.ndarray) -> np.ndarray:
