@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 #: The words of every contract: runs without these six bytes.
 SPACE_BYTES = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 WORD_SQL = "[^\\x20\\x09-\\x0D]+"
 
 
@@ -32,6 +33,9 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of sf_dir. Where the session leaves Arrow's batch size as it comes, batches are made smaller: texts may be long."""
+    if spark.conf.get(_BATCH) == "10000":
+        spark.conf.set(_BATCH, "1000")
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -11,6 +11,8 @@ neighbours is one more than the least prefix among the suffixes scanned between
 their sources. The LMS suffixes are sorted by inducing their blocks, naming them,
 and recursion on the names; a string with too many names for queues is sorted by
 doubled prefixes instead. Scans handle whole waves of one symbol as arrays.
+
+A text has less than 2^31 symbols.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ import numpy as np
 
 from .common import RangeHash, mix
 
-MEMORY, SYMBOLS, CAP = 256 << 20, 1024, 255
+MEMORY, SYMBOLS, CAP = 64 << 20, 1024, 255
 _FAR = np.int32(2**30)
 
 
@@ -60,7 +62,7 @@ class SymbolQueues:
                 self.held -= p[0].nbytes + p[1].nbytes
             else:
                 self.file.seek(p[0])
-                p = np.frombuffer(self.file.read(8 * p[1]), np.int64), np.frombuffer(bytearray(self.file.read(4 * p[1])), np.int32)
+                p = np.frombuffer(self.file.read(4 * p[1]), np.int32), np.frombuffer(bytearray(self.file.read(4 * p[1])), np.int32)
             out.append(p)
         return (out[0] if len(out) == 1 else tuple(np.concatenate(x) for x in zip(*out)))
 
@@ -107,7 +109,7 @@ def _induce(t: np.ndarray, small: np.ndarray, same: np.ndarray, lms: np.ndarray,
     n = len(t)
     heads = t[lms]
     scan = _Scan(t, ~small, symbols, memory)
-    scan.queues.push(int(t[n - 1]), np.array([n - 1]), np.zeros(1, np.int32))
+    scan.queues.push(int(t[n - 1]), np.array([n - 1], np.int32), np.zeros(1, np.int32))
     scan.since[t[n - 1]] = 0
     bounds = np.searchsorted(heads, np.arange(symbols + 1))
     larger: list = [None] * symbols
@@ -145,7 +147,7 @@ def _induce(t: np.ndarray, small: np.ndarray, same: np.ndarray, lms: np.ndarray,
             out.append(larger[c])
     scan.queues.close()
     out.reverse()
-    return np.concatenate([x for x, _ in out]), np.concatenate([x for _, x in out]).astype(np.int32)
+    return np.concatenate([x for x, _ in out], dtype=np.int32), np.concatenate([x for _, x in out]).astype(np.int32)
 
 
 def _doubled(t: np.ndarray) -> np.ndarray:
@@ -167,15 +169,15 @@ def suffix_order(t: np.ndarray, memory: int = MEMORY) -> tuple[np.ndarray, np.nd
     n = len(t)
     if n < 2:
         return np.arange(n), np.zeros(n, np.int32)
-    t = t.astype(np.int64)
+    t = t.astype(np.int32)
     symbols = int(t.max()) + 1
     turn = np.sign(t[1:] - t[:-1]).astype(np.int8)
-    nxt = np.where(turn != 0, np.arange(n - 1), n - 1)
+    nxt = np.where(turn != 0, np.arange(n - 1, dtype=np.int32), np.int32(n - 1))
     nxt = np.minimum.accumulate(nxt[::-1])[::-1]  # where the run of one symbol ends
-    nxt = np.append(nxt, n - 1)
-    same = (nxt - np.arange(n) + 1).astype(np.int32)
+    nxt = np.append(nxt, np.int32(n - 1))
+    same = nxt - np.arange(n, dtype=np.int32) + np.int32(1)
     small = np.append(turn, -1)[nxt] > 0
-    place = np.flatnonzero(small[1:] & ~small[:-1]) + 1
+    place = (np.flatnonzero(small[1:] & ~small[:-1]) + 1).astype(np.int32)
     if not len(place):
         return _induce(t, small, same, place, np.zeros(0, np.int32), symbols, memory)
     # LMS blocks in order, by inducing from first symbols alone.
@@ -185,7 +187,7 @@ def suffix_order(t: np.ndarray, memory: int = MEMORY) -> tuple[np.ndarray, np.nd
     ranked = order[is_place[order]]
     hashes = RangeHash(mix(t.astype(np.uint64) + np.uint64(1)))
     stop = np.append(np.minimum(place[1:] + 1, n), n)
-    number = np.zeros(n, np.int64)
+    number = np.zeros(n, np.int32)
     number[place] = np.arange(len(place))
     ends = stop[number[ranked]]
     size, code = ends - ranked, hashes.of(ranked, ends)

@@ -35,7 +35,8 @@ _POS = np.uint64((1 << 24) - 1)
 FRAGMENT = np.dtype([("h", "<u8"), ("c", "<u8"), ("key", "<i8"), ("s", "<u4"), ("m", "<u2")])
 WANT = np.dtype([("key", "<i8"), ("h", "<u8"), ("s", "<u4"), ("m", "<u2"), ("crowd", "u1")])
 COVER = np.dtype([("key", "<i8"), ("a", "<u4"), ("b", "<u4")])
-HEAD = np.dtype([("key", "<i8"), ("s", "<u4"), ("n", "<u2")])
+HEAD = np.dtype([("by", "<u8"), ("key", "<i8"), ("s", "<u4"), ("n", "<u2")])
+BODY = 1 << 18
 
 
 @dataclass(frozen=True)
@@ -219,7 +220,7 @@ def covered(docs: DataFrame, unit: Unit, decide: Callable[[list[tuple[np.ndarray
                     start = base + w["s"]
                     by = np.where(crowd, RangeHash(codes).of(start, start + window), w["h"])
                 head = np.zeros(len(w), HEAD)
-                head["key"], head["s"], head["n"] = w["key"], w["s"], w["m"] + window - 1
+                head["by"], head["key"], head["s"], head["n"] = by, w["key"], w["s"], w["m"] + window - 1
                 n_ = head["n"].astype(np.int64)
                 index = np.repeat(base + w["s"] - (np.cumsum(n_) - n_), n_) + np.arange(int(n_.sum()))
                 heads.append(head)
@@ -238,16 +239,25 @@ def covered(docs: DataFrame, unit: Unit, decide: Callable[[list[tuple[np.ndarray
         body = unpack(f["body"], np.uint64 if unit.words else np.uint8)
         sizes = head["n"].astype(np.int64)
         start = np.cumsum(sizes) - sizes
-        order = np.lexsort((head["s"], head["key"]))
+        # Fragments of different anchors share no window: the block is worked off anchor by anchor, several at a time.
+        order = np.lexsort((head["s"], head["key"], head["by"]))
         head, sizes, start = head[order], sizes[order], start[order]
-        flat = body[np.repeat(start - (np.cumsum(sizes) - sizes), sizes) + np.arange(len(body))]
-        earlier = decide(flat, sizes, window)  # of every token: a window that starts here starts earlier too
-        at = np.flatnonzero(earlier)
-        own = np.searchsorted(np.cumsum(sizes), at, "right")
-        rows = np.zeros(len(at), COVER)
-        rows["key"], rows["a"] = head["key"][own], head["s"][own] + (at - (np.cumsum(sizes) - sizes)[own])
-        rows["b"] = rows["a"] + window
-        rows = _joined(rows)
+        last = runs(head["by"])[1]
+        total, found, i = np.cumsum(sizes), [], 0
+        while i < len(head):
+            done_ = total[i - 1] if i else 0
+            j = int(last[min(max(int(np.searchsorted(total[last - 1], done_ + BODY, "right")) - 1, int(np.searchsorted(last, i, "right"))), len(last) - 1)])
+            own = np.lexsort((head["s"][i:j], head["key"][i:j])) + i
+            n_ = sizes[own]
+            flat = body[np.repeat(start[own] - (np.cumsum(n_) - n_), n_) + np.arange(int(n_.sum()))]
+            at = np.flatnonzero(decide(flat, n_, window))  # tokens at which a window starts that starts earlier too
+            frag = np.searchsorted(np.cumsum(n_), at, "right")
+            rows = np.zeros(len(at), COVER)
+            rows["key"], rows["a"] = head["key"][own][frag], head["s"][own][frag] + (at - (np.cumsum(n_) - n_)[frag])
+            rows["b"] = rows["a"] + window
+            found.append(_joined(rows))
+            i = j
+        rows = _joined(np.concatenate(found)) if found else np.zeros(0, COVER)
         done = Packer(COVER, n)
         return _frame([*done.add(rows, mix(rows["key"].view(np.uint64))), *done.flush()], 0)
 

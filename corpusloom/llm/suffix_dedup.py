@@ -39,7 +39,7 @@ def repeated(values: np.ndarray, sizes: np.ndarray, window: int) -> np.ndarray:
     place = np.arange(n) + np.repeat(np.arange(len(sizes)), sizes)
     t = np.zeros(n + len(sizes), np.int16)
     t[place] = values.astype(np.int16) + 1
-    left = np.zeros(len(t), np.int64)
+    left = np.zeros(len(t), np.int32)
     left[place] = np.repeat(ends, sizes) - np.arange(n)
     order, prefix = suffix_order(t)
     head = np.flatnonzero(prefix < window)
