@@ -12,11 +12,13 @@ of compatible sizes pass if the estimate from the sketch of the union is near
 enough, and are confirmed by the exact Jaccard similarity of their full sets.
 
 Lists of more than PAIRED members are never turned into pairs of rows. Their
-members are compared in blocks of at most BLOCK by BLOCK, first by sketch; those
-left with a partner are compared, again in blocks, by their full sets, and only
-a spanning forest of each block leaves the task. (Such a list of over CROWD
-members is compared for one run in four: a set has some 15 of them, each shared
-with odds of 0.6 or more.)
+members are compared in blocks of at most BLOCK by BLOCK, first by sketch: the
+strongest spanning forest of the estimates goes to the pairs to be confirmed.
+Lists whose members are not all joined by then are compared, again in blocks, by
+their full sets, and a spanning forest of each block's links leaves the task. (A
+set is in the long lists of the LOWEST of its runs by hash only; of sets that are
+similar enough these have one in common but for odds of about 1e-6, and sets
+with no more runs are in all.)
 
 Cases: null or empty texts have empty sets, link with nothing and are kept;
 rows without a doc_id link with nothing, have no component and are kept; rows
@@ -37,10 +39,10 @@ from pyspark.sql import functions as F
 from .common import Packer, RangeHash, buckets, buffers, by_bucket, byte_codes, lower_ascii, mix, runs, slices, table, unpack, words, written
 from .components import components
 
-KEEP, RUN, FEW, PAIRED, CROWD, BLOCK, SLACK = 64, 3, 6, 16, 64, 1024, 0.28
+KEEP, RUN, FEW, LOWEST, PAIRED, BLOCK, SLACK = 64, 3, 6, 24, 16, 1024, 0.28
 _A, _B, _C = np.uint64(0x9FB21C651E98DF25), np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F)
 
-_POST = np.dtype([("key", "<u8"), ("node", "<i8"), ("n", "<i4")])
+_POST = np.dtype([("key", "<u8"), ("node", "<i8"), ("n", "<i4"), ("low", "u1")])
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, size: int) -> list[np.ndarray]:
@@ -110,6 +112,9 @@ def listed(reps: DataFrame, percent: int) -> DataFrame:
                 rows["key"][len(ok) :] = mix(mix(flat[pair] + _B) + flat[pair + 1])
             both = np.r_[ok, pair]
             rows["node"], rows["n"] = nodes[own[both]], ns[own[both]]
+            order = np.lexsort((rows["key"], own[both]))
+            first, last = runs(own[both][order])
+            rows["low"][order] = np.arange(len(order)) - np.repeat(first, last - first) < LOWEST
             yield from pack.add(rows, rows["key"])
         yield from pack.flush()
 
@@ -128,11 +133,11 @@ def listed(reps: DataFrame, percent: int) -> DataFrame:
                     b.append(rows["node"][ok + y])
         pairs = np.unique(np.stack([np.concatenate(a), np.concatenate(b)], 1), axis=0) if a else np.zeros((0, 2), np.int64)
         for i, j in zip(at[count > PAIRED], end[count > PAIRED]):
-            if j - i <= CROWD or int(rows["key"][i]) >> 40 & 3 == 0:
-                keys.append(rows["key"][i:j].view(np.int64))
-                ms.append(np.full(j - i, j - i))
-                b_ = rows["node"][i:j]
-                a.append(b_)
+            own = rows["node"][i:j][rows["low"][i:j] > 0]
+            if len(own) > 1:
+                keys.append(np.full(len(own), rows["key"][i].view(np.int64)))
+                ms.append(np.full(len(own), max(len(own), PAIRED + 1)))
+                a.append(own)
         long_nodes = np.concatenate(a[-len(keys) :]) if keys else np.zeros(0, np.int64)
         key = np.r_[pairs[:, 0], np.concatenate(keys) if keys else np.zeros(0, np.int64)]
         return pd.DataFrame({"key": key, "node": np.r_[pairs[:, 1], long_nodes], "m": np.r_[np.full(len(pairs), 2), np.concatenate(ms) if ms else np.zeros(0, np.int64)].astype(np.int64)})
@@ -183,9 +188,23 @@ def forest(links: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
+def strongest(weight: np.ndarray) -> list[tuple[int, int]]:
+    """Edges of a spanning forest of greatest weight of a symmetric matrix (0: no edge)."""
+    m = len(weight)
+    left, best, via, out = np.ones(m, bool), np.zeros(m), np.full(m, -1), []
+    for _ in range(m):
+        x = int(np.argmax(np.where(left, best + 1, 0)))
+        left[x] = False
+        if best[x] > 0:
+            out.append((int(via[x]), x))
+        nearer = weight[x] > best
+        best[nearer], via[nearer] = weight[x][nearer], x
+    return out
+
+
 def near_links(docs: DataFrame, size: int = 5, percent: int = 80) -> tuple[DataFrame, DataFrame]:
-    """Sketches of all documents (doc_id, n, sig1, sig2), and links (a, b) between representatives that join every group
-    of documents linked by 100 |A and B| >= percent |A or B|."""
+    """Sketches of all documents (doc_id, n, sig1, sig2), and (node, component) of the representatives that are linked by
+    100 |A and B| >= percent |A or B|."""
     all_docs = written(sketches(docs, size), "near-sketches")
     reps = all_docs.filter("n > 0 and doc_id is not null").groupBy("n", "sig1", "sig2").agg(F.min("doc_id").alias("node"), F.min("sketch").alias("sketch"))
     reps = written(reps.select("node", "n", "sketch"), "near-reps")
@@ -207,18 +226,23 @@ def near_links(docs: DataFrame, size: int = 5, percent: int = 80) -> tuple[DataF
     with_y = with_x.join(reps.select(F.col("node").alias("b"), F.col("sketch").alias("y")), "b")
     pairs = written(with_y.mapInPandas(near_enough, "a long, b long"), "near-pairs")
 
-    # Long lists: members with a partner by sketch.
+    # Long lists: members with a partner by sketch, and the strongest forest of the estimates.
     def partnered(f: pd.DataFrame) -> pd.DataFrame:
-        f = f.drop_duplicates("node")
-        sk, n = [np.frombuffer(x, np.uint32) for x in f["sketch"]], f["n"].to_numpy()
-        least = np.array([len(s) for s in sk])
-        links = (shared(sk) >= 0.5 * np.minimum(least[:, None], least[None])) & _compatible(n[:, None], n[None], percent)
+        f = f.drop_duplicates("node").sort_values("node")
+        sk, n, nodes = [np.frombuffer(x, np.uint32) for x in f["sketch"]], f["n"].to_numpy(), f["node"].to_numpy()
+        size = np.array([len(s) for s in sk])
+        both = shared(sk)
+        links = (both >= 0.5 * np.minimum(size[:, None], size[None])) & _compatible(n[:, None], n[None], percent)
         np.fill_diagonal(links, False)
-        return f.loc[links.any(1), ["key", "node"]]
+        left = np.flatnonzero(links.any(1))
+        edges = strongest(np.where(links, both / (size[:, None] + size[None] - both), 0)[np.ix_(left, left)]) if len(left) else []
+        a, b = ([nodes[left[e[k]]] for e in edges] for k in (0, 1))
+        return pd.DataFrame({"key": np.r_[np.repeat(f["key"].iloc[0], len(left)), np.minimum(a, b)].astype(np.int64), "node": np.r_[nodes[left], np.maximum(a, b)].astype(np.int64), "pair": np.r_[np.zeros(len(left), bool), np.ones(len(edges), bool)]})
 
     long = in_blocks(lists.filter(f"m > {PAIRED}").join(reps, "node"))
-    long = long.groupBy("key", "i", "j").applyInPandas(partnered, "key long, node long").distinct()
-    long = written(long.join(long.groupBy("key").agg(F.count("*").alias("m")), "key").select("key", "node", "m"), "near-long")
+    long = written(long.groupBy("key", "i", "j").applyInPandas(partnered, "key long, node long, pair boolean").distinct(), "near-long")
+    pairs = written(pairs.unionByName(long.filter("pair").select(F.col("key").alias("a"), F.col("node").alias("b"))).distinct(), "near-all-pairs")
+    long = long.filter("not pair").select("key", "node")
 
     # Full sets of the documents that are left.
     left = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).union(long.select("node")).distinct()
@@ -243,6 +267,15 @@ def near_links(docs: DataFrame, size: int = 5, percent: int = 80) -> tuple[DataF
 
     with_x = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a")
     links = with_x.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b").mapInPandas(confirmed, "a long, b long")
+    links = written(links, "near-links")
+    if not long.limit(1).count():
+        return all_docs, components(links)
+    known = components(links)
+    apart = long.join(known, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    apart = apart.groupBy("key").agg(F.count("*").alias("m"), F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi")
+    long = written(long.join(apart.select("key", "m"), "key"), "near-apart")
+    if not long.limit(1).count():
+        return all_docs, known
 
     def spanned(f: pd.DataFrame) -> pd.DataFrame:
         own = [np.frombuffer(x, np.uint64) for x in f["shingles"]]
@@ -254,13 +287,13 @@ def near_links(docs: DataFrame, size: int = 5, percent: int = 80) -> tuple[DataF
         return pd.DataFrame({"a": [nodes[x] for x, _ in edges], "b": [nodes[y] for _, y in edges]}, dtype=np.int64)
 
     dense = in_blocks(long.join(sets, "node")).groupBy("key", "i", "j").applyInPandas(spanned, "a long, b long")
-    return all_docs, written(links.unionByName(dense).distinct(), "near-links")
+    return all_docs, components(written(links.unionByName(dense).distinct(), "near-links"))
 
 
 def groups(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of docs."""
-    all_docs, links = near_links(docs, size, percent)
-    small = components(links).withColumnRenamed("node", "rep")
+    all_docs, known = near_links(docs, size, percent)
+    small = known.withColumnRenamed("node", "rep")
     rep = all_docs.filter("n > 0 and doc_id is not null").groupBy("n", "sig1", "sig2").agg(F.min("doc_id").alias("rep")).join(small, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     out = all_docs.select("doc_id", "n", "sig1", "sig2").join(rep, ["n", "sig1", "sig2"], "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
