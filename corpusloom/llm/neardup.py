@@ -253,7 +253,7 @@ def near_links(docs: DataFrame, size: int = 5, percent: int = 80) -> tuple[DataF
                 part = batch.slice(at, 512)
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array([s.tobytes() for s in each_text(part, 1, size)], pa.binary())], ["node", "shingles"])
 
-    text = docs.selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text").join(left, "doc_id")
+    text = docs.selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text").join(left.hint("shuffle_hash"), "doc_id")
     sets = written(text.mapInArrow(full, "node long, shingles binary"), "near-sets")
 
     def confirmed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
