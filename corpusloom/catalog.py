@@ -1,11 +1,429 @@
-"""Registered queries over the driver's tables, and their SQL."""
+"""Registered queries over the driver's tables, and the same in DuckDB SQL.
+
+Batches of generated items do not exist in the tables; they are made from
+documents by arithmetic on doc_id, with every defect that the validators look
+for, and by the same rules in SQL.
+"""
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from .functions import text as T
+from .operators import curate, debias, quality, reshape, training, validate
+from .operators.ordinal import numbered
+from .plans import pipelines, prompts
+from .plans.provider import StubProvider
+from .sources import extract, files
+
+_QUERIES: dict = {}
+_SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def add(f):
+        _QUERIES[f.__name__] = f
+        if sql:
+            _SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{d}/{name}.parquet")
+
+
+def _refs(spark: SparkSession, d: str) -> DataFrame:
+    return _t(spark, d, "documents").select(F.col("doc_id").alias("ord"), F.col("source").alias("title"), F.col("text").alias("contents"))
+
+
+# --- text ------------------------------------------------------------------
+
+_WS = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+_KEEP = r"\x{ac00}-\x{d7a3}\x{3131}-\x{318e}\x{1100}-\x{11ff}a-zA-Z0-9.,!?\x27\x22"
+_RATIO = {
+    "english": f"len(regexp_extract_all(text, '[A-Za-z]'))::DOUBLE / nullif(length(regexp_replace(text, '{_WS}', '', 'g')), 0)",
+    "number": r"len(regexp_extract_all(text, '\p{Nd}'))::DOUBLE / nullif(length(text), 0)",
+    "punctuation": r"len(regexp_extract_all(text, '[!-/:-@\[-`{-~]'))::DOUBLE / nullif(length(text), 0)",
+}
+_REMOVED = f"regexp_replace(text, '[^{_KEEP}{_WS[1:-1]}]', '', 'g')"
+_CLEAN = f"regexp_replace({_REMOVED}, '{_WS}+', ' ', 'g')"
+_PASSED = f"""passed AS (SELECT doc_id, clean AS contents, CAST(len(regexp_extract_all(clean, '[^ ]+')) AS INTEGER) AS tokens
+  FROM (SELECT *, {_CLEAN} AS clean FROM documents)
+  WHERE {_RATIO["punctuation"]} < 0.2 AND {_RATIO["english"]} < 0.9 AND {_RATIO["number"]} < 0.05), kept AS (SELECT * FROM passed WHERE tokens > 20)"""
+_LIMITS = {"punctuation_ratio": 0.2, "english_ratio": 0.9, "number_ratio": 0.05, "token_threshold": 20}
+
+
+@query(f"""WITH {_PASSED}, s AS (SELECT row_number() OVER (ORDER BY doc_id) - 1 AS seq, contents, tokens FROM kept)
+SELECT CAST(seq AS INTEGER) AS seq, 'd' AS title, contents, tokens, 'd_' || seq AS index, CAST(ntile(4) OVER (ORDER BY seq) - 1 AS INTEGER) AS chunk_index FROM s""")
+def quality_split(spark, d):
+    rows = quality.quality_filter(_refs(spark, d), "d", ["ord"], **_LIMITS)
+    return reshape.split_chunk(reshape.make_index(rows, "d", ["seq"]), 4, ["seq"])
+
+
+@query(f"""WITH {_PASSED}, f AS (SELECT string_agg(contents, '' ORDER BY doc_id) AS contents FROM kept)
+SELECT 'd' AS title, contents, CAST(len(regexp_extract_all(contents, '[^ ]+')) AS INTEGER) AS tokens FROM f""")
+def quality_full(spark, d):
+    return quality.quality_filter(_refs(spark, d), "d", ["ord"], return_type="full", **_LIMITS)
+
+
+@query(f"""WITH {_PASSED}, f AS (SELECT string_agg(contents, '' ORDER BY doc_id) AS a FROM kept),
+c AS (SELECT unnest(range(0, CAST(ceil(length(a) / 10000.0) AS BIGINT))) AS seq, a FROM f),
+p AS (SELECT seq, substring(a, seq * 10000 + 1, 10000) AS contents FROM c)
+SELECT CAST(seq AS INTEGER) AS seq, 'd' AS title, contents, CAST(len(regexp_extract_all(contents, '[^ ]+')) AS INTEGER) AS tokens FROM p""")
+def quality_chunk(spark, d):
+    return quality.quality_filter(_refs(spark, d), "d", ["ord"], return_type="chunk", **_LIMITS)
+
+
+def _filter_query(name: str, ratio, most: float):
+    def run(spark, d):
+        return _t(spark, d, "documents").filter(T.keeps(ratio(F.col("text")), most)).select("doc_id")
+
+    run.__name__ = f"filter_{name}"
+    query(f"SELECT doc_id FROM documents WHERE {_RATIO[name]} < {most}")(run)
+
+
+_filter_query("english", T.english_ratio, 0.9)
+_filter_query("number", T.number_ratio, 0.02)
+_filter_query("punctuation", T.punctuation_ratio, 0.05)
+
+
+@query(f"SELECT doc_id, {_REMOVED} AS text FROM documents")
+def remove_unicode(spark, d):
+    return _t(spark, d, "documents").select("doc_id", T.remove_unicode(F.col("text")).alias("text"))
+
+
+@query(f"SELECT doc_id, regexp_replace(text, '{_WS}+', ' ', 'g') AS text FROM documents")
+def normalize_ws(spark, d):
+    return _t(spark, d, "documents").select("doc_id", T.normalize(F.col("text")).alias("text"))
+
+
+@query("SELECT doc_id, CAST(len(regexp_extract_all(text, '[^ ]+')) AS BIGINT) AS tokens FROM documents")
+def token_count(spark, d):
+    return _t(spark, d, "documents").select("doc_id", T.word_tokens(F.col("text")).cast("long").alias("tokens"))
+
+
+@query("""SELECT doc_id, CAST(i AS INTEGER) AS pos, substring(text, i * 500 + 1, 500) AS part
+FROM (SELECT doc_id, text, unnest(range(0, CAST(ceil(length(text) / 500.0) AS BIGINT))) AS i FROM documents)""")
+def char_chunks(spark, d):
+    return _t(spark, d, "documents").select("doc_id", F.posexplode(T.char_chunks(F.col("text"), 500)).alias("pos", "part"))
+
+
+# --- numbering -------------------------------------------------------------
+
+
+@query("SELECT doc_id, 'ref_' || (row_number() OVER (ORDER BY doc_id) - 1) AS index FROM documents")
+def make_index(spark, d):
+    return reshape.make_index(_t(spark, d, "documents").select("doc_id"), "ref", ["doc_id"])
+
+
+@query("""SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN source WHEN doc_id % 3 = 1 THEN source || '_' || lang ELSE source END AS reference_index
+FROM documents WHERE doc_id % 3 <> 2 UNION ALL SELECT doc_id, '' FROM documents WHERE doc_id % 3 = 2""")
+def reference_index(spark, d):
+    own = F.when(F.col("doc_id") % 3 == 0, F.concat_ws("_", "source", "doc_id")).when(F.col("doc_id") % 3 == 1, F.concat_ws("_", "source", "lang", "doc_id")).otherwise(F.col("source"))
+    return _t(spark, d, "documents").select("doc_id", reshape.reference_index(own).alias("reference_index"))
+
+
+@query("SELECT doc_id, CAST(ntile(7) OVER (ORDER BY doc_id) - 1 AS INTEGER) AS chunk_index FROM documents")
+def ntile_chunks(spark, d):
+    return reshape.split_chunk(_t(spark, d, "documents").select("doc_id"), 7, ["doc_id"])
+
+
+@query("SELECT doc_id, CAST((row_number() OVER (ORDER BY doc_id) - 1) // 64 AS INTEGER) AS chunk_index FROM documents")
+def size_chunks(spark, d):
+    return reshape.split_chunk(_t(spark, d, "documents").select("doc_id"), 64, ["doc_id"], by="size")
+
+
+@query("""WITH b AS (SELECT doc_id, octet_length(encode('{"doc_id":' || doc_id || ',"lang":"' || lang || '"}')) + 1 AS n FROM documents)
+SELECT doc_id, lang, CAST(CASE WHEN i < m * (q + 1) THEN i // (q + 1) ELSE m + (i - m * (q + 1)) // greatest(1, q) END AS INTEGER) AS file_idx
+FROM (SELECT d.doc_id, d.lang, row_number() OVER (ORDER BY d.doc_id) - 1 AS i, c // f AS q, c % f AS m
+      FROM documents d, (SELECT CAST(count(*) AS BIGINT) AS c, CAST(sum(n) // 4096 + 1 AS BIGINT) AS f FROM b))""")
+def file_split_plan(spark, d):
+    return files.file_split_plan(_t(spark, d, "documents").select("doc_id", "lang"), ["doc_id"], 4096)
+
+
+# --- batches ---------------------------------------------------------------
+
+
+def _batches(spark: SparkSession, d: str) -> DataFrame:
+    """index, question, options, answer, reasoning_process as lists, with defects by doc_id."""
+    return _t(spark, d, "documents").selectExpr(
+        "doc_id", "concat('d_', doc_id) AS index", "source AS title",
+        "transform(sequence(0, cast(doc_id % 3 as int)), j -> concat('Q', j, ': ', substring(text, 1, 40))) AS question",
+        """transform(sequence(0, cast(doc_id % 3 as int)), j -> transform(sequence(0, cast(2 + (doc_id + j) % 6 as int)), i ->
+             CASE WHEN doc_id % 7 = 3 AND i = 1 THEN concat(char(65 + i), '.opt', i) WHEN doc_id % 13 = 5 THEN concat(char(66 + i), '. opt', i)
+                  WHEN doc_id % 17 = 6 AND i = 2 THEN '' WHEN doc_id % 19 = 7 AND i = 2 THEN NULL ELSE concat(char(65 + i), '. opt', i) END)) AS options""",
+        "transform(sequence(1, cast(doc_id % 3 as int) + CASE WHEN doc_id % 9 = 4 THEN 2 ELSE 1 END), j -> CASE WHEN doc_id % 23 = 8 THEN NULL ELSE char(65 + (doc_id + j) % 8) END) AS answer",
+        """transform(sequence(0, cast(doc_id % 3 as int)), j -> CASE (doc_id + j) % 6 WHEN 0 THEN 'A는 답이다' WHEN 1 THEN 'CFA rule' WHEN 2 THEN NULL
+             WHEN 3 THEN 'see (B).' WHEN 4 THEN '' ELSE 'because x' END) AS reasoning_process""",
+    )
+
+
+_B = """b AS (SELECT doc_id, 'd_' || doc_id AS index, source AS title,
+  [('Q' || j || ': ' || substring(text, 1, 40)) for j in range(0, doc_id % 3 + 1)] AS question,
+  [[CASE WHEN doc_id % 7 = 3 AND i = 1 THEN chr(CAST(65 + i AS INTEGER)) || '.opt' || i WHEN doc_id % 13 = 5 THEN chr(CAST(66 + i AS INTEGER)) || '. opt' || i
+         WHEN doc_id % 17 = 6 AND i = 2 THEN '' WHEN doc_id % 19 = 7 AND i = 2 THEN NULL ELSE chr(CAST(65 + i AS INTEGER)) || '. opt' || i END
+    for i in range(0, 3 + (doc_id + j) % 6)] for j in range(0, doc_id % 3 + 1)] AS options,
+  [CASE WHEN doc_id % 23 = 8 THEN NULL ELSE chr(CAST(65 + (doc_id + j) % 8 AS INTEGER)) END for j in range(1, doc_id % 3 + 2 + CASE WHEN doc_id % 9 = 4 THEN 1 ELSE 0 END)] AS answer,
+  [CASE (doc_id + j) % 6 WHEN 0 THEN 'A는 답이다' WHEN 1 THEN 'CFA rule' WHEN 2 THEN NULL WHEN 3 THEN 'see (B).' WHEN 4 THEN '' ELSE 'because x' END
+    for j in range(0, doc_id % 3 + 1)] AS reasoning_process FROM documents)"""
+_I = f"""{_B}, n AS (SELECT *, unnest(range(0, doc_id % 3 + 1)) AS j FROM b),
+i AS (SELECT doc_id, index, title, CAST(j AS INTEGER) AS item_ord, question[j + 1] AS question, options[j + 1] AS options, reasoning_process[j + 1] AS reasoning_process, answer[j + 1] AS answer FROM n)"""
+
+
+def _items(spark: SparkSession, d: str) -> DataFrame:
+    rows = _batches(spark, d).withColumn("answer", F.slice("answer", F.lit(1), F.size("question")))
+    return reshape.explode_batches(rows, ["question", "options", "reasoning_process", "answer"], ["doc_id", "index", "title"])
+
+
+@query(f"WITH {_I} SELECT index, item_ord, question, array_to_string([coalesce(o, '-') for o in options], '|') AS options, reasoning_process, answer FROM i")
+def explode_batches(spark, d):
+    return _items(spark, d).select("index", "item_ord", "question", F.array_join(F.transform("options", lambda o: F.coalesce(o, F.lit("-"))), "|").alias("options"), "reasoning_process", "answer")
+
+
+@query(f"WITH {_I} SELECT index, string_agg(question, '|' ORDER BY item_ord) AS question, CAST(count(*) AS INTEGER) AS n FROM i GROUP BY index")
+def implode_rows(spark, d):
+    rows = reshape.implode_rows(_items(spark, d), ["question", "answer"], ["item_ord"])
+    return rows.select("index", F.array_join("question", "|").alias("question"), F.size("answer").alias("n"))
+
+
+_OPTION_BAD = "len([o for o in options if coalesce(len(o) NOT BETWEEN 4 AND 7 OR len([k for k in range(1, len(o) + 1) if coalesce(NOT regexp_matches(o[k], '^[A-G]\\. ') OR o[k][1] <> chr(CAST(64 + k AS INTEGER)), true)]) > 0, true)]) > 0"
+_ANSWER_BAD = """len([k for k in range(1, least(len(answer), len(options)) + 1) if coalesce(answer[k] NOT IN ('A','B','C','D','E','F','G')
+  OR NOT list_contains([x[1] for x in options[k]], answer[k]) OR len([x for x in options[k] if x IS NULL OR x = '']) > 0, true)]) > 0"""
+
+
+@query(f"WITH {_B} SELECT index FROM b WHERE {_OPTION_BAD}")
+def option_errors(spark, d):
+    return _batches(spark, d).filter(validate.option_errors(F.col("options"))).select("index")
+
+
+@query(f"WITH {_B} SELECT index FROM b WHERE {_ANSWER_BAD}")
+def answer_errors(spark, d):
+    return _batches(spark, d).filter(validate.answer_errors(F.col("answer"), F.col("options"))).select("index")
+
+
+@query(f"WITH {_B} SELECT index FROM b WHERE len(answer) <> len(question)")
+def num_matching_errors(spark, d):
+    return _batches(spark, d).filter(validate.num_matching_errors(F.col("question"), F.col("answer"), F.col("options"), F.col("reasoning_process"))).select("index")
+
+
+@query(f"WITH {_B} SELECT index FROM b WHERE len(answer) <> 2 OR len(question) <> 2")
+def deficient_errors(spark, d):
+    return _batches(spark, d).filter(validate.deficient_errors(2, F.col("question"), F.col("answer"), F.col("options"), F.col("reasoning_process"))).select("index")
+
+
+@query(f"WITH {_I} SELECT index, item_ord FROM i WHERE coalesce(regexp_matches(reasoning_process, '(^|[^A-Za-z0-9])[A-' || chr(CAST(64 + len(options) AS INTEGER)) || ']([^A-Za-z0-9]|$)'), true)")
+def reasoning_errors(spark, d):
+    return _items(spark, d).filter(validate.reasoning_errors(F.col("reasoning_process"), F.col("options"))).select("index", "item_ord")
+
+
+@query(f"WITH {_B} SELECT index, title FROM b WHERE NOT ({_OPTION_BAD}) AND NOT ({_ANSWER_BAD})")
+def survivors_anti(spark, d):
+    bad = validate.option_errors(F.col("options")) | validate.answer_errors(F.col("answer"), F.col("options"))
+    return validate.survivors(_batches(spark, d), bad)[0].select("index", "title")
+
+
+@query(f"WITH {_I}, bad AS (SELECT DISTINCT index FROM i WHERE reasoning_process IS NULL) SELECT doc_id, index FROM b WHERE index IN (SELECT index FROM bad)")
+def error_refs_semi(spark, d):
+    _, bad = validate.survivors(_items(spark, d), F.col("reasoning_process").isNull())
+    return _batches(spark, d).join(bad, "index", "left_semi").select("doc_id", "index")
+
+
+_LABELS = "CASE doc_id % 8 WHEN 0 THEN 'usable' WHEN 1 THEN 'Usable' WHEN 2 THEN 'us' WHEN 3 THEN '' WHEN 4 THEN NULL WHEN 5 THEN 'fake_answer' WHEN 6 THEN 'quant' ELSE 'no' END"
+
+
+def _labelled(spark, d):
+    return _t(spark, d, "documents").selectExpr("doc_id", f"{_LABELS} AS hallucination")
+
+
+@query(f"SELECT doc_id FROM documents WHERE coalesce({_LABELS} NOT IN ('fake_answer','fake_references','deficient_question','deficient_answer','usable'), true)")
+def hallucination_errors(spark, d):
+    return _labelled(spark, d).filter(validate.label_errors(F.col("hallucination"), validate.HALLUCINATION)).select("doc_id")
+
+
+@query(f"SELECT doc_id FROM documents WHERE {_LABELS} = 'usable'")
+def hallucination_filter_strict(spark, d):
+    return _labelled(spark, d).filter(~validate.unusable(F.col("hallucination"))).select("doc_id")
+
+
+@query(f"SELECT doc_id FROM documents WHERE instr('usable', {_LABELS}) > 0 OR {_LABELS} = ''")
+def hallucination_filter_compat(spark, d):
+    return _labelled(spark, d).filter(~validate.unusable(F.col("hallucination"), True)).select("doc_id")
+
+
+@query(f"SELECT doc_id FROM documents WHERE coalesce({_LABELS} NOT IN ('knowledge_accounting','knowledge_market','math_accounting','math_market','quant','law','no'), true)")
+def classification_errors(spark, d):
+    return _labelled(spark, d).filter(validate.label_errors(F.col("hallucination"), validate.CLASSIFICATION)).select("doc_id")
+
+
+@query("SELECT doc_id FROM documents WHERE doc_id % 4 IN (2, 3)")
+def preference_errors(spark, d):
+    lists = _t(spark, d, "documents").selectExpr("doc_id", "array('A', CASE doc_id % 4 WHEN 0 THEN 'B' WHEN 1 THEN 'E' WHEN 2 THEN 'C' END) AS preference")
+    return lists.filter(validate.preference_errors(F.col("preference"))).select("doc_id")
+
+
+# --- joins, debiasing, curation --------------------------------------------
+
+
+@query(f"""WITH {_I}, e AS (SELECT index, string_agg('### 질문:' || chr(10) || question || '### 선택지:' || chr(10) || array_to_string(options, chr(10)) || '### 풀이:' || chr(10) || reasoning_process, chr(10) ORDER BY item_ord) AS prev_example
+  FROM i GROUP BY index) SELECT 'd_' || doc_id AS index, prev_example FROM documents LEFT JOIN e ON e.index = 'd_' || doc_id""")
+def prev_example_join(spark, d):
+    refs = _t(spark, d, "documents").select(F.concat(F.lit("d_"), F.col("doc_id").cast("string")).alias("index"))
+    texts = _items(spark, d).filter("reasoning_process is not null")
+    return reshape.with_previous(refs, texts, ["item_ord"]).select("index", "prev_example")
+
+
+_PERM = "list_transform(list_sort([{'h': md5(index || ':' || item_ord || ':' || k), 'k': k} for k in range(0, len(options))]), lambda s: s.k)"
+
+
+@query(f"""WITH {_I}, p AS (SELECT *, {_PERM} AS perm, ascii(answer) - 65 AS old FROM i WHERE len([x for x in options if x IS NULL OR x = '']) = 0)
+SELECT index, item_ord, CASE WHEN len(options) <= 7 AND old < len(options) THEN array_to_string([chr(CAST(64 + j AS INTEGER)) || options[perm[j] + 1][2:] for j in range(1, len(options) + 1)], '|') ELSE array_to_string(options, '|') END AS options,
+  CASE WHEN len(options) <= 7 AND old < len(options) THEN chr(CAST(64 + list_position(perm, old) AS INTEGER)) ELSE answer END AS answer FROM p WHERE answer IS NOT NULL""")
+def shuffle_answers(spark, d):
+    rows = _items(spark, d).filter("answer is not null and not exists(options, x -> x is null or x = '')")
+    options, answer = debias.shuffled(F.col("options"), F.col("answer"), F.concat("index", F.lit(":"), F.col("item_ord").cast("string")))
+    return rows.select("index", "item_ord", F.array_join(options, "|").alias("options"), answer.alias("answer"))
+
+
+@query()
+def add_conclusion(spark, d):
+    rows = _items(spark, d).filter("answer is not null and reasoning_process is not null")
+    return rows.select("index", "item_ord", debias.concluded(F.col("reasoning_process"), F.col("answer"), F.col("index")).alias("reasoning_process"))
+
+
+@query("SELECT p_partkey FROM part WHERE p_size BETWEEN 0 AND 5")
+def value_range(spark, d):
+    return _t(spark, d, "part").filter(F.col("p_size").between(0, 5)).select("p_partkey")
+
+
+_MAPPER = {"Brand#11": 10, "Brand#12": 25, "Brand#23": 40, "Brand#99": 1}
+_MAP_SQL = "(VALUES ('Brand#11', 10), ('Brand#12', 25), ('Brand#23', 40), ('Brand#99', 1)) m(b, v)"
+
+
+@query(f"SELECT p_partkey, p_brand, p_size FROM part JOIN {_MAP_SQL} ON p_brand = b WHERE p_size >= v")
+def value_control(spark, d):
+    return curate.value_control(_t(spark, d, "part"), _MAPPER, "p_size", "p_brand").select("p_partkey", "p_brand", "p_size")
+
+
+@query(f"SELECT p_brand, count(*) AS total, count(*) FILTER (WHERE p_size >= v) AS alive FROM part JOIN {_MAP_SQL} ON p_brand = b GROUP BY p_brand")
+def value_control_stats(spark, d):
+    return curate.value_stats(_t(spark, d, "part"), _MAPPER, "p_size", "p_brand")
+
+
+def _dedup(name: str, keep, sql: str):
+    def run(spark, d):
+        return curate.deduplicated(_t(spark, d, "orders").select("o_custkey", "o_orderkey", "o_orderstatus"), ["o_custkey"], ["o_orderkey"], keep)
+
+    run.__name__ = name
+    query(sql)(run)
+
+
+_dedup("dedup_first", "first", "SELECT o_custkey, o_orderkey, o_orderstatus FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) = 1")
+_dedup("dedup_last", "last", "SELECT o_custkey, o_orderkey, o_orderstatus FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey DESC) = 1")
+_dedup("dedup_none", False, "SELECT o_custkey, o_orderkey, o_orderstatus FROM orders QUALIFY count(*) OVER (PARTITION BY o_custkey) = 1")
+
+
+@query("SELECT event_type, count(*) AS n FROM events WHERE event_type IS NOT NULL GROUP BY event_type")
+def spec_counts(spark, d):
+    return curate.spec(_t(spark, d, "events"), "event_type")
+
+
+@query("SELECT user_id, min(event_id) AS first_ord FROM events GROUP BY user_id")
+def distinct_first_seen(spark, d):
+    return curate.first_seen(_t(spark, d, "events"), "user_id", "event_id")
+
+
+@query("SELECT c_custkey, c_name FROM customer ORDER BY md5('0:' || c_custkey), c_custkey LIMIT 50")
+def sample_by_hash(spark, d):
+    return curate.sample(_t(spark, d, "customer").select("c_custkey", "c_name"), 50, F.col("c_custkey"))
+
+
+@query("SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_orderkey LIMIT 10")
+def head_n(spark, d):
+    return curate.head(_t(spark, d, "orders").select("o_orderkey", "o_totalprice"), 10, ["o_orderkey"])
+
+
+@query("SELECT s_suppkey AS id, s_name AS name, NULL::VARCHAR AS segment FROM supplier UNION ALL SELECT c_custkey, c_name, c_mktsegment FROM customer")
+def union_all(spark, d):
+    return curate.union_all(_t(spark, d, "supplier").selectExpr("s_suppkey AS id", "s_name AS name"), _t(spark, d, "customer").selectExpr("c_custkey AS id", "c_name AS name", "c_mktsegment AS segment"))
+
+
+@query(f"WITH {_B}, e AS (SELECT count(*) FILTER (WHERE {_OPTION_BAD}) AS errors, count(*) AS total FROM b) SELECT errors, total, errors > greatest(1, CAST(floor(0.3 * total) AS BIGINT)) AS again FROM e")
+def error_rate_gate(spark, d):
+    counts = _batches(spark, d).agg(F.count_if(validate.option_errors(F.col("options"))).alias("errors"), F.count("*").alias("total"))
+    return counts.withColumn("again", F.col("errors") > F.greatest(F.lit(1), F.floor(F.lit(0.3) * F.col("total"))))
+
+
+@query(f"""WITH {_I} SELECT index, item_ord, CASE WHEN doc_id % 2 = 0 THEN '### 질문: ' || question || chr(10) || '### 선택지:' || chr(10) || array_to_string(options, chr(10)) || chr(10) || '### 정답: ' || reasoning_process || '### 정답: ' || answer
+  ELSE '### 질문: ' || question || chr(10) || '### 정답: ' || answer END AS text FROM i""")
+def sft_text(spark, d):
+    kind = F.when(F.col("doc_id") % 2 == 0, "mcqa").otherwise("qa")
+    return _items(spark, d).select("index", "item_ord", training.sft_text(kind, F.col("question"), F.col("options"), F.col("reasoning_process"), F.col("answer")).alias("text"))
+
+
+@query("SELECT u.text AS prompt, a.text AS chosen, 'none' AS rejected FROM conversations u JOIN conversations a ON u.conv_id = a.conv_id AND a.turn = u.turn + 1 WHERE u.role = 'user' AND a.role = 'assistant'")
+def dpo_triples(spark, d):
+    turns = _t(spark, d, "conversations")
+    u = turns.filter("role = 'user'").select("conv_id", "turn", F.col("text").alias("question"))
+    a = turns.filter("role = 'assistant'").select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("answer"))
+    return training.dpo_triples(u.join(a, ["conv_id", "turn"]).withColumn("old_answer", F.lit("none")))
+
+
+@query("SELECT doc_id, '아래 자료로 문항을 5개 만드세요.' || chr(10) || '### 제목:' || chr(10) || source || chr(10) || CASE WHEN length(text) > 0 THEN '### 내용:' || chr(10) || text || chr(10) ELSE '' END AS prompt FROM documents")
+def prompts_user_step1(spark, d):
+    return _t(spark, d, "documents").select("doc_id", prompts.user_prompt(5, 제목=F.col("source"), 내용=F.col("text")).alias("prompt"))
+
+
+@query()
+def fewshot_pick(spark, d):
+    return _t(spark, d, "documents").select("doc_id", prompts.fewshot("common", (F.col("doc_id") % 4 + 4).cast("int"), F.col("doc_id").cast("string")).alias("example"))
+
+
+@query()
+def html_extract(spark, d):
+    return _t(spark, d, "pages").select("page_id", extract.extract_report(F.col("html"), "html").alias("text"))
+
+
+@query()
+def pdf_text(spark, d):
+    """Pages from bytes: the texts stand in for files, a form feed ends a page."""
+    rows = _t(spark, d, "benchmark").select(F.col("item_id").cast("string").alias("path"), F.posexplode(F.split("text", "[.] ")).alias("page", "contents"))
+    return extract.pdf_full_text(rows.filter("contents <> ''"))
+
+
+def _references(spark, d) -> DataFrame:
+    rows = _t(spark, d, "benchmark").select(F.col("item_id").alias("ord"), F.lit("b").alias("title"), F.col("text").alias("contents"))
+    return reshape.make_index(rows, "b", ["ord"]).drop("ord")
+
+
+_STUB = StubProvider(seed=3, malformed=0.2, failing=0.05)
+
+
+@query()
+def mcqa_pipeline_stub(spark, d):
+    return pipelines.mcqa(_references(spark, d), pipelines.Settings(name="mcqa", n_datasets=2, tolerance=0.1), _STUB).drop("update_at")
+
+
+@query()
+def qa_pipeline_stub(spark, d):
+    return pipelines.qa(_references(spark, d), pipelines.Settings(name="qa", n_datasets=2, tolerance=0.1), _STUB).drop("update_at")
+
+
+@query()
+def classification_stub(spark, d):
+    return pipelines.classification(_references(spark, d), pipelines.Settings(name="class", tolerance=0.1), _STUB).drop("update_at")
+
+
+@query("SELECT doc_id, CAST(coalesce(sum(length(text)) OVER (ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS at FROM documents")
+def running_length(spark, d):
+    return numbered(_t(spark, d, "documents").select("doc_id", F.length("text").alias("n")), ["doc_id"], "at", F.col("n")).select("doc_id", "at")
+
 
 def queries() -> dict:
-    return {}
+    return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(_SQL)
