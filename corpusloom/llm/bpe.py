@@ -18,6 +18,7 @@ from __future__ import annotations
 import hashlib
 import heapq
 import json
+import struct
 import unicodedata
 from collections.abc import Iterator
 
@@ -49,89 +50,115 @@ def byte_alphabet() -> dict[int, str]:
 class ForcedBoundaryBpe:
     """Encoder and decoder of one tokenizer file with word ends."""
 
-    CACHE = 300_000
+    CACHE = 700_000
+    NONE = 1 << 60
 
     def __init__(self, spec: str):
         spec = json.loads(spec)
         model = spec["model"]
         self.suffix = model["end_of_word_suffix"] or ""
         self.vocab: dict[str, int] = model["vocab"]
-        self.rank = {tuple(m if isinstance(m, list) else m.split(" ")): i for i, m in enumerate(model["merges"])}
+        # Ranks and results of merges by a pair of ids.
+        self.rank: dict[int, int] = {}
+        self.result: list[int] = []
+        for a, b in (m if isinstance(m, list) else m.split(" ") for m in model["merges"]):
+            self.rank.setdefault(self.vocab[a] << 32 | self.vocab[b], len(self.result))
+            self.result.append(self.vocab[a + b])
         self.token = {i: t for t, i in self.vocab.items()}
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.token |= {i: t for t, i in self.special.items()}
-        self.alphabet = byte_alphabet()
-        self.joined = {x + y for t in self.vocab for t in [t.removesuffix(self.suffix)] for x, y in zip(t, t[1:])}
+        alphabet = byte_alphabet()
+        byte_of = {c: b for b, c in alphabet.items()}
+        self.inner = [self.vocab[alphabet[b]] for b in range(256)]
+        self.last = [self.vocab[alphabet[b] + self.suffix] for b in range(256)]
+        self.joined = bytearray(1 << 16)
+        for t in self.vocab:
+            codes = [byte_of[c] for c in t.removesuffix(self.suffix)]
+            for x, y in zip(codes, codes[1:]):
+                self.joined[x << 8 | y] = 1
         self.special_at = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self.white, self.split = regex.compile(WHITE + "+"), regex.compile(SPLIT)
         self.pieces: dict[str, tuple[bytes, str]] = {}
-        self.fragments: dict[tuple[str, bool], list[int]] = {}
-
-    def cuts(self, word: str) -> list[str]:
-        """The fragments of a word in the byte alphabet."""
-        out, start, joined = [], 0, self.joined
-        for i in range(1, len(word)):
-            if word[i - 1 : i + 1] not in joined:
-                out.append(word[start:i])
-                start = i
-        out.append(word[start:])
-        return out
-
-    def merged(self, symbols: list[str]) -> list[str]:
-        if len(symbols) > 48:
-            return self._merged_long(symbols)
-        rank = self.rank
-        while len(symbols) > 1:
-            best = min(((rank.get(p, 1 << 60), i) for i, p in enumerate(zip(symbols, symbols[1:]))))
-            if best[0] == 1 << 60:
+        self.fragments: dict[tuple[bytes, bool], list[int]] = {}
+
+    def cuts(self, word: bytes) -> list[bytes]:
+        """The fragments of a word: it is cut between bytes that no token holds side by side."""
+        joined = self.joined
+        at = [i for i, (x, y) in enumerate(zip(word, word[1:]), 1) if not joined[x << 8 | y]]
+        return [word[i:j] for i, j in zip([0, *at], [*at, len(word)])] if at else [word]
+
+    def merged(self, ids: list[int]) -> list[int]:
+        if len(ids) > 64:
+            return self._merged_long(ids)
+        get, none, result = self.rank.get, self.NONE, self.result
+        ranks = [get(x << 32 | y, none) for x, y in zip(ids, ids[1:])]
+        while ranks:
+            best = min(ranks)
+            if best == none:
                 break
-            i = best[1]
-            symbols[i : i + 2] = [symbols[i] + symbols[i + 1]]
-        return symbols
+            i = ranks.index(best)
+            new = ids[i] = result[best]
+            del ids[i + 1], ranks[i]
+            if i:
+                ranks[i - 1] = get(ids[i - 1] << 32 | new, none)
+            if i < len(ranks):
+                ranks[i] = get(new << 32 | ids[i + 1], none)
+        return ids
 
-    def _merged_long(self, symbols: list[str]) -> list[str]:
+    def _merged_long(self, ids: list[int]) -> list[int]:
         """The same in n log n: a heap of pairs over a linked list."""
-        n, rank = len(symbols), self.rank
+        n, rank = len(ids), self.rank
         after, before, dead = list(range(1, n + 1)), list(range(-1, n - 1)), [False] * n
-        heap = [(r, i, symbols[i], symbols[i + 1]) for i in range(n - 1) if (r := rank.get((symbols[i], symbols[i + 1]))) is not None]
+        heap = [(r, i, ids[i], ids[i + 1]) for i in range(n - 1) if (r := rank.get(ids[i] << 32 | ids[i + 1])) is not None]
         heapq.heapify(heap)
         while heap:
-            _, i, a, b = heapq.heappop(heap)
+            r, i, a, b = heapq.heappop(heap)
             j = after[i]
-            if dead[i] or j >= n or symbols[i] != a or symbols[j] != b:
+            if dead[i] or j >= n or ids[i] != a or ids[j] != b:
                 continue
-            symbols[i], dead[j], after[i] = a + b, True, after[j]
+            ids[i], dead[j], after[i] = self.result[r], True, after[j]
             if after[j] < n:
                 before[after[j]] = i
-                if (r := rank.get((symbols[i], symbols[after[j]]))) is not None:
-                    heapq.heappush(heap, (r, i, symbols[i], symbols[after[j]]))
-            if before[i] >= 0 and (r := rank.get((symbols[before[i]], symbols[i]))) is not None:
-                heapq.heappush(heap, (r, before[i], symbols[before[i]], symbols[i]))
-        return [s for s, d in zip(symbols, dead) if not d]
-
-    def fragment(self, text: str, last: bool) -> list[int]:
-        key = (text, last)
-        ids = self.fragments.get(key)
-        if ids is None:
-            symbols = list(text)
-            if last:
-                symbols[-1] += self.suffix
-            ids = [self.vocab[s] for s in self.merged(symbols)]
-            if len(self.fragments) >= self.CACHE // 3:
-                self.fragments.clear()
-            if len(text) <= 64:
-                self.fragments[key] = ids
+                if (r := rank.get(ids[i] << 32 | ids[after[j]])) is not None:
+                    heapq.heappush(heap, (r, i, ids[i], ids[after[j]]))
+            if before[i] >= 0 and (r := rank.get(ids[before[i]] << 32 | ids[i])) is not None:
+                heapq.heappush(heap, (r, before[i], ids[before[i]], ids[i]))
+        return [s for s, d in zip(ids, dead) if not d]
+
+    def fragment(self, text: bytes, last: bool) -> list[int]:
+        ids = [self.inner[b] for b in text]
+        if last:
+            ids[-1] = self.last[text[-1]]
+        return self.merged(ids)
+
+    def word(self, word: str) -> list[int]:
+        """Ids of one word: its fragments, each encoded by itself, put together."""
+        parts = self.cuts(word.encode())
+        if len(parts) == 1:
+            return self.fragment(parts[0], True)
+        ids: list[int] = []
+        for i, part in enumerate(parts, 1):
+            key = (part, i == len(parts))
+            got = self.fragments.get(key)
+            if got is None:
+                got = self.fragment(*key)
+                if len(part) <= 64:
+                    if len(self.fragments) >= self.CACHE // 4:
+                        self.fragments.clear()
+                    self.fragments[key] = got
+            ids += got
         return ids
 
     def piece(self, text: str) -> tuple[bytes, str]:
         """Ids and decoded text of a piece without white space."""
-        ids: list[int] = []
-        alphabet = self.alphabet
-        for word in self.split.findall(text):
-            parts = self.cuts("".join([alphabet[b] for b in word.encode()]))
-            for i, part in enumerate(parts, 1):
-                ids += self.fragment(part, i == len(parts))
-        got = b"".join([i.to_bytes(4, "little") for i in ids]), self.decode(ids)
+        if text.isalpha():
+            ids = self.word(text)
+        elif text[:-1].isalpha() and text[-1] in ".,":  # most pieces that are no word; the word is likely known
+            (a, x), (b, y) = (self.pieces.get(t) or self.piece(t) for t in (text[:-1], text[-1]))
+            return a + b, f"{x} {y}"
+        else:
+            ids = [i for w in self.split.findall(text) for i in self.word(w)]
+        got = struct.pack(f"<{len(ids)}I", *ids), self.decode(ids)
         if len(text) <= 64:
             if len(self.pieces) >= self.CACHE:
                 self.pieces.clear()
