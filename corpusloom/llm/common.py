@@ -35,7 +35,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table of sf_dir. Where the session leaves Arrow's batch size as it comes, batches are made smaller: texts may be long."""
     if spark.conf.get(_BATCH) == "10000":
-        spark.conf.set(_BATCH, "1000")
+        spark.conf.set(_BATCH, "500")
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -63,7 +63,7 @@ _powers: dict[str, np.ndarray] = {}
 def _power(base: int, n: int) -> np.ndarray:
     key = str(base)
     if key not in _powers or len(_powers[key]) < n:
-        size = 1 << max(16, int(n).bit_length())
+        size = max(1 << 16, int(n) + (int(n) >> 3))
         p = np.full(size, base, np.uint64)
         p[0] = 1
         _powers[key] = np.multiply.accumulate(p)
@@ -115,7 +115,7 @@ def buffers(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def slices(offsets: np.ndarray, most: int = 4 << 20) -> Iterator[tuple[int, int]]:
+def slices(offsets: np.ndarray, most: int = 1 << 20) -> Iterator[tuple[int, int]]:
     """Row ranges of at most `most` bytes each, or of one row."""
     i, n = 0, len(offsets) - 1
     while i < n:
