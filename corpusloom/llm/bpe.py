@@ -15,10 +15,12 @@ none; a text of any length is encoded whole (long fragments use a heap).
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import heapq
 import json
 import struct
+import sys
 import unicodedata
 from collections.abc import Iterator
 
@@ -30,11 +32,25 @@ from .common import table
 
 # The white space of Unicode, and the split pattern of this kind of tokenizer file.
 WHITE = "[\\t-\\r\\x20\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]"
-SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+"
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[{L}]+|[{N}]|[^\s{L}{N}]+"
 
 SCHEMA = "doc_id long, n_tokens long, ids binary, decoded string"
 
 
+@functools.cache
+def split_pattern() -> str:
+    """SPLIT with the letters and numbers of Python's Unicode tables, which str.isalpha() goes by as well."""
+    found: dict[str, list[str]] = {"L": [], "N": []}
+    start, last = 0, ""
+    for c in range(sys.maxunicode + 2):
+        kind = unicodedata.category(chr(c))[0] if c <= sys.maxunicode else ""
+        if kind != last:
+            if last in found:
+                found[last].append(f"\\U{start:08x}-\\U{c - 1:08x}")
+            start, last = c, kind
+    return SPLIT.replace("{L}", "".join(found["L"])).replace("{N}", "".join(found["N"]))
+
+
 def byte_alphabet() -> dict[int, str]:
     """Byte -> the printable character that stands for it: itself if printable, else the next free one from U+0100."""
     out, free = {}, 0x100
@@ -77,7 +93,7 @@ class ForcedBoundaryBpe:
             for x, y in zip(codes, codes[1:]):
                 self.joined[x << 8 | y] = 1
         self.special_at = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
-        self.white, self.split = regex.compile(WHITE + "+"), regex.compile(SPLIT)
+        self.white, self.split = regex.compile(WHITE + "+"), regex.compile(split_pattern())
         self.pieces: dict[str, tuple[bytes, str]] = {}
         self.fragments: dict[tuple[bytes, bool], list[int]] = {}
 

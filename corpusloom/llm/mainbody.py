@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import table
 
 PATH_DIM, WORD_DIM, FIGURES, HIDDEN = 96, 32, 8, 20
-PAGES, EPOCHS, SEED, STRETCH, OVERLAP = 900, 14, 7, 400, 40
+PAGES, EPOCHS, SEED, STRETCH, OVERLAP = 1200, 16, 7, 400, 40
 DIM = PATH_DIM + WORD_DIM + FIGURES
 
 # Fixed values of HTML: elements that break a line of text, that have no end tag, whose content is no text, and that end an open <p>.
@@ -350,8 +350,8 @@ def training_page(rng: np.random.Generator) -> tuple[str, list[bool]]:
             if rng.random() < 0.2:
                 text = f"<b>{text}" + ("</b>" if rng.random() < 0.5 else "<br>")
             put(text, True)
-    if rng.random() < 0.15:
-        chrome(str(rng.choice(["share", "comments", "sidebar"])))
+    for _ in range(int(rng.integers(0, 3)) if rng.random() < 0.5 else 0):
+        chrome(str(rng.choice(["comments", "comments", "share", "sidebar", "form", "footer"])))
     out += [f"</{t}>" for t in reversed(re.findall(r"<(\w+)", start))]
     for kind in ("share", "comments", "advert", "sidebar", "form", "notice", "footer"):
         if rng.random() < (0.6 if kind == "footer" else 0.3):

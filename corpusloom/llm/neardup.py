@@ -293,6 +293,13 @@ def near_links(docs: DataFrame, size: int = 5, percent: int = 80) -> tuple[DataF
 def groups(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of docs."""
     all_docs, known = near_links(docs, size, percent)
+    there = all_docs.filter("n > 0 and doc_id is not null")
+    n, distinct = there.agg(F.count("*"), F.count_distinct("doc_id")).first()
+    if n != distinct:  # texts that share a doc_id are one document
+        first = there.groupBy("n", "sig1", "sig2").agg(F.min("doc_id").alias("b"))
+        shared_ids = there.groupBy("doc_id").agg(F.count("*").alias("_n")).filter("_n > 1").select("doc_id")
+        same = there.join(shared_ids, "doc_id").join(first, ["n", "sig1", "sig2"]).select(F.col("doc_id").alias("a"), "b").filter("a <> b")
+        known = components(known.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(same))
     small = known.withColumnRenamed("node", "rep")
     rep = all_docs.filter("n > 0 and doc_id is not null").groupBy("n", "sig1", "sig2").agg(F.min("doc_id").alias("rep")).join(small, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     out = all_docs.select("doc_id", "n", "sig1", "sig2").join(rep, ["n", "sig1", "sig2"], "left")

@@ -38,7 +38,7 @@ class BlockIndex:
         left = np.repeat(ends, sizes) - np.arange(n)
         rank = np.unique(values, return_inverse=True)[1].astype(np.int64) + 1
         self.levels, step = [rank], 1
-        while step * 2 <= depth:
+        while step < depth:
             nxt = np.where(left > step, np.r_[rank[step:], np.zeros(min(step, n), np.int64)][:n], 0)
             rank = np.unique(rank * np.int64(n + 2) + nxt, return_inverse=True)[1].astype(np.int64) + 1
             self.levels.append(rank)

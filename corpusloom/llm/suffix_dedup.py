@@ -92,7 +92,7 @@ def deduplicated(docs: DataFrame, unit: Unit = BYTES, recount: str = "n_chars")
                 yield pa.RecordBatch.from_arrays(columns, list(at)).filter(pa.array(keep, pa.bool_()))
 
     rows = spans(docs, unit, True)
-    return rows.select(*[F.col("row")[c].alias(c) for c in docs.columns], "ranges").mapInArrow(run, schema)
+    return rows.select(*[F.col("row")[c].alias(f"_{i}") for i, c in enumerate(docs.columns)], "ranges").mapInArrow(run, schema)
 
 
 def op10_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
