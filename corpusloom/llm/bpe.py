@@ -36,6 +36,14 @@ SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[{L}]+|[{N}]|[^\s{L}{N}]+"
 
 SCHEMA = "doc_id long, n_tokens long, ids binary, decoded string"
 
+# Letters and numbers that Unicode 16 added, which the tokenizers library knows and Python 3.13 does not.
+LETTERS_16 = r"\u1c89-\u1c8a\ua7cb-\ua7cd\ua7da-\ua7dc\U000105c0-\U000105f3\U00010d4a-\U00010d65\U00010d6f-\U00010d85\U00010ec2-\U00010ec4\U00011380-\U00011389\U0001138b\U0001138e\U00011390-\U000113b5\U000113b7\U000113d1\U000113d3\U00011bc0-\U00011be0\U00013460-\U000143fa\U00016100-\U0001611d\U00016d40-\U00016d6c\U00018cff\U0001e5d0-\U0001e5ed\U0001e5f0"
+NUMBERS_16 = r"\U00010d40-\U00010d49\U000116d0-\U000116e3\U00011bf0-\U00011bf9\U00016130-\U00016139\U00016d70-\U00016d79\U0001ccf0-\U0001ccf9\U0001e5f1-\U0001e5fa"
+
+# Capitals newer than Python 3.13's tables, and their small letters.
+SMALL = {0x1C89: 0x1C8A, 0xA7CB: 0x264, 0xA7CC: 0xA7CD, 0xA7CE: 0xA7CF, 0xA7D2: 0xA7D3, 0xA7D4: 0xA7D5, 0xA7DA: 0xA7DB, 0xA7DC: 0x19B}
+SMALL |= {c: c + 0x20 for c in range(0x10D50, 0x10D66)} | {c: c + 0x1B for c in range(0x16EA0, 0x16EB9)}
+
 
 @functools.cache
 def split_pattern() -> str:
@@ -48,7 +56,7 @@ def split_pattern() -> str:
             if last in found:
                 found[last].append(f"\\U{start:08x}-\\U{c - 1:08x}")
             start, last = c, kind
-    return SPLIT.replace("{L}", "".join(found["L"])).replace("{N}", "".join(found["N"]))
+    return SPLIT.replace("{L}", "".join(found["L"]) + LETTERS_16).replace("{N}", "".join(found["N"]) + NUMBERS_16)
 
 
 def byte_alphabet() -> dict[int, str]:
@@ -93,6 +101,7 @@ class ForcedBoundaryBpe:
             for x, y in zip(codes, codes[1:]):
                 self.joined[x << 8 | y] = 1
         self.special_at = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
+        self.capitals = regex.compile("[" + "".join(map(chr, SMALL)) + "]")
         self.white, self.split = regex.compile(WHITE + "+"), regex.compile(split_pattern())
         self.pieces: dict[str, tuple[bytes, str]] = {}
         self.fragments: dict[tuple[bytes, bool], list[int]] = {}
@@ -181,6 +190,13 @@ class ForcedBoundaryBpe:
             self.pieces[text] = got
         return got
 
+    def normal(self, text: str) -> str:
+        """Composed, white space as single spaces, each letter lower-cased by itself."""
+        text = self.white.sub(" ", unicodedata.normalize("NFC", text))
+        if text.isascii():
+            return text.lower()
+        return self.capitals.sub(lambda m: chr(SMALL[ord(m[0])]), text.replace("Σ", "σ")).lower()
+
     def encode_and_decode(self, text: str) -> tuple[bytes, str]:
         """Ids as little-endian 32-bit integers, and their decoded text."""
         ids, said = [], []
@@ -189,7 +205,7 @@ class ForcedBoundaryBpe:
                 ids.append(self.special[part].to_bytes(4, "little"))
                 said.append(part)
                 continue
-            part = self.white.sub(" ", unicodedata.normalize("NFC", part)).replace("Σ", "σ").lower()
+            part = self.normal(part)
             get, piece = self.pieces.get, self.piece
             for w in part.split(" "):
                 if w:
