@@ -18,9 +18,12 @@ PUNCTUATION = r"[!-/:-@\[-`{-~]"
 KEPT = r"\uac00-\ud7a3\u3131-\u318e\u1100-\u11ffa-zA-Z0-9.,!?'\""
 
 
-def _share(text: Column, pattern: str, total: Column, on_empty: str) -> Column:
-    """Matches of pattern per total; on_empty 'error' raises for a total of 0, 'drop' gives null."""
-    ratio = F.try_divide(F.regexp_count(text, F.lit(pattern)).cast("double"), total.cast("double"))
+def _share(text: Column, others: str, total: Column, on_empty: str) -> Column:
+    """Characters not in the class `others` per total; on_empty 'error' raises for a total of 0, 'drop' gives null.
+
+    What is left after runs of others are cut out is measured, which makes no list of matches.
+    """
+    ratio = F.try_divide(F.length(F.regexp_replace(text, others + "+", "")).cast("double"), total.cast("double"))
     if on_empty == "error":
         return F.when(total == 0, F.raise_error(F.lit("a text is empty")).cast("double")).otherwise(ratio)
     return ratio
@@ -28,17 +31,17 @@ def _share(text: Column, pattern: str, total: Column, on_empty: str) -> Column:
 
 def english_ratio(text: Column, on_empty: str = "drop") -> Column:
     """Latin letters per character that is not white space."""
-    return _share(text, "[A-Za-z]", F.length(F.regexp_replace(text, WHITE, "")), on_empty)
+    return _share(text, "[^A-Za-z]", F.length(F.regexp_replace(text, WHITE + "+", "")), on_empty)
 
 
 def number_ratio(text: Column, on_empty: str = "drop") -> Column:
     """Decimal digits per character."""
-    return _share(text, r"\p{Nd}", F.length(text), on_empty)
+    return _share(text, r"\P{Nd}", F.length(text), on_empty)
 
 
 def punctuation_ratio(text: Column, on_empty: str = "drop") -> Column:
     """ASCII punctuation per character."""
-    return _share(text, PUNCTUATION, F.length(text), on_empty)
+    return _share(text, "[^" + PUNCTUATION[1:], F.length(text), on_empty)
 
 
 def keeps(ratio: Column, most: float) -> Column:

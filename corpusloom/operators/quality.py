@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..plans.barrier import barrier
 from .ordinal import numbered
 
 
@@ -35,6 +36,7 @@ def quality_filter(
     rows = df.select(*[F.col(o).alias(f"_{o}") for o in order], clean.alias("contents")).withColumn("tokens", tokens(F.col("contents")).cast("int"))
     if token:
         rows = rows.filter(F.col("tokens") > token_threshold)
+    rows = barrier(rows, "quality")  # cleaned once, however often it is read below
     keys = [f"_{o}" for o in order]
     if return_type == "split":
         return numbered(rows, keys, "seq").select(F.col("seq").cast("int").alias("seq"), F.lit(title).alias("title"), "contents", "tokens")
