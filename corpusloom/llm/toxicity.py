@@ -32,7 +32,7 @@ from .common import RangeHash, Packer, buckets, buffers, by_bucket, byte_codes,
 GRAM, MOST_FEATURES, LEAST_COUNT = 5, 4096, 3
 POSITIVES, UNLABELLED = 20_000, 40_000
 LIFT, CHANCE, PRIOR_GRAMS = 2.0, 3.0, 64
-EPOCHS, DECAY, THRESHOLD = 250, 0.03, 0.3
+EPOCHS, DECAY, LEAST_DECAY, THRESHOLD = 250, 0.03, 1e-4, 0.3
 
 _COUNT = np.dtype([("h", "<u8"), ("p", "<i4"), ("u", "<i4")])
 
@@ -127,7 +127,7 @@ def nonnegative_pu(rows: np.ndarray, cols: np.ndarray, positive: np.ndarray, n_f
         else:
             g[positive] = -prior * (1 - s[positive]) / n_pos - prior * s[positive] / n_pos
             g[~positive] = s[~positive] / n_unl
-        grad = np.r_[np.bincount(cols, g[rows], n_features) + DECAY / n_pos * w, g.sum()]
+        grad = np.r_[np.bincount(cols, g[rows], n_features) + max(LEAST_DECAY, DECAY / n_pos) * w, g.sum()]
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad**2
         step = 0.05 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
         w, b = w - step[:-1], b - step[-1]
