@@ -124,15 +124,15 @@ def slices(offsets: np.ndarray, most: int = 1 << 20) -> Iterator[tuple[int, int]
         i = j
 
 
-_IS_SPACE = np.zeros(256, bool)
-_IS_SPACE[list(SPACE_BYTES)] = True
+IS_SPACE = np.zeros(256, bool)
+IS_SPACE[list(SPACE_BYTES)] = True
 
 
 def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Byte starts and ends of the words of concatenated texts, and len + 1 offsets of the texts into them."""
     n = len(data)
     inside = np.zeros(n + 2, bool)
-    inside[1:-1] = ~_IS_SPACE[data]
+    inside[1:-1] = ~IS_SPACE[data]
     start = inside[1:-1] & ~inside[:-2]
     last = inside[1:-1] & ~inside[2:]
     cut = offsets[1:-1]

@@ -5,9 +5,9 @@ texts stand in for the mixture, and the risk of a linear numpy classifier is
 corrected by the class prior p, with its negative part held at zero or above:
   risk = p E_pos[l(+)] + max(0, E_unl[l(-)] - p E_pos[l(-)]).
 
-Features are 5-byte and 8-byte grams of the lower-cased text (hashed to 64 bits,
-counted once a text); the longer ones tell a stem at the start of a word from the
-same letters inside another. Their document counts in both samples are summed on the
+Features are the 5-byte grams of the lower-cased text, and its 8-byte grams that
+begin with a space, which tell a stem at the start of a word from the same letters
+inside another (hashed to 64 bits, counted once a text). Their document counts in both samples are summed on the
 executors; the MOST_FEATURES most telling ones make the model. The samples are
 bounded by the documented parameters POSITIVES and UNLABELLED (expected sizes of
 a draw by hash); scoring covers every text.
@@ -28,9 +28,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import RangeHash, Packer, buckets, buffers, by_bucket, byte_codes, lower_ascii, runs, slices, table, unpack, written
+from .common import IS_SPACE, RangeHash, Packer, buckets, buffers, by_bucket, byte_codes, lower_ascii, runs, slices, table, unpack, written
 
-GRAMS, MOST_FEATURES, LEAST_COUNT = (5, 8), 4096, 3
+GRAM, STEM, MOST_FEATURES, LEAST_COUNT = 5, 8, 4096, 3
 POSITIVES, UNLABELLED = 20_000, 40_000
 LIFT, CHANCE, PRIOR_GRAMS = 2.0, 3.0, 64
 EPOCHS, DECAY, LEAST_DECAY, THRESHOLD = 250, 0.03, 1e-4, 0.3
@@ -39,16 +39,15 @@ _COUNT = np.dtype([("h", "<u8"), ("p", "<i4"), ("u", "<i4")])
 
 
 def grams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Text number and hash of every gram of the sizes GRAMS that lies in one text."""
-    rolling = RangeHash(byte_codes(lower_ascii(data)))
-    own = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
+    """Text number and hash of every gram that lies in one text: of GRAM bytes anywhere, of STEM bytes from a space on."""
+    low = lower_ascii(data)
+    rolling, own = RangeHash(byte_codes(low)), np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
     docs, hashes = [], []
-    for size in GRAMS:
-        h = rolling.sliding(size)
-        doc = own[: len(h)]
-        ok = np.arange(len(h)) + size <= offsets[doc + 1]
+    for size, at in ((GRAM, np.arange(max(0, len(low) - GRAM + 1))), (STEM, np.flatnonzero(IS_SPACE[low[: max(0, len(low) - STEM + 1)]]))):
+        doc = own[at]
+        ok = at + size <= offsets[doc + 1]
         docs.append(doc[ok])
-        hashes.append(h[ok])
+        hashes.append(rolling.sliding(size)[at[ok]])
     return np.concatenate(docs), np.concatenate(hashes)
 
 

@@ -235,7 +235,7 @@ def test_small_sets(spark, size, percent):
 def test_grams():
     texts = [b"", b"ab", b"Some Text of many bytes, some text", "réeux".encode(), b"x" * 20, b"12345678"]
     doc, h = toxicity.grams(np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)]))
-    want = [(i, t.lower()[a : a + k]) for k in toxicity.GRAMS for i, t in enumerate(texts) for a in range(len(t) - k + 1)]
+    want = [(i, t.lower()[a : a + k]) for k in (5, 8) for i, t in enumerate(texts) for a in range(len(t) - k + 1) if k == 5 or t[a : a + 1] == b" "]
     assert doc.tolist() == [i for i, _ in want]
     assert len(set(h.tolist())) == len({g for _, g in want}) == len(set(zip(h.tolist(), [g for _, g in want])))
 
