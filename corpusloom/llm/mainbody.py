@@ -1,8 +1,9 @@
 """Main text of web pages by a recurrent block labeller (operator 6).
 
 A page becomes its sequence of leaf blocks: runs of text between block-level
-tags. Each block is a vector of its tag path and class words (hashed), its words
-(hashed) and a few figures (length, share of linked text, place). A numpy
+tags. Each block is a vector of the tags and class words of all its ancestors
+(hashed), all its words (hashed; sums are scaled by count) and a few figures
+(length, share of linked text, place). A numpy
 bidirectional LSTM reads the whole sequence and labels every block as article or
 not, so the context of the document decides. It is trained here, on pages made
 from rules with many kinds of menus, notices, forms, comments and containers
@@ -24,6 +25,7 @@ import functools
 import html as entities
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -35,6 +37,7 @@ from .common import table
 
 PATH_DIM, WORD_DIM, FIGURES, HIDDEN = 96, 32, 8, 20
 PAGES, EPOCHS, SEED, STRETCH, OVERLAP = 1200, 16, 7, 400, 40
+MANY = 12  # different path words from which on their sum is scaled down
 DIM = PATH_DIM + WORD_DIM + FIGURES
 
 # Fixed values of HTML: elements that break a line of text, that have no end tag, whose content is no text, and that end an open <p>.
@@ -146,36 +149,36 @@ def blocks(page: str) -> list[Block]:
 
 
 @functools.lru_cache(1 << 16)
-def _slot(word: str, n: int) -> tuple[int, float]:
+def _slot(word: str, n: int) -> int:
+    """A place below n, or the same plus n for the negative sign."""
     h = zlib.crc32(word.encode("utf-8", "replace"))
-    return h % n, 1.0 if h >> 20 & 1 else -1.0
+    return h % n + (0 if h >> 20 & 1 else n)
+
+
+def _summed(words: Counter[str], kind: str, n: int, least: int) -> np.ndarray:
+    """All words, repeated ones by the logarithm, at a length of 1 for `least` different words or more."""
+    slots = np.fromiter((_slot(kind + w, n) for w in words), np.int64, len(words))
+    weights = 1 + np.log(np.fromiter(words.values(), float, len(words)))
+    found = np.bincount(slots, weights, 2 * n)
+    return (found[:n] - found[n:]) / max(least, (weights**2).sum()) ** 0.5
 
 
 @functools.lru_cache(1 << 14)
 def _path_vector(path: tuple[tuple[str, str], ...]) -> np.ndarray:
-    v = np.zeros(PATH_DIM, np.float32)
-    for depth, (tag, names) in enumerate(reversed(path[-12:])):
-        i, s = _slot("t:" + tag, PATH_DIM)
-        v[i] += s
-        if depth == 0:
-            i, s = _slot("leaf:" + tag, PATH_DIM)
-            v[i] += s
-        for w in _WORDS.findall(names)[:8]:
-            i, s = _slot("c:" + w, PATH_DIM)
-            v[i] += s
-    return v
+    found = Counter(["leaf:" + path[-1][0]] if path else [])
+    for tag, names in path:
+        found["t:" + tag] += 1
+        found.update("c:" + w for w in _WORDS.findall(names))
+    return (_summed(found, "", PATH_DIM, MANY) * MANY**0.5).astype(np.float32)
 
 
 def vectors(page: list[Block]) -> np.ndarray:
     out = np.zeros((len(page), DIM), np.float32)
     for k, b in enumerate(page):
         out[k, :PATH_DIM] = _path_vector(b.path)
-        found = _WORDS.findall(b.text[:4000].lower())[:24]  # the labeller looks at a block's first words; its text is kept whole
-        for w in found:
-            i, s = _slot("w:" + w, WORD_DIM)
-            out[k, PATH_DIM + i] += s / max(4, len(found)) ** 0.5
+        out[k, PATH_DIM : PATH_DIM + WORD_DIM] = _summed(Counter(map(re.Match.group, _WORDS.finditer(b.text.lower()))), "w:", WORD_DIM, 4)
         n = len(b.text)
-        out[k, PATH_DIM + WORD_DIM :] = (np.log1p(n) / 5, b.linked / max(1, n), n > 80, sum(b.text[:400].count(c) for c in ".!?") / 4, k / max(1, len(page)), k == 0, k == len(page) - 1, len(b.path) / 8)
+        out[k, PATH_DIM + WORD_DIM :] = (np.log1p(n) / 5, b.linked / max(1, n), n > 80, sum(b.text.count(c) for c in ".!?") / max(1, n / 400) / 4, k / max(1, len(page)), k == 0, k == len(page) - 1, np.log1p(len(b.path)) / 2)
     return out
 
 
@@ -265,6 +268,7 @@ _CHROME = {
     "comments": "comments comment replies discussion respond comment-list reader-comments disqus".split(),
     "share": "share social sharing follow buttons author-box byline meta".split(),
 }
+_UTILITIES = "col-xs-{} col-sm-{} col-md-{} col-lg-{} px-{} py-{} mt-{} mb-{} w-{} gap-{} z-{} order-{} d-flex flex row grid block relative absolute container wrapper inner clearfix hidden-xs text-sm text-left bg-white border rounded shadow justify-between items-center".split()
 _CONTAINERS = ["<article>", "<main>", '<div class="content">', '<div class="post">', '<div id="main">', '<div class="article-body">', '<div class="entry-content">', '<section class="story">', '<main><article>', '<div class="text">', '<div role="main">', "<div>", '<div id="content"><article>', '<article class="post">', '<section><article class="article">']
 
 
@@ -279,6 +283,22 @@ def training_page(rng: np.random.Generator) -> tuple[str, list[bool]]:
         out.append(f"<{tag}>" + (f'<a href="/x">{text}</a>' if link else text) + (f"</{tag}>" if rng.random() < 0.97 else ""))
         truth.append(main)
 
+    long_lists, deep = rng.random() < 0.3, rng.random() < 0.3
+
+    def utilities() -> str:
+        return " ".join(str(u).format(rng.integers(1, 13)) for u in rng.choice(_UTILITIES, rng.integers(1, 13)))
+
+    def named(tags: str) -> str:
+        """Opening tags, with layout classes before their own on pages that have such."""
+        add = lambda m: f'<{m[1]}' + (m[2].replace('class="', f'class="{utilities()} ') if "class=" in m[2] else f' class="{utilities()}"{m[2]}') + ">"
+        return re.sub(r"<(\w+)([^>]*)>", add, tags) if long_lists else tags
+
+    def wrappers() -> int:
+        """Opens so many nested containers without names of their own."""
+        n = int(rng.integers(1, 25)) if deep and rng.random() < 0.5 else 0
+        out.append("".join(named("<div>") for _ in range(n)))
+        return n
+
     def chrome(kind: str):
         name = str(rng.choice(_CHROME[kind]))
         attr = f' {rng.choice(["class", "class", "id"])}="{name}{rng.choice(["", "", " box", " c" + str(rng.integers(99))])}"'
@@ -287,7 +307,8 @@ def training_page(rng: np.random.Generator) -> tuple[str, list[bool]]:
             tag = str(rng.choice(["div", "div", "section"]))
         elif rng.random() < 0.5 and tag not in ("div", "section"):
             attr = ""
-        out.append(f"<{tag}{attr}>")
+        out.append(named(f"<{tag}{attr}>"))
+        inside = wrappers()
         if kind == "menu" or kind in ("sidebar", "header", "share", "footer") and rng.random() < 0.4:
             out.append("<ul>")
             for _ in range(rng.integers(2, 8)):
@@ -313,13 +334,15 @@ def training_page(rng: np.random.Generator) -> tuple[str, list[bool]]:
                     truth.append(False)
                 else:
                     put(text, False, str(rng.choice(["p", "div", "label" if kind == "form" else "p"])) if kind != "form" else "p", rng.random() < 0.25)
-        out.append(f"</{tag}>")
+        out.append("</div>" * inside + f"</{tag}>")
 
+    around = wrappers()
     for kind in ("notice", "header", "menu", "advert", "form", "sidebar"):
         if rng.random() < (0.65 if kind == "menu" else 0.35):
             chrome(kind)
     start = str(rng.choice(_CONTAINERS))
-    out.append(start)
+    out.append(named(start))
+    inside = wrappers()
     if rng.random() < 0.75:
         put(said(int(rng.integers(3, 10))), True, str(rng.choice(["h1", "h1", "h2"])))
     if rng.random() < 0.12:
@@ -352,11 +375,12 @@ def training_page(rng: np.random.Generator) -> tuple[str, list[bool]]:
             put(text, True)
     for _ in range(int(rng.integers(0, 3)) if rng.random() < 0.5 else 0):
         chrome(str(rng.choice(["comments", "comments", "share", "sidebar", "form", "footer"])))
+    out.append("</div>" * inside)
     out += [f"</{t}>" for t in reversed(re.findall(r"<(\w+)", start))]
     for kind in ("share", "comments", "advert", "sidebar", "form", "notice", "footer"):
         if rng.random() < (0.6 if kind == "footer" else 0.3):
             chrome(kind)
-    return "<html><head><title>x</title></head><body>" + "".join(out) + "</body></html>", truth
+    return "<html><head><title>x</title></head><body>" + "".join(out) + "</div>" * around + "</body></html>", truth
 
 
 @functools.lru_cache(1)

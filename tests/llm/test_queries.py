@@ -293,6 +293,26 @@ def test_page_accuracy():
     assert "\n".join(b.text for b, k in zip(found, m.labelled(model, [found])[0]) if k) == f"The title here\n{text}\n{text} & more"
 
 
+def test_pages_with_long_class_lists_and_deep_nesting():
+    """Names after many layout classes or many levels up, and words late in a block, count; the labels are right."""
+    from corpusloom.llm import mainbody as m
+
+    model = m.BiLstm(np.random.default_rng(0))
+    model.p = m.trained()
+    text = " ".join(["some plain words of the story"] * 8) + "."
+    wide = "col-xs-12 col-md-4 col-lg-3 px-2"
+    deep, end = "<div>" * 15, "</div>" * 15
+    vectors = lambda page: m.vectors(m.blocks(page))
+    assert (vectors(f'<div class="{wide} sidebar"><p>x</div>') != vectors(f'<div class="{wide} content"><p>x</div>')).any()
+    assert (vectors(f'<div class="comments">{deep}<p>x') != vectors(f'<div class="content">{deep}<p>x')).any()
+    assert (vectors("<p>" + "a " * 30 + "late") != vectors("<p>" + "a " * 30 + "last")).any()
+    assert (vectors("<p>" + "a" * 500 + ".") != vectors("<p>" + "a" * 500 + ",")).any()
+    for open_, close in ((lambda names: f'<div class="{wide} {names}">', "</div>"), (lambda names: f'<div class="{names}">{deep}', f"{end}</div>")):
+        page = f"<body>{open_('menu')}<ul><li><a href=/>Home</a><li><a href=/b>News</a></ul>{close}{open_('sidebar widget')}<p>{text}</p><p>{text}</p>{close}{open_('article-body')}<h1>The title here</h1><p>{text}</p><p>{text} again</p><p>{text}</p>{close}{open_('comments')}<p>{text}</p><p>{text} yes</p>{close}</body>"
+        found = m.blocks(page)
+        assert "\n".join(b.text for b, k in zip(found, m.labelled(model, [found])[0]) if k) == f"The title here\n{text}\n{text} again\n{text}"
+
+
 @pytest.mark.parametrize("which", ["odd", "repeated"])
 def test_kd_tree(spark, request, which):
     d = request.getfixturevalue(which)
