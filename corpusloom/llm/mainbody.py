@@ -15,8 +15,8 @@ the head, comments, templates and form controls are no text.
 
 Cases: null, empty or tagless html (tagless text is one block) never fail;
 unclosed and misnested tags are closed by their parents; repeated rows give equal
-rows; extra columns are passed over; pages of any length (long sequences are cut
-into overlapping stretches of STRETCH blocks for the labeller, no block is dropped).
+rows; extra columns are passed over; pages of any length (the labeller runs over the
+whole sequence, STRETCH blocks at a time, and carries its states on).
 """
 
 from __future__ import annotations
@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import table
 
 PATH_DIM, WORD_DIM, FIGURES, HIDDEN = 96, 32, 8, 20
-PAGES, EPOCHS, SEED, STRETCH, OVERLAP = 1200, 16, 7, 400, 40
+PAGES, EPOCHS, SEED, STRETCH = 1200, 16, 7, 400
 MANY = 12  # different path words from which on their sum is scaled down
 DIM = PATH_DIM + WORD_DIM + FIGURES
 
@@ -193,9 +193,11 @@ class BiLstm:
             self.p[f"c{d}"][HIDDEN : 2 * HIDDEN] = 1
         self.p |= {"o": init(2 * HIDDEN, 1), "k": np.zeros(1, np.float32)}
 
-    def _run(self, x: np.ndarray, mask: np.ndarray, d: str):
+    def _run(self, x: np.ndarray, mask: np.ndarray, d: str, h: np.ndarray | None = None, c: np.ndarray | None = None, keep: list | None = None):
+        """Outputs and last states of direction d from the states h and c on, zero if none."""
         n, t, _ = x.shape
-        z, h, c, keep = x @ self.p["W" + d] + self.p["c" + d], np.zeros((n, HIDDEN), np.float32), np.zeros((n, HIDDEN), np.float32), []
+        z = x @ self.p["W" + d] + self.p["c" + d]
+        h, c = (np.zeros((n, HIDDEN), np.float32) if s is None else s for s in (h, c))
         out = np.zeros((n, t, HIDDEN), np.float32)
         for s in range(t) if d == "f" else range(t - 1, -1, -1):
             a = z[:, s] + h @ self.p["U" + d]
@@ -204,17 +206,21 @@ class BiLstm:
             m = mask[:, s, None]
             c2 = f * c + i * u
             q = np.tanh(c2)
-            keep.append((s, h, c, i, f, o, u, q, m))
+            if keep is not None:
+                keep.append((s, h, c, i, f, o, u, q, m))
             h, c = np.where(m, o * q, h), np.where(m, c2, c)
             out[:, s] = h
-        return out, keep
+        return out, h, c
 
     def predict(self, x: np.ndarray, mask: np.ndarray) -> np.ndarray:
         h = np.concatenate([self._run(x, mask, d)[0] for d in "fb"], 2)
         return 1 / (1 + np.exp(-np.clip((h @ self.p["o"])[..., 0] + self.p["k"], -30, 30)))
 
     def gradients(self, x: np.ndarray, mask: np.ndarray, y: np.ndarray) -> dict[str, np.ndarray]:
-        runs = {d: self._run(x, mask, d) for d in "fb"}
+        runs: dict[str, tuple[np.ndarray, list]] = {}
+        for d in "fb":
+            keep: list = []
+            runs[d] = self._run(x, mask, d, keep=keep)[0], keep
         h = np.concatenate([runs[d][0] for d in "fb"], 2)
         s = 1 / (1 + np.exp(-np.clip((h @ self.p["o"])[..., 0] + self.p["k"], -30, 30)))
         e = ((s - y) * mask / mask.sum()).astype(np.float32)
@@ -398,21 +404,23 @@ def trained(pages: int = PAGES, epochs: int = EPOCHS, seed: int = SEED) -> dict[
 
 
 def labelled(model: BiLstm, pages: list[list[Block]]) -> list[np.ndarray]:
-    """Per page, which blocks belong to the article."""
-    parts = []  # (page, first block kept, vectors, how many to skip)
-    for i, page in enumerate(pages):
-        v = vectors(page) if page else np.zeros((0, DIM), np.float32)
-        for a in range(0, len(v), STRETCH):
-            b = max(0, a - OVERLAP)
-            parts.append((i, a, v[b : a + STRETCH + OVERLAP], a - b, min(STRETCH, len(v) - a)))
-    got = [np.zeros(len(p), bool) for p in pages]
-    order = sorted(range(len(parts)), key=lambda k: len(parts[k][2]))
+    """Per page, which blocks belong to the article; states are carried from stretch to stretch, so each block sees its whole page."""
+    seen = [vectors(page) for page in pages]
+    sums = [np.full(len(v), model.p["k"][0], np.float32) for v in seen]
+    order = sorted((i for i, v in enumerate(seen) if len(v)), key=lambda i: -len(seen[i]))
     for at in range(0, len(order), 128):
-        group = [parts[k] for k in order[at : at + 128]]
-        x, mask, _ = padded([(g[2], ()) for g in group])
-        for (i, a, _, skip, n), s in zip(group, model.predict(x, mask)):
-            got[i][a : a + n] = s[skip : skip + n] >= 0.5
-    return got
+        group = order[at : at + 128]  # longest first, so the pages that reach a stretch come first
+        starts = range(0, len(seen[group[0]]), STRETCH)
+        for j, d in enumerate("fb"):
+            h, c = np.zeros((len(group), HIDDEN), np.float32), np.zeros((len(group), HIDDEN), np.float32)
+            for a in starts if d == "f" else reversed(starts):
+                here = [i for i in group if len(seen[i]) > a]
+                x, mask, _ = padded([(seen[i][a : a + STRETCH], ()) for i in here])
+                out, h[: len(here)], c[: len(here)] = model._run(x, mask, d, h[: len(here)], c[: len(here)])
+                part = (out @ model.p["o"][j * HIDDEN : (j + 1) * HIDDEN])[..., 0]
+                for i, s in zip(here, part):
+                    sums[i][a : a + STRETCH] += s[: len(sums[i]) - a]
+    return [s >= 0 for s in sums]
 
 
 def extract(pages: DataFrame, html_col: str = "html", keep: tuple[str, ...] = ("page_id", "url")) -> DataFrame:

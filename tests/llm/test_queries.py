@@ -313,6 +313,22 @@ def test_pages_with_long_class_lists_and_deep_nesting():
         assert "\n".join(b.text for b, k in zip(found, m.labelled(model, [found])[0]) if k) == f"The title here\n{text}\n{text} again\n{text}"
 
 
+def test_long_pages_are_labelled_as_a_whole():
+    """Pages of many stretches beside short ones get the labels of one run over the whole sequence."""
+    from corpusloom.llm import mainbody as m
+
+    rng = np.random.default_rng(4)
+    model = m.BiLstm(rng)
+    for d in "fb":  # a state that hardly fades
+        model.p[f"c{d}"][m.HIDDEN : 2 * m.HIDDEN] = 8
+    pages = [m.blocks("".join(f"<p>{' '.join(rng.choice(list('abcdefgh'), 5))}" for _ in range(n))) for n in (3 * m.STRETCH + 7, 5, 2 * m.STRETCH, 0, m.STRETCH + 1)]
+    for page, got in zip(pages, m.labelled(model, pages)):
+        x, mask, _ = m.padded([(m.vectors(page), ())])
+        scores = model.predict(x, mask)[0]
+        sure = abs(scores - 0.5) > 1e-3
+        assert len(got) == len(page) and (got == (scores >= 0.5))[sure].all() and sure.sum() >= len(page) * 0.9
+
+
 @pytest.mark.parametrize("which", ["odd", "repeated"])
 def test_kd_tree(spark, request, which):
     d = request.getfixturevalue(which)
