@@ -86,7 +86,10 @@ def generate_mcqa(references: DataFrame, s: Settings, provider: CompletionProvid
 
 
 def judged(items: DataFrame, kind: str, s: Settings, provider: CompletionProvider, user: Column, bad: Column | None = None) -> DataFrame:
-    """items(index, item_ord, ...) with a judge's columns; labels that are none are asked for again, by twice the strictness."""
+    """items(index, item_ord, ...) with a judge's columns; labels that are none are asked for again, by twice the strictness.
+
+    Without bad only calls fail, and all that failed are made again: no share of them is tolerated.
+    """
     total, todo, turn, found = items.count(), items, 0, None
     while True:
         done = completed(_task(todo, kind, 1, turn, 1, prompts.system_prompt(kind), user, item=F.col("item_ord")), provider, f"{s.name}-{kind}-{turn}", s.threads)
@@ -102,7 +105,7 @@ def judged(items: DataFrame, kind: str, s: Settings, provider: CompletionProvide
         found = ok if found is None else found.unionByName(ok)
         turn += 1
         todo = barrier(todo.join(ok.select("index", "item_ord"), ["index", "item_ord"], "left_anti"), f"{s.name}-{kind}-todo{turn}")
-        if bad is None or turn >= s.max_rounds or not validate.over_tolerance(todo.count(), total, s.tolerance / 2):
+        if turn >= s.max_rounds or not (todo.count() if bad is None else validate.over_tolerance(todo.count(), total, s.tolerance / 2)):
             return items.join(found, ["index", "item_ord"])
 
 
@@ -134,6 +137,19 @@ def mcqa(references: DataFrame, s: Settings, provider: CompletionProvider) -> Da
     return out
 
 
+def answered(items: DataFrame, s: Settings, provider: CompletionProvider) -> DataFrame:
+    """items(index, item_ord, question, ...) with a closed-book answer; all without one are asked again, up to max_rounds."""
+    todo, turn, found = items, 0, None
+    while True:
+        done = completed(_task(todo, "qa", 2, turn, 1, prompts.system_prompt("qa", 2), F.col("question"), item=F.col("item_ord")), provider, f"{s.name}-qa2-{turn}", s.threads)
+        ok = done.filter("status = 'ok'").select("index", "item_ord", F.from_json("response", "answer string")["answer"].alias("answer")).filter("answer is not null")
+        found = ok if found is None else found.unionByName(ok)
+        turn += 1
+        todo = barrier(todo.join(ok.select("index", "item_ord"), ["index", "item_ord"], "left_anti"), f"{s.name}-qa2-todo{turn}")
+        if turn >= s.max_rounds or not todo.count():
+            return items.join(found, ["index", "item_ord"])
+
+
 def qa(references: DataFrame, s: Settings, provider: CompletionProvider) -> DataFrame:
     """Question, grounded answer, closed-book answer, preference and value of items from references."""
 
@@ -148,9 +164,7 @@ def qa(references: DataFrame, s: Settings, provider: CompletionProvider) -> Data
     batches, _ = regenerated(references, s, make, validate.num_matching_errors(*lists) | validate.deficient_errors(s.n_datasets, *lists), f"{s.name}-qa")
     items = reshape.explode_batches(batches, ["question", "old_answer"], ["index", "title", "contents"]).withColumnRenamed("index", "reference_index")
     items = items.withColumn("index", F.concat("reference_index", F.lit("_"), F.col("item_ord").cast("string")))
-    done = completed(_task(items, "qa", 2, 0, 1, prompts.system_prompt("qa", 2), F.col("question"), item=F.col("item_ord")), provider, f"{s.name}-qa2", s.threads)
-    answers = done.filter("status = 'ok'").select("index", "item_ord", F.from_json("response", "answer string")["answer"].alias("answer")).filter("answer is not null")
-    items = items.join(answers, ["index", "item_ord"])
+    items = answered(items, s, provider)
     user = prompts.user_prompt(질문=F.col("question"), 답변1=F.col("old_answer"), 답변2=F.col("answer"))
     items = judged(items, "preference", s, provider, user, validate.label_errors(F.col("preference"), validate.PREFERENCE))
     items = judged(items.withColumn("type", F.lit("qa")), "value", s, provider, prompts.user_prompt(질문=F.col("question"), 답=F.col("answer")))

@@ -198,6 +198,20 @@ def test_errors_are_regenerated(spark):
     assert got["reference_index"].nunique() >= 10 and set(got["preference"]) <= set("ABE") and got["value"].between(0, 5).all()
 
 
+def test_failed_calls_lose_no_item(spark):
+    """Value grading and closed-book answers are asked until each has one, within whatever tolerance."""
+
+    class Failing(StubProvider):
+        def complete(self, task):
+            if (task["eval_type"], task["step"]) in {("value", 1), ("qa", 2)} and self._draw(task, "fail") < 0.3:
+                raise TimeoutError("no answer")
+            return super().complete(task)
+
+    s = pipelines.Settings(name="t", n_datasets=2, max_step=1, tolerance=0.5, max_rounds=20)
+    assert pipelines.qa(_refs(spark), s, Failing()).count() == 12 * 2
+    assert pipelines.mcqa(_refs(spark), s, Failing()).count() == 12 * 2
+
+
 def test_streaming(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "a.json").write_text(json.dumps({"title": "t", "contents": "가 " * 300}) + "\n" + json.dumps({"title": "t", "contents": "짧다"}) + "\n")
