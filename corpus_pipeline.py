@@ -19,8 +19,8 @@ ORACLE_SQL = None
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """docs without those that the classifier, learned from labels and docs, takes for toxic rather than not (0.5)."""
-    return toxicity.flagged(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")), 0.5)
+    """docs without those that the classifier, learned from labels and docs, takes for toxic as operator 8 does."""
+    return toxicity.flagged(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")), toxicity.THRESHOLD)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -351,6 +351,15 @@ def test_kd_tree_is_even(spark):
     assert len(got) == 6 and got.max() - got.min() <= 3 * 97
 
 
+def test_pipeline_drops_what_is_predicted_toxic(spark, odd, monkeypatch):
+    from corpusloom.llm.common import table
+
+    start = table(spark, odd, "documents")
+    for score, kept in ((0.4, 0), (0.29, start.count())):
+        monkeypatch.setattr(toxicity, "fit", lambda *_: toxicity.Model(np.zeros(0, np.uint64), np.zeros(0), float(np.log(score / (1 - score)))))  # noqa: B023
+        assert corpus_pipeline.drop_toxic(spark, start, odd).count() == kept
+
+
 def test_pipeline(spark, odd):
     """Each stage against a brute-force version on what the stage before has kept."""
     from corpusloom.llm.common import table, written
