@@ -11,7 +11,7 @@ every block that can hold one of its windows, and no other.
 Cases: null or empty texts have no words; texts shorter than a window keep all;
 of rows with one doc_id the later in order of text counts as later, and so does
 a repeated row; rows without a doc_id come last; extra columns are passed over;
-texts of any length are covered whole.
+texts of any length are covered whole; an empty table gives none.
 """
 
 from __future__ import annotations
@@ -24,9 +24,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import SPACE_BYTES, table
+from .induced import Scratch
 from .repeats import Unit, covered, keyed
 
-WORDS = Unit(window=20, gram=8, words=True)
+WORDS = Unit(window=20, gram=8, words=True, most=1 << 18)
 
 
 class BlockIndex:
@@ -71,10 +72,10 @@ class BlockIndex:
         return out
 
 
-def parsed(values: np.ndarray, sizes: np.ndarray, window: int) -> np.ndarray:
-    """Which windows of the fragments also start earlier, from a greedy parse."""
+def parsed(values: np.ndarray, sizes: np.ndarray, window: int, scratch: Scratch | None = None) -> Iterator[np.ndarray]:
+    """The places in the fragments at which a window starts that also starts earlier, from a greedy parse."""
     if not len(values):
-        return np.zeros(0, bool)
+        return
     index = BlockIndex(values, sizes, int(sizes.max()))
     longest = index.previous_factors(1, int(sizes.max()))
     ends = np.cumsum(sizes)
@@ -95,7 +96,7 @@ def parsed(values: np.ndarray, sizes: np.ndarray, window: int) -> np.ndarray:
         at = at + factor
         ok = at + window <= end
         at, end = at[ok], end[ok]
-    return out
+    yield np.flatnonzero(out)
 
 
 def kept_words(docs: DataFrame, unit: Unit = WORDS) -> DataFrame:

@@ -17,7 +17,7 @@ is split into its single windows, dealt by their content.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -27,25 +27,32 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import Packer, RangeHash, buckets, buffers, by_bucket, byte_codes, mix, runs, slices, unpack, words, written
+from .induced import MEMORY, Scratch, Spool
 from .running import running
 
 CROWD, PIECE = 50_000, 1 << 20
+BLOCK_MEMORY = MEMORY
 _POS = np.uint64((1 << 24) - 1)
 
 FRAGMENT = np.dtype([("h", "<u8"), ("c", "<u8"), ("key", "<i8"), ("s", "<u4"), ("m", "<u2")])
 WANT = np.dtype([("key", "<i8"), ("h", "<u8"), ("s", "<u4"), ("m", "<u2"), ("crowd", "u1")])
 COVER = np.dtype([("key", "<i8"), ("a", "<u4"), ("b", "<u4")])
 HEAD = np.dtype([("by", "<u8"), ("key", "<i8"), ("s", "<u4"), ("n", "<u2")])
-BODY = 1 << 18
 
 
 @dataclass(frozen=True)
 class Unit:
-    """What a token is. `values` are compared by the operator's method: bytes, or 64-bit hashes of words."""
+    """What a token is. `values` are compared by the operator's method: bytes, or 64-bit hashes of words. `most`: tokens that
+    the method is given at once, beyond which a block is worked off anchor by anchor."""
 
     window: int
     gram: int
     words: bool
+    most: int
+
+    def __post_init__(self):
+        if not 0 < self.gram <= self.window <= 1 << 15:
+            raise ValueError("windows have 1 to 32768 tokens and are not shorter than their grams")
 
     def tokens(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Codes for hashing, values, and len + 1 offsets of the texts into them."""
@@ -123,11 +130,12 @@ def _frame(batches: Iterator[pa.RecordBatch], kind: int) -> pd.DataFrame:
     return out.assign(kind=np.int32(kind))[["kind", "b", "data"]]
 
 
-def covered(docs: DataFrame, unit: Unit, decide: Callable[[list[tuple[np.ndarray, np.ndarray]], int], list[np.ndarray]]) -> DataFrame:
+def covered(docs: DataFrame, unit: Unit, decide: Callable[[np.ndarray, np.ndarray, int, Scratch], Iterable[np.ndarray]]) -> DataFrame:
     """key and ranges (packed pairs of token numbers) of docs(key, text): the tokens in windows that also start earlier.
 
-    decide(values of fragments in order of place, window) says per fragment which of its windows start earlier in another
-    or the same; it is called once for each block.
+    decide(values of fragments in order of place, their sizes, window, scratch) gives the places in these values at which
+    windows start that start earlier too, in rising order, in pieces; it is called once for each block. A block comes as a
+    stream of batches: its contents go to scratch files beyond a share of the memory, only 22 bytes a fragment stay.
     """
     spark = docs.sparkSession
     n, blocks = buckets(spark), max(16, int(spark.conf.get("spark.sql.shuffle.partitions")))
@@ -234,34 +242,52 @@ def covered(docs: DataFrame, unit: Unit, decide: Callable[[list[tuple[np.ndarray
     text = docs.select("key", "text").join(asked.hint("shuffle_hash"), "key").select("text", "wants")
     fetched = text.mapInArrow(fetch, "b int, head binary, body binary")
 
-    def decided(f: pd.DataFrame) -> pd.DataFrame:
-        head = unpack(f["head"], HEAD)
-        body = unpack(f["body"], np.uint64 if unit.words else np.uint8)
+    def decided(heads: list[bytes], spool: Spool) -> Iterator[pa.RecordBatch]:
+        head, body, scratch = unpack(heads, HEAD), spool.all(np.uint64 if unit.words else np.uint8), spool.scratch
         sizes = head["n"].astype(np.int64)
         start = np.cumsum(sizes) - sizes
-        # Fragments of different anchors share no window: the block is worked off anchor by anchor, several at a time.
+        # Fragments of different anchors share no window: anchors are worked off together up to `most` tokens.
         order = np.lexsort((head["s"], head["key"], head["by"]))
         head, sizes, start = head[order], sizes[order], start[order]
         last = runs(head["by"])[1]
-        total, found, i = np.cumsum(sizes), [], 0
+        total, i, done_ = np.cumsum(sizes), 0, Packer(COVER, n)
         while i < len(head):
-            done_ = total[i - 1] if i else 0
-            j = int(last[min(max(int(np.searchsorted(total[last - 1], done_ + BODY, "right")) - 1, int(np.searchsorted(last, i, "right"))), len(last) - 1)])
+            before = total[i - 1] if i else 0
+            j = int(last[min(max(int(np.searchsorted(total[last - 1], before + unit.most, "right")) - 1, int(np.searchsorted(last, i, "right"))), len(last) - 1)])
             own = np.lexsort((head["s"][i:j], head["key"][i:j])) + i
-            n_ = sizes[own]
-            flat = body[np.repeat(start[own] - (np.cumsum(n_) - n_), n_) + np.arange(int(n_.sum()))]
-            at = np.flatnonzero(decide(flat, n_, window))  # tokens at which a window starts that starts earlier too
-            frag = np.searchsorted(np.cumsum(n_), at, "right")
-            rows = np.zeros(len(at), COVER)
-            rows["key"], rows["a"] = head["key"][own][frag], head["s"][own][frag] + (at - (np.cumsum(n_) - n_)[frag])
-            rows["b"] = rows["a"] + window
-            found.append(_joined(rows))
+            ends = np.cumsum(sizes[own])
+            flat = scratch.array(int(ends[-1]), body.dtype)
+            shift = start[own] - (ends - sizes[own])
+            for a, b in scratch.pieces(len(flat)):
+                at = np.arange(a, b)
+                flat[a:b] = body[at + shift[np.searchsorted(ends, at, "right")]]
+            found = []
+            for at in decide(flat, sizes[own], window, scratch):
+                frag = np.searchsorted(ends, at, "right")
+                rows = np.zeros(len(at), COVER)
+                rows["key"], rows["a"] = head["key"][own][frag], head["s"][own][frag] + (at - (ends - sizes[own])[frag])
+                rows["b"] = rows["a"] + window
+                found.append(_joined(rows))
+            rows = _joined(np.concatenate(found)) if found else np.zeros(0, COVER)
+            yield from done_.add(rows, mix(rows["key"].view(np.uint64)))
             i = j
-        rows = _joined(np.concatenate(found)) if found else np.zeros(0, COVER)
-        done = Packer(COVER, n)
-        return _frame([*done.add(rows, mix(rows["key"].view(np.uint64))), *done.flush()], 0)
+        yield from done_.flush()
 
-    late = fetched.groupBy("b").applyInPandas(decided, "kind int, b int, data binary")
+    def streamed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The rows of a block follow each other."""
+        block, heads, spool = None, [], None
+        for batch in batches:
+            for b, head, body in zip(*batch.columns):
+                if b.as_py() != block:
+                    if heads:
+                        yield from decided(heads, spool)
+                    block, heads, spool = b.as_py(), [], Spool(Scratch(BLOCK_MEMORY))
+                heads.append(head.as_py())
+                spool.add(body.as_buffer().to_pybytes())
+        if heads:
+            yield from decided(heads, spool)
+
+    late = fetched.repartition(blocks, "b").sortWithinPartitions("b").mapInArrow(streamed, "b int, data binary")
 
     def ranges(blobs):
         rows = _joined(unpack(blobs, COVER))
@@ -269,7 +295,7 @@ def covered(docs: DataFrame, unit: Unit, decide: Callable[[list[tuple[np.ndarray
         both = np.stack([rows["a"], rows["b"]], 1)
         return pd.DataFrame({"key": rows["key"][a], "ranges": [both[i:j].tobytes() for i, j in zip(a, e)]})
 
-    all_covers = met.filter("kind = 0").select("b", "data").unionByName(late.select("b", "data"))
+    all_covers = met.filter("kind = 0").select("b", "data").unionByName(late)
     return by_bucket(all_covers, ranges, "key long, ranges binary")
 
 

@@ -2,14 +2,15 @@
 
 Texts are UTF-8 bytes; a byte goes if a `window`-byte string that covers it also
 starts earlier. Fragments that share an anchor are joined into a block with a
-separator after each (see `repeats`), the block's suffixes are sorted with their
-common prefixes by external induced sorting (see `induced`), and in each stretch
-of neighbours that share `window` bytes or more all but the first in place repeat.
+separator after each (see `repeats`), all suffixes of the block, of any size, are
+sorted with their common prefixes by external induced sorting (see `induced`), and in
+each stretch of neighbours that share `window` bytes or more all but the first in
+place repeat.
 
 Cases: null or empty texts have no bytes; texts shorter than a window keep all;
 of rows with one doc_id the later in order of text counts as later, and so does
 a repeated row; rows without a doc_id come last; extra columns are passed over;
-texts of any length are covered whole. A cut may fall inside a UTF-8 character:
+texts of any length are covered whole; an empty table gives none. A cut may fall inside a UTF-8 character:
 `deduplicated` then drops the stray bytes of that character from the text.
 """
 
@@ -24,29 +25,41 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table
-from .induced import suffix_order
+from .induced import Scratch, suffix_order
 from .repeats import Unit, covered, keyed
 
-BYTES = Unit(window=100, gram=32, words=False)
+BYTES = Unit(window=100, gram=32, words=False, most=1 << 30)
 
 
-def repeated(values: np.ndarray, sizes: np.ndarray, window: int) -> np.ndarray:
-    """Of every byte of the fragments, whether the window that starts there also starts earlier."""
-    n = len(values)
+def repeated(values: np.ndarray, sizes: np.ndarray, window: int, scratch: Scratch | None = None) -> Iterator[np.ndarray]:
+    """Places in the fragments' bytes at which a window starts that also starts earlier, in rising order, a piece at a time."""
+    scratch = scratch or Scratch()
+    n, k = len(values), len(sizes)
     if not n:
-        return np.zeros(0, bool)
+        return
     ends = np.cumsum(sizes)
-    place = np.arange(n) + np.repeat(np.arange(len(sizes)), sizes)
-    t = np.zeros(n + len(sizes), np.int16)
-    t[place] = values.astype(np.int16) + 1
-    left = np.zeros(len(t), np.int32)
-    left[place] = np.repeat(ends, sizes) - np.arange(n)
-    order, prefix = suffix_order(t)
-    head = np.flatnonzero(prefix < window)
-    first = np.repeat(np.minimum.reduceat(order, head), np.diff(np.r_[head, len(order)]))
-    out = np.zeros(len(t), bool)
-    out[order[order > first]] = True
-    return (out & (left >= window))[place]
+    t = scratch.array(n + k, np.int16)
+    for a, b in scratch.pieces(n):  # a separator after each fragment
+        t[np.arange(a, b) + np.searchsorted(ends, np.arange(a, b), "right")] = values[a:b].astype(np.int16) + 1
+    t[ends + np.arange(k)] = 0
+    order, prefix = suffix_order(t, window, scratch)
+    # In each stretch of suffixes that share a window all but the first in place are marked.
+    mark = scratch.array(n + k, bool)
+    mark[:] = False
+    least = -1  # the first in place of the stretch that the pieces so far end with
+    for a, b in scratch.pieces(n + k):
+        part, new = np.asarray(order[a:b]), np.asarray(prefix[a:b]) < window
+        head = np.flatnonzero(np.append(True, new[1:]))
+        firsts = np.minimum.reduceat(part, head)
+        if not new[0] and least >= 0:  # goes on from the last piece
+            mark[max(least, int(firsts[0]))] = True
+            firsts[0] = min(least, int(firsts[0]))
+        mark[part[part > np.repeat(firsts, np.diff(head, append=len(part)))]] = True
+        least = int(firsts[-1])
+    for a, b in scratch.pieces(n):
+        at = np.arange(a, b)
+        f = np.searchsorted(ends, at, "right")
+        yield at[mark[at + f] & (ends[f] - at >= window)]
 
 
 def _cut(data: bytes, ranges: bytes | None) -> tuple[bytes, int, int]:

@@ -178,21 +178,6 @@ def test_crowded_anchor_is_split(spark, odd, monkeypatch):
     test_suffix(spark, type("R", (), {"getfixturevalue": lambda self, n: odd})(), "odd")
 
 
-def test_suffix_order():
-    from corpusloom.llm import induced
-
-    rng = np.random.default_rng(0)
-    for k in range(400):
-        t = rng.integers(0, int(rng.integers(1, 6)), int(rng.integers(1, 60)))
-        t = np.tile(t[: max(1, len(t) // 5)], 6) if k % 3 == 0 else t
-        order, prefix = induced.suffix_order(t, 64 if k % 2 else 1 << 20)
-        s = t.tolist()
-        want = sorted(range(len(s)), key=lambda i: s[i:])
-        assert order.tolist() == want
-        for a, b, p in zip(want, want[1:], prefix[1:]):
-            assert s[a : a + p] == s[b : b + p] and s[a + p : a + p + 1] != s[b + p : b + p + 1]
-
-
 def shingles(text, size):
     w = WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
     return frozenset([tuple(w)] if 0 < len(w) < size else [tuple(w[i : i + size]) for i in range(len(w) - size + 1)])
