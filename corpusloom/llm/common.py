@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 #: The words of every contract: runs without these six bytes.
 SPACE_BYTES = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
 _BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+#: Rows from which on a key can be hot.
+HOT_ROWS = 64
 WORD_SQL = "[^\\x20\\x09-\\x0D]+"
 
 
@@ -32,6 +34,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def fresh(taken: Iterable[str], *names: str) -> list[str]:
+    """The names, each with as many underscores before it as keep it apart from those taken, in any case."""
+    used, out = {t.lower() for t in taken}, []
+    for name in names:
+        name = "_" + name
+        while name.lower() in used:
+            name = "_" + name
+        used.add(name.lower())
+        out.append(name)
+    return out
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table of sf_dir. Where the session leaves Arrow's batch size as it comes, batches are made smaller: texts may be long."""
     if spark.conf.get(_BATCH) == "10000":
@@ -44,6 +58,24 @@ def buckets(spark: SparkSession) -> int:
     return max(64, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
+def salted_join(left: DataFrame, right: DataFrame, keys: list[str], spread: list[str], how: str = "inner", counted: DataFrame | None = None) -> DataFrame:
+    """left joined with right, which has one row a key; rows of left with a hot key are split by a hash of `spread`.
+
+    A key is hot from an average partition's share of left on. There are at most as many as shuffle partitions, and they are
+    split into at most twice as many pieces, so neither what is broadcast nor the copies of right's rows grow with the data.
+    `counted` has about the keys of left where left itself is not to be computed twice.
+    """
+    parts = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counted = left if counted is None else counted
+    counts, total = counted.groupBy(*keys).agg(F.count("*").alias("__rows")), counted.count()
+    hot = counts.filter(F.col("__rows") * parts > max(total, parts * HOT_ROWS)).select(*keys, F.ceil(F.col("__rows") * parts / max(1, total)).cast("int").alias("__pieces"))
+    hot = hot.filter(F.col("__pieces") > 1)
+    pieces = F.coalesce("__pieces", F.lit(1))
+    split = left.join(F.broadcast(hot), keys, "left").withColumn("__piece", F.pmod(F.xxhash64(*spread), pieces).cast("int")).drop("__pieces")
+    copies = right.join(F.broadcast(hot), keys, "left").withColumn("__piece", F.explode(F.sequence(F.lit(0), pieces - 1))).drop("__pieces")
+    return split.join(copies, [*keys, "__piece"], how).drop("__piece")
+
+
 # --- numpy kernels ---------------------------------------------------------
 
 

@@ -5,22 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import salted_join, written
 
 
 def components(edges: DataFrame) -> DataFrame:
     """node, component (the smallest node reachable) of edges(a, b).
 
     Smallest labels spread over the edges, and each label is replaced by its own label, so chains shrink by half in a pass.
-    Hubs are pre-aggregated before the shuffle; each pass is written, so lineage stays short.
+    Hubs are split in joins and pre-aggregated before the shuffle; each pass is written, so lineage stays short.
     """
     both = written(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).filter("a <> b").distinct(), "cc-edges")
     labels = written(both.groupBy("a").agg(F.min("b").alias("b")).select(F.col("a").alias("node"), F.least("a", "b").alias("label")), "cc-labels")
     while True:
-        heard = both.join(labels.withColumnRenamed("node", "b"), "b").groupBy("a").agg(F.min("label").alias("heard")).withColumnRenamed("a", "node")
+        heard = salted_join(both, labels.withColumnRenamed("node", "b"), ["b"], ["a"]).groupBy("a").agg(F.min("label").alias("heard")).withColumnRenamed("a", "node")
         nearer = labels.join(heard, "node").select("node", F.col("label").alias("old"), F.least("label", "heard").alias("label"))
         jump = labels.select(F.col("node").alias("label"), F.col("label").alias("further"))
-        new = written(nearer.join(jump, "label", "left").select("node", "old", F.least("label", F.coalesce("further", "label")).alias("label")), "cc-labels")
+        new = written(salted_join(nearer, jump, ["label"], ["node"], "left", labels).select("node", "old", F.least("label", F.coalesce("further", "label")).alias("label")), "cc-labels")
         if not new.filter("old <> label").limit(1).count():
             return new.select("node", F.col("label").alias("component"))
         labels = new.select("node", "label")

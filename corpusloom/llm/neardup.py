@@ -12,18 +12,21 @@ of compatible sizes pass if the estimate from the sketch of the union is near
 enough, and are confirmed by the exact Jaccard similarity of their full sets.
 
 Lists of more than PAIRED members are never turned into pairs of rows. Their
-members are compared in blocks of at most BLOCK by BLOCK, first by sketch: the
-strongest spanning forest of the estimates goes to the pairs to be confirmed.
-Lists whose members are not all joined by then are compared, again in blocks, by
-their full sets, and a spanning forest of each block's links leaves the task. (A
-set is in the long lists of the LOWEST of its runs by hash only; of sets that are
-similar enough these have one in common but for odds of about 1e-6, and sets
-with no more runs are in all.)
+members are first compared with REPS members of the list, the smallest by as many
+hashes, which lists of one group of copies have in common. What that links counts as
+one; only lists whose members are still apart go on: the members outside the
+largest part of a list are compared with all of it, in blocks of about BLOCK by
+BLOCK, first by sketch (the strongest spanning forest of the estimates goes to the
+pairs to be confirmed), and then, if still apart, by full sets, of which a
+spanning forest of each block's links leaves the task. So work grows with the
+members apart times the list, and every pair of a list that is not joined otherwise
+is compared. A list too long for one task (an estimate from a draw of the documents;
+it decides on the way, not on the result) is dealt to several; joins split hot keys.
 
 Cases: null or empty texts have empty sets, link with nothing and are kept;
 rows without a doc_id link with nothing, have no component and are kept; rows
 with one doc_id are one document to others; repeated rows give equal rows; extra
-columns are passed over; texts of any length count whole.
+columns are passed over; texts of any length count whole; an empty table gives none.
 """
 
 from __future__ import annotations
@@ -36,13 +39,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Packer, RangeHash, buckets, buffers, by_bucket, byte_codes, lower_ascii, mix, runs, slices, table, unpack, words, written
+from .common import Packer, RangeHash, buckets, buffers, by_bucket, byte_codes, lower_ascii, mix, runs, salted_join, slices, table, unpack, words, written
 from .components import components
 
-KEEP, RUN, FEW, LOWEST, PAIRED, BLOCK, SLACK = 64, 3, 6, 24, 16, 1024, 0.28
+KEEP, RUN, FEW, FIRST, REPS, PAIRED, BLOCK, SLACK, DRAW = 64, 3, 6, 4, 3, 16, 512, 0.28, 16
 _A, _B, _C = np.uint64(0x9FB21C651E98DF25), np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F)
 
-_POST = np.dtype([("key", "<u8"), ("node", "<i8"), ("n", "<i4"), ("low", "u1")])
+_POST = np.dtype([("key", "<u8"), ("node", "<i8"), ("n", "<i4"), ("low", "u1"), ("part", "u1")])
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, size: int) -> list[np.ndarray]:
@@ -89,41 +92,67 @@ def _compatible(a, b, percent: int):
     return 100 * np.minimum(a, b) >= percent * np.maximum(a, b)
 
 
+def _runs_of(sketches_: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Of each sketch the keys of its runs, and the number of its row."""
+    sk = [np.frombuffer(x, np.uint32).astype(np.uint64) for x in sketches_.to_pylist()]
+    if not sk:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    flat, sizes = np.concatenate(sk), np.array([len(x) for x in sk])
+    own = np.repeat(np.arange(len(sk)), sizes)
+    at = np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    ok = np.flatnonzero(at + RUN <= sizes[own])
+    pair = np.flatnonzero((at + 2 <= sizes[own]) & (sizes[own] <= FEW))
+    triples = mix(mix(mix(flat[ok] + _A) + flat[ok + 1]) + flat[ok + 2]) if len(ok) else np.zeros(0, np.uint64)
+    pairs = mix(mix(flat[pair] + _B) + flat[pair + 1]) if len(pair) else np.zeros(0, np.uint64)
+    return np.concatenate([triples, pairs]), own[np.r_[ok, pair]]
+
+
+def long_runs(reps: DataFrame, parts: int) -> tuple[np.ndarray, int]:
+    """Keys of lists with more postings than a bucket has on average, by a draw of one document in DRAW; at most `parts` of them."""
+
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(_runs_of(batch.column(0))[0].view(np.int64))], ["key"])
+
+    drawn = reps.filter(F.pmod(F.xxhash64("node", F.lit(7)), F.lit(DRAW)) == 0).select("sketch").mapInArrow(keys, "key long").groupBy("key").count()
+    total, most = drawn.agg(F.sum("count"), F.max("count")).first()
+    if not total or most * parts <= total or most <= PAIRED:
+        return np.zeros(0, np.uint64), 1
+    hot = drawn.filter(F.col("count") * parts > int(total)).filter(F.col("count") > PAIRED).select("key")
+    return np.sort(np.array([r.key for r in hot.collect()], np.int64).view(np.uint64)), min(255, -(-int(most) * parts // int(total)))
+
+
 def listed(reps: DataFrame, percent: int) -> DataFrame:
-    """Members of the inverted lists: pairs (m = 2) of short ones, and (key, node, m) of long ones."""
+    """Members of the inverted lists: (key, node, m = 2), a pair of a short one; (key, node, m = 0 or 1), a member of a long one,
+    1 for each set in the few of its runs that are lowest by hash."""
     n_buckets = buckets(reps.sparkSession)
+    hot, split = long_runs(reps, n_buckets)
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack = Packer(_POST, n_buckets)
         for batch in batches:
             nodes, ns = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_numpy(zero_copy_only=False)
-            sk = [np.frombuffer(x, np.uint32).astype(np.uint64) for x in batch.column(2).to_pylist()]
-            if not sk:
+            keys, own = _runs_of(batch.column(2))
+            if not len(keys):
                 continue
-            flat, sizes = np.concatenate(sk), np.array([len(x) for x in sk])
-            own = np.repeat(np.arange(len(sk)), sizes)
-            at = np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-            ok = np.flatnonzero(at + RUN <= sizes[own])
-            pair = np.flatnonzero((at + 2 <= sizes[own]) & (sizes[own] <= FEW))
-            rows = np.zeros(len(ok) + len(pair), _POST)
-            if len(ok):
-                rows["key"][: len(ok)] = mix(mix(mix(flat[ok] + _A) + flat[ok + 1]) + flat[ok + 2])
-            if len(pair):
-                rows["key"][len(ok) :] = mix(mix(flat[pair] + _B) + flat[pair + 1])
-            both = np.r_[ok, pair]
-            rows["node"], rows["n"] = nodes[own[both]], ns[own[both]]
-            order = np.lexsort((rows["key"], own[both]))
-            first, last = runs(own[both][order])
-            rows["low"][order] = np.arange(len(order)) - np.repeat(first, last - first) < LOWEST
-            yield from pack.add(rows, rows["key"])
+            rows = np.zeros(len(keys), _POST)
+            rows["key"], rows["node"], rows["n"] = keys, nodes[own], ns[own]
+            order = np.lexsort((keys, own))
+            first, last = runs(own[order])
+            rows["low"][order] = np.arange(len(order)) - np.repeat(first, last - first) < FIRST
+            if len(hot):
+                at = np.minimum(np.searchsorted(hot, keys), len(hot) - 1)
+                rows["part"] = np.where(hot[at] == keys, 1 + mix(rows["node"].view(np.uint64)) % np.uint64(split), 0)
+            yield from pack.add(rows, rows["key"] + mix(rows["part"].astype(np.uint64)) * (rows["part"] > 0))
         yield from pack.flush()
 
     def lists(blobs):
         rows = unpack(blobs, _POST)
-        rows = rows[np.lexsort((rows["node"], rows["key"]))]
-        at, end = runs(rows["key"])
+        rows = rows[np.lexsort((rows["node"], rows["part"], rows["key"]))]
+        at, end = runs(rows["key"], rows["part"])
         count = end - at
-        a, b, keys, ms = [], [], [], []
+        count[rows["part"][at] > 0] = PAIRED + 1
+        a, b = [], []
         for m in range(2, PAIRED + 1):
             i = at[count == m]
             for x in range(m):
@@ -132,24 +161,29 @@ def listed(reps: DataFrame, percent: int) -> DataFrame:
                     a.append(rows["node"][ok + x])
                     b.append(rows["node"][ok + y])
         pairs = np.unique(np.stack([np.concatenate(a), np.concatenate(b)], 1), axis=0) if a else np.zeros((0, 2), np.int64)
-        for i, j in zip(at[count > PAIRED], end[count > PAIRED]):
-            own = rows["node"][i:j][rows["low"][i:j] > 0]
-            if len(own) > 1:
-                keys.append(np.full(len(own), rows["key"][i].view(np.int64)))
-                ms.append(np.full(len(own), max(len(own), PAIRED + 1)))
-                a.append(own)
-        long_nodes = np.concatenate(a[-len(keys) :]) if keys else np.zeros(0, np.int64)
-        key = np.r_[pairs[:, 0], np.concatenate(keys) if keys else np.zeros(0, np.int64)]
-        return pd.DataFrame({"key": key, "node": np.r_[pairs[:, 1], long_nodes], "m": np.r_[np.full(len(pairs), 2), np.concatenate(ms) if ms else np.zeros(0, np.int64)].astype(np.int64)})
+        own = rows[np.repeat(count > PAIRED, end - at)]
+        return pd.DataFrame({"key": np.r_[pairs[:, 0], own["key"].view(np.int64)], "node": np.r_[pairs[:, 1], own["node"]], "m": np.r_[np.full(len(pairs), 2), own["low"]].astype(np.int64)})
 
     return by_bucket(reps.select("node", "n", "sketch").mapInArrow(post, Packer.SCHEMA), lists, "key long, node long, m long")
 
 
+def apart(long: DataFrame, known: DataFrame) -> DataFrame:
+    """key, node, component, minor (outside the largest component of its list), m, o (members, and those outside) of the lists
+    whose members are not all linked by known(node, component)."""
+    rows = long.select("key", "node").distinct().join(known, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    rows = written(rows, "near-parts")
+    parts = rows.groupBy("key", "component").agg(F.count("*").alias("c"))
+    lists = parts.groupBy("key").agg(F.sum("c").alias("m"), F.max("c").alias("c"), F.max_by("component", F.struct("c", "component")).alias("major")).filter("m > c")
+    return salted_join(rows, lists.select("key", "m", (F.col("m") - F.col("c")).alias("o"), "major"), ["key"], ["node"]).withColumn("minor", F.col("component") != F.col("major"))
+
+
 def in_blocks(rows: DataFrame) -> DataFrame:
-    """Deals rows(key, node, m, ...) to blocks (key, i, j) so that any two members of a list meet in one."""
-    wide = F.ceil(F.col("m") / BLOCK).cast("int")
-    rows = rows.withColumn("_own", F.pmod(F.xxhash64("node"), wide).cast("int")).withColumn("_other", F.explode(F.sequence(F.lit(0), wide - 1)))
-    return rows.withColumn("i", F.least("_own", "_other")).withColumn("j", F.greatest("_own", "_other")).drop("_own", "_other")
+    """Deals rows(key, node, minor, m, o, ...) to blocks (key, i, j) so that any two members of a list of which one is minor meet in one."""
+    many, few = F.ceil(F.col("m") / BLOCK).cast("int"), F.ceil(F.col("o") / BLOCK).cast("int")
+    own = lambda wide: F.pmod(F.xxhash64("node"), wide).cast("int")
+    right = rows.withColumn("i", F.explode(F.sequence(F.lit(0), few - 1))).withColumn("j", own(many))
+    left = rows.filter("minor").withColumn("j", F.explode(F.sequence(F.lit(0), many - 1))).withColumn("i", own(few))
+    return left.select(right.columns).unionByName(right)
 
 
 def shared(sets: list[np.ndarray]) -> np.ndarray:
@@ -202,16 +236,10 @@ def strongest(weight: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
-def near_links(docs: DataFrame, size: int = 5, percent: int = 80) -> tuple[DataFrame, DataFrame]:
-    """Sketches of all documents (doc_id, n, sig1, sig2), and (node, component) of the representatives that are linked by
-    100 |A and B| >= percent |A or B|."""
-    all_docs = written(sketches(docs, size), "near-sketches")
-    reps = all_docs.filter("n > 0 and doc_id is not null").groupBy("n", "sig1", "sig2").agg(F.min("doc_id").alias("node"), F.min("sketch").alias("sketch"))
-    reps = written(reps.select("node", "n", "sketch"), "near-reps")
-    lists = written(listed(reps, percent), "near-lists")
+def _estimated(percent: int):
+    """Passes pairs whose sizes are compatible and whose estimate from the sketch of the union is near enough."""
 
-    # Short lists: pairs, filtered by the estimate from the sketch of the union.
-    def near_enough(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
             ok = []
             for x, y in zip(f["x"], f["y"]):
@@ -221,31 +249,30 @@ def near_links(docs: DataFrame, size: int = 5, percent: int = 80) -> tuple[DataF
                 ok.append(len(both) >= (percent / 100 - SLACK) * len(union))
             yield f.loc[np.array(ok, bool), ["a", "b"]]
 
-    pairs = lists.filter("m = 2").select(F.col("key").alias("a"), F.col("node").alias("b")).distinct()
-    with_x = pairs.join(reps.select(F.col("node").alias("a"), F.col("sketch").alias("x")), "a")
-    with_y = with_x.join(reps.select(F.col("node").alias("b"), F.col("sketch").alias("y")), "b")
-    pairs = written(with_y.mapInPandas(near_enough, "a long, b long"), "near-pairs")
+    return run
 
-    # Long lists: members with a partner by sketch, and the strongest forest of the estimates.
-    def partnered(f: pd.DataFrame) -> pd.DataFrame:
-        f = f.drop_duplicates("node").sort_values("node")
-        sk, n, nodes = [np.frombuffer(x, np.uint32) for x in f["sketch"]], f["n"].to_numpy(), f["node"].to_numpy()
-        size = np.array([len(s) for s in sk])
-        both = shared(sk)
-        links = (both >= 0.5 * np.minimum(size[:, None], size[None])) & _compatible(n[:, None], n[None], percent)
-        np.fill_diagonal(links, False)
-        left = np.flatnonzero(links.any(1))
-        edges = strongest(np.where(links, both / (size[:, None] + size[None] - both), 0)[np.ix_(left, left)]) if len(left) else []
-        a, b = ([nodes[left[e[k]]] for e in edges] for k in (0, 1))
-        return pd.DataFrame({"key": np.r_[np.repeat(f["key"].iloc[0], len(left)), np.minimum(a, b)].astype(np.int64), "node": np.r_[nodes[left], np.maximum(a, b)].astype(np.int64), "pair": np.r_[np.zeros(len(left), bool), np.ones(len(edges), bool)]})
 
-    long = in_blocks(lists.filter(f"m > {PAIRED}").join(reps, "node"))
-    long = written(long.groupBy("key", "i", "j").applyInPandas(partnered, "key long, node long, pair boolean").distinct(), "near-long")
-    pairs = written(pairs.unionByName(long.filter("pair").select(F.col("key").alias("a"), F.col("node").alias("b"))).distinct(), "near-all-pairs")
-    long = long.filter("not pair").select("key", "node")
+def _confirmed(percent: int):
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            ok = []
+            for x, y in zip(f["x"], f["y"]):
+                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+                both = len(np.intersect1d(x, y, True))
+                ok.append(100 * both >= percent * (len(x) + len(y) - both) and both > 0)
+            yield f.loc[np.array(ok, bool), ["a", "b"]]
+
+    return run
 
-    # Full sets of the documents that are left.
-    left = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).union(long.select("node")).distinct()
+
+def near_links(docs: DataFrame, size: int = 5, percent: int = 80) -> tuple[DataFrame, DataFrame]:
+    """Sketches of all documents (doc_id, n, sig1, sig2), and (node, component) of the representatives that are linked by
+    100 |A and B| >= percent |A or B|."""
+    all_docs = written(sketches(docs, size), "near-sketches")
+    reps = all_docs.filter("n > 0 and doc_id is not null").groupBy("n", "sig1", "sig2").agg(F.min("doc_id").alias("node"), F.min("sketch").alias("sketch"))
+    reps = written(reps.select("node", "n", "sketch"), "near-reps")
+    lists = written(listed(reps, percent), "near-lists")
+    text = docs.selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text")
 
     def full(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -253,31 +280,57 @@ def near_links(docs: DataFrame, size: int = 5, percent: int = 80) -> tuple[DataF
                 part = batch.slice(at, 512)
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array([s.tobytes() for s in each_text(part, 1, size)], pa.binary())], ["node", "shingles"])
 
-    text = docs.selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text").join(left.hint("shuffle_hash"), "doc_id")
-    sets = written(text.mapInArrow(full, "node long, shingles binary"), "near-sets")
-
-    def confirmed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            ok = []
-            for x, y in zip(f["x"], f["y"]):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = len(np.intersect1d(x, y, True))
-                ok.append(100 * both >= percent * (len(x) + len(y) - both) and both > 0)
-            yield f.loc[np.array(ok, bool), ["a", "b"]]
+    def sets_of(nodes: DataFrame, name: str) -> DataFrame:
+        return written(text.join(nodes.hint("shuffle_hash"), "doc_id").mapInArrow(full, "node long, shingles binary"), name)
+
+    def confirmed(pairs: DataFrame, name: str) -> DataFrame:
+        """The pairs(a, b) whose sizes, sketches and then full sets are similar enough."""
+        x = reps.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("x"))
+        y = reps.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("y"))
+        sizes = f"100 * least(na, nb) >= {percent} * greatest(na, nb)"
+        near = salted_join(salted_join(pairs, x, ["a"], ["b"]), y, ["b"], ["a"], counted=pairs).filter(sizes).select("a", "b", "x", "y")
+        near = written(near.mapInPandas(_estimated(percent), "a long, b long"), f"{name}-near")
+        sets = sets_of(near.select(F.col("a").alias("doc_id")).union(near.select("b")).distinct(), f"{name}-sets")
+        x, y = sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), sets.select(F.col("node").alias("b"), F.col("shingles").alias("y"))
+        return written(salted_join(salted_join(near, x, ["a"], ["b"]), y, ["b"], ["a"], counted=near).select("a", "b", "x", "y").mapInPandas(_confirmed(percent), "a long, b long"), name)
+
+    # Short lists: their pairs. Long lists: each member in its lowest runs with the list's representatives.
+    long = lists.filter("m < 2")
+    smallest = [F.min_by("node", F.xxhash64("node", F.lit(k))).alias(f"r{k}") for k in range(REPS)]
+    first = long.filter("m = 1")
+    heads = first.groupBy("key").agg(*smallest).select("key", F.array_distinct(F.array(*[f"r{k}" for k in range(REPS)])).alias("heads"))
+    starred = salted_join(first.select("key", "node"), heads, ["key"], ["node"]).select(F.explode("heads").alias("a"), F.col("node").alias("b")).filter("a <> b")
+    pairs = lists.filter("m = 2").select(F.col("key").alias("a"), F.col("node").alias("b")).unionByName(starred)
+    pairs = written(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "near-pairs")
+    links = confirmed(pairs, "near-links")
+    known = components(links)
+    left = written(apart(long, known), "near-apart")
+    if not left.limit(1).count():
+        return all_docs, known
 
-    with_x = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a")
-    links = with_x.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b").mapInPandas(confirmed, "a long, b long")
-    links = written(links, "near-links")
-    if not long.limit(1).count():
-        return all_docs, components(links)
+    # By sketch: members with a partner in another component of the list, and the strongest forest of the estimates.
+    def partnered(f: pd.DataFrame) -> pd.DataFrame:
+        f = f.drop_duplicates("node").sort_values("node")
+        sk, n, nodes, part = [np.frombuffer(x, np.uint32) for x in f["sketch"]], f["n"].to_numpy(), f["node"].to_numpy(), f["component"].to_numpy()
+        size = np.array([len(s) for s in sk])
+        both = shared(sk)
+        links = (both >= 0.5 * np.minimum(size[:, None], size[None])) & _compatible(n[:, None], n[None], percent) & (part[:, None] != part[None])
+        some = np.flatnonzero(links.any(1))
+        edges = strongest(np.where(links, both / (size[:, None] + size[None] - both), 0)[np.ix_(some, some)]) if len(some) else []
+        a, b = ([nodes[some[e[k]]] for e in edges] for k in (0, 1))
+        return pd.DataFrame({"key": np.r_[np.repeat(f["key"].iloc[0], len(some)), np.minimum(a, b)].astype(np.int64), "node": np.r_[nodes[some], np.maximum(a, b)].astype(np.int64), "pair": np.r_[np.zeros(len(some), bool), np.ones(len(edges), bool)]})
+
+    blocks = in_blocks(left.select("key", "node", "component", "minor", "m", "o").join(reps, "node"))
+    found = written(blocks.groupBy("key", "i", "j").applyInPandas(partnered, "key long, node long, pair boolean").distinct(), "near-long")
+    more = confirmed(written(found.filter("pair").select(F.col("key").alias("a"), F.col("node").alias("b")).distinct(), "near-pairs"), "near-more")
+    links = written(links.unionByName(more).distinct(), "near-links")
     known = components(links)
-    apart = long.join(known, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    apart = apart.groupBy("key").agg(F.count("*").alias("m"), F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi")
-    long = written(long.join(apart.select("key", "m"), "key"), "near-apart")
-    if not long.limit(1).count():
+    left = written(apart(found.filter("not pair"), known), "near-apart")
+    if not left.limit(1).count():
         return all_docs, known
 
     def spanned(f: pd.DataFrame) -> pd.DataFrame:
+        f = f.drop_duplicates("node")
         own = [np.frombuffer(x, np.uint64) for x in f["shingles"]]
         nodes, n = f["node"].to_numpy(), np.array([len(s) for s in own])
         both = shared(own).astype(np.int64)
@@ -286,7 +339,8 @@ def near_links(docs: DataFrame, size: int = 5, percent: int = 80) -> tuple[DataF
         edges = forest(ok)
         return pd.DataFrame({"a": [nodes[x] for x, _ in edges], "b": [nodes[y] for _, y in edges]}, dtype=np.int64)
 
-    dense = in_blocks(long.join(sets, "node")).groupBy("key", "i", "j").applyInPandas(spanned, "a long, b long")
+    sets = sets_of(left.select(F.col("node").alias("doc_id")).distinct(), "near-left-sets")
+    dense = in_blocks(left.select("key", "node", "minor", "m", "o").join(sets, "node")).groupBy("key", "i", "j").applyInPandas(spanned, "a long, b long")
     return all_docs, components(written(links.unionByName(dense).distinct(), "near-links"))
 
 
@@ -298,11 +352,11 @@ def groups(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     if n != distinct:  # texts that share a doc_id are one document
         first = there.groupBy("n", "sig1", "sig2").agg(F.min("doc_id").alias("b"))
         shared_ids = there.groupBy("doc_id").agg(F.count("*").alias("_n")).filter("_n > 1").select("doc_id")
-        same = there.join(shared_ids, "doc_id").join(first, ["n", "sig1", "sig2"]).select(F.col("doc_id").alias("a"), "b").filter("a <> b")
+        same = salted_join(there.join(shared_ids, "doc_id"), first, ["n", "sig1", "sig2"], ["doc_id"]).select(F.col("doc_id").alias("a"), "b").filter("a <> b")
         known = components(known.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(same))
     small = known.withColumnRenamed("node", "rep")
     rep = all_docs.filter("n > 0 and doc_id is not null").groupBy("n", "sig1", "sig2").agg(F.min("doc_id").alias("rep")).join(small, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    out = all_docs.select("doc_id", "n", "sig1", "sig2").join(rep, ["n", "sig1", "sig2"], "left")
+    out = salted_join(all_docs.select("doc_id", "n", "sig1", "sig2"), rep, ["n", "sig1", "sig2"], ["doc_id"], "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
 
