@@ -11,8 +11,9 @@ reduction tree up to one per source. DataFrame functions only.
 
 Cases: null text has size 0; documents without words are taken 0 times; null is
 a source of its own, the last; repeated rows are mixed each by itself; an empty
-table gives none; extra columns are passed over. Reruns draw the same, as draws
-are hashes of (seed, doc_id, size, level).
+table gives none; extra columns are passed over; texts of any length count by their
+words. Reruns draw the same, as draws are hashes of (seed, doc_id, size, level) and
+of the place among rows in that order; rows that are alike change places at most.
 """
 
 from __future__ import annotations
@@ -71,15 +72,14 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most:
 
 
 def rounded(rows: DataFrame, seed: int, salt: int, keep: list[str]) -> tuple[DataFrame, DataFrame]:
-    """keep and up (0 or 1) of rows(sid, kind, mass, *keep), mass / size rounded; and (sid, rest), the mass not taken.
+    """keep and up (0 or 1) of rows(sid, kind, place, mass, *keep), mass / size rounded; and (sid, rest), the mass not taken.
 
-    Rows of a source and kind (a size within a factor of two) are folded FAN at a time until one is left; these last ones
-    of a source are folded over its kinds.
+    Rows of a source and kind (a size within a factor of two) are folded by their place, FAN at a time, until one is left;
+    these last ones of a source, one for each kind, are folded too.
     """
-    draw = lambda level: F.pmod(F.xxhash64(F.lit(seed), F.lit(salt), F.lit(level), "doc_id", "size"), F.lit(1 << 40)) / F.lit(float(1 << 40))
-    most = int(rows.groupBy("sid", "kind").count().agg(F.max("count")).first()[0] or 0)
-    wide, level, out = -(-most // FAN), 0, None
-    rows = rows.withColumn("bucket", F.pmod(F.xxhash64(F.lit(seed), F.lit("bucket"), "doc_id", "size"), F.lit(max(1, wide))))
+    draw = lambda level: F.pmod(F.xxhash64(F.lit(seed), F.lit(salt), F.lit(level), "doc_id", "size", "place"), F.lit(1 << 40)) / F.lit(float(1 << 40))
+    wide, level, out = int(rows.agg(F.max(F.floor(F.col("place") / FAN))).first()[0] or 0) + 1, 0, None
+    rows = rows.withColumn("bucket", F.floor(F.col("place") / FAN))
     while True:
         key = ["sid"] if wide <= 1 and level else ["sid", "kind", "bucket"]
         unit = F.struct((-F.col("size")).alias("by"), draw(level).alias("u"), "doc_id", "mass", *[c for c in keep if c != "doc_id"])
@@ -111,8 +111,11 @@ def mix(docs: DataFrame, size, weights: tuple[int, ...] = (1, 2, 3), most: int =
     plan = targets.select(F.col("source").alias("_source"), "sid", "source_size", "target", F.col("copies").alias("due"))
     rows = rows.join(small(plan), F.col("source").eqNullSafe(F.col("_source"))).drop("_source", "source")
     whole = F.floor(F.col("due") + 1e-12).cast("int")
+    # Places of the rows of a source and kind in a drawn order: any FAN neighbours meet, rows that are alike too.
+    rows = rows.withColumn("kind", F.floor(F.log2(F.col("size").cast("double")))).withColumn("drawn", F.xxhash64(F.lit(seed), "doc_id", "size")).withColumn("one", F.lit(1).cast("long"))
+    rows = written(running(rows, ["sid", "kind"], ["drawn", "doc_id", "size"], {"place": "one"}, "mix-order").drop("drawn", "one"), "mix-places")
     rows = rows.withColumn("whole", F.when(F.col("size") > 0, whole).otherwise(0)).withColumn("p", F.when(F.col("size") > 0, F.greatest(F.col("due") - whole, F.lit(0.0))).otherwise(0.0))
-    keep = ["doc_id", "size", "source_size", "target", "whole"]
+    keep = ["doc_id", "size", "source_size", "target", "whole", "place"]
     out = rows.filter("p = 0").select(*keep, F.lit(0).alias("up"))
     debt = targets.select("sid", F.lit(0.0).alias("rest"))
     for k, (low, high) in enumerate(zip(PHASES[1:], PHASES)):
@@ -121,7 +124,7 @@ def mix(docs: DataFrame, size, weights: tuple[int, ...] = (1, 2, 3), most: int =
         room = part.groupBy("sid").agg(F.sum("size").alias("room"), F.max("p").alias("_p")).join(small(debt), "sid", "right")
         shifted = F.least(F.greatest(F.col("_p") + F.col("rest") / F.col("room"), F.lit(0.0)), F.lit(1.0))
         room = written(room.select("sid", "rest", "room", "_p", shifted.alias("q")), f"mix-phase{k}")
-        part = part.join(small(room.select("sid", "q")), "sid").withColumn("mass", F.col("q") * F.col("size")).withColumn("kind", F.floor(F.log2(F.col("size").cast("double"))))
+        part = part.join(small(room.select("sid", "q")), "sid").withColumn("mass", F.col("q") * F.col("size"))
         got, left = rounded(part.select("sid", "kind", "mass", *keep), seed, k, keep)
         out = out.unionByName(got)
         debt = room.join(small(left.withColumnRenamed("rest", "left")), "sid", "left").select("sid", (F.coalesce(F.col("rest") - (F.col("q") - F.col("_p")) * F.col("room"), F.col("rest")) + F.coalesce("left", F.lit(0.0))).alias("rest"))

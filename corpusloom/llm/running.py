@@ -6,25 +6,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import written
+from .common import fresh, written
 
 
 def running(df: DataFrame, group: list[str], order: list, totals: dict[str, str], name: str) -> DataFrame:
     """Adds, for each out -> column of `totals`, the sum of that column over the rows before this one in its group.
 
-    Rows are dealt by ranges of (group, order), so a group of any size is spread over many tasks. Each task sums its own
-    rows; the sums by range (as many rows as ranges and groups) are added up and broadcast. `order` must be total up to
-    rows that are alike.
+    Rows are dealt by ranges of (group, order) and of where they were read, so a group of any size, and rows that are alike,
+    are spread over many tasks. Each task sums its own rows; the sums by range (as many rows as ranges and groups) are added
+    up and broadcast. `order` must be total up to rows that are alike. Helper columns get names that df doesn't have.
     """
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = written(df.repartitionByRange(n, *group, *order).withColumn("_range", F.spark_partition_id()), name)
-    before = Window.rowsBetween(Window.unboundedPreceding, -1)
-    sums = dealt.groupBy("_range", *group).agg(*[F.sum(c).alias(f"_{o}") for o, c in totals.items()])
-    over = Window.partitionBy(*group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sums.select("_range", *group, *[F.coalesce(F.sum(f"_{o}").over(over), F.lit(0)).alias(f"_{o}") for o in totals])
-    del before
-    inner = Window.partitionBy("_range", *group).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    part, tie, *before = fresh([*df.columns, *totals], "range", "tie", *totals)
+    before = dict(zip(totals, before))
+    dealt = df.withColumn(tie, F.monotonically_increasing_id()).repartitionByRange(n, *group, *order, tie)
+    dealt = written(dealt.withColumn(part, F.spark_partition_id()), name)
+    sums = dealt.groupBy(part, *group).agg(*[F.sum(c).alias(before[o]) for o, c in totals.items()])
+    over = Window.partitionBy(*group).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sums.select(part, *group, *[F.coalesce(F.sum(b).over(over), F.lit(0)).alias(b) for b in before.values()])
+    inner = Window.partitionBy(part, *group).orderBy(*order, tie).rowsBetween(Window.unboundedPreceding, -1)
     own = dealt.select("*", *[F.coalesce(F.sum(c).over(inner), F.lit(0)).alias(o) for o, c in totals.items()])
     # `offsets` has one row for each range and group that meet: at most ranges + groups.
-    out = own.join(F.broadcast(offsets), ["_range", *group])
-    return out.select(*df.columns, *[(F.col(o) + F.col(f"_{o}")).alias(o) for o in totals])
+    out = own.join(F.broadcast(offsets), [part, *group])
+    return out.select(*df.columns, *[(F.col(o) + F.col(b)).alias(o) for o, b in before.items()])
