@@ -20,7 +20,7 @@ BLOCK, first by sketch (the strongest spanning forest of the estimates goes to t
 pairs to be confirmed), and then, if still apart, by full sets, of which a
 spanning forest of each block's links leaves the task. So work grows with the
 members apart times the list, and every pair of a list that is not joined otherwise
-is compared. A list too long for one task (an estimate from a draw of the documents;
+is compared (a pair that shares several runs in the list of the smallest). A list too long for one task (an estimate from a draw of the documents;
 it decides on the way, not on the result) is dealt to several; joins split hot keys.
 
 Cases: null or empty texts have empty sets, link with nothing and are kept;
@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 from .common import Packer, RangeHash, buckets, buffers, by_bucket, byte_codes, lower_ascii, mix, runs, salted_join, slices, table, unpack, words, written
 from .components import components
 
-KEEP, RUN, FEW, FIRST, REPS, PAIRED, BLOCK, SLACK, DRAW = 64, 3, 6, 4, 3, 16, 512, 0.28, 16
+KEEP, RUN, FEW, FIRST, REPS, PAIRED, BLOCK, SLACK, SIGMAS, DRAW = 64, 3, 6, 4, 3, 16, 512, 0.28, 6.5, 16
 _A, _B, _C = np.uint64(0x9FB21C651E98DF25), np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F)
 
 _POST = np.dtype([("key", "<u8"), ("node", "<i8"), ("n", "<i4"), ("low", "u1"), ("part", "u1")])
@@ -189,6 +189,8 @@ def in_blocks(rows: DataFrame) -> DataFrame:
 def shared(sets: list[np.ndarray]) -> np.ndarray:
     """Sizes of all intersections, as the product of the incidence matrix with itself, a slab of values at a time."""
     m = len(sets)
+    if not any(len(s) for s in sets):
+        return np.zeros((m, m), np.float32)
     flat, own = np.concatenate(sets), np.repeat(np.arange(m), [len(s) for s in sets])
     order = np.argsort(flat, kind="stable")
     flat, own = flat[order], own[order]
@@ -312,13 +314,21 @@ def near_links(docs: DataFrame, size: int = 5, percent: int = 80) -> tuple[DataF
     def partnered(f: pd.DataFrame) -> pd.DataFrame:
         f = f.drop_duplicates("node").sort_values("node")
         sk, n, nodes, part = [np.frombuffer(x, np.uint32) for x in f["sketch"]], f["n"].to_numpy(), f["node"].to_numpy(), f["component"].to_numpy()
-        size = np.array([len(s) for s in sk])
-        both = shared(sk)
-        links = (both >= 0.5 * np.minimum(size[:, None], size[None])) & _compatible(n[:, None], n[None], percent) & (part[:, None] != part[None])
+        size, own, key = np.array([len(s) for s in sk]), f["key"].iloc[:1].to_numpy(np.int64).view(np.uint64)[0], f["key"].iloc[0]
+        both, low, high = shared(sk), np.minimum(n[:, None], n[None]), np.maximum(n[:, None], n[None])
+        # Of similar sets, each of the values that the larger one keeps is in both with odds of at least `rate`.
+        rate = percent / 100 * (1 + low / high) / (1 + percent / 100)
+        enough = (rate - SIGMAS * np.sqrt(np.maximum(rate * (1 - rate), 0) / KEEP)) * np.minimum(size[:, None], size[None])
+        links = (both >= enough) & (both > 0) & _compatible(n[:, None], n[None], percent) & (part[:, None] != part[None])
+        if links.any():  # pairs with a smaller run in common are compared there
+            keys, at = _runs_of(pa.array(f["sketch"]))
+            keys, at = keys[keys < own], at[keys < own]
+            order = np.argsort(at, kind="stable")
+            links &= shared(np.split(keys[order], np.searchsorted(at[order], np.arange(1, len(sk))))) == 0
         some = np.flatnonzero(links.any(1))
         edges = strongest(np.where(links, both / (size[:, None] + size[None] - both), 0)[np.ix_(some, some)]) if len(some) else []
         a, b = ([nodes[some[e[k]]] for e in edges] for k in (0, 1))
-        return pd.DataFrame({"key": np.r_[np.repeat(f["key"].iloc[0], len(some)), np.minimum(a, b)].astype(np.int64), "node": np.r_[nodes[some], np.maximum(a, b)].astype(np.int64), "pair": np.r_[np.zeros(len(some), bool), np.ones(len(edges), bool)]})
+        return pd.DataFrame({"key": np.r_[np.repeat(key, len(some)), np.minimum(a, b)].astype(np.int64), "node": np.r_[nodes[some], np.maximum(a, b)].astype(np.int64), "pair": np.r_[np.zeros(len(some), bool), np.ones(len(edges), bool)]})
 
     blocks = in_blocks(left.select("key", "node", "component", "minor", "m", "o").join(reps, "node"))
     found = written(blocks.groupBy("key", "i", "j").applyInPandas(partnered, "key long, node long, pair boolean").distinct(), "near-long")
