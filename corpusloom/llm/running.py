@@ -17,8 +17,8 @@ def running(df: DataFrame, group: list[str], order: list, totals: dict[str, str]
     up and broadcast. `order` must be total up to rows that are alike. Helper columns get names that df doesn't have.
     """
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    part, tie, *before = fresh([*df.columns, *totals], "range", "tie", *totals)
-    before = dict(zip(totals, before))
+    part, tie, own_part, *more = fresh([*df.columns, *totals], "range", "tie", "own_range", *totals, *group)
+    before, own_group = dict(zip(totals, more)), more[len(totals) :]
     dealt = df.withColumn(tie, F.monotonically_increasing_id()).repartitionByRange(n, *group, *order, tie)
     dealt = written(dealt.withColumn(part, F.spark_partition_id()), name)
     sums = dealt.groupBy(part, *group).agg(*[F.sum(c).alias(before[o]) for o, c in totals.items()])
@@ -27,5 +27,9 @@ def running(df: DataFrame, group: list[str], order: list, totals: dict[str, str]
     inner = Window.partitionBy(part, *group).orderBy(*order, tie).rowsBetween(Window.unboundedPreceding, -1)
     own = dealt.select("*", *[F.coalesce(F.sum(c).over(inner), F.lit(0)).alias(o) for o, c in totals.items()])
     # `offsets` has one row for each range and group that meet: at most ranges + groups.
-    out = own.join(F.broadcast(offsets), [part, *group])
+    offsets = offsets.select(F.col(part).alias(own_part), *[F.col(g).alias(o) for g, o in zip(group, own_group)], *before.values())
+    same = F.col(part) == F.col(own_part)
+    for g, o in zip(group, own_group):  # null is a group like others
+        same = same & F.col(g).eqNullSafe(F.col(o))
+    out = own.join(F.broadcast(offsets), same)
     return out.select(*df.columns, *[(F.col(o) + F.col(b)).alias(o) for o, b in before.items()])

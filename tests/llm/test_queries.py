@@ -225,6 +225,72 @@ def test_grams():
     assert len(set(h.tolist())) == len({g for _, g in want}) == len(set(zip(h.tolist(), [g for _, g in want])))
 
 
+def test_risk_and_gradient():
+    """The risk by its definition, text by text; the direction is its gradient, and leads back where the negative part is held."""
+    rng = np.random.default_rng(2)
+    for prior, lift in ((0.1, 0.0), (0.4, 0.0), (0.4, 6.0)):
+        positive = rng.random(60) < 0.3
+        z = rng.standard_normal(60) + lift * positive - lift * ~positive
+        loss = lambda x, y: math.log1p(math.exp(-x if y else x))
+        mean = lambda xs: sum(xs) / len(xs)
+
+        def parts(z):
+            below = mean([loss(x, False) for x in z[~positive]]) - prior * mean([loss(x, False) for x in z[positive]])  # noqa: B023
+            return prior * mean([loss(x, True) for x in z[positive]]), below  # noqa: B023
+
+        risk, g, held = toxicity.pu_risk(z, positive, prior)
+        assert held == (parts(z)[1] < 0) == (lift > 0) and abs(risk - parts(z)[0] - max(0, parts(z)[1])) < 1e-9
+        for i in range(60):
+            up, down = z.copy(), z.copy()
+            up[i] += 1e-5
+            down[i] -= 1e-5
+            a, b = parts(up), parts(down)
+            slope = (b[1] - a[1]) / 2e-5 if held else (sum(a) - sum(b)) / 2e-5
+            assert abs(slope - g[i]) < 1e-6
+
+
+def test_logistic_curve():
+    rng = np.random.default_rng(3)
+    z = rng.standard_normal(20_000) * 3
+    y = (rng.random(20_000) < 1 / (1 + np.exp(-0.7 * z + 1.5))).astype(float)
+    slope, shift = toxicity.logistic_curve(z, y)
+    assert abs(slope - 0.7) < 0.05 and abs(shift + 1.5) < 0.1
+    assert toxicity.logistic_curve(np.zeros(0), np.zeros(0)) == toxicity.logistic_curve(z, np.ones(len(z))) == (1.0, 0.0)
+
+
+def test_gram_counts(spark):
+    """Counts by fold of every gram that enough positives hold, others may go; long texts are counted once each."""
+    import random
+
+    r = random.Random(4)
+    rows = [("".join(r.choices("ab ", k=r.choice([0, 4, 40, 300]))) + ("" if i % 20 else "c" * 3000), i % 3 == 0, i % 5 % 3, None) for i in range(300)]
+    got = {x.h: (list(x.p), list(x.u)) for x in toxicity.counted(spark.createDataFrame(rows, "text string, positive boolean, fold int, label int"), 4).collect()}
+    want = defaultdict(lambda: ([0] * 3, [0] * 3))
+    for text, positive, fold, _ in rows:
+        _, h = toxicity.grams(np.frombuffer(text.encode(), np.uint8), np.array([0, len(text)]))
+        for g in set(h.view(np.int64).tolist()):
+            want[g][not positive][fold] += 1
+    assert got == {g: c for g, c in want.items() if sum(c[0]) >= 4}
+
+
+def test_scores_are_calibrated(spark):
+    """Where words tell only partly, scores of held-out rows are near the share of label 1."""
+    import random
+
+    r = random.Random(6)
+    rows, labels = [], []
+    for i in range(6000):
+        bad = r.random() < 0.2
+        w = ["".join(r.choices("abcdefgh", k=5)) for _ in range(12)] + (["vilesome"] if r.random() < (0.7 if bad else 0.1) else [])
+        rows.append((i, " ".join(w)))
+        labels.append((i, int(bad)))
+    model = toxicity.fit(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int"))
+    got = [x for x in toxicity.score(spark.createDataFrame(rows, "doc_id long, text string"), model).collect() if x.held_out]
+    with_word = [x.score for x in got if "vilesome" in rows[x.doc_id][1]]
+    without = [x.score for x in got if "vilesome" not in rows[x.doc_id][1]]
+    assert abs(np.mean(with_word) - 0.14 / 0.22) < 0.12 and abs(np.mean(without) - 0.06 / 0.78) < 0.05
+
+
 def test_toxicity(spark, tmp_path):
     import random
 
@@ -252,26 +318,84 @@ def test_toxicity_on_odd_tables(spark, odd, repeated):
         assert Q["op8_toxicity"](spark, d).count() == len(docs(spark, d))
 
 
-@pytest.mark.parametrize("which", ["odd", "repeated"])
+@pytest.mark.parametrize("which", ["odd", "repeated", "none"])
 def test_kd_tree(spark, request, which):
     d = request.getfixturevalue(which)
     got, rows = Q["op9_kd_tree"](spark, d).collect(), docs(spark, d)
     want = sorted((str(i), len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for i, t, _ in rows)
     assert sorted((str(r.doc_id), r.size, r.text_crc32) for r in got) == want
-    shards = defaultdict(list)
+    shards, groups = defaultdict(list), defaultdict(list)
     for r in got:
         shards[r.shard].append(r)
-        assert r.law == "bytes" and r.grown_shard is None
+        groups[r.size, r.text_crc32].append(r.shard)
+        assert r.law == "bytes" and r.grown_shard is None and 0 <= r.shard < 8
     for s in shards.values():
         assert sorted(r.slot for r in s) == list(range(len(s)))
+    target = sum(r.size for r in got) / 8
+    assert all(len(set(s)) == 1 for (size, _), s in groups.items() if size * len(s) * 10 <= target)
+
+
+def kd_slowly(items, dims, weight, leaves, target):
+    """Leaves of lists of dicts, cut at the edge nearest to the weighted share along the widest dimension."""
+    span = [max(1e-12, max(x[d] for x in items) - min(x[d] for x in items)) for d in dims]
+
+    def split(own, first, leaves):
+        if leaves == 1:
+            return {first: own}
+        wide = [(max(x[d] for x in own) - min(x[d] for x in own)) / s if own else 0 for d, s in zip(dims, span)]
+        own = sorted(own, key=lambda x: (x[dims[wide.index(max(wide))]], x["id"]))
+        total, few, before, cuts = sum(x[weight] for x in own), leaves // 2, 0, []
+        for k, x in enumerate(own):
+            cuts.append((abs(before - total * few / leaves) + (target / 20 if x["inside"] else 0), before, k))
+            before += x[weight]
+        k = min(cuts)[2] if cuts else 0
+        return split(own[:k], first, few) | split(own[k:], first + few, leaves - few)
+
+    return split(items, 0, leaves)
+
+
+def test_kd_tree_by_brute_force(spark):
+    from corpusloom.llm.sharding import kd_leaves
+
+    df = spark.range(900).selectExpr("id", "1 + pmod(id * 7919, 97) size", "double(id % 7) a", "double(if(id % 3 = 0, 5, id)) b", "id % 4 = 1 inside", "'x' shard_", "id node", "id leaves", "id `_total`")
+    for leaves in (1, 6, 8):
+        target = df.agg({"size": "sum"}).first()[0] / leaves
+        got = kd_leaves(df, ["a", "b"], "size", ["id"], target, "inside")
+        assert got.columns == [*df.columns, "shard"]
+        want = kd_slowly([r.asDict() for r in df.collect()], ["a", "b"], "size", leaves, target)
+        assert {(r.id, r.shard) for r in got.collect()} == {(x["id"], k) for k, xs in want.items() for x in xs}
+        sizes = [sum(x["size"] for x in xs) for xs in want.values()]
+        assert max(sizes) - min(sizes) <= 3 * 97 + target / 10
+
+
+def test_kd_tree_splits_only_groups_larger_than_a_share(spark):
+    """One text in a third of the rows, all with one doc_id; groups of five."""
+    from corpusloom.llm.sharding import kd_shards, text_metadata
+
+    rows = [(7, "the same " * 20, "en", "s")] * 3000 + [(i, f"text {i // 5} " + "x" * (i // 5 * 7919 % 300), None, f"s{i % 3}") for i in range(4000)]
+    got = kd_shards(text_metadata(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string"))).collect()
+    sizes, groups = defaultdict(int), defaultdict(set)
+    for r in got:
+        sizes[r.shard] += r.size
+        groups[r.size, r.text_crc32].add(r.shard)
+    target = sum(sizes.values()) / 8
+    assert len(sizes) == 8 and all(abs(s - target) < target / 8 for s in sizes.values())
+    assert [len(g) > 1 for g in groups.values()].count(True) == 1
+    assert len({(r.shard, r.slot) for r in got}) == len(got) == len(rows)
+    assert len({r.shard for r in kd_shards(text_metadata(spark.createDataFrame(rows[3000:], "doc_id long, text string, lang string, source string")), None, 50_000).collect()}) > 8
+
 
+def test_mix_divides_a_repeated_row(spark):
+    """A row that repeats 100,000 times is folded FAN at a time, and hits its target."""
+    from pyspark.sql import functions as F
 
-def test_kd_tree_is_even(spark):
-    from corpusloom.llm.sharding import kd_shards
+    from corpusloom.llm.mixing import mix
 
-    df = spark.range(5000).selectExpr("id doc_id", "1 + id % 97 size", "double(id % 7) a", "double(if(id % 3 = 0, 5, id)) b")
-    got = kd_shards(df, ["a", "b"], "size", ["doc_id"], 6).groupBy("shard").sum("size").toPandas()["sum(size)"]
-    assert len(got) == 6 and got.max() - got.min() <= 3 * 97
+    df = spark.range(120_000).selectExpr("if(id < 100000, null, id) doc_id", "if(id < 100000, 'a', 'b') source", "if(id < 100000, 5L, 1 + id % 9) n")
+    got = mix(df, F.col("n")).groupBy("source_size").agg(F.sum(F.col("copies") * F.col("size")).alias("taken"), F.first("target").alias("target"), F.count("*").alias("n")).collect()
+    assert sum(r.n for r in got) == 120_000 and all(abs(r.taken - r.target) <= 10 for r in got)
+    again = [sorted(map(str, mix(df, F.col("n")).groupBy("doc_id", "copies").count().collect())) for _ in range(2)]
+    assert again[0] == again[1]
 
 
 def test_pipeline_drops_what_is_predicted_toxic(spark, odd, monkeypatch):
