@@ -3,14 +3,22 @@
 `mux` stores a payload as a single-program transport stream: a program
 association table, a program map table, and one elementary stream of packets
 with presentation timestamps; every eighth packet is a random-access point with
-a clock reference. `demux` reads any such stream back: it parses the tables,
-checks continuity counters, reassembles the elementary packets and returns
-timestamps with their random-access flags. Bytes are 8-bit units, so the store
-is lossless.
+a clock reference. Bytes are 8-bit units, so the store is lossless.
+
+`demux` reads transport streams back. It finds the packets (after a lost sync byte,
+or bytes too many or too few, at the next place where three packets follow each
+other), parses the tables, also where a section goes over several packets or several
+lie in one, checks continuity counters (one repeat of a packet is legal and passed
+over, an announced discontinuity is no loss), reassembles the elementary packets and
+returns each with its timestamp, its random-access flag and whether it is whole.
+Scrambled packets and those marked as erroneous are counted and passed over. Only
+packets of 188 bytes are read.
 
 Cases: null text is the empty text (64 zero bytes of payload); payloads of any
-length; damaged streams (lost sync, lost packets) are reported in
-`lost` and `bad_sync`, never an exception; repeated rows give equal rows.
+length; damaged streams are reported in `lost`, `bad_sync`, `bad_tables` and
+`errors`, never an exception; null media give no row of their own but null results;
+repeated rows and null doc_ids give rows like others; an empty table gives none;
+extra columns are passed over.
 """
 
 from __future__ import annotations
@@ -29,6 +37,7 @@ from .common import table
 # Fixed values of the format (ISO/IEC 13818-1).
 PACKET, SYNC, PAT_PID, NULL_PID, CLOCK = 188, 0x47, 0, 0x1FFF, 90_000
 PRIVATE_STREAM, PRIVATE_TYPE = 0xBD, 0x06
+BARE_STREAMS = {0xBC, 0xBE, 0xBF, 0xF0, 0xF1, 0xF2, 0xF8, 0xFF}  # without the optional header
 CRC_POLYNOMIAL = 0x04C11DB7
 
 PMT_PID, MEDIA_PID, PROGRAM = 0x1000, 0x100, 1
@@ -126,6 +135,7 @@ class Unit:
     pts: int | None
     random_access: bool
     data: bytes
+    whole: bool = True
 
 
 @dataclass
@@ -134,67 +144,161 @@ class Stream:
     kinds: dict[int, int] = field(default_factory=dict)
     units: list[Unit] = field(default_factory=list)
     packets: int = 0
+    repeats: int = 0
     lost: int = 0
     bad_sync: int = 0
     bad_tables: int = 0
+    errors: int = 0
+
+
+def _starts(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
+    """Where packets begin, after which of them sync was lost (so their bytes may have shifted), and how often that was."""
+    n = len(data)
+    whole = n // PACKET
+    if n % PACKET == 0 and (data[: whole * PACKET : PACKET] == SYNC).all():
+        return np.arange(whole) * PACKET, np.zeros(whole, bool), 0
+    sync = data == SYNC
+    after = np.concatenate([sync, np.ones(2 * PACKET, bool)])  # beyond the end nothing speaks against a packet
+    likely = np.flatnonzero(sync & after[PACKET : PACKET + n] & after[2 * PACKET :])
+    out, doubtful, at, found = [], [], 0, 0
+    while at + PACKET <= n:
+        run = sync[at : n - PACKET + 1 : PACKET]
+        good = len(run) if run.all() else int(np.argmin(run))
+        out.append(at + np.arange(good) * PACKET)
+        at += good * PACKET
+        doubtful.append(np.arange(good) == good - 1 if at + PACKET <= n else np.zeros(good, bool))
+        if at + PACKET > n:
+            break
+        found += 1
+        k = int(np.searchsorted(likely, at + 1))
+        if k == len(likely):
+            break
+        at = int(likely[k])
+    if not out:
+        return np.zeros(0, np.int64), np.zeros(0, bool), int(n > 0)
+    return np.concatenate(out), np.concatenate(doubtful), found + (not found and n % PACKET > 0)
+
+
+def _sections(payloads: Iterator[tuple[bytes, bool, bool]]) -> Iterator[bytes]:
+    """The sections in (payload, whether one starts in it, whether a packet is missing before it); empty ones stand for broken ones."""
+    held: bytes | None = None
+
+    def cut(data: bytes) -> Iterator[bytes]:
+        """Whole sections from the start of data on; what is left is held."""
+        nonlocal held
+        while data and data[0] != 0xFF:  # 0xFF fills up a packet
+            size = 3 + ((data[1] & 15) << 8 | data[2]) if len(data) >= 3 else 0
+            if not size or len(data) < size:
+                held = data
+                return
+            yield data[:size] if size >= 12 and crc32_mpeg(data[:size]) == 0 else b""
+            data = data[size:]
+        held = None
+
+    for payload, start, missing in payloads:
+        if missing and held is not None:
+            held = None
+            yield b""
+        if start and payload:
+            pointer = payload[0]
+            if held is not None:
+                yield from cut(held + payload[1 : 1 + pointer])
+                if held is not None:
+                    yield b""
+            yield from cut(payload[1 + pointer :])
+        elif held is not None:
+            yield from cut(held + payload)
+    if held is not None:
+        yield b""
 
 
 def demux(media: bytes) -> Stream:
     """Tables, continuity, elementary packets, timestamps and random-access points of a transport stream."""
     out = Stream()
-    rows = np.frombuffer(media, np.uint8)[: len(media) // PACKET * PACKET].reshape(-1, PACKET)
-    good = rows[:, 0] == SYNC
-    out.bad_sync = int((~good).sum()) + (len(media) % PACKET > 0)
-    rows = rows[good]
+    data = np.frombuffer(media, np.uint8)
+    starts, doubtful, out.bad_sync = _starts(data)
+    rows = data[starts[:, None] + np.arange(PACKET)] if out.bad_sync else data.reshape(-1, PACKET)
     out.packets = len(rows)
+    usable = (rows[:, 1] & 0x80 == 0) & (rows[:, 3] & 0xC0 == 0)
+    out.errors = int((~usable).sum())
+    rows, doubtful = rows[usable], doubtful[usable]
     pids = (rows[:, 1].astype(np.int32) & 31) << 8 | rows[:, 2]
     adapted, carries = rows[:, 3] & 0x20 > 0, rows[:, 3] & 0x10 > 0
     at = np.where(adapted, np.minimum(5 + rows[:, 4].astype(np.int32), PACKET), 4)
+    flags = np.where(adapted & (rows[:, 4] > 0), rows[:, 5], 0)
+
+    def followed(pid: int) -> tuple[np.ndarray, np.ndarray]:
+        """The packets of pid with a payload, repeats left out, and before which of them some are missing."""
+        own = np.flatnonzero((pids == pid) & carries)
+        missing = np.zeros(len(own), bool)
+        if len(own) > 1:
+            step = (rows[own[1:], 3] & 15) - (rows[own[:-1], 3] & 15) & 15
+            again = np.flatnonzero(step == 0)
+            tail = np.arange(PACKET) >= at[own[again + 1], None]  # a repeat may carry another clock
+            alike = ((rows[own[again + 1]] == rows[own[again]]) | ~tail).all(1) & (at[own[again + 1]] == at[own[again]])
+            repeat = np.zeros(len(own), bool)
+            repeat[again[alike] + 1] = True
+            repeat[1:] &= ~repeat[:-1]  # one is legal, no more
+            missing[1:] = (step != 1) & ~repeat[1:] & (flags[own[1:]] & 0x80 == 0)
+            out.repeats += int(repeat.sum())
+            own, missing = own[~repeat], missing[~repeat]
+        out.lost += int(missing.sum())
+        return own, missing
 
     def sections(pid: int) -> Iterator[bytes]:
-        for i in np.flatnonzero((pids == pid) & carries & (rows[:, 1] & 0x40 > 0)):
-            b = rows[i, at[i] :].tobytes()
-            b = b[1 + b[0] :] if b else b""
-            size = 3 + ((b[1] & 15) << 8 | b[2]) if len(b) > 3 else 0
-            if 12 <= size <= len(b) and crc32_mpeg(b[:size]) == 0:
-                yield b[:size]
-            else:
+        own, missing = followed(pid)
+        for s in _sections((rows[i, at[i] :].tobytes(), bool(rows[i, 1] & 0x40), bool(m)) for i, m in zip(own, missing)):
+            if not s:
                 out.bad_tables += 1
+            elif s[5] & 1:  # in force
+                yield s
 
     for s in sections(PAT_PID):
-        for i in range(8, len(s) - 4, 4):
-            out.programs[int.from_bytes(s[i : i + 2], "big")] = int.from_bytes(s[i + 2 : i + 4], "big") & 0x1FFF
-    for number, pid in list(out.programs.items()):
-        for s in sections(pid) if number else ():
-            i = 12 + (int.from_bytes(s[10:12], "big") & 0xFFF)
-            while i + 5 <= len(s) - 4:
-                out.kinds[int.from_bytes(s[i + 1 : i + 3], "big") & 0x1FFF] = s[i]
-                i += 5 + (int.from_bytes(s[i + 3 : i + 5], "big") & 0xFFF)
+        if s[0] == 0:
+            for i in range(8, len(s) - 4, 4):
+                out.programs[int.from_bytes(s[i : i + 2], "big")] = int.from_bytes(s[i + 2 : i + 4], "big") & 0x1FFF
+    for pid in dict.fromkeys(pid for number, pid in out.programs.items() if number):
+        for s in sections(pid):
+            if s[0] == 2:
+                i = 12 + (int.from_bytes(s[10:12], "big") & 0xFFF)
+                while i + 5 <= len(s) - 4:
+                    out.kinds[int.from_bytes(s[i + 1 : i + 3], "big") & 0x1FFF] = s[i]
+                    i += 5 + (int.from_bytes(s[i + 3 : i + 5], "big") & 0xFFF)
     for pid in out.kinds:
-        own = np.flatnonzero((pids == pid) & carries)
+        own, missing = followed(pid)
         if not len(own):
             continue
-        counters = rows[own, 3] & 15
-        out.lost += int(((counters[1:] - counters[:-1]) & 15 != 1).sum())
         keep = np.arange(PACKET) >= at[own, None]
-        flat, sizes = rows[own][keep], keep.sum(1)
+        flat, sizes, broken = rows[own][keep], keep.sum(1), np.cumsum(missing)
         ends = np.cumsum(sizes)
         begins = np.flatnonzero(rows[own, 1] & 0x40)
         for i, j in zip(begins, np.r_[begins[1:], len(own)]):
             pes = flat[ends[i] - sizes[i] : ends[j - 1]]
-            if len(pes) < 9 or bytes(pes[:3]) != b"\0\0\1":
+            plain = len(pes) > 6 and int(pes[3]) in BARE_STREAMS
+            if len(pes) < (6 if plain else 9) or bytes(pes[:3]) != b"\0\0\1":
                 out.bad_tables += 1
                 continue
             size = int(pes[4]) << 8 | int(pes[5])
-            pts = _read_stamp(pes[9:14]) if pes[7] & 0x80 and len(pes) >= 14 else None
-            access = bool(adapted[own[i]] and rows[own[i], 4] and rows[own[i], 5] & 0x40)
-            out.units.append(Unit(pid, pts, access, pes[9 + int(pes[8]) : 6 + size if size else len(pes)].tobytes()))
+            pts = _read_stamp(pes[9:14]) if not plain and pes[7] & 0x80 and len(pes) >= 14 else None
+            body = pes[6 if plain else 9 + int(pes[8]) : 6 + size if size else len(pes)].tobytes()
+            after = bool(j < len(own) and missing[j])  # what is missing before the next one may have been this one's end
+            whole = bool(broken[j - 1] == broken[i]) and not doubtful[own[i:j]].any() and (len(pes) >= 6 + size if size else not after)
+            out.units.append(Unit(pid, pts, bool(flags[own[i]] & 0x40), body, whole))
     return out
 
 
 def feature(s: Stream) -> str:
+    """What the stream holds: its structure, and of its bytes their number of kinds, mean, entropy, ASCII letters and longest unit's mean."""
+    data = np.frombuffer(b"".join([u.data for u in s.units]), np.uint8)
+    counts = np.bincount(data, minlength=256)
+    share = counts[counts > 0] / max(1, len(data))
+    letters = int(counts[65:91].sum() + counts[97:123].sum())
     stamps = [u.pts for u in s.units if u.pts is not None]
-    return f"packets={s.packets};units={len(s.units)};access={sum(u.random_access for u in s.units)};pts={min(stamps, default=-1)}-{max(stamps, default=-1)};lost={s.lost};bad={s.bad_sync + s.bad_tables}"
+    span = sum((b - a) % 2**33 for a, b in zip(stamps, stamps[1:]))
+    return (
+        f"packets={s.packets};units={len(s.units)};access={sum(u.random_access for u in s.units)};ticks={span};lost={s.lost};bad={s.bad_sync + s.bad_tables + s.errors};"
+        f"kinds={len(share)};mean={round(1000 * float(data.mean())) if len(data) else 0};entropy={round(1000 * float(-(share * np.log2(share)).sum())) if len(data) else 0};letters={letters};most={int(counts.argmax())}"
+    )
 
 
 def padded(text: bytes) -> bytes:
@@ -214,22 +318,27 @@ def store(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> Da
     return docs.selectExpr(f"cast({id_col} as long) doc_id", f"cast({text_col} as string) text").mapInArrow(run, "doc_id long, n_bytes long, media binary")
 
 
+READ = {"payload_bytes": "long", "payload_sha256": "string", "tail_crc32": "long", "media_bytes": "long", "media_sha256": "string", "feature": "string", "unit_pts": "array<long>", "unit_access": "array<boolean>"}
+
+
 def read_back(media: DataFrame) -> DataFrame:
-    """Digests and stream features of what is stored in `media`."""
-    kinds = {"payload_bytes": pa.int64(), "payload_sha256": pa.string(), "tail_crc32": pa.int64(), "media_bytes": pa.int64(), "media_sha256": pa.string(), "feature": pa.string()}
+    """Digests, stream features, and the timestamp and random-access flag of each unit of what is stored in `media`."""
+    kinds = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.list_(pa.int64()), pa.list_(pa.bool_())]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             got = []
             for m in batch.column(2):
-                m = m.as_py()
+                if (m := m.as_py()) is None:
+                    got.append((None,) * len(kinds))
+                    continue
                 s = demux(m)
                 p = b"".join([u.data for u in s.units])
-                got.append((len(p), hashlib.sha256(p).hexdigest(), zlib.crc32(p[-64:]), len(m), hashlib.sha256(m).hexdigest(), feature(s)))
+                got.append((len(p), hashlib.sha256(p).hexdigest(), zlib.crc32(p[-64:]), len(m), hashlib.sha256(m).hexdigest(), feature(s), [u.pts for u in s.units], [u.random_access for u in s.units]))
             columns = list(zip(*got)) if got else [()] * len(kinds)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(c, k) for c, k in zip(columns, kinds.values()))], ["doc_id", "n_bytes", *kinds])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(c, k) for c, k in zip(columns, kinds))], ["doc_id", "n_bytes", *READ])
 
-    return media.mapInArrow(run, "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")
+    return media.select("doc_id", "n_bytes", "media").mapInArrow(run, "doc_id long, n_bytes long, " + ", ".join(f"{c} {k}" for c, k in READ.items()))
 
 
 def op3_transport_stream(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -105,25 +105,6 @@ def test_rounding_keeps_expectations(spark):
     assert abs(long - 1) < 0.05
 
 
-def test_transport(spark, odd):
-    want = {i: (t or "").encode() for i, t, _ in docs(spark, odd)}
-    for r in Q["op3_transport_stream"](spark, odd).collect():
-        p = want[r.doc_id].ljust(max(64, -(-len(want[r.doc_id]) // 64) * 64), b"\0")
-        assert (r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32) == (len(want[r.doc_id]), len(p), sha(p), zlib.crc32(p[-64:]))
-        assert "lost=0;bad=0" in r.feature and r.media_bytes % 188 == 0
-
-
-def test_damaged_stream():
-    from corpusloom.llm.transport import demux, mux
-
-    m = mux(bytes(range(256)) * 200)
-    assert demux(m[: 188 * 5] + m[188 * 6 :]).lost == 1
-    assert demux(m[:188] + b"\0" + m[189:]).bad_sync == 1
-    assert demux(m[:100]).bad_sync == 1 and demux(b"").packets == 0
-    units = demux(mux(b"x" * 100_000, unit=1000)).units
-    assert [u.random_access for u in units[:9]] == [True, *[False] * 7, True] and units[1].pts - units[0].pts == 3600
-
-
 def test_bpe(spark, odd):
     from tokenizers import Tokenizer
 
