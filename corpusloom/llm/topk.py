@@ -11,15 +11,17 @@ The annuli that such a range meets are searched; rows outside it are cut off by
 bisection. Everything beyond is proven worse, so the result is exact.
 
 Pivots come from a bounded sample (SAMPLE vectors, a draw by hash); all rows are
-indexed. Blocks hold at most about BLOCK rows: a crowded annulus is salted by
-vec_id, and each block returns its own k best. Queries travel packed, in groups.
+indexed, at most PIVOTS times ANNULI annuli (the bound of what the driver keeps of
+it). Blocks hold about BLOCK rows: a crowded annulus is salted by vec_id, queries go
+to each of its blocks, packed in groups, and each block returns its own k best.
 
 Cases: vectors that are null, empty, or hold null or non-finite components take
 no part, nor do rows without a vec_id; equal vec_ids are one vector for "not the
 query's own" and stay rows of their own otherwise; ties go to the smaller vec_id;
 fewer than k candidates give all of them; vectors of unequal length are padded
-with zeros; no queries or no candidates give no rows. Components are cut off at
-2^40 in magnitude.
+with zeros; an empty table, no queries or no candidates give no rows; repeated rows
+are candidates each; extra columns are passed over. Scores are exact: a best score
+that does not fit a long, or a component of 2^53 or more, raises OverflowError.
 """
 
 from __future__ import annotations
@@ -36,7 +38,7 @@ from .common import table, written
 
 SCALE, K, EVERY = 1024, 10, 100
 PIVOTS, ANNULI, SAMPLE, BLOCK, GROUP = 16, 8, 2048, 2048, 128
-_SLACK = 1e-6
+_SLACK, LOWEST = 1e-6, 1 - 2**63
 
 
 def _scaled(col: pa.Array, dim: int) -> tuple[np.ndarray, np.ndarray]:
@@ -54,7 +56,10 @@ def _scaled(col: pa.Array, dim: int) -> tuple[np.ndarray, np.ndarray]:
     ok = (sizes > 0) & ~np.isin(np.arange(n), row[~np.isfinite(values)])
     out = np.zeros((n, dim), np.int64)
     use = ok[row] & (at < dim)
-    out[row[use], at[use]] = np.clip(np.floor(SCALE * values[use]), -(2.0**40), 2.0**40).astype(np.int64)
+    whole = np.floor(SCALE * values[use])
+    if len(whole) and np.abs(whole).max() >= 2.0**63:
+        raise OverflowError("a component of 2^53 or more in magnitude: its scores do not fit a long")
+    out[row[use], at[use]] = whole.astype(np.int64)
     return out[ok], np.flatnonzero(ok)
 
 
@@ -82,8 +87,18 @@ def chosen_pivots(sample: np.ndarray, n: int, rounds: int = 6) -> np.ndarray:
     return centres
 
 
+def products(q: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Exact inner products of rows of long integers: in floats or longs where no sum can leave them, else in unbounded integers."""
+    bound = float(np.abs(x.astype(np.float64)).max(initial=0)) * float(np.abs(q.astype(np.float64)).max(initial=0)) * max(1, x.shape[1])
+    if bound < 2**53:
+        return (q.astype(np.float64) @ x.T.astype(np.float64)).astype(np.int64)
+    return q @ x.T if bound < 2**62 else q.astype(object) @ x.T.astype(object)
+
+
 def best(ids: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
     """Numbers of the k highest scores, ties to the smaller id, in order."""
+    if scores.dtype == object:
+        return np.array(sorted(range(len(ids)), key=lambda i: (-scores[i], ids[i]))[:k], np.int64)
     if len(ids) > 4 * k:
         least = np.partition(scores, len(scores) - k)[len(scores) - k]
         keep = np.flatnonzero(scores >= least)
@@ -123,22 +138,26 @@ class Index:
 
         keyed = self.scaled.select("vec_id", "x").mapInPandas(key, "pivot int, annulus int, vec_id long, dist double, x binary")
         # One row for each pivot and annulus: a bound of the index.
-        crowd = keyed.groupBy("pivot", "annulus").agg(F.ceil(F.count("*") / block).cast("int").alias("salts"))
-        keyed = keyed.join(F.broadcast(crowd), ["pivot", "annulus"]).withColumn("salt", F.pmod(F.xxhash64("vec_id"), F.col("salts")))
+        crowd = keyed.groupBy("pivot", "annulus").agg(F.ceil(F.count("*") / block).cast("int").alias("salts")).collect()
+        self.salts = np.zeros((len(centres), annuli), np.int32)
+        for r in crowd:
+            self.salts[r.pivot, r.annulus] = r.salts
+        salts = F.element_at(F.array(*[F.lit(int(x)) for x in self.salts.reshape(-1)]), F.col("pivot") * annuli + F.col("annulus") + 1)
+        keyed = keyed.withColumn("salt", F.pmod(F.xxhash64("vec_id"), salts).cast("int"))
 
         def pack(f: pd.DataFrame) -> pd.DataFrame:
             f = f.sort_values(["dist", "vec_id"])
-            return pd.DataFrame({"pivot": f["pivot"].iloc[:1], "annulus": f["annulus"].iloc[:1], "ids": [f["vec_id"].to_numpy(np.int64).tobytes()], "dists": [f["dist"].to_numpy().tobytes()], "data": [decode(f["x"], dim).tobytes()]})
+            return pd.DataFrame({"pivot": f["pivot"].iloc[:1], "annulus": f["annulus"].iloc[:1], "salt": f["salt"].iloc[:1], "ids": [f["vec_id"].to_numpy(np.int64).tobytes()], "dists": [f["dist"].to_numpy().tobytes()], "data": [decode(f["x"], dim).tobytes()]})
 
-        self.blocks = written(keyed.groupBy("pivot", "annulus", "salt").applyInPandas(pack, "pivot int, annulus int, ids binary, dists binary, data binary"), "topk-blocks")
+        self.blocks = written(keyed.groupBy("pivot", "annulus", "salt").applyInPandas(pack, "pivot int, annulus int, salt int, ids binary, dists binary, data binary"), "topk-blocks")
 
     @staticmethod
     def decode(col: pd.Series, dim: int) -> np.ndarray:
         return np.stack([np.frombuffer(x, np.int32 if len(x) == 4 * dim else np.int64).astype(np.int64) for x in col]) if len(col) else np.zeros((0, dim), np.int64)
 
     def visit(self, queries: DataFrame, first: bool) -> DataFrame:
-        """Joins queries(vec_id, x, least) to the blocks of the annuli they have to search; packed by pivot and annulus."""
-        dim, most, centres, width, annuli, decode = self.dim, self.most, self.pivots, self.width, self.annuli, self.decode
+        """Joins queries(vec_id, x, least) to the blocks of the annuli they have to search; packed, a row for each block."""
+        dim, most, centres, width, annuli, decode, salts = self.dim, self.most, self.pivots, self.width, self.annuli, self.decode, self.salts
 
         def plan(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for f in frames:
@@ -157,7 +176,8 @@ class Index:
                     low[r, own], high[r, own] = np.minimum(low[r, own], (annuli - 2) * width), np.where(ring[r, own] >= annuli - 2, np.inf, high[r, own])
                 else:
                     reach = np.where(np.isfinite(least), np.sqrt(np.maximum(0.0, most * most + (q2 * q2).sum(1) - 2 * np.where(np.isfinite(least), least, 0))), np.inf)
-                    reach = reach * (1 + _SLACK) + _SLACK
+                    # Squares of the norms cancel out in distances and reach: their rounding is a share of the norms.
+                    reach = reach * (1 + _SLACK) + _SLACK + 1e-7 * (most + np.sqrt((q2 * q2).sum(1)))
                     low, high = d - reach[:, None], d + reach[:, None]
                 ids = f["vec_id"].to_numpy(np.int64)
                 for p in range(len(centres)):
@@ -165,12 +185,14 @@ class Index:
                         hit = np.flatnonzero((low[:, p] < (a + 1) * width if a < annuli - 1 else low[:, p] < np.inf) & (high[:, p] >= a * width))
                         for i in range(0, len(hit), GROUP):
                             h = hit[i : i + GROUP]
-                            yield pd.DataFrame({"pivot": np.int32([p]), "annulus": np.int32([a]), "q_ids": [ids[h].tobytes()], "q_data": [q[h].tobytes()], "q_low": [low[h, p].tobytes()], "q_high": [high[h, p].tobytes()]})
+                            yield pd.DataFrame({"pivot": np.int32([p]), "annulus": np.int32([a]), "salts": salts[p, a : a + 1], "q_ids": [ids[h].tobytes()], "q_data": [q[h].tobytes()], "q_low": [low[h, p].tobytes()], "q_high": [high[h, p].tobytes()]})
 
-        return self.blocks.join(queries.mapInPandas(plan, "pivot int, annulus int, q_ids binary, q_data binary, q_low binary, q_high binary"), ["pivot", "annulus"])
+        asked = queries.mapInPandas(plan, "pivot int, annulus int, salts int, q_ids binary, q_data binary, q_low binary, q_high binary")
+        asked = asked.filter("salts > 0").withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).drop("salts")
+        return self.blocks.join(asked.hint("merge"), ["pivot", "annulus", "salt"])
 
     def search(self, queries: DataFrame, k: int, first: bool) -> DataFrame:
-        """query_id, ids, scores: the k best of each visited block."""
+        """query_id, ids, scores, scored: the k best of each visited block, and how many of its rows were compared."""
         dim = self.dim
 
         def score(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -183,8 +205,7 @@ class Index:
                     ids, dist, x = ids[i:j], dist[i:j], x[i:j]
                     if not len(ids):
                         continue
-                    exact = float(np.abs(x).max()) * float(np.abs(q).max()) * dim < 2**53
-                    s = (q.astype(np.float64) @ x.T.astype(np.float64)).astype(np.int64) if exact else q @ x.T
+                    s = products(q, x)
                     for t in range(len(qi)):
                         a, b = np.searchsorted(dist, low[t], "left"), np.searchsorted(dist, high[t], "right")
                         own, sc = ids[a:b], s[t, a:b]
@@ -193,18 +214,24 @@ class Index:
                             own, sc = own[other], sc[other]
                         top = best(own, sc, k)
                         if len(top):
-                            out.append((qi[t], own[top].tobytes(), sc[top].tobytes()))
-                yield pd.DataFrame(out, columns=["query_id", "ids", "scores"])
+                            # A score that is too low for a long counts in none but the shortest lists: see `merged`.
+                            sc = np.array([max(s, LOWEST) for s in sc[top]], object) if sc.dtype == object else sc[top]
+                            if sc.dtype == object and max(sc) >= 2**63:
+                                raise OverflowError("a score among the best does not fit a long")
+                            out.append((qi[t], own[top].tobytes(), sc.astype(np.int64).tobytes(), b - a))
+                yield pd.DataFrame(out, columns=["query_id", "ids", "scores", "scored"])
 
-        return self.visit(queries, first).mapInPandas(score, "query_id long, ids binary, scores binary")
+        return self.visit(queries, first).mapInPandas(score, "query_id long, ids binary, scores binary, scored long")
 
 
-def merged(found: DataFrame, k: int) -> DataFrame:
-    """query_id, rank, vec_id, score: the k best of all blocks of a query."""
+def merged(found: DataFrame, k: int, last: bool = True) -> DataFrame:
+    """query_id, rank, vec_id, score: the k best of all blocks of a query; last: these are results, and have to fit a long."""
 
     def top(f: pd.DataFrame) -> pd.DataFrame:
         ids, scores = (np.concatenate([np.frombuffer(x, np.int64) for x in f[c]]) for c in ("ids", "scores"))
         order = best(ids, scores, k)
+        if last and len(order) and scores[order].min() == LOWEST:
+            raise OverflowError("a score among the best does not fit a long")
         return pd.DataFrame({"query_id": f["query_id"].iloc[0], "rank": np.arange(1, len(order) + 1, dtype=np.int32), "vec_id": ids[order], "score": scores[order]})
 
     return found.groupBy("query_id").applyInPandas(top, "query_id long, rank int, vec_id long, score long")
@@ -212,12 +239,18 @@ def merged(found: DataFrame, k: int) -> DataFrame:
 
 def top_k(vectors: DataFrame, is_query, k: int = K, **index) -> DataFrame:
     """The k best candidates of every query row (a condition on vec_id), exactly."""
+    built, _, found = searched(vectors, is_query, k, **index)
+    return merged(found, k)
+
+
+def searched(vectors: DataFrame, is_query, k: int = K, **index) -> tuple[Index, DataFrame, DataFrame]:
+    """The index, what the first pass found, which only bounds the second, and what the second found."""
     built = Index(vectors, **index)
     queries = built.scaled.filter(is_query).groupBy("vec_id").agg(F.min("x").alias("x"))
     seeds = built.search(queries.withColumn("least", F.lit(float("-inf"))), k, True)
-    least = merged(seeds, k).filter(F.col("rank") == k).select(F.col("query_id").alias("vec_id"), F.col("score").cast("double").alias("least"))
+    least = merged(seeds, k, False).filter(F.col("rank") == k).select(F.col("query_id").alias("vec_id"), F.col("score").cast("double").alias("least"))
     bounded = written(queries.join(least, "vec_id", "left").withColumn("least", F.coalesce("least", F.lit(float("-inf")))), "topk-bounds")
-    return merged(built.search(bounded, k, False), k)
+    return built, seeds, built.search(bounded, k, False)
 
 
 def op1_topk(spark: SparkSession, sf_dir: str) -> DataFrame:

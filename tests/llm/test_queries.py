@@ -49,14 +49,56 @@ def test_empty_tables_give_no_rows(spark, none, name):
     assert run(spark, none).count() == 0
 
 
+def slow_topk(rows, every, k):
+    want = []
+    for q, x in {i: v for i, v in rows if i % every == 0}.items():
+        best = sorted((-sum(a * b for a, b in zip(x, y)), i) for i, y in rows if i != q)[:k]
+        want += [(q, r, i, -s) for r, (s, i) in enumerate(best, 1)]
+    return sorted(want)
+
+
+def test_topk_of_large_components(spark):
+    """Beyond floats and beyond longs scores stay exact; what can't be stored raises."""
+    import random
+
+    from pyspark.sql import functions as F
+
+    from corpusloom.llm import topk
+
+    r = random.Random(9)
+    rows = [(i, [r.choice([-1, 1]) * r.random() * 2.0 ** r.choice([0, 10, 20, 21]) for _ in range(4)]) for i in range(120)]
+    found = lambda rows: topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 10 == 0, 5).collect()
+    assert sorted(tuple(x) for x in found(rows)) == slow_topk([(i, [math.floor(1024 * x) for x in v]) for i, v in rows], 10, 5)
+    wide = [(0, [2.0**30, 1.0, 0.0]), (1, [0.0, 3.0, 5.0]), (2, [-(2.0**30), 2.0, 1.0]), (3, [1.0, 0.0, 0.0])]
+    assert [tuple(x)[2:] for x in topk.top_k(spark.createDataFrame(wide, "vec_id long, embedding array<double>"), F.col("vec_id") == 0, 2).collect()] == [(3, 2**50), (1, 3 * 2**20)]
+    for bad in ([(0, [2.0**31]), (1, [2.0**31])], [(0, [2.0**54]), (1, [0.0])]):
+        with pytest.raises(Exception, match="fit a long"):
+            found(bad)
+
+
+def test_topk_compares_few_rows(spark):
+    """On vectors in clusters most rows are cut off by the bounds."""
+    from pyspark.sql import functions as F
+
+    from corpusloom.llm import topk
+
+    rng = np.random.default_rng(1)
+    centres = rng.standard_normal((12, 16))
+    x = centres[rng.integers(0, 12, 6000)] + 0.05 * rng.standard_normal((6000, 16))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    _, seeds, found = topk.searched(df, F.col("vec_id") % 100 == 0)
+    compared = sum(d.agg(F.sum("scored")).first()[0] for d in (seeds, found))
+    assert compared < 0.5 * 60 * 6000
+    rows = [(i, [math.floor(1024 * c) for c in v]) for i, v in enumerate(x.tolist())]
+    assert sorted(tuple(r) for r in topk.merged(found, 10).collect()) == slow_topk(rows, 100, 10)
+
+
 def test_topk(spark, odd):
     rows = [(r.vec_id, [math.floor(1024 * x) for x in r.embedding]) for r in spark.read.parquet(f"{odd}/embeddings.parquet").collect() if r.vec_id is not None and r.embedding and all(x is not None and math.isfinite(x) for x in r.embedding)]
-    want = []
-    for q, x in {i: v for i, v in rows if i % 100 == 0}.items():
-        best = sorted((-sum(a * b for a, b in zip(x, y)), i) for i, y in rows if i != q)[:10]
-        want += [(q, k, i, -s) for k, (s, i) in enumerate(best, 1)]
+    want = slow_topk(rows, 100, 10)
     got = [(r.query_id, r["rank"], r.vec_id, r.score) for r in Q["op1_topk"](spark, odd).collect()]
-    assert sorted(got) == sorted(want) and len(got) == 50
+    assert sorted(got) == want and len(got) == 50
 
 
 @pytest.mark.parametrize("which", ["odd", "repeated"])
