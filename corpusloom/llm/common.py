@@ -58,18 +58,28 @@ def buckets(spark: SparkSession) -> int:
     return max(64, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
-def salted_join(left: DataFrame, right: DataFrame, keys: list[str], spread: list[str], how: str = "inner", counted: DataFrame | None = None) -> DataFrame:
+def hot_keys(df: DataFrame, keys: list[str]) -> DataFrame | None:
+    """keys and __pieces of the keys that hold more than an average partition's share of df, and into how many pieces to split each.
+
+    There are fewer than shuffle partitions (they come to the driver, as one local table), and their pieces are at most twice as
+    many, whatever the size of df. None: there are none.
+    """
+    parts, total = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), df.count()
+    if total < parts * HOT_ROWS:
+        return None
+    found = df.groupBy(*keys).agg(F.count("*").alias("__rows")).filter(F.col("__rows") * parts > total).select(*keys, F.ceil(F.col("__rows") * parts / total).cast("int").alias("__pieces"))
+    rows = found.collect()
+    return df.sparkSession.createDataFrame(rows, found.schema) if rows else None
+
+
+def salted_join(left: DataFrame, right: DataFrame, keys: list[str], spread: list[str], how: str = "inner", hot: DataFrame | None = None, counted: DataFrame | None = None) -> DataFrame:
     """left joined with right, which has one row a key; rows of left with a hot key are split by a hash of `spread`.
 
-    A key is hot from an average partition's share of left on. There are at most as many as shuffle partitions, and they are
-    split into at most twice as many pieces, so neither what is broadcast nor the copies of right's rows grow with the data.
-    `counted` has about the keys of left where left itself is not to be computed twice.
+    counted: a written table with about the keys of left, where left is not; hot: the hot keys, where they are known.
     """
-    parts = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    counted = left if counted is None else counted
-    counts, total = counted.groupBy(*keys).agg(F.count("*").alias("__rows")), counted.count()
-    hot = counts.filter(F.col("__rows") * parts > max(total, parts * HOT_ROWS)).select(*keys, F.ceil(F.col("__rows") * parts / max(1, total)).cast("int").alias("__pieces"))
-    hot = hot.filter(F.col("__pieces") > 1)
+    hot = hot_keys(left if counted is None else counted, keys) if hot is None else hot
+    if hot is None:
+        return left.join(right, keys, how)
     pieces = F.coalesce("__pieces", F.lit(1))
     split = left.join(F.broadcast(hot), keys, "left").withColumn("__piece", F.pmod(F.xxhash64(*spread), pieces).cast("int")).drop("__pieces")
     copies = right.join(F.broadcast(hot), keys, "left").withColumn("__piece", F.explode(F.sequence(F.lit(0), pieces - 1))).drop("__pieces")

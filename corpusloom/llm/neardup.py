@@ -12,16 +12,16 @@ of compatible sizes pass if the estimate from the sketch of the union is near
 enough, and are confirmed by the exact Jaccard similarity of their full sets.
 
 Lists of more than PAIRED members are never turned into pairs of rows. Their
-members are first compared with REPS members of the list, the smallest by as many
-hashes, which lists of one group of copies have in common. What that links counts as
-one; only lists whose members are still apart go on: the members outside the
-largest part of a list are compared with all of it, in blocks of about BLOCK by
-BLOCK, first by sketch (the strongest spanning forest of the estimates goes to the
-pairs to be confirmed), and then, if still apart, by full sets, of which a
-spanning forest of each block's links leaves the task. So work grows with the
-members apart times the list, and every pair of a list that is not joined otherwise
-is compared (a pair that shares several runs in the list of the smallest). A list too long for one task (an estimate from a draw of the documents;
-it decides on the way, not on the result) is dealt to several; joins split hot keys.
+members are first compared with the list's representative, the smallest by a hash,
+which lists of one group of copies have in common (each member in the FIRST of its
+lists only). What that links counts as one; only lists whose members are still apart
+go on: the members outside the largest part of a list are compared with all of it, in
+blocks of about BLOCK by BLOCK, first by sketch, and those with a partner by full
+sets, of which a spanning forest of each block's links leaves the task. So work grows
+with the members apart times the list, and every pair of a list that is not joined
+otherwise is compared (a pair that shares several runs in the list of the smallest).
+A list too long for one task (an estimate from a draw of the documents; it decides on
+the way, not on the result) is dealt to several; joins split hot keys.
 
 Cases: null or empty texts have empty sets, link with nothing and are kept;
 rows without a doc_id link with nothing, have no component and are kept; rows
@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 from .common import Packer, RangeHash, buckets, buffers, by_bucket, byte_codes, lower_ascii, mix, runs, salted_join, slices, table, unpack, words, written
 from .components import components
 
-KEEP, RUN, FEW, FIRST, REPS, PAIRED, BLOCK, SLACK, SIGMAS, DRAW = 64, 3, 6, 4, 3, 16, 512, 0.28, 6.5, 16
+KEEP, RUN, FEW, FIRST, PAIRED, BLOCK, SLACK, SIGMAS, DRAW = 64, 3, 6, 3, 16, 512, 0.28, 6.5, 16
 _A, _B, _C = np.uint64(0x9FB21C651E98DF25), np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F)
 
 _POST = np.dtype([("key", "<u8"), ("node", "<i8"), ("n", "<i4"), ("low", "u1"), ("part", "u1")])
@@ -224,20 +224,6 @@ def forest(links: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
-def strongest(weight: np.ndarray) -> list[tuple[int, int]]:
-    """Edges of a spanning forest of greatest weight of a symmetric matrix (0: no edge)."""
-    m = len(weight)
-    left, best, via, out = np.ones(m, bool), np.zeros(m), np.full(m, -1), []
-    for _ in range(m):
-        x = int(np.argmax(np.where(left, best + 1, 0)))
-        left[x] = False
-        if best[x] > 0:
-            out.append((int(via[x]), x))
-        nearer = weight[x] > best
-        best[nearer], via[nearer] = weight[x][nearer], x
-    return out
-
-
 def _estimated(percent: int):
     """Passes pairs whose sizes are compatible and whose estimate from the sketch of the union is near enough."""
 
@@ -285,36 +271,30 @@ def near_links(docs: DataFrame, size: int = 5, percent: int = 80) -> tuple[DataF
     def sets_of(nodes: DataFrame, name: str) -> DataFrame:
         return written(text.join(nodes.hint("shuffle_hash"), "doc_id").mapInArrow(full, "node long, shingles binary"), name)
 
-    def confirmed(pairs: DataFrame, name: str) -> DataFrame:
-        """The pairs(a, b) whose sizes, sketches and then full sets are similar enough."""
-        x = reps.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("x"))
-        y = reps.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("y"))
-        sizes = f"100 * least(na, nb) >= {percent} * greatest(na, nb)"
-        near = salted_join(salted_join(pairs, x, ["a"], ["b"]), y, ["b"], ["a"], counted=pairs).filter(sizes).select("a", "b", "x", "y")
-        near = written(near.mapInPandas(_estimated(percent), "a long, b long"), f"{name}-near")
-        sets = sets_of(near.select(F.col("a").alias("doc_id")).union(near.select("b")).distinct(), f"{name}-sets")
-        x, y = sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), sets.select(F.col("node").alias("b"), F.col("shingles").alias("y"))
-        return written(salted_join(salted_join(near, x, ["a"], ["b"]), y, ["b"], ["a"], counted=near).select("a", "b", "x", "y").mapInPandas(_confirmed(percent), "a long, b long"), name)
-
-    # Short lists: their pairs. Long lists: each member in its lowest runs with the list's representatives.
+    # Short lists: their pairs. Long lists: each member in its lowest runs with the list's representative.
     long = lists.filter("m < 2")
-    smallest = [F.min_by("node", F.xxhash64("node", F.lit(k))).alias(f"r{k}") for k in range(REPS)]
-    first = long.filter("m = 1")
-    heads = first.groupBy("key").agg(*smallest).select("key", F.array_distinct(F.array(*[f"r{k}" for k in range(REPS)])).alias("heads"))
-    starred = salted_join(first.select("key", "node"), heads, ["key"], ["node"]).select(F.explode("heads").alias("a"), F.col("node").alias("b")).filter("a <> b")
-    pairs = lists.filter("m = 2").select(F.col("key").alias("a"), F.col("node").alias("b")).unionByName(starred)
-    pairs = written(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "near-pairs")
-    links = confirmed(pairs, "near-links")
+    first = long.filter("m = 1").select("key", "node")
+    heads = first.groupBy("key").agg(F.min_by("node", F.xxhash64("node")).alias("a"))
+    starred = salted_join(first, heads, ["key"], ["node"]).select("a", F.col("node").alias("b")).filter("a <> b")
+    pairs = written(lists.filter("m = 2").select(F.col("key").alias("a"), F.col("node").alias("b")).unionByName(starred).distinct(), "near-pairs")
+    # Only a, the representative, can be hot: b is in few lists.
+    x = reps.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("x"))
+    y = reps.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("y"))
+    near = salted_join(pairs, x, ["a"], ["b"]).join(y, "b").filter(f"100 * least(na, nb) >= {percent} * greatest(na, nb)").select("a", "b", "x", "y")
+    near = written(near.mapInPandas(_estimated(percent), "a long, b long"), "near-estimated")
+    sets = sets_of(near.select(F.col("a").alias("doc_id")).union(near.select("b")).distinct(), "near-sets")
+    x, y = sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), sets.select(F.col("node").alias("b"), F.col("shingles").alias("y"))
+    links = written(salted_join(near, x, ["a"], ["b"]).join(y, "b").select("a", "b", "x", "y").mapInPandas(_confirmed(percent), "a long, b long"), "near-links")
     known = components(links)
     left = written(apart(long, known), "near-apart")
     if not left.limit(1).count():
         return all_docs, known
 
-    # By sketch: members with a partner in another component of the list, and the strongest forest of the estimates.
+    # By sketch: members with a partner in another component of the list.
     def partnered(f: pd.DataFrame) -> pd.DataFrame:
         f = f.drop_duplicates("node").sort_values("node")
         sk, n, nodes, part = [np.frombuffer(x, np.uint32) for x in f["sketch"]], f["n"].to_numpy(), f["node"].to_numpy(), f["component"].to_numpy()
-        size, own, key = np.array([len(s) for s in sk]), f["key"].iloc[:1].to_numpy(np.int64).view(np.uint64)[0], f["key"].iloc[0]
+        size, key = np.array([len(s) for s in sk]), f["key"].iloc[:1].to_numpy(np.int64)
         both, low, high = shared(sk), np.minimum(n[:, None], n[None]), np.maximum(n[:, None], n[None])
         # Of similar sets, each of the values that the larger one keeps is in both with odds of at least `rate`.
         rate = percent / 100 * (1 + low / high) / (1 + percent / 100)
@@ -322,20 +302,15 @@ def near_links(docs: DataFrame, size: int = 5, percent: int = 80) -> tuple[DataF
         links = (both >= enough) & (both > 0) & _compatible(n[:, None], n[None], percent) & (part[:, None] != part[None])
         if links.any():  # pairs with a smaller run in common are compared there
             keys, at = _runs_of(pa.array(f["sketch"]))
-            keys, at = keys[keys < own], at[keys < own]
+            keys, at = keys[keys < key.view(np.uint64)[0]], at[keys < key.view(np.uint64)[0]]
             order = np.argsort(at, kind="stable")
             links &= shared(np.split(keys[order], np.searchsorted(at[order], np.arange(1, len(sk))))) == 0
         some = np.flatnonzero(links.any(1))
-        edges = strongest(np.where(links, both / (size[:, None] + size[None] - both), 0)[np.ix_(some, some)]) if len(some) else []
-        a, b = ([nodes[some[e[k]]] for e in edges] for k in (0, 1))
-        return pd.DataFrame({"key": np.r_[np.repeat(key, len(some)), np.minimum(a, b)].astype(np.int64), "node": np.r_[nodes[some], np.maximum(a, b)].astype(np.int64), "pair": np.r_[np.zeros(len(some), bool), np.ones(len(edges), bool)]})
+        return pd.DataFrame({"key": np.repeat(key, len(some)), "node": nodes[some]})
 
     blocks = in_blocks(left.select("key", "node", "component", "minor", "m", "o").join(reps, "node"))
-    found = written(blocks.groupBy("key", "i", "j").applyInPandas(partnered, "key long, node long, pair boolean").distinct(), "near-long")
-    more = confirmed(written(found.filter("pair").select(F.col("key").alias("a"), F.col("node").alias("b")).distinct(), "near-pairs"), "near-more")
-    links = written(links.unionByName(more).distinct(), "near-links")
-    known = components(links)
-    left = written(apart(found.filter("not pair"), known), "near-apart")
+    found = written(blocks.groupBy("key", "i", "j").applyInPandas(partnered, "key long, node long"), "near-partnered")
+    left = written(apart(found, known), "near-apart")
     if not left.limit(1).count():
         return all_docs, known
 

@@ -106,7 +106,7 @@ def kd_shards(rows: DataFrame, shards: int | None = SHARDS, target: float | None
     numbered = running(marked.filter("pieces > 1"), key, ["doc_id"], {"row": "one"}, "kd-large")
     numbered = numbered.withColumn("piece", F.floor(F.col("row") * F.col("pieces") / F.col("n")).cast("int"))
     placed = numbered.select("doc_id", *key, "piece").unionByName(marked.filter("pieces is null").select("doc_id", *key, F.lit(0).alias("piece")))
-    placed = salted_join(placed, shard_of, [*key, "piece"], ["doc_id"], counted=rows.withColumn("piece", F.lit(0)))
+    placed = salted_join(placed, shard_of, [*key, "piece"], ["doc_id"], counted=rows.select(*key, F.lit(0).alias("piece")))
     out = running(placed.withColumn("one", F.lit(1).cast("long")), ["shard"], [*key, "doc_id"], {"slot": "one"}, "kd-slots")
     return out.select("doc_id", "size", "text_crc32", "shard", F.col("slot").cast("long").alias("slot"))
 
