@@ -9,12 +9,13 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 # Fixed values.
 WHITE = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 PUNCTUATION = r"[!-/:-@\[-`{-~]"
+GPT_PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 KEPT = r"\uac00-\ud7a3\u3131-\u318e\u1100-\u11ffa-zA-Z0-9.,!?'\""
 
 
@@ -61,9 +62,7 @@ def normalize(text: Column) -> Column:
 
 def char_chunks(text: Column, size: int) -> Column:
     """Consecutive pieces of `size` characters, the last one shorter; none of an empty text."""
-    starts = F.sequence(F.lit(0), F.greatest(F.ceil(F.length(text) / size).cast("int") - 1, F.lit(0)))
-    pieces = F.transform(starts, lambda i: F.substring(text, i * size + 1, F.lit(size)))
-    return F.when(F.length(text) > 0, pieces).otherwise(F.array().cast("array<string>"))
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{size}}}"), F.lit(0))
 
 
 def word_tokens(text: Column) -> Column:
@@ -71,15 +70,36 @@ def word_tokens(text: Column) -> Column:
     return F.regexp_count(text, F.lit("[^ ]+"))
 
 
-def bpe_tokens(encoding: str = "o200k_base"):
-    """A pandas UDF that counts tokens of an encoding that tiktoken can load on the executors; special-token text is plain text."""
+def bpe_tokens(spark: SparkSession, path: str, name: str = "own", pattern: str = GPT_PATTERN):
+    """A pandas UDF that counts tokens by a vocabulary file: token ranks (*.tiktoken) or a tokenizers file (*.json).
+
+    The file is read on the driver and sent to the executors (a few MB, whatever the data); each worker builds one encoder.
+    Special-token text is plain text; null has no tokens.
+    """
+    import base64
+    from pathlib import Path
+
+    if path.endswith(".json"):
+        sent = spark.sparkContext.broadcast(Path(path).read_text())
+    else:
+        sent = spark.sparkContext.broadcast({base64.b64decode(a): int(b) for a, b in (x.split() for x in Path(path).read_bytes().splitlines() if x)})
 
     @F.pandas_udf("int")
     def count(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        import tiktoken
-
-        encoder = tiktoken.get_encoding(encoding)
+        if path.endswith(".json"):
+            from tokenizers import Tokenizer
+
+            encoder = Tokenizer.from_str(sent.value)
+            encoder.encode_special_tokens = True
+            encoder.no_truncation()
+            encoder.no_padding()
+            sizes = lambda texts: [len(x.ids) for x in encoder.encode_batch(texts, add_special_tokens=False)]
+        else:
+            import tiktoken
+
+            encoder = tiktoken.Encoding(name, pat_str=pattern, mergeable_ranks=sent.value, special_tokens={})
+            sizes = lambda texts: [len(encoder.encode_ordinary(x)) for x in texts]
         for texts in batches:
-            yield pd.Series([len(x) for x in encoder.encode_batch(texts.fillna("").tolist(), disallowed_special=())])
+            yield pd.Series(sizes(texts.fillna("").tolist()), dtype="int32")
 
     return count

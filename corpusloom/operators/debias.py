@@ -6,7 +6,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: Closing sentences; {} is the answer's letter.
-CONCLUSIONS = tuple(f"{a} {{}}{b}" for a in ("따라서 정답은", "그러므로 정답은", "결론적으로 정답은", "위 내용에 따라 정답은", "종합하면 정답은") for b in ("입니다.", "이다.", " 입니다.", "가 됩니다."))
+CONCLUSIONS = tuple(f"{a} {{}}{b}" for a in ("이 풀이대로라면 정답은", "그러므로 고를 답은", "앞의 계산에 비추어 정답은", "위 내용에 따라 정답은", "종합하면 정답은") for b in ("입니다.", "이다.", " 입니다.", "가 됩니다."))
+
+
+def drawn(key: Column, n: int) -> Column:
+    """A number below n, by hash of key."""
+    return F.pmod(F.conv(F.left(F.md5(key), F.lit(8)), 16, 10).cast("long"), F.lit(n)).cast("int")
 
 
 def permutation(key: Column, n: Column) -> Column:
@@ -27,5 +32,5 @@ def shuffled(options: Column, answer: Column, key: Column, most: int = 7) -> tup
 
 def concluded(reasoning: Column, answer: Column, key: Column) -> Column:
     """reasoning followed by one of the closing sentences, drawn by hash from key."""
-    pick = F.pmod(F.crc32(key.cast("binary")), F.lit(len(CONCLUSIONS))).cast("int") + 1
+    pick = drawn(key, len(CONCLUSIONS)) + 1
     return F.concat(reasoning, F.lit(" "), F.replace(F.element_at(F.array(*[F.lit(t) for t in CONCLUSIONS]), pick), F.lit("{}"), answer))

@@ -8,8 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..plans.barrier import barrier
-from .ordinal import numbered
+from .ordinal import positions
 
 
 def quality_filter(
@@ -36,15 +35,14 @@ def quality_filter(
     rows = df.select(*[F.col(o).alias(f"_{o}") for o in order], clean.alias("contents")).withColumn("tokens", tokens(F.col("contents")).cast("int"))
     if token:
         rows = rows.filter(F.col("tokens") > token_threshold)
-    rows = barrier(rows, "quality")  # cleaned once, however often it is read below
     keys = [f"_{o}" for o in order]
     if return_type == "split":
-        return numbered(rows, keys, "seq").select(F.col("seq").cast("int").alias("seq"), F.lit(title).alias("title"), "contents", "tokens")
-    if return_type == "full":  # one text by definition: bounded by what a row can hold
+        return positions(rows, keys, "seq", name="quality").select(F.col("seq").cast("int").alias("seq"), F.lit(title).alias("title"), "contents", "tokens")
+    if return_type == "full":  # one text by definition: bounded by what a row can hold, 2^31 bytes
         unit = F.struct(*keys, "contents")
         whole = rows.agg(F.array_join(F.transform(F.array_sort(F.collect_list(unit)), lambda u: u["contents"]), "").alias("contents"))
         return whole.select(F.lit(title).alias("title"), "contents", tokens(F.col("contents")).cast("int").alias("tokens"))
-    placed = numbered(rows, keys, "at", F.length("contents")).withColumn("n", F.length("contents")).filter("n > 0")
+    placed = positions(rows.withColumn("n", F.length("contents")).filter("n > 0"), keys, "at", F.col("n"), "quality")
     first, last = F.floor(F.col("at") / chunk_size), F.floor((F.col("at") + F.col("n") - 1) / chunk_size)
     parts = placed.withColumn("seq", F.explode(F.sequence(first, last)))
     start = F.greatest(F.col("seq") * chunk_size - F.col("at"), F.lit(0))

@@ -5,12 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..plans.barrier import fresh
 from .ordinal import numbered, tile
 
 
-def make_index(df: DataFrame, prefix: str, order: list[str]) -> DataFrame:
-    """index = prefix_i for the i-th row in order."""
-    return numbered(df, order, "_i").withColumn("index", F.concat(F.lit(prefix + "_"), F.col("_i").cast("string"))).drop("_i")
+def make_index(df: DataFrame, prefix: str, order: list[str], position: str | None = None) -> DataFrame:
+    """index = prefix_i for the i-th row in order; position: a column that has i already."""
+    at = position or fresh(df.columns, "at")[0]
+    rows = df if position else numbered(df, order, at)
+    return rows.select(*[c for c in df.columns if c != "index"], F.concat(F.lit(prefix + "_"), F.col(at).cast("string")).alias("index"))
 
 
 def reference_index(index: Column) -> Column:
@@ -19,22 +22,23 @@ def reference_index(index: Column) -> Column:
     return F.array_join(F.slice(parts, F.lit(1), F.size(parts) - 1), "_")
 
 
-def split_chunk(df: DataFrame, n: int, order: list[str], by: str = "num", out: str = "chunk_index") -> DataFrame:
-    """by 'num': n contiguous chunks of equal count; by 'size': chunks of n rows."""
-    rows = numbered(df, order, "_i")
-    if by == "size":
-        return rows.withColumn(out, F.floor(F.col("_i") / n).cast("int")).drop("_i")
-    if by != "num":
+def split_chunk(df: DataFrame, n: int, order: list[str], by: str = "num", out: str = "chunk_index", position: str | None = None) -> DataFrame:
+    """by 'num': n contiguous chunks of equal count; by 'size': chunks of n rows. position: a column that has each row's place already."""
+    if by not in ("num", "size"):
         raise ValueError(f"by is 'num' or 'size', not {by!r}")
-    return rows.withColumn(out, tile(F.col("_i"), df.count(), n)).drop("_i")
+    at = position or fresh([*df.columns, out], "at")[0]
+    rows = df if position else numbered(df, order, at)
+    chunk = F.floor(F.col(at) / n).cast("int") if by == "size" else tile(F.col(at), df.count(), n)
+    return rows.select(*[c for c in df.columns if c != out], chunk.alias(out))
 
 
 def explode_batches(df: DataFrame, lists: list[str], keep: list[str], position: str = "item_ord") -> DataFrame:
     """One row for each place of the lists, which must be of one length in a batch: a ragged batch raises."""
     same = F.array_distinct(F.array(*[F.size(c) for c in lists]))
     zipped = F.when(F.size(same) == 1, F.arrays_zip(*lists)).otherwise(F.raise_error(F.lit("lists of a batch differ in length")))
-    rows = df.select(*keep, F.posexplode(zipped).alias(position, "_x"))
-    return rows.select(*keep, position, *[F.col("_x")[c].alias(c) for c in lists])
+    one = fresh([*keep, position], "item")[0]
+    rows = df.select(*keep, F.posexplode(zipped).alias(position, one))
+    return rows.select(*keep, position, *[F.col(one)[c].alias(c) for c in lists])
 
 
 def implode_rows(df: DataFrame, columns: list[str], order: list[str], index: str = "index") -> DataFrame:

@@ -2,19 +2,46 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """spark.checkpoint.dir, which driver and executors share; a local folder only where it is unset."""
-    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    return (path or "/tmp/checkpoints/corpusloom").rstrip("/")
+    """spark.checkpoint.dir, which driver and executors share. Where it is unset, a local folder on a local master; else an error."""
+    context = spark.sparkContext
+    path = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
+    if not path:
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir has to name a folder that driver and executors share")
+        path = getattr(context, "_corpusloom_folder", None) or tempfile.mkdtemp(prefix="corpusloom-")
+        context._corpusloom_folder = path
+    return f"{path.rstrip('/')}/corpusloom-{context.applicationId}"
 
 
 def barrier(df: DataFrame, name: str) -> DataFrame:
-    """df written as Parquet under a new name in the shared folder, and read again."""
+    """df written as Parquet under a new name in the application's own part of the shared folder, and read again."""
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def clear(spark: SparkSession) -> None:
+    """Removes everything that this application has written at barriers: call it once no result is read any more."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(shared_folder(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def fresh(taken: Iterable[str], *names: str) -> list[str]:
+    """The names, each with as many underscores before it as keep it apart from those taken, in any case."""
+    used, out = {t.lower() for t in taken}, []
+    for name in names:
+        name = "_" + name
+        while name.lower() in used:
+            name = "_" + name
+        used.add(name.lower())
+        out.append(name)
+    return out
