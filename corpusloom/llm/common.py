@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -10,6 +9,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..plans.barrier import barrier as written
+from ..plans.barrier import fresh
+
+__all__ = ["fresh", "written"]
+
 #: The words of every contract: runs without these six bytes.
 SPACE_BYTES = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
 _BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
@@ -18,34 +22,6 @@ HOT_ROWS = 64
 WORD_SQL = "[^\\x20\\x09-\\x0D]+"
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where it is unset."""
-    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not path:
-        path = "/tmp/checkpoints/corpusloom"
-    return path.rstrip("/")
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Writes df as Parquet in the shared folder and reads it again: lineage ends here and it is computed once."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def fresh(taken: Iterable[str], *names: str) -> list[str]:
-    """The names, each with as many underscores before it as keep it apart from those taken, in any case."""
-    used, out = {t.lower() for t in taken}, []
-    for name in names:
-        name = "_" + name
-        while name.lower() in used:
-            name = "_" + name
-        used.add(name.lower())
-        out.append(name)
-    return out
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table of sf_dir. Where the session leaves Arrow's batch size as it comes, batches are made smaller: texts may be long."""
     if spark.conf.get(_BATCH) == "10000":
