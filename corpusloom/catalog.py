@@ -7,6 +7,9 @@ for, and by the same rules in SQL.
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,8 +17,9 @@ from .functions import text as T
 from .operators import curate, debias, quality, reshape, training, validate
 from .operators.ordinal import numbered
 from .plans import pipelines, prompts
+from .plans.barrier import shared_folder
 from .plans.provider import StubProvider
-from .sources import extract, files
+from .sources import extract, files, registry
 
 _QUERIES: dict = {}
 _SQL: dict[str, str] = {}
@@ -60,7 +64,7 @@ _LIMITS = {"punctuation_ratio": 0.2, "english_ratio": 0.9, "number_ratio": 0.05,
 SELECT CAST(seq AS INTEGER) AS seq, 'd' AS title, contents, tokens, 'd_' || seq AS index, CAST(ntile(4) OVER (ORDER BY seq) - 1 AS INTEGER) AS chunk_index FROM s""")
 def quality_split(spark, d):
     rows = quality.quality_filter(_refs(spark, d), "d", ["ord"], **_LIMITS)
-    return reshape.split_chunk(reshape.make_index(rows, "d", ["seq"]), 4, ["seq"])
+    return reshape.split_chunk(reshape.make_index(rows, "d", ["seq"], "seq"), 4, ["seq"], position="seq")
 
 
 @query(f"""WITH {_PASSED}, f AS (SELECT string_agg(contents, '' ORDER BY doc_id) AS contents FROM kept)
@@ -151,7 +155,7 @@ def _batches(spark: SparkSession, d: str) -> DataFrame:
     """index, question, options, answer, reasoning_process as lists, with defects by doc_id."""
     return _t(spark, d, "documents").selectExpr(
         "doc_id", "concat('d_', doc_id) AS index", "source AS title",
-        "transform(sequence(0, cast(doc_id % 3 as int)), j -> concat('Q', j, ': ', substring(text, 1, 40))) AS question",
+        "transform(sequence(0, cast(doc_id % 3 as int)), j -> concat('Q', j, ': ', text)) AS question",
         """transform(sequence(0, cast(doc_id % 3 as int)), j -> transform(sequence(0, cast(2 + (doc_id + j) % 6 as int)), i ->
              CASE WHEN doc_id % 7 = 3 AND i = 1 THEN concat(char(65 + i), '.opt', i) WHEN doc_id % 13 = 5 THEN concat(char(66 + i), '. opt', i)
                   WHEN doc_id % 17 = 6 AND i = 2 THEN '' WHEN doc_id % 19 = 7 AND i = 2 THEN NULL ELSE concat(char(65 + i), '. opt', i) END)) AS options""",
@@ -162,7 +166,7 @@ def _batches(spark: SparkSession, d: str) -> DataFrame:
 
 
 _B = """b AS (SELECT doc_id, 'd_' || doc_id AS index, source AS title,
-  [('Q' || j || ': ' || substring(text, 1, 40)) for j in range(0, doc_id % 3 + 1)] AS question,
+  [('Q' || j || ': ' || text) for j in range(0, doc_id % 3 + 1)] AS question,
   [[CASE WHEN doc_id % 7 = 3 AND i = 1 THEN chr(CAST(65 + i AS INTEGER)) || '.opt' || i WHEN doc_id % 13 = 5 THEN chr(CAST(66 + i AS INTEGER)) || '. opt' || i
          WHEN doc_id % 17 = 6 AND i = 2 THEN '' WHEN doc_id % 19 = 7 AND i = 2 THEN NULL ELSE chr(CAST(65 + i AS INTEGER)) || '. opt' || i END
     for i in range(0, 3 + (doc_id + j) % 6)] for j in range(0, doc_id % 3 + 1)] AS options,
@@ -287,7 +291,16 @@ def shuffle_answers(spark, d):
     return rows.select("index", "item_ord", F.array_join(options, "|").alias("options"), answer.alias("answer"))
 
 
-@query()
+def _text(x: str) -> str:
+    return "'" + x.replace("'", "''") + "'"
+
+
+_DRAWN = "CAST(('0x' || substr(md5({}), 1, 8))::BIGINT % {} AS INTEGER)"
+_CLOSINGS = ", ".join(map(_text, debias.CONCLUSIONS))
+
+
+@query(f"""WITH {_I} SELECT index, item_ord, reasoning_process || ' ' || replace([{_CLOSINGS}][{_DRAWN.format("index", len(debias.CONCLUSIONS))} + 1], '{{}}', answer) AS reasoning_process
+FROM i WHERE answer IS NOT NULL AND reasoning_process IS NOT NULL""")
 def add_conclusion(spark, d):
     rows = _items(spark, d).filter("answer is not null and reasoning_process is not null")
     return rows.select("index", "item_ord", debias.concluded(F.col("reasoning_process"), F.col("answer"), F.col("index")).alias("reasoning_process"))
@@ -376,17 +389,30 @@ def prompts_user_step1(spark, d):
     return _t(spark, d, "documents").select("doc_id", prompts.user_prompt(5, 제목=F.col("source"), 내용=F.col("text")).alias("prompt"))
 
 
-@query()
+_EXAMPLES = ", ".join(f"('{t}', {n}, {_text(x)})" for (t, n), x in prompts.FEWSHOTS.items())
+
+
+@query(f"""SELECT doc_id, x AS example FROM documents JOIN (VALUES {_EXAMPLES}) e(t, n, x)
+ON n = doc_id % 4 + 4 AND t = CASE WHEN {_DRAWN.format("doc_id::VARCHAR", 2)} = 0 THEN 'knowledge' ELSE 'math' END""")
 def fewshot_pick(spark, d):
     return _t(spark, d, "documents").select("doc_id", prompts.fewshot("common", (F.col("doc_id") % 4 + 4).cast("int"), F.col("doc_id").cast("string")).alias("example"))
 
 
-@query()
+_MARKUP = [("(?is)^.*?<body[^>]*>", ""), ("(?is)<(script|style|table)[^>]*>.*?</(script|style|table)>", " "), ("(?s)<!--.*?-->", ""), ("<[^>]*>", "\n")]
+_BODY = "html"
+for _pattern, _to in _MARKUP:
+    _BODY = f"regexp_replace({_BODY}, '{_pattern}', {_text(_to)}, 'g')"
+# Strings are trimmed and joined: a string ends at every tag, and white space becomes one space at last.
+for _name, _char in (("&copy;", "©"), ("&middot;", "·"), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&#x27;", "''"), ("&amp;", "&")):
+    _BODY = f"replace({_BODY}, '{_name}', '{_char}')"
+
+
+@query(f"SELECT page_id, trim(regexp_replace({_BODY}, '{_WS}+', ' ', 'g')) AS text FROM pages")
 def html_extract(spark, d):
     return _t(spark, d, "pages").select("page_id", extract.extract_report(F.col("html"), "html").alias("text"))
 
 
-@query()
+@query("SELECT CAST(item_id AS VARCHAR) AS path, array_to_string([x for x in string_split_regex(text, '[.] ') if x <> ''], chr(10)) AS contents FROM benchmark")
 def pdf_text(spark, d):
     """Pages from bytes: the texts stand in for files, a form feed ends a page."""
     rows = _t(spark, d, "benchmark").select(F.col("item_id").cast("string").alias("path"), F.posexplode(F.split("text", "[.] ")).alias("page", "contents"))
@@ -421,6 +447,143 @@ def running_length(spark, d):
     return numbered(_t(spark, d, "documents").select("doc_id", F.length("text").alias("n")), ["doc_id"], "at", F.col("n")).select("doc_id", "at")
 
 
+# --- generators, judges, reports --------------------------------------------
+
+
+_DOC = "'### 제목:' || chr(10) || source || chr(10) || CASE WHEN length(text) > 0 THEN '### 내용:' || chr(10) || text || chr(10) ELSE '' END"
+
+
+def _generator(kind: str, level: str | None) -> str:
+    text = (prompts.GENERATORS[kind] + (prompts.LEVEL_LINE if level else "")).replace("{role}", prompts.ROLES["market"]).replace("{task}", prompts.TASKS["math"]).replace("{level}", level or "")
+    return f"replace(replace({_text(text)}, '{{n_options}}', CAST(doc_id % 4 + 4 AS VARCHAR)), '{{n_wrong}}', CAST(doc_id % 4 + 3 AS VARCHAR))"
+
+
+@query(f"SELECT doc_id, {_generator('mcqa', prompts.LEVELS[1])} || chr(10) || chr(10) || '아래 설명에 맞는 예시를 2개 쓰세요.' || chr(10) || '### 설명:' || chr(10) || {_DOC} AS prompt FROM documents")
+def fewshot_generator(spark, d):
+    n = (F.col("doc_id") % 4 + 4).cast("int")
+    return _t(spark, d, "documents").select("doc_id", prompts.fewshot_from_reference(F.col("source"), F.col("text"), eval_type="mcqa", n_options=n, task="math", domain="market", n_datasets=2).alias("prompt"))
+
+
+@query(f"SELECT doc_id, {_generator('qa', None)} || chr(10) || chr(10) || '아래 설명에 맞는 검증 문항을 5개 쓰세요.' || chr(10) || '### 설명:' || chr(10) || text AS prompt FROM documents")
+def validation_generator(spark, d):
+    return _t(spark, d, "documents").select("doc_id", prompts.generate_validation(F.col("text"), "qa", task="math", domain="market").alias("prompt"))
+
+
+@query(f"SELECT doc_id, [{', '.join(map(_text, prompts.INSTRUCTIONS))}][CAST(doc_id % {len(prompts.INSTRUCTIONS)} + 1 AS INTEGER)] AS instruction FROM documents")
+def style_instructions(spark, d):
+    return _t(spark, d, "documents").select("doc_id", prompts.instruction((F.col("doc_id") % len(prompts.INSTRUCTIONS) + 1).cast("int")).alias("instruction"))
+
+
+@query(f"""SELECT doc_id, '아래 자료로 문항을 3개 만드세요.' || chr(10) || {_DOC} || '### 예시:' || chr(10) || lang || chr(10) AS prompt FROM documents""")
+def prompts_user_step2(spark, d):
+    return _t(spark, d, "documents").selectExpr("doc_id", "source AS title", "text AS contents", "lang AS prev_example").select("doc_id", prompts.user_prompt_for("mcqa", 2, 3).alias("prompt"))
+
+
+def _sections(**parts: str) -> str:
+    return " || ".join(f"CASE WHEN length({x}) > 0 THEN '### {k}:' || chr(10) || {x} || chr(10) ELSE '' END" for k, x in parts.items())
+
+
+_LIST = "array_to_string(options, chr(10))"
+
+
+@query(f"""WITH {_I} SELECT index, item_ord, {_sections(질문="question", 선택지=_LIST)} AS hallucination, {_sections(질문="question", 답변1="reasoning_process", 답변2="answer")} AS preference,
+  {_sections(질문="question", 선택지=_LIST, 풀이="reasoning_process", 답="answer")} AS value FROM i""")
+def prompts_judges(spark, d):
+    rows = _items(spark, d).withColumn("old_answer", F.col("reasoning_process"))
+    return rows.select("index", "item_ord", *[prompts.user_prompt_for(k).alias(k) for k in ("hallucination", "preference", "value")])
+
+
+@query("SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN source || chr(10) || text ELSE source END AS question FROM documents WHERE doc_id % 3 <> 0 OR length(text) > 0")
+def table_descriptions(spark, d):
+    desc = F.when(F.col("doc_id") % 3 == 0, F.col("text")).when(F.col("doc_id") % 3 == 1, F.lit(""))
+    return _t(spark, d, "documents").filter("doc_id % 3 <> 0 or length(text) > 0").select("doc_id", reshape.with_table(F.col("source"), desc).alias("question"))
+
+
+@query(f"""SELECT CAST(sum(n) AS BIGINT) AS total, string_agg(coalesce(v, '-'), '|' ORDER BY v NULLS FIRST) AS "distinct", string_agg(v || '=' || n, '|' ORDER BY v) AS counts
+FROM (SELECT {_LABELS} AS v, count(*) AS n FROM documents GROUP BY 1)""")
+def spec_report(spark, d):
+    r = curate.spec_report(_labelled(spark, d), "hallucination")
+    pairs = F.array_sort(F.map_entries("counts"))
+    return r.select("total", F.array_join("distinct", "|", "-").alias("distinct"), F.array_join(F.transform(pairs, lambda p: F.concat(p["key"], F.lit("="), p["value"].cast("string"))), "|").alias("counts"))
+
+
+@query("SELECT source AS title, text AS contents FROM documents ORDER BY md5('0:' || doc_id), doc_id LIMIT 40")
+def show_sample(spark, d):
+    rows = _t(spark, d, "documents").selectExpr("doc_id", "source AS title", "text AS contents", "'references' AS type")
+    return curate.show_sample(rows, F.col("doc_id"), 40)
+
+
+@query("SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_orderkey LIMIT 17 OFFSET 23")
+def at_positions(spark, d):
+    return curate.at_positions(_t(spark, d, "orders").select("o_orderkey", "o_totalprice"), ["o_orderkey"], 23, 40)
+
+
+@query("SELECT doc_id, row_number() OVER (ORDER BY md5('5:' || doc_id), doc_id) - 1 AS turn FROM documents")
+def dispatch_order(spark, d):
+    rows = curate.dispatch_order(_t(spark, d, "documents").select("doc_id"), F.col("doc_id"), 5)
+    return numbered(rows.withColumn("drawn", F.md5(F.concat(F.lit("5:"), F.col("doc_id").cast("string")))), ["drawn", "doc_id"], "turn").drop("drawn")
+
+
+@query(f"WITH {_I} SELECT DISTINCT index FROM i WHERE reasoning_process IS NULL ORDER BY index")
+def bad_indexes(spark, d):
+    return validate.bad_indexes(_items(spark, d), F.col("reasoning_process").isNull())
+
+
+@query("SELECT p_name AS title, p_type AS contents FROM part")
+def glossary_references(spark, d):
+    return _t(spark, d, "part").withColumnsRenamed({"p_name": "title", "p_type": "contents"}).select("title", "contents")
+
+
+@query()
+def token_count_bpe(spark, d):
+    """Tokens by a vocabulary file; SQL can't merge byte pairs (see the tests)."""
+    import public_tokenizers
+
+    count = T.bpe_tokens(spark, public_tokenizers.path("byte_bpe_50k.json"))
+    return _t(spark, d, "documents").select("doc_id", count("text").cast("long").alias("tokens"))
+
+
+# --- sources and sinks -------------------------------------------------------
+
+
+def _folder(spark) -> str:
+    return f"{shared_folder(spark)}/catalog-{uuid.uuid4().hex}"
+
+
+@query("SELECT doc_id, text, lang, source, n_chars FROM documents")
+def jsonl_round_trip(spark, d):
+    rows, path = _t(spark, d, "documents").select("doc_id", "text", "lang", "source", "n_chars"), f"{_folder(spark)}/documents.jsonl"
+    files.write_jsonl(rows, path)
+    return files.read_jsonl(spark, path, rows.schema)
+
+
+@query("SELECT doc_id, text, lang FROM documents")
+def multi_jsonl_round_trip(spark, d):
+    rows, path = _t(spark, d, "documents").select("doc_id", "text", "lang"), _folder(spark)
+    files.write_multi_jsonl(rows, path, "documents", ["doc_id"], 1)
+    return files.read_multi_jsonl(spark, path, rows.schema)
+
+
+@query("SELECT CAST(seq AS INTEGER) AS seq, v AS valid_type_index, q AS question, '4' AS n_options FROM (VALUES (0, 'fin_ratio', 'q1'), (1, 'fin_concept', 'q3'), (2, 'mkt_analysis', 'q4')) t(seq, v, q)")
+def registry_rows(spark, d):
+    with tempfile.TemporaryDirectory() as folder:  # a registry is a small file of the driver
+        r = registry.ValidationSetRegister(f"{folder}/sets.jsonl")
+        for kind, q in (("fin_ratio", "q1"), ("fin_concept", "q2"), ("fin_concept", "q3"), ("mkt_analysis", "q4")):
+            r.add_validation(kind, q, ["A. a", "B. b", "C. c", "D. d"], "why", "A")
+        r.exclude_config(1)
+        return r.frame(spark).select("seq", "valid_type_index", "question", "n_options")
+
+
+@query("SELECT * FROM (VALUES ('가', 'a', 'u1', 'MIT'), ('다', 'c', 'u3', 'CC')) t(ko_name, en_name, url, license)")
+def dataset_registry(spark, d):
+    with tempfile.TemporaryDirectory() as folder:
+        r = registry.DatasetRegister(f"{folder}/data.jsonl")
+        for row in (("가", "a", "u1", "MIT"), ("나", "b", "u2", "MIT"), ("다", "c", "u3", "CC")):
+            r.add_config(*row)
+        r.exclude_config("b")
+        return r.frame(spark)
+
+
 def queries() -> dict:
     return dict(_QUERIES)
 

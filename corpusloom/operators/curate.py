@@ -2,25 +2,31 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..plans.barrier import fresh
+from .ordinal import numbered
+
 #: A mapper beyond this many keys is joined by shuffle.
 BROADCAST_KEYS = 100_000
 
 
+def _least(df: DataFrame, mapper: dict[str, int], by: str, name: str) -> DataFrame:
+    small = df.sparkSession.createDataFrame(list(mapper.items()), f"`{by}` string, `{name}` int")
+    return F.broadcast(small) if len(mapper) <= BROADCAST_KEYS else small
+
+
 def value_control(df: DataFrame, mapper: dict[str, int], value: str = "value", by: str = "reference_index") -> DataFrame:
     """Rows whose source is mapped and whose value reaches the source's minimum."""
-    small = df.sparkSession.createDataFrame(list(mapper.items()), f"`{by}` string, _least int")
-    small = F.broadcast(small) if len(mapper) <= BROADCAST_KEYS else small
-    return df.join(small, by).filter(F.col(value) >= F.col("_least")).drop("_least")
+    least = fresh(df.columns, "least")[0]
+    return df.join(_least(df, mapper, by, least), by).filter(F.col(value) >= F.col(least)).select(*df.columns)
 
 
 def value_stats(df: DataFrame, mapper: dict[str, int], value: str = "value", by: str = "reference_index") -> DataFrame:
     """For each mapped source: rows, rows that reach its minimum."""
-    small = df.sparkSession.createDataFrame(list(mapper.items()), f"`{by}` string, _least int")
-    small = F.broadcast(small) if len(mapper) <= BROADCAST_KEYS else small
-    return df.join(small, by).groupBy(by).agg(F.count("*").alias("total"), F.count_if(F.col(value) >= F.col("_least")).alias("alive"))
+    least = fresh(df.columns, "least")[0]
+    return df.join(_least(df, mapper, by, least), by).groupBy(by).agg(F.count("*").alias("total"), F.count_if(F.col(value) >= F.col(least)).alias("alive"))
 
 
 def deduplicated(df: DataFrame, subset: list[str], order: list[str], keep: str | bool = "first") -> DataFrame:
@@ -68,8 +74,47 @@ def union_all(*frames: DataFrame) -> DataFrame:
     return out
 
 
+def spec_report(df: DataFrame, column: str) -> DataFrame:
+    """One row: total (rows), distinct (the values in order, null first, null as well), counts (a map of the values but null)."""
+    counts = df.groupBy(column).agg(F.count("*").alias("n"))
+    pairs = F.array_sort(F.collect_list(F.struct(F.col(column).cast("string").alias("v"), "n")))
+    known = lambda p: p["v"].isNotNull()
+    report = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total"), pairs.alias("p"))
+    return report.select("total", F.transform("p", lambda p: p["v"]).alias("distinct"), F.map_from_entries(F.filter("p", known)).alias("counts"))
+
+
+def single_value(df: DataFrame, column: str = "type"):
+    """The one value of a column; an error if there is none or another."""
+    found = [r[0] for r in df.select(column).distinct().limit(2).collect()]
+    if len(found) != 1:
+        raise ValueError(f"{column} has {'no value' if not found else 'several values'}")
+    return found[0]
+
+
 def sample_columns(eval_type: str) -> list[str]:
-    """Columns worth showing of an item."""
-    common = ["index", "title", "contents", "question"]
-    own = {"mcqa": ["options", "reasoning_process", "answer", "hallucination", "value"], "qa": ["old_answer", "answer", "value"], "preference": ["old_answer", "answer", "preference", "preference_desc", "value"], "classification": ["classification"]}
-    return (common if eval_type != "classification" else common[:3]) + own[eval_type]
+    """Columns worth showing of an item or a reference."""
+    shown = {
+        "mcqa": ["question", "options", "reasoning_process", "answer", "hallucination", "hallucination_desc", "value"],
+        "qa": ["question", "old_answer", "answer", "preference", "preference_desc", "value"],
+        "references": ["title", "contents"],
+        "classification": ["title", "contents", "classification"],
+    }
+    return shown[eval_type]
+
+
+def show_sample(df: DataFrame, key: Column, n: int = 5, eval_type: str | None = None, all_columns: bool = False, drawn: bool = True, order: list[str] | None = None) -> DataFrame:
+    """n rows, drawn by hash of key or the first in order, with the columns that their type (or the one given) has to show."""
+    kind = eval_type or single_value(df)
+    rows = sample(df, n, key) if drawn else head(df, n, order or df.columns[:1])
+    return rows if all_columns else rows.select(*[c for c in sample_columns(kind) if c in df.columns])
+
+
+def dispatch_order(df: DataFrame, key: Column, seed: int = 0) -> DataFrame:
+    """df in a drawn order, the same for the same seed: calls of one source then don't follow each other."""
+    return df.orderBy(F.md5(F.concat(F.lit(f"{seed}:"), key.cast("string"))), key)
+
+
+def at_positions(df: DataFrame, order: list[str], start: int, stop: int | None = None) -> DataFrame:
+    """The rows from position start on to before stop (the one at start if there is none), by 0-based place in order."""
+    at = fresh(df.columns, "at")[0]
+    return numbered(df, order, at).filter((F.col(at) >= start) & (F.col(at) < (start + 1 if stop is None else stop))).select(*df.columns)

@@ -81,6 +81,11 @@ def survivors(df: DataFrame, bad: Column, index: str = "index") -> tuple[DataFra
     return df.join(gone, index, "left_anti"), gone
 
 
+def bad_indexes(df: DataFrame, bad: Column, index: str = "index") -> DataFrame:
+    """The distinct indexes of bad rows, in order."""
+    return df.filter(bad).select(index).distinct().orderBy(index)
+
+
 def mcqa_batch_error(n: int) -> Column:
     """All batch validators in order of cost, as one pass; the first that fails decides."""
     c = F.col

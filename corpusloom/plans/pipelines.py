@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import debias, reshape, validate
-from ..sources.files import write_jsonl
+from ..sources.files import write_errors, write_jsonl
 from . import prompts
 from .barrier import barrier
 from .provider import CompletionProvider, completed
@@ -32,22 +32,31 @@ class Settings:
     max_step: int = 2
     tolerance: float = 0.03
     max_rounds: int = 10
-    model: str = "stub"
+    model: str | dict[str, str] = "stub"  # one for all stages, or by stage
     save_dir: str | None = None
+    log_dir: str | None = None  # where the items of a failed step go; beside save_dir if none is named
     drop_unusable: bool = False
     if_fewshot: bool = True
     threads: int = 8
 
+    def model_of(self, stage: str) -> str:
+        """The model of a stage: mcqa, qa, hallucination, preference, value or classification."""
+        if isinstance(self.model, str):
+            return self.model
+        if stage not in self.model:
+            raise ValueError(f"no model for stage {stage!r}")
+        return self.model[stage]
 
-def _task(rows: DataFrame, kind: str, step: int, turn: int, n: int, system: Column, user: Column, n_options: Column | None = None, item: Column | None = None) -> DataFrame:
+
+def _task(rows: DataFrame, s: Settings, kind: str, step: int, turn: int, n: int, system: Column, user: Column, n_options: Column | None = None, item: Column | None = None) -> DataFrame:
     return rows.select(
-        "index", (F.lit(0) if item is None else item).cast("int").alias("item_ord"), F.lit(kind).alias("eval_type"), F.lit(step).alias("step"), F.lit(turn).alias("round"), F.lit(n).alias("n_datasets"),
+        "index", (F.lit(0) if item is None else item).cast("int").alias("item_ord"), F.lit(kind).alias("eval_type"), F.lit(s.model_of(kind)).alias("model"), F.lit(step).alias("step"), F.lit(turn).alias("round"), F.lit(n).alias("n_datasets"),
         (F.lit(0) if n_options is None else n_options).cast("int").alias("n_options"), F.coalesce(system, F.lit("")).alias("system"), F.coalesce(user, F.lit("")).alias("user"),
     )
 
 
-def _stamped(df: DataFrame, s: Settings) -> DataFrame:
-    return df.withColumns({"oai_model": F.lit(s.model), "update_at": F.date_format(F.current_date(), "yyyy-MM-dd")})
+def _stamped(df: DataFrame, s: Settings, kind: str) -> DataFrame:
+    return df.withColumns({"oai_model": F.lit(s.model_of(kind)), "update_at": F.date_format(F.current_date(), "yyyy-MM-dd")})
 
 
 def regenerated(references: DataFrame, s: Settings, make, bad: Column, name: str) -> tuple[DataFrame, int]:
@@ -75,9 +84,8 @@ def generate_mcqa(references: DataFrame, s: Settings, provider: CompletionProvid
         rows = reshape.split_chunk(rows, 4, ["index"])
         n = F.col("chunk_index") + 4
         example = prompts.fewshot(s.task, n, F.col("index")) if s.if_fewshot else None
-        extra = {"예시": F.col("prev_example")} if step > 1 else {}
-        user = prompts.user_prompt(s.n_datasets, 제목=F.col("title"), 내용=F.col("contents"), **extra)
-        done = completed(_task(rows, "mcqa", step, turn, s.n_datasets, prompts.system_prompt("mcqa", step, s.domain, s.task, n, example), user, n), provider, f"{s.name}-mcqa{step}-{turn}", s.threads)
+        user = prompts.user_prompt_for("mcqa", step, s.n_datasets)
+        done = completed(_task(rows, s, "mcqa", step, turn, s.n_datasets, prompts.system_prompt("mcqa", step, s.domain, s.task, n, example), user, n), provider, f"{s.name}-mcqa{step}-{turn}", s.threads)
         x = F.from_json("response", MCQA)
         got = done.filter("status = 'ok'").select("index", F.lit(step).alias("step"), x["questions"]["question"].alias("question"), x["questions"]["options"].alias("options"), x["answers"]["reasoning_process"].alias("reasoning_process"), x["answers"]["answer"].alias("answer"))
         return got.join(rows.select("index", "title", "contents"), "index")
@@ -92,7 +100,7 @@ def judged(items: DataFrame, kind: str, s: Settings, provider: CompletionProvide
     """
     total, todo, turn, found = items.count(), items, 0, None
     while True:
-        done = completed(_task(todo, kind, 1, turn, 1, prompts.system_prompt(kind), user, item=F.col("item_ord")), provider, f"{s.name}-{kind}-{turn}", s.threads)
+        done = completed(_task(todo, s, kind, 1, turn, 1, prompts.system_prompt(kind), user, item=F.col("item_ord")), provider, f"{s.name}-{kind}-{turn}", s.threads)
         x = F.from_json("response", JUDGES[kind])
         got = done.filter("status = 'ok'").select("index", "item_ord", x.alias("x")).select("index", "item_ord", "x.*")
         if kind == "hallucination":
@@ -109,10 +117,18 @@ def judged(items: DataFrame, kind: str, s: Settings, provider: CompletionProvide
             return items.join(found, ["index", "item_ord"])
 
 
-def _saved(df: DataFrame, s: Settings, kind: str, step: int) -> DataFrame:
-    if s.save_dir:
-        write_jsonl(df, f"{s.save_dir}/{s.name}_{s.task}_{kind}_{s.domain}_step_{step}.jsonl")
-    return df
+def _saved(make, items: DataFrame, s: Settings, kind: str, step: int) -> DataFrame:
+    """Writes and returns make(), the graded items. If that fails, the items go to an error file and the error on to the caller."""
+    name = f"{s.name}_{s.task}_{kind}_{s.domain}_step_{step}"
+    try:
+        df = make()
+        if s.save_dir:
+            write_jsonl(df, f"{s.save_dir}/{name}.jsonl")
+        return df
+    except Exception as e:
+        if s.log_dir or s.save_dir:
+            write_errors(items, s.log_dir or prompts.PathConfig(s.save_dir).logs, name, e)
+        raise
 
 
 def mcqa(references: DataFrame, s: Settings, provider: CompletionProvider) -> DataFrame:
@@ -121,16 +137,19 @@ def mcqa(references: DataFrame, s: Settings, provider: CompletionProvider) -> Da
     for step in range(1, s.max_step + 1):
         batches = generate_mcqa(rows, s, provider, step)
         items = reshape.explode_batches(batches, ["question", "options", "reasoning_process", "answer"], ["index", "title", "contents", "step"])
-        listed = F.array_join("options", "\n")
-        items = judged(items, "hallucination", s, provider, prompts.user_prompt(질문=F.col("question"), 선택지=listed), validate.label_errors(F.col("hallucination"), validate.HALLUCINATION))
+        items = judged(items, "hallucination", s, provider, prompts.user_prompt_for("hallucination"), validate.label_errors(F.col("hallucination"), validate.HALLUCINATION))
         if s.drop_unusable:
             items = items.filter(~validate.unusable(F.col("hallucination")))
         key = F.concat("index", F.lit(":"), F.col("item_ord").cast("string"), F.lit(f":{step}"))
         options, answer = debias.shuffled(F.col("options"), F.col("answer"), key)
         final = items.withColumns({"options": options, "answer": answer})
         final = final.withColumn("reasoning_process", debias.concluded(F.col("reasoning_process"), F.col("answer"), key)).withColumn("type", F.lit("mcqa"))
-        final = judged(final, "value", s, provider, prompts.user_prompt(질문=F.col("question"), 선택지=F.array_join("options", "\n"), 풀이=F.col("reasoning_process"), 답=F.col("answer")))
-        final = _saved(barrier(_stamped(final.filter(F.col("value").between(0, 5)), s), f"{s.name}-step{step}"), s, "mcqa", step)
+
+        def graded(final: DataFrame = final, step: int = step) -> DataFrame:
+            rows = judged(final, "value", s, provider, prompts.user_prompt_for("value"))
+            return barrier(_stamped(rows.filter(F.col("value").between(0, 5)), s, "mcqa"), f"{s.name}-step{step}")
+
+        final = _saved(graded, final, s, "mcqa", step)
         out = final if out is None else out.unionByName(final)
         if step < s.max_step:  # items as they were before the shuffle are the next step's examples; references without any stay out
             rows = reshape.with_previous(rows, items, ["item_ord"]).filter("prev_example is not null")
@@ -141,7 +160,7 @@ def answered(items: DataFrame, s: Settings, provider: CompletionProvider) -> Dat
     """items(index, item_ord, question, ...) with a closed-book answer; all without one are asked again, up to max_rounds."""
     todo, turn, found = items, 0, None
     while True:
-        done = completed(_task(todo, "qa", 2, turn, 1, prompts.system_prompt("qa", 2), F.col("question"), item=F.col("item_ord")), provider, f"{s.name}-qa2-{turn}", s.threads)
+        done = completed(_task(todo, s, "qa", 2, turn, 1, prompts.system_prompt("qa", 2), F.col("question"), item=F.col("item_ord")), provider, f"{s.name}-qa2-{turn}", s.threads)
         ok = done.filter("status = 'ok'").select("index", "item_ord", F.from_json("response", "answer string")["answer"].alias("answer")).filter("answer is not null")
         found = ok if found is None else found.unionByName(ok)
         turn += 1
@@ -154,8 +173,8 @@ def qa(references: DataFrame, s: Settings, provider: CompletionProvider) -> Data
     """Question, grounded answer, closed-book answer, preference and value of items from references."""
 
     def make(rows: DataFrame, turn: int) -> DataFrame:
-        user = prompts.user_prompt(s.n_datasets, 제목=F.col("title"), 내용=F.col("contents"))
-        done = completed(_task(rows, "qa", 1, turn, s.n_datasets, prompts.system_prompt("qa", 1, s.domain, s.task), user), provider, f"{s.name}-qa1-{turn}", s.threads)
+        user = prompts.user_prompt_for("qa", 1, s.n_datasets)
+        done = completed(_task(rows, s, "qa", 1, turn, s.n_datasets, prompts.system_prompt("qa", 1, s.domain, s.task), user), provider, f"{s.name}-qa1-{turn}", s.threads)
         x = F.from_json("response", QA)
         got = done.filter("status = 'ok'").select("index", x["questions"]["question"].alias("question"), x["answers"]["answer"].alias("old_answer"))
         return got.join(rows.select("index", "title", "contents"), "index")
@@ -165,18 +184,21 @@ def qa(references: DataFrame, s: Settings, provider: CompletionProvider) -> Data
     items = reshape.explode_batches(batches, ["question", "old_answer"], ["index", "title", "contents"]).withColumnRenamed("index", "reference_index")
     items = items.withColumn("index", F.concat("reference_index", F.lit("_"), F.col("item_ord").cast("string")))
     items = answered(items, s, provider)
-    user = prompts.user_prompt(질문=F.col("question"), 답변1=F.col("old_answer"), 답변2=F.col("answer"))
-    items = judged(items, "preference", s, provider, user, validate.label_errors(F.col("preference"), validate.PREFERENCE))
-    items = judged(items.withColumn("type", F.lit("qa")), "value", s, provider, prompts.user_prompt(질문=F.col("question"), 답=F.col("answer")))
-    return _saved(barrier(_stamped(items.filter(F.col("value").between(0, 5)), s), f"{s.name}-qa-final"), s, "qa", 4)
+    items = judged(items, "preference", s, provider, prompts.user_prompt_for("preference"), validate.label_errors(F.col("preference"), validate.PREFERENCE))
+    items = items.withColumn("type", F.lit("qa"))
+
+    def graded() -> DataFrame:
+        rows = judged(items, "value", s, provider, prompts.user_prompt_for("value", kind="qa"))
+        return barrier(_stamped(rows.filter(F.col("value").between(0, 5)), s, "qa"), f"{s.name}-qa-final")
+
+    return _saved(graded, items, s, "qa", 4)
 
 
 def classification(references: DataFrame, s: Settings, provider: CompletionProvider) -> DataFrame:
     """references with their topic."""
     rows = references.withColumns({"item_ord": F.lit(0), "type": F.lit("references")})
-    user = prompts.user_prompt(제목=F.col("title"), 내용=F.col("contents"))
-    out = judged(rows, "classification", s, provider, user, validate.label_errors(F.col("classification"), validate.CLASSIFICATION))
-    out = barrier(_stamped(out.drop("item_ord"), s), f"{s.name}-classification")
+    out = judged(rows, "classification", s, provider, prompts.user_prompt_for("classification"), validate.label_errors(F.col("classification"), validate.CLASSIFICATION))
+    out = barrier(_stamped(out.drop("item_ord"), s, "classification"), f"{s.name}-classification")
     if s.save_dir:
         write_jsonl(out, f"{s.save_dir}/{s.name.removesuffix('.jsonl')}.jsonl")
     return out

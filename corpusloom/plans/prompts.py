@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ..operators.debias import drawn
+
 ROLES = {"accounting": "회계 전문가", "market": "금융시장 전문가", "law": "금융법규 전문가", "quant": "퀀트 전문가", "common": "금융 전문가"}
 TASKS = {"knowledge": "지식 이해", "math": "계산과 추론", "common": "종합"}
 LEVELS = ("기초에서 중급", "고급")
@@ -21,6 +25,102 @@ SYSTEM = {
 HARDER = "\n앞선 예시와 뜻이 겹치지 않으며 더 어려운 문제여야 합니다."
 
 
+#: What a generator of examples and of validation sets is told. The wording is our own.
+GENERATORS = {
+    "mcqa": "당신은 {role}이자 출제 위원입니다. {task} 능력을 재는 객관식 예시를 만드세요.\n보기는 {n_options}개, 정답은 하나, 그럴듯한 오답은 {n_wrong}개입니다. question, options, reasoning_process, answer를 차례로 쓰세요.",
+    "qa": "당신은 {role}이자 출제 위원입니다. {task} 능력을 재는 서술형 예시를 만드세요.\nquestion과 answer를 차례로 쓰세요.",
+}
+LEVEL_LINE = "\n난이도는 {level}입니다."
+DOMAINS = tuple(ROLES)
+
+#: System instructions for answers in different styles; the first is none. The wording is our own.
+INSTRUCTIONS = (
+    "",
+    "답만 읽고도 이해할 수 있게 필요한 배경을 빠짐없이 설명하세요.",
+    "길고 자세한 답을 쓰세요.",
+    "처음 배우는 어린이에게 말하듯 쉽게 풀어 주세요.",
+    "요청의 조건을 하나도 놓치지 말고 따르세요.",
+    "자료를 찾아 주는 사서처럼, 더 찾을 것이 없도록 답하세요.",
+    "일을 순서대로 나누어 생각하고, 단계마다 이유를 적으세요.",
+    "객관식이면 먼저 정답을 쓰고, 다른 보기가 틀린 까닭을 쉬운 말로 덧붙이세요.",
+    "무엇을 어떻게 정의했고 어떤 길로 답에 이르렀는지 밝히세요.",
+    "객관식이면 정답을 먼저, 이어서 다른 보기의 잘못을 설명하고, 필요하면 배경 지식을 보태세요.",
+    "질문에 충실히 답하면서 생각의 순서와 근거를 함께 보이세요.",
+    "지시를 그대로 따르고, 끝에 그 결과를 스스로 검산하세요.",
+    "교사로서 과제가 요구하는 것과 지침을 쓰는 방법을 몇 단계로 가르치세요.",
+    "여러 언어를 아는 번역가로서 과제와 지침을 풀어 말한 뒤 해결하고, 지침을 어떻게 썼는지 보이세요.",
+    "정의를 작은 조각으로 나누고, 조각마다 기준에 맞는 보기를 하나씩 들어 주세요.",
+    "정보를 찾는 사람을 도우세요.",
+)
+
+
+@dataclass(frozen=True)
+class PathConfig:
+    """Folders of a run below one root."""
+
+    root: str = "."
+
+    def get(self, name: str) -> str:
+        return f"{self.root.rstrip('/')}/{name}"
+
+    @property
+    def logs(self) -> str:
+        return self.get("logs")
+
+    @property
+    def fewshots(self) -> str:
+        return self.get("fewshots")
+
+
+def _filled(text: str, role: str, task: str, level: str | None, n_options: Column | None) -> Column:
+    text = text.replace("{role}", ROLES[role]).replace("{task}", TASKS[task]).replace("{level}", level or "")
+    n = F.lit(4) if n_options is None else n_options
+    return F.replace(F.replace(F.lit(text), F.lit("{n_options}"), n.cast("string")), F.lit("{n_wrong}"), (n - 1).cast("string"))
+
+
+def generate_fewshot(prompt: Column, eval_type: str, n_options: Column | None = None, task: str = "common", domain: str = "common", n_datasets: int = 1, step: int = 2) -> Column:
+    """What asks a model for few-shot examples: the generator's system text at the level of a step, and the user's description."""
+    system = _filled(GENERATORS[eval_type] + LEVEL_LINE, domain, task, LEVELS[min(step, len(LEVELS)) - 1], n_options)
+    return F.concat(system, F.lit(f"\n\n아래 설명에 맞는 예시를 {n_datasets}개 쓰세요.\n### 설명:\n"), prompt)
+
+
+def generate_validation(prompt: Column, eval_type: str, n_options: Column | None = None, task: str = "common", domain: str = "common", n_datasets: int = 5) -> Column:
+    """What asks a model for items of a validation set; they have no level."""
+    return F.concat(_filled(GENERATORS[eval_type], domain, task, None, n_options), F.lit(f"\n\n아래 설명에 맞는 검증 문항을 {n_datasets}개 쓰세요.\n### 설명:\n"), prompt)
+
+
+def fewshot_from_reference(title: Column, contents: Column, **settings) -> Column:
+    """generate_fewshot with a reference as its description."""
+    return generate_fewshot(F.concat(section("제목", title), section("내용", contents)), **settings)
+
+
+def instruction(number: Column) -> Column:
+    """The style instruction of a number from 1 on."""
+    return F.element_at(F.array(*[F.lit(t) for t in INSTRUCTIONS]), number)
+
+
+def user_prompt_for(eval_type: str, step: int = 1, n_datasets: int = 5, kind: str = "mcqa") -> Column:
+    """The user prompt of a stage from an item's or a reference's columns. kind: what is judged, mcqa, qa or references."""
+    c, listed = F.col, F.array_join("options", "\n")
+    if eval_type == "mcqa":
+        extra = {"예시": c("prev_example")} if step > 1 else {}
+        return user_prompt(n_datasets, 제목=c("title"), 내용=c("contents"), **extra)
+    if eval_type == "qa":
+        return user_prompt(n_datasets, 제목=c("title"), 내용=c("contents")) if step == 1 else c("question")
+    if eval_type == "hallucination":
+        return user_prompt(질문=c("question"), 선택지=listed) if kind == "mcqa" else user_prompt(제목=c("title"), 내용=c("contents"), 질문=c("question"), 답=c("answer"))
+    if eval_type == "preference":
+        return user_prompt(질문=c("question"), 답변1=c("old_answer"), 답변2=c("answer"))
+    if eval_type == "value":
+        if kind == "references":
+            return user_prompt(내용=c("contents"))
+        extra = {"선택지": listed, "풀이": c("reasoning_process")} if kind == "mcqa" else {}
+        return user_prompt(질문=c("question"), **extra, 답=c("answer"))
+    if eval_type == "classification":
+        return user_prompt(제목=c("title"), 내용=c("contents"))
+    raise ValueError(f"unknown stage {eval_type!r}")
+
+
 def system_prompt(eval_type: str, step: int = 1, domain: str = "common", task: str = "common", n_options: Column | None = None, example: Column | None = None) -> Column:
     """Steps beyond the last level stay at the last."""
     key = "qa_answer" if eval_type == "qa" and step == 2 else eval_type
@@ -55,4 +155,4 @@ def fewshot(task: str, n_options: Column, key: Column) -> Column:
     table = lambda t: F.element_at(F.create_map(*[x for n in (4, 5, 6, 7) for x in (F.lit(n), F.lit(FEWSHOTS[t, n]))]), n_options)
     if task != "common":
         return table(task)
-    return F.when(F.pmod(F.crc32(key.cast("binary")), F.lit(2)) == 0, table("knowledge")).otherwise(table("math"))
+    return F.when(drawn(key, 2) == 0, table("knowledge")).otherwise(table("math"))

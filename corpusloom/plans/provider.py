@@ -8,7 +8,7 @@ import threading
 import time
 from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from typing import Protocol
 from urllib.request import Request, urlopen
 
@@ -20,7 +20,7 @@ from .barrier import barrier
 
 class CompletionProvider(Protocol):
     def complete(self, task: dict) -> dict:
-        """task has eval_type, step, round, n_datasets, n_options, system, user, index, item_ord."""
+        """task has eval_type, model, step, round, n_datasets, n_options, system, user, index, item_ord."""
 
 
 @dataclass(frozen=True)
@@ -58,9 +58,31 @@ class StubProvider:
         return {"classification": "other" if bad else ("quant", "law", "no")[int(pick * 3)]}
 
 
+#: JSON schemas of the answers by kind of task; qa by step.
+SCHEMAS = {
+    "mcqa": {"questions": [{"question": "string", "options": ["string"]}], "answers": [{"reasoning_process": "string", "answer": "string"}]},
+    "qa": {"questions": [{"question": "string"}], "answers": [{"answer": "string"}]},
+    "qa2": {"answer": "string"},
+    "hallucination": {"hallucination": "string", "hallucination_desc": "string"},
+    "preference": {"choice": "string", "preference_desc": "string"},
+    "value": {"value": "integer"},
+    "classification": {"classification": "string"},
+}
+
+
+def json_schema(shape) -> dict:
+    """A strict JSON schema of a shape like those of SCHEMAS."""
+    if isinstance(shape, str):
+        return {"type": shape}
+    if isinstance(shape, list):
+        return {"type": "array", "items": json_schema(shape[0])}
+    return {"type": "object", "properties": {k: json_schema(v) for k, v in shape.items()}, "required": list(shape), "additionalProperties": False}
+
+
 @dataclass
 class HttpProvider:
-    """A chat interface over HTTPS: calls a second are limited, each is tried `tries` times."""
+    """A chat interface over HTTPS. `rate` calls a second are shared by `tasks` concurrent tasks; each call is tried `tries`
+    times, with a pause that doubles, and asks for an answer by the schema of its kind."""
 
     url: str
     key: str
@@ -68,19 +90,23 @@ class HttpProvider:
     rate: float = 10.0
     timeout: float = 60.0
     tries: int = 3
-    _last: float = field(default=0.0, repr=False)
+    tasks: int = 1
+    pause: float = 1.0
 
     def complete(self, task: dict) -> dict:
-        body = {"model": self.model, "messages": [{"role": "system", "content": task["system"]}, {"role": "user", "content": task["user"]}], "response_format": {"type": "json_object"}}
+        kind = "qa2" if task["eval_type"] == "qa" and task["step"] == 2 else task["eval_type"]
+        form = {"type": "json_schema", "json_schema": {"name": kind, "strict": True, "schema": json_schema(SCHEMAS[kind])}}
+        body = {"model": task.get("model") or self.model, "messages": [{"role": "system", "content": task["system"]}, {"role": "user", "content": task["user"]}], "response_format": form}
         head = {"Content-Type": "application/json", "Authorization": f"Bearer {self.key}", "Idempotency-Key": hashlib.sha1(json.dumps(task, sort_keys=True).encode()).hexdigest()}
         for i in range(self.tries):
-            _wait(self.rate)
+            _wait(self.rate / self.tasks)
             try:
                 with urlopen(Request(self.url, json.dumps(body).encode(), head), timeout=self.timeout) as r:  # noqa: S310
                     return json.loads(json.loads(r.read())["choices"][0]["message"]["content"])
             except (OSError, ValueError, KeyError):
                 if i == self.tries - 1:
                     raise
+                time.sleep(self.pause * 2**i)
         raise AssertionError
 
 
@@ -95,7 +121,7 @@ def _wait(rate: float) -> None:
     time.sleep(max(0.0, at - time.monotonic()))
 
 
-TASK = ("eval_type", "step", "round", "n_datasets", "n_options", "system", "user")
+TASK = ("eval_type", "model", "step", "round", "n_datasets", "n_options", "system", "user")
 
 
 def completed(tasks: DataFrame, provider: CompletionProvider, name: str, threads: int = 8, partitions: int | None = None) -> DataFrame:

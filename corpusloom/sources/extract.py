@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from html.parser import HTMLParser
-from xml.etree import ElementTree
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import normalize
+from . import pdf
 
 _VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 
@@ -45,30 +45,63 @@ def body_text(page: str | None) -> str | None:
     return "\n".join(parser.found)
 
 
+class _Filing(HTMLParser):
+    """Elements as [tag, parent, children and strings], read leniently: an end tag closes up to its start, a stray one nothing."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.top: list = ["", None, []]
+        self.at, self.titles = self.top, []
+
+    def handle_starttag(self, tag, attrs):
+        node = [tag, self.at, []]
+        self.at[2].append(node)
+        if tag == "title":
+            self.titles.append(node)
+        if tag not in _VOID:
+            self.at = node
+
+    def handle_startendtag(self, tag, attrs):
+        self.at[2].append([tag, self.at, []])
+
+    def handle_endtag(self, tag):
+        node = self.at
+        while node is not None and node[0] != tag:
+            node = node[1]
+        if node is not None and node is not self.top:
+            self.at = node[1]
+
+    def handle_data(self, data):
+        self.at[2].append(data)
+
+
+def _strings(node: list) -> list[str]:
+    """All strings below a node but for its tables."""
+    out, todo = [], [node]
+    while todo:
+        x = todo.pop()
+        if isinstance(x, str):
+            if x.strip():
+                out.append(x.strip())
+        elif x[0] != "table":
+            todo += reversed(x[2])
+    return out
+
+
 def section_text(filing: str | None, title: str = "사업의 내용") -> str | None:
-    """Text without tables of the section-1 whose title has the words; null without such a section."""
+    """Text without tables of the nearest section-1 around the first title that has the words; null without such a section.
+
+    The markup need not be well formed.
+    """
     if filing is None:
         return None
-    try:
-        root = ElementTree.fromstring(filing)
-    except ElementTree.ParseError:
-        return None
-    for section in root.iter("section-1"):
-        if any(title in "".join(t.itertext()) for t in section.iter("title")):
-            found: list[str] = []
-
-            def walk(e):
-                if e.tag != "table":
-                    if e.text and e.text.strip():
-                        found.append(e.text.strip())
-                    for child in e:
-                        walk(child)
-                        if child.tail and child.tail.strip():
-                            found.append(child.tail.strip())
-
-            walk(section)
-            return "\n".join(found)
-    return None
+    parser = _Filing()
+    parser.feed(filing)
+    parser.close()
+    node = next((t for t in parser.titles if title in " ".join(_strings(t))), None)
+    while node is not None and node[0] != "section-1":
+        node = node[1]
+    return None if node is None else "\n".join(_strings(node))
 
 
 def extract_report(document: Column, kind: str) -> Column:
@@ -85,8 +118,8 @@ def extract_report(document: Column, kind: str) -> Column:
     return normalize(run(document)) if kind == "html" else run(document)
 
 
-def pdf_pages(spark: SparkSession, path: str, title: str, reader: Callable[[bytes], list[str]]) -> DataFrame:
-    """page (from 0), title, contents of the pages that have text; reader gives the pages of a file's bytes."""
+def pdf_pages(spark: SparkSession, path: str, title: str = "", reader: Callable[[bytes], list[str]] = pdf.pages) -> DataFrame:
+    """path, page (from 0), title, contents of the pages that have text; reader gives the pages of a file's bytes."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from datetime import datetime
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..operators.ordinal import numbered, tile
+from ..plans.barrier import fresh
 
 
 def read_json(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
@@ -44,17 +46,40 @@ def write_jsonl(df: DataFrame, path: str, overwrite: bool = True, single: bool =
 
 def file_split_plan(df: DataFrame, order: list[str], max_bytes: int) -> DataFrame:
     """df with file_idx: contiguous files of equal counts, as many as the JSON size takes at max_bytes each."""
-    rows = numbered(df, order, "_i").withColumn("_bytes", F.octet_length(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})) + 1)
-    total, n = rows.agg(F.sum("_bytes"), F.count("*")).first()
+    return _planned(df, order, max_bytes)[0]
+
+
+def _planned(df: DataFrame, order: list[str], max_bytes: int) -> tuple[DataFrame, int]:
+    at, size = fresh([*df.columns, "file_idx"], "at", "bytes")
+    rows = numbered(df, order, at).withColumn(size, F.octet_length(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})) + 1)
+    total, n = rows.agg(F.sum(size), F.count("*")).first()
     files = int(total or 0) // max_bytes + 1
-    return rows.withColumn("file_idx", tile(F.col("_i"), n, files)).drop("_i", "_bytes")
+    return rows.withColumn("file_idx", tile(F.col(at), n, files)).drop(at, size), min(files, n)
 
 
 def write_multi_jsonl(df: DataFrame, folder: str, name: str, order: list[str], max_size_mb: int = 10) -> int:
-    """Writes the files of the split plan as folder/name.jsonl/file_idx={i}; returns how many."""
-    plan = file_split_plan(df, order, max_size_mb << 20)
-    plan.repartition("file_idx").sortWithinPartitions("file_idx", *order).write.mode("overwrite").option("ignoreNullFields", False).partitionBy("file_idx").json(f"{folder}/{name}.jsonl")
-    return plan.select("file_idx").distinct().count()
+    """Writes the files of the split plan as folder/name_{i}.jsonl, each a folder of one part; returns how many.
+
+    The parts are written in one job, one task a file, and then renamed.
+    """
+    plan, n = _planned(df, order, max_size_mb << 20)
+    spark, parts = df.sparkSession, f"{folder}/{name}.parts"
+    plan.repartition("file_idx").sortWithinPartitions("file_idx", *order).write.mode("overwrite").option("ignoreNullFields", False).partitionBy("file_idx").json(parts)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = path(parts).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for i in range(n):
+        target = path(f"{folder}/{name}_{i}.jsonl")
+        fs.delete(target, True)
+        fs.rename(path(f"{parts}/file_idx={i}"), target)
+    fs.delete(path(parts), True)
+    return n
+
+
+def write_errors(df: DataFrame, folder: str, name: str, error: BaseException | str) -> str:
+    """The rows of a step that failed as folder/error_{name}_{time}.jsonl, with the error in each; returns the path."""
+    path = f"{folder}/error_{name}_{datetime.now():%Y%m%d%H%M%S%f}.jsonl"
+    write_jsonl(df.withColumn("error", F.lit(str(error) or type(error).__name__)), path)
+    return path
 
 
 def fewshots(spark: SparkSession, folder: str, separator: str = "<SEP>") -> DataFrame:

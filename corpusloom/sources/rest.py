@@ -10,6 +10,8 @@ from urllib.request import Request, urlopen
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 
+from ..plans.barrier import barrier
+
 Transport = Callable[[str, dict], bytes]
 # Fixed values of the interface.
 CATEGORIES, SORTS = ("blog", "news", "kin", "encyc", "cafearticle", "webkr"), ("sim", "date")
@@ -31,7 +33,11 @@ def public_data(base_url: str, service_key: str, params: dict | None = None, tra
 
 
 def search(spark: SparkSession, base_url: str, queries: list[str], headers: dict, category: str = "news", display: int = 20, start: int = 1, sort: str = "sim", pages: int = 1, transport: Transport = fetch) -> DataFrame:
-    """query, page, item (JSON) of a search interface; requests are spread over tasks by query and page."""
+    """query, page, status, error, item (JSON) of a search interface; requests are spread over tasks by query and page.
+
+    Each request is made once: what came is written before it is used, and reading it again asks nothing. A request that fails
+    is a row with status 'error' and no item; it fails no stage.
+    """
     if category not in CATEGORIES or sort not in SORTS:
         raise ValueError("unknown category or sort")
     asked = spark.createDataFrame([(q, p) for q in queries for p in range(pages)], "query string, page int").repartition("query", "page")
@@ -39,8 +45,11 @@ def search(spark: SparkSession, base_url: str, queries: list[str], headers: dict
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
             for q, p in zip(f["query"], f["page"]):
-                got = json.loads(get_request(f"{base_url}/{category}.json", {"query": q, "display": display, "start": start + p * display, "sort": sort}, headers, transport))
-                items = [json.dumps(x, ensure_ascii=False) for x in got.get("items", [])]
-                yield pd.DataFrame({"query": q, "page": p, "item": items}, index=range(len(items)))
-
-    return asked.mapInPandas(run, "query string, page int, item string")
+                try:
+                    got = json.loads(get_request(f"{base_url}/{category}.json", {"query": q, "display": display, "start": start + p * display, "sort": sort}, headers, transport))
+                    rows = [(q, p, "ok", None, json.dumps(x, ensure_ascii=False)) for x in got.get("items", [])]
+                except Exception as e:  # noqa: BLE001
+                    rows = [(q, p, "error", f"{type(e).__name__}: {e}", None)]
+                yield pd.DataFrame(rows, columns=["query", "page", "status", "error", "item"])
+
+    return barrier(asked.mapInPandas(run, "query string, page int, status string, error string, item string"), "search")

@@ -179,7 +179,7 @@ def test_each_task_is_called_once(spark, tmp_path):
                 f.write("x\n")
             return super().complete(task)
 
-    tasks = pipelines._task(_refs(spark), "value", 1, 0, 1, F.lit("s"), F.col("contents"))
+    tasks = pipelines._task(_refs(spark), pipelines.Settings(), "value", 1, 0, 1, F.lit("s"), F.col("contents"))
     done = completed(tasks, Counting(failing=0.4), "once")
     assert done.count() == done.select("status").count() == 12 and 0 < done.filter("status = 'error'").count() < 12
     assert len(open(log).readlines()) == 12
