@@ -31,7 +31,7 @@ import random
 import re
 import zlib
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import table
 
 PATH_DIM, WORD_DIM, FIGURES, HIDDEN, STEM = 128, 32, 8, 20, 5
-PAGES, EPOCHS, SEED, STRETCH, TOGETHER = 2000, 14, 7, 400, 64
+PAGES, EPOCHS, SEED, STRETCH, TOGETHER = 1800, 14, 7, 400, 64
 MANY = 12  # different path words from which on their sum is scaled down
 
 # Fixed values of HTML: elements that break a line of text, that have no end tag, whose content is no text, and that end an open <p>.
@@ -135,9 +135,13 @@ class _Parser:
             if self.links:
                 self.linked += len(text)
 
-    def last(self, tags: Iterable[str]) -> int:
+    def last(self, *tags: str) -> int:
         """Place of the innermost open element of these tags, or 0."""
-        return max((w[-1] for t in tags if (w := self.where.get(t))), default=0)
+        found = 0
+        for t in tags:
+            if (places := self.where.get(t)) and places[-1] > found:
+                found = places[-1]
+        return found
 
     def close(self, i: int) -> None:
         for node in reversed(self.stack[i:]):
@@ -172,16 +176,16 @@ class _Parser:
             return
         if tag in BLOCK:
             self.flush()
-            if i := self.last(("head",)):
+            if i := self.last("head"):
                 self.close(i)
-            i = self.last(("p",))
+            i = self.last("p")
             if i and self.blocks[-1] == i:
                 self.close(i)
             if tag in ("li", "dt", "dd", "tr", "td", "th", "option"):
                 ends = ("tr", "td", "th") if tag == "tr" else ("td", "th") if tag in ("td", "th") else ("dt", "dd") if tag in ("dt", "dd") else (tag,)
                 stops = ("ul", "ol", "dl", "table", "menu") + (("tr",) if tag in ("td", "th") else ())
-                stop = self.last(stops)
-                while (i := self.last(ends)) > stop:
+                stop = self.last(*stops)
+                while (i := self.last(*ends)) > stop:
                     self.close(i)
         if tag in VOID or attributes.endswith("/") and tag not in BLOCK:
             return
@@ -191,7 +195,7 @@ class _Parser:
     def end(self, tag: str) -> None:
         if tag in BLOCK:
             self.flush()
-        i = self.last((tag,))
+        i = self.last(tag)
         if i and (tag in BLOCK or i > self.blocks[-1]):  # an inline end tag closes nothing outside its block
             self.close(i)
 
@@ -260,22 +264,38 @@ def _path_vector(path: Path) -> np.ndarray:
     return path.vector
 
 
-def _word_vector(text: str) -> np.ndarray:
-    """All words, repeated ones by the logarithm, at a length of 1 for four different words or more."""
-    words = Counter(_WORDS.findall(text.lower()))
-    slots = np.fromiter((_slot("w:" + w, WORD_DIM) for w in words), np.int64, len(words))
-    weights = 1 + np.log(np.fromiter(words.values(), float, len(words)))
-    found = np.bincount(slots, weights, 2 * WORD_DIM)
-    return (found[:WORD_DIM] - found[WORD_DIM:]) / max(4, (weights**2).sum()) ** 0.5
+@functools.lru_cache(1 << 16)
+def _word_slot(word: str) -> int:
+    return _slot("w:" + word, WORD_DIM)
+
+
+def _word_vectors(texts: list[str]) -> np.ndarray:
+    """Per text all words, repeated ones by the logarithm, at a length of 1 for four different words or more."""
+    slots, counts, sizes = [], [], []
+    for text in texts:
+        words = Counter(_WORDS.findall(text.lower()))
+        slots.extend(map(_word_slot, words))
+        counts.extend(words.values())
+        sizes.append(len(words))
+    own, weights = np.repeat(np.arange(len(texts)), sizes), 1 + np.log(np.array(counts, float))
+    found = np.bincount(own * 2 * WORD_DIM + np.array(slots, np.int64), weights, len(texts) * 2 * WORD_DIM).reshape(-1, 2 * WORD_DIM)
+    lengths = np.bincount(own, weights**2, len(texts))
+    return (found[:, :WORD_DIM] - found[:, WORD_DIM:]) / np.sqrt(np.maximum(4, lengths))[:, None]
 
 
 def vectors(page: list[Block]) -> np.ndarray:
     out = np.zeros((len(page), DIM), np.float32)
+    if not page:
+        return out
+    out[:, DOWN : DOWN + WORD_DIM] = _word_vectors([b.text for b in page])
+    figures = []
     for k, b in enumerate(page):
         out[k, :DOWN] = _path_vector(b.path)
-        out[k, DOWN : DOWN + WORD_DIM] = _word_vector(b.text)
-        n = len(b.text)
-        out[k, DOWN + WORD_DIM :] = (np.log1p(n) / 5, b.linked / max(1, n), n > 80, sum(b.text.count(c) for c in ".!?") / max(1, n / 400) / 4, k / max(1, len(page)), k == 0, k == len(page) - 1, np.log1p(b.path.depth) / 2)
+        n, t = len(b.text), b.text
+        figures.append((b.linked / n, (t.count(".") + t.count("!") + t.count("?")) / max(1, n / 400) / 4, n, b.path.depth))
+    linked, marks, n, depth = np.array(figures).T
+    place = np.arange(len(page))
+    out[:, DOWN + WORD_DIM :] = np.stack([np.log1p(n) / 5, linked, n > 80, marks, place / len(page), place == 0, place == len(page) - 1, np.log1p(depth) / 2], 1)
     return out
 
 
@@ -346,7 +366,7 @@ class BiLstm:
                 for k, d in self.gradients(*groups[g]).items():
                     d = np.clip(d, -1, 1)
                     m[k], v[k] = 0.9 * m[k] + 0.1 * d, 0.999 * v[k] + 0.001 * d * d
-                    self.p[k] = (self.p[k] - 0.01 * 0.1 ** max(0.0, 2 * epoch / epochs - 1) * (m[k] / (1 - 0.9**t)) / (np.sqrt(v[k] / (1 - 0.999**t)) + 1e-8)).astype(np.float32)
+                    self.p[k] = (self.p[k] - 0.012 * 0.1 ** max(0.0, 2 * epoch / epochs - 1) * (m[k] / (1 - 0.9**t)) / (np.sqrt(v[k] / (1 - 0.999**t)) + 1e-8)).astype(np.float32)
 
 
 def padded(pages: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -394,21 +414,21 @@ def training_page(rng: np.random.Generator) -> tuple[str, list[bool]]:
     said = lambda n: " ".join(word() for _ in range(n)).capitalize()
     out, truth = [], []
     # Lists of any length from 1 on, short ones oftener; on many pages all stay short.
-    most = int(rng.choice([8, 8, 8, 30, 60, 120, 240]))
-    many = lambda top=1.0: int(np.exp(rng.uniform(0, np.log(max(2, most * top) + 1))))
+    most = fast.choice([8, 8, 8, 30, 60, 120, 240])
+    many = lambda top=1.0: int(np.exp(fast.uniform(0, np.log(max(2, most * top) + 1))))
 
     def put(text: str, main: bool, tag: str = "p", link: bool = False):
-        out.append(f"<{tag}>" + (f'<a href="/x">{text}</a>' if link else text) + (f"</{tag}>" if rng.random() < 0.97 else ""))
+        out.append(f"<{tag}>" + (f'<a href="/x">{text}</a>' if link else text) + (f"</{tag}>" if fast.random() < 0.97 else ""))
         truth.append(main)
 
     def prose() -> str:
         """Sentences, as articles and comments have them alike."""
-        return ". ".join(said(int(n)) for n in rng.choice([2, 5, 9, 15, 30], rng.integers(1, 5))) + "."
+        return ". ".join(said(int(n)) for n in fast.choices([2, 5, 9, 15, 30], k=fast.randint(1, 4))) + "."
 
-    long_lists, deep = rng.random() < 0.3, rng.random() < 0.3
+    long_lists, deep = fast.random() < 0.3, fast.random() < 0.3
 
     def utilities() -> str:
-        return " ".join(str(u).format(rng.integers(1, 13)) for u in rng.choice(_UTILITIES, rng.integers(1, 13)))
+        return " ".join(str(u).format(fast.randrange(1, 13)) for u in fast.choices(_UTILITIES, k=fast.randint(1, 12)))
 
     def named(tags: str) -> str:
         """Opening tags, with layout classes before their own on pages that have such."""
@@ -417,114 +437,114 @@ def training_page(rng: np.random.Generator) -> tuple[str, list[bool]]:
 
     def wrappers() -> int:
         """Opens so many nested containers without names of their own."""
-        n = int(rng.integers(1, 25)) if deep and rng.random() < 0.5 else 0
+        n = fast.randrange(1, 25) if deep and fast.random() < 0.5 else 0
         out.append("".join(named("<div>") for _ in range(n)))
         return n
 
     def thread():
         """Reader comments in one of many forms, all alike but for authors, replies and second paragraphs."""
-        item = str(rng.choice(["", "", '<div class="comment">', "<li>", '<li class="comment">', "<article>", '<div class="reply">', "<div>"]))
-        tag = str(rng.choice(["p", "p", "p", "div", "blockquote", "span"] if item else ["p", "p", "div", "li"]))
-        authors, answers, whole = rng.random() < 0.3, rng.random() < 0.3, rng.random() < 0.5
+        item = fast.choice(["", "", '<div class="comment">', "<li>", '<li class="comment">', "<article>", '<div class="reply">', "<div>"])
+        tag = fast.choice(["p", "p", "p", "div", "blockquote", "span"] if item else ["p", "p", "div", "li"])
+        authors, answers, whole = fast.random() < 0.3, fast.random() < 0.3, fast.random() < 0.5
         listed = item.startswith("<li") or tag == "li"
-        out.append(str(rng.choice(["<ul>", "<ol>", '<ol class="children">'])) if listed and rng.random() < 0.7 else "")
+        out.append(fast.choice(["<ul>", "<ol>", '<ol class="children">']) if listed and fast.random() < 0.7 else "")
         for _ in range(many()):
             out.append(item)
             if authors:
-                put(said(int(rng.integers(1, 3))), False, str(rng.choice(["div", "h4", "footer", "cite"])) if item else "h4", rng.random() < 0.3)
-            for _ in range(1 if whole or rng.random() < 0.8 else rng.integers(2, 4)):
-                put(prose() if rng.random() < 0.8 else said(int(rng.integers(1, 6))), False, tag if item or tag != "span" else "p")
+                put(said(fast.randrange(1, 3)), False, fast.choice(["div", "h4", "footer", "cite"]) if item else "h4", fast.random() < 0.3)
+            for _ in range(1 if whole or fast.random() < 0.8 else fast.randrange(2, 4)):
+                put(prose() if fast.random() < 0.8 else said(fast.randrange(1, 6)), False, tag if item or tag != "span" else "p")
                 if tag == "span":
                     out.append("<hr>")
             if answers:
-                put(str(rng.choice(["Reply", "Report", "Like"])), False, "div", True)
+                put(fast.choice(["Reply", "Report", "Like"]), False, "div", True)
             out.append("".join(f"</{t}>" for t in re.findall(r"<(\w+)", item)))
         out.append("</ul></ol>" if listed else "")
 
     def chrome(kind: str):
-        name = str(rng.choice(_CHROME[kind]))
-        attr = f' {rng.choice(["class", "class", "id"])}="{name}{rng.choice(["", "", " box", " c" + str(rng.integers(99))])}"'
+        name = fast.choice(_CHROME[kind])
+        attr = f' {fast.choice(["class", "class", "id"])}="{name}{fast.choice(["", "", " box", " c" + str(fast.randrange(99))])}"'
         tag = {"menu": "nav", "header": "header", "footer": "footer", "sidebar": "aside", "form": "form", "comments": "section"}.get(kind, "div")
-        listed = kind == "comments" and rng.random() < 0.3
+        listed = kind == "comments" and fast.random() < 0.3
         if listed:
-            tag = str(rng.choice(["ul", "ol"]))
-        elif rng.random() < 0.35:
-            tag = str(rng.choice(["div", "div", "section"]))
-        elif rng.random() < 0.6 and tag not in ("div", "section"):
+            tag = fast.choice(["ul", "ol"])
+        elif fast.random() < 0.35:
+            tag = fast.choice(["div", "div", "section"])
+        elif fast.random() < 0.6 and tag not in ("div", "section"):
             attr = ""
         out.append(named(f"<{tag}{attr}>"))
         inside = wrappers() if not listed else 0
-        if kind == "menu" or kind in ("sidebar", "header", "share", "footer") and rng.random() < 0.4:
-            out.append("<ul>" if (bare := rng.random() < 0.8) else "")
-            equal = said(int(rng.integers(1, 4))) if rng.random() < 0.1 else ""
-            for _ in range(many() if rng.random() < 0.8 else 1):
-                put(equal or (str(rng.choice(_SAID[kind])) if rng.random() < 0.1 else said(int(rng.integers(1, 8)))), False, "li" if bare else "div", True)
+        if kind == "menu" or kind in ("sidebar", "header", "share", "footer") and fast.random() < 0.4:
+            out.append("<ul>" if (bare := fast.random() < 0.8) else "")
+            equal = said(fast.randrange(1, 4)) if fast.random() < 0.1 else ""
+            for _ in range(many() if fast.random() < 0.8 else 1):
+                put(equal or (fast.choice(_SAID[kind]) if fast.random() < 0.1 else said(fast.randrange(1, 8))), False, "li" if bare else "div", True)
             out.append("</ul>" if bare else "")
         elif kind == "comments":
-            if rng.random() < 0.5 and not listed:
-                put(str(rng.choice(_SAID[kind])) if rng.random() < 0.6 else said(2), False, str(rng.choice(["h2", "h3"])))
+            if fast.random() < 0.5 and not listed:
+                put(fast.choice(_SAID[kind]) if fast.random() < 0.6 else said(2), False, fast.choice(["h2", "h3"]))
             thread()
         else:
-            if rng.random() < 0.3:
-                put(str(rng.choice(_SAID[kind])) if rng.random() < 0.5 else said(2), False, str(rng.choice(["h2", "h3", "h4"])))
-            for _ in range(1 if rng.random() < 0.6 else many(0.2)):
-                text = prose() if rng.random() < 0.2 else said(int(rng.integers(1, 22))) + ("." if rng.random() < 0.6 else "")
-                text = f"&copy; {text}" if kind == "footer" and rng.random() < 0.6 else str(rng.choice(_SAID[kind])) if rng.random() < 0.1 else text
-                if rng.random() < 0.35:
+            if fast.random() < 0.3:
+                put(fast.choice(_SAID[kind]) if fast.random() < 0.5 else said(2), False, fast.choice(["h2", "h3", "h4"]))
+            for _ in range(1 if fast.random() < 0.6 else many(0.2)):
+                text = prose() if fast.random() < 0.2 else said(fast.randrange(1, 22)) + ("." if fast.random() < 0.6 else "")
+                text = f"&copy; {text}" if kind == "footer" and fast.random() < 0.6 else fast.choice(_SAID[kind]) if fast.random() < 0.1 else text
+                if fast.random() < 0.35:
                     out.append(text)
                     out.append("<hr>")
                     truth.append(False)
                 else:
-                    put(text, False, str(rng.choice(["p", "div", "label" if kind == "form" else "p"])) if kind != "form" else "p", rng.random() < 0.25)
+                    put(text, False, fast.choice(["p", "div", "label" if kind == "form" else "p"]) if kind != "form" else "p", fast.random() < 0.25)
         out.append("</div>" * inside + f"</{tag}>")
 
     around = wrappers()
     for kind in ("notice", "header", "menu", "advert", "form", "sidebar"):
-        if rng.random() < (0.65 if kind == "menu" else 0.35):
+        if fast.random() < (0.65 if kind == "menu" else 0.35):
             chrome(kind)
-    start = str(rng.choice(_CONTAINERS))
+    start = fast.choice(_CONTAINERS)
     out.append(named(start))
     inside = wrappers()
-    if rng.random() < 0.75:
-        put(said(int(rng.integers(3, 10))), True, str(rng.choice(["h1", "h1", "h2"])))
-    if rng.random() < 0.12:
+    if fast.random() < 0.75:
+        put(said(fast.randrange(3, 10)), True, fast.choice(["h1", "h1", "h2"]))
+    if fast.random() < 0.12:
         chrome("share")
-    for _ in range(many(0.7) if rng.random() < 0.8 else 1):
-        roll = rng.random()
+    for _ in range(many(0.7) if fast.random() < 0.8 else 1):
+        roll = fast.random()
         if roll < 0.07:
-            put(said(int(rng.integers(1, 6))), True, str(rng.choice(["h2", "h3"])))
+            put(said(fast.randrange(1, 6)), True, fast.choice(["h2", "h3"]))
         elif roll < 0.12:
             out.append("<ul>")
             for _ in range(many(0.3)):
-                put(said(int(rng.integers(2, 15))), True, "li")
+                put(said(fast.randrange(2, 15)), True, "li")
             out.append("</ul>")
         elif roll < 0.15:
-            put(said(int(rng.integers(5, 30))), True, "blockquote")
+            put(said(fast.randrange(5, 30)), True, "blockquote")
         elif roll < 0.17:
             out.append("<table><tr>")
-            for _ in range(rng.integers(2, 5)):
-                put(said(int(rng.integers(1, 4))), True, "td")
+            for _ in range(fast.randrange(2, 5)):
+                put(said(fast.randrange(1, 4)), True, "td")
             out.append("</tr></table>")
         elif roll < 0.2:
-            chrome(str(rng.choice(["advert", "form", "share", "sidebar", "notice"])))
+            chrome(fast.choice(["advert", "form", "share", "sidebar", "notice"]))
         else:
-            text = prose() if rng.random() < 0.7 else said(int(rng.choice([1, 2, 6, 15, 60, 120]))) + "."
-            if rng.random() < 0.2:
+            text = prose() if fast.random() < 0.7 else said(fast.choice([1, 2, 6, 15, 60, 120])) + "."
+            if fast.random() < 0.2:
                 text = f'{text} <a href="/y">{said(2)}</a> {said(5)}.'
-            if rng.random() < 0.2:
-                text = f"<b>{text}" + ("</b>" if rng.random() < 0.5 else "<br>")
+            if fast.random() < 0.2:
+                text = f"<b>{text}" + ("</b>" if fast.random() < 0.5 else "<br>")
             put(text, True)
-    for _ in range(int(rng.integers(0, 3)) if rng.random() < 0.5 else 0):
-        chrome(str(rng.choice(["comments", "comments", "share", "sidebar", "form", "footer"])))
+    for _ in range(fast.randrange(0, 3) if fast.random() < 0.5 else 0):
+        chrome(fast.choice(["comments", "comments", "share", "sidebar", "form", "footer"]))
     out.append("</div>" * inside)
     out += [f"</{t}>" for t in reversed(re.findall(r"<(\w+)", start))]
     for kind in ("share", "comments", "advert", "sidebar", "form", "notice", "footer"):
-        if rng.random() < {"footer": 0.6, "comments": 0.45}.get(kind, 0.3):
+        if fast.random() < {"footer": 0.6, "comments": 0.45}.get(kind, 0.3):
             chrome(kind)
     return "<html><head><title>x</title></head><body>" + "".join(out) + "</div>" * around + "</body></html>", truth
 
 
-def training_groups(pages: int, rng: np.random.Generator, size: int = 40) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+def training_groups(pages: int, rng: np.random.Generator, size: int = 64) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """That many pages in groups of like length."""
     data = []
     while len(data) < pages:
