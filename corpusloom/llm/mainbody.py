@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import table
 
 PATH_DIM, WORD_DIM, FIGURES, HIDDEN, STEM = 128, 32, 8, 20, 5
-PAGES, EPOCHS, SEED, STRETCH, TOGETHER = 1800, 14, 7, 400, 64
+PAGES, EPOCHS, SEED, STRETCH, TOGETHER = 1800, 14, 3, 400, 64
 MANY = 12  # different path words from which on their sum is scaled down
 
 # Fixed values of HTML: elements that break a line of text, that have no end tag, whose content is no text, and that end an open <p>.
