@@ -2,7 +2,13 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written as
 Parquet and read again as the next one's docs. All but the last return the
-columns of docs.
+columns of docs, whatever these are called.
+
+Cases, the same in all stages: null and empty texts have no words, shingles, passages
+or tokens; they are kept by the first three stages unless the model takes the empty
+text for toxic, and by the mix never, as they add no words. Very long texts count
+whole. Rows without a doc_id are rows like others. Repeated rows are each judged alike,
+but for the passages, of which the later row loses its copy. Empty tables give none.
 """
 
 from __future__ import annotations
@@ -19,7 +25,10 @@ ORACLE_SQL = None
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """docs without those that the classifier, learned from labels and docs, takes for toxic as operator 8 does."""
+    """docs without those that the classifier, learned from labels and docs, takes for toxic as operator 8 does.
+
+    Null and empty texts score from the bias alone; without labels every text scores the prior.
+    """
     return toxicity.flagged(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")), toxicity.THRESHOLD)
 
 
@@ -33,21 +42,24 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """docs without the bytes of passages of 100 bytes or more that start earlier; n_chars is counted again."""
+    """docs without the bytes of passages of 100 bytes or more that start earlier; n_chars is counted again.
+
+    A document that loses its whole text goes; one that had none stays.
+    """
     return suffix_dedup.deduplicated(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document as often as the mix to the weights 1, 2, 3 takes it."""
+    """Every document as often as the mix to the weights 1, 2, 3 takes it; those without words not at all."""
     rows = keyed(docs, True)
     sizes = rows.select(F.col("key").alias("doc_id"), F.col("row")["source"].alias("source"), "text")
     copies = mixing.mix(sizes, F.regexp_count("text", F.lit(WORD_SQL))).filter("copies > 0").select(F.col("doc_id").alias("key"), "copies")
-    taken = rows.join(copies.hint("shuffle_hash"), "key").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+    taken = rows.join(copies.hint("shuffle_hash"), "key").select("row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
     return taken.select(*[F.col("row")[c].alias(c) for c in docs.columns])
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256, ids (little-endian 32-bit) of every row."""
+    """doc_id, n_tokens, ids_sha256, decoded_sha256, ids (little-endian 32-bit) of every row; null texts as empty ones."""
     return bpe.digests(docs, bpe.vocabulary(), with_ids=True)
 
 
