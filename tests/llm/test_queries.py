@@ -428,36 +428,3 @@ def test_pipeline_drops_what_is_predicted_toxic(spark, odd, monkeypatch):
     for score, kept in ((0.4, 0), (0.29, start.count())):
         monkeypatch.setattr(toxicity, "fit", lambda *_: toxicity.Model(np.zeros(0, np.uint64), np.zeros(0), float(np.log(score / (1 - score)))))  # noqa: B023
         assert corpus_pipeline.drop_toxic(spark, start, odd).count() == kept
-
-
-def test_pipeline(spark, odd):
-    """Each stage against a brute-force version on what the stage before has kept."""
-    from corpusloom.llm.common import table, written
-
-    stage = dict(corpus_pipeline.STAGES)
-    assert [k for k, _ in corpus_pipeline.STAGES] == ["toxicity", "near_dedup", "suffix_dedup", "mixing", "bpe"]
-    start = table(spark, odd, "documents")
-    clean = written(stage["toxicity"](spark, start, odd), "t")
-    model = toxicity.fit(start, table(spark, odd, "labels"))
-    assert {r.doc_id for r in clean.collect()} == {r.doc_id for r in toxicity.score(start, model).collect() if r.score < toxicity.THRESHOLD} and clean.columns == start.columns
-    near = written(stage["near_dedup"](spark, start, odd), "t")
-    rows = docs(spark, odd)
-    group = near_groups(rows, 5, 80)
-    assert sorted(r.doc_id for r in near.collect()) == sorted(i for i, _, _ in rows if group[i] == i)
-    cut = written(stage["suffix_dedup"](spark, near, odd), "t")
-    kept = in_order([(r.doc_id, r.text) for r in near.collect()])
-    seqs = [(i, (t or "").encode()) for i, t in kept]
-    want = {}
-    for (i, b), g, (_, t) in zip(seqs, windows_gone(seqs, 100), kept):
-        left = bytes(x for x, y in zip(b, g) if not y).decode("utf-8", "ignore")
-        if left or not any(g):
-            want[i] = t if not any(g) else left
-    assert {r.doc_id: r.text for r in cut.collect()} == want and all(r.n_chars == len(r.text) for r in cut.collect() if r.text is not None)
-    mixed = written(stage["mixing"](spark, cut, odd), "t")
-    counts = defaultdict(int)
-    for r in mixed.collect():
-        counts[r.doc_id] += 1
-    assert max(counts.values()) <= 3 and mixed.columns == start.columns and set(counts) <= set(want)
-    ids = stage["bpe"](spark, mixed, odd).collect()
-    assert len(ids) == mixed.count() and all(len(r.ids) == 4 * r.n_tokens and sha(r.ids) == r.ids_sha256 for r in ids)
-    assert corpus_pipeline.run(spark, odd).count() > 0
