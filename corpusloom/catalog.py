@@ -427,21 +427,76 @@ def _references(spark, d) -> DataFrame:
 _STUB = StubProvider(seed=3, malformed=0.2, failing=0.05)
 
 
-@query()
+# The stub answers by hash, so all rounds of a run can be laid out beside each other in SQL: a task is done in its first good
+# round, and the run ends with the first round after which few enough are left.
+_REFS_SQL = "r1 AS (SELECT 'b_' || (row_number() OVER (ORDER BY item_id) - 1) AS index, 'b' AS title, text AS contents FROM benchmark)"
+
+
+def _draw(what: str, kind: str, step: int) -> str:
+    return f"(('0x' || substr(md5('3:{what}:{kind}:{step}:' || r || ':' || index || ':' || item_ord), 1, 8))::BIGINT / 4294967296.0)"
+
+
+def _rounds(name: str, rows: str, kind: str, step: int = 1, share: float | None = None, labelled: bool = True) -> str:
+    """CTE name: rows(index, item_ord, ...) that are done, with r, their round, and pick. share: of tasks that may fail, none without."""
+    good = f"{_draw('fail', kind, step)} >= 0.05" + (f" AND {_draw('bad', kind, step)} >= 0.2" if labelled else "")
+    few = f"greatest(1, CAST(floor({share} * (SELECT count(*) FROM {rows})) AS BIGINT))" if share else "0"
+    return f"""{name}_f AS (SELECT index, item_ord, coalesce(min(r) FILTER (WHERE {good}), 99) AS r FROM (SELECT *, unnest(range(0, 10)) AS r FROM {rows}) GROUP BY index, item_ord),
+{name}_t AS (SELECT min(t) AS t FROM (SELECT unnest(range(1, 11)) AS t) WHERE t = 10 OR (SELECT count(*) FROM {name}_f f WHERE f.r >= t) <= {few}),
+{name} AS (SELECT *, {_draw("pick", kind, step)} AS pick, {_draw("bad", kind, step)} AS bad FROM (SELECT x.*, f.r FROM {rows} x JOIN {name}_f f USING (index, item_ord), {name}_t WHERE f.r < {name}_t.t))"""
+
+
+def _valued(items: str, name: str) -> str:
+    return _rounds(name, items, "value", labelled=False) + f", {name}_v AS (SELECT *, CASE WHEN bad < 0.2 THEN 9 ELSE CAST(floor(pick * 6) AS INTEGER) END AS value FROM {name})"
+
+
+def _mcqa_step(k: int) -> str:
+    """CTEs of a step: references r{k}, finished items m{k}, references of the next step."""
+    key = f"index || ':' || item_ord || ':{k}'"
+    return f"""t{k} AS (SELECT *, 0 AS item_ord FROM r{k}), {_rounds(f"g{k}", f"t{k}", "mcqa", k, 0.1)},
+b{k} AS (SELECT index, r, ntile(4) OVER (PARTITION BY r ORDER BY index) + 3 AS n FROM (SELECT index, unnest(range(0, least(r, 9) + 1)) AS r FROM g{k}_f)),
+i{k} AS (SELECT index, title, contents, n, CAST(unnest(range(0, 2)) AS INTEGER) AS item_ord FROM g{k} JOIN b{k} USING (index, r)),
+{_rounds(f"h{k}", f"i{k}", "hallucination", 1, 0.05)},
+p{k} AS (SELECT index, item_ord, title, contents, {k} AS step, index || ' 문제 ' || item_ord AS question, CAST(item_ord % n AS INTEGER) AS old, {key} AS key,
+  list_transform(list_sort([{{'h': md5({key} || ':' || j), 'j': j}} for j in range(0, n)]), lambda s: s.j) AS perm FROM h{k}),
+s{k} AS (SELECT *, array_to_string([chr(CAST(64 + j AS INTEGER)) || '. 보기 ' || perm[j] for j in range(1, len(perm) + 1)], '|') AS options, chr(CAST(64 + list_position(perm, old) AS INTEGER)) AS answer FROM p{k}),
+{_valued(f"s{k}", f"v{k}")},
+m{k} AS (SELECT index, item_ord, title, contents, step, question, options, '자료를 읽고 계산한다. ' || replace([{_CLOSINGS}][{_DRAWN.format("key", len(debias.CONCLUSIONS))} + 1], '{{}}', answer) AS reasoning_process, answer, value FROM v{k}_v WHERE value <= 5),
+r{k + 1} AS (SELECT * FROM r{k} WHERE index IN (SELECT index FROM h{k}))"""
+
+
+@query(f"WITH {_REFS_SQL}, {_mcqa_step(1)}, {_mcqa_step(2)} SELECT *, 'usable' AS hallucination, '' AS hallucination_desc, 'mcqa' AS type, 'stub' AS oai_model FROM (SELECT * FROM m1 UNION ALL SELECT * FROM m2)")
 def mcqa_pipeline_stub(spark, d):
-    return pipelines.mcqa(_references(spark, d), pipelines.Settings(name="mcqa", n_datasets=2, tolerance=0.1), _STUB).drop("update_at")
+    rows = pipelines.mcqa(_references(spark, d), pipelines.Settings(name="mcqa", n_datasets=2, tolerance=0.1), _STUB).drop("update_at")
+    return rows.withColumn("options", F.array_join("options", "|"))
 
 
-@query()
+@query(f"""WITH {_REFS_SQL}, t AS (SELECT *, 0 AS item_ord FROM r1), {_rounds("g", "t", "qa", 1, 0.1)},
+i AS (SELECT index AS reference_index, title, contents, CAST(k AS INTEGER) AS item_ord, index || '_' || k AS index, index || ' 질문 ' || k AS question, '답 ' || k AS old_answer FROM (SELECT * EXCLUDE (item_ord), unnest(range(0, 2)) AS k FROM g)),
+{_rounds("a", "i", "qa", 2, labelled=False)}, a2 AS (SELECT * EXCLUDE (r, pick, bad) FROM a), {_rounds("p", "a2", "preference", 1, 0.05)},
+p2 AS (SELECT * EXCLUDE (r, pick, bad), substr('ABE', CAST(floor(pick * 3) AS INTEGER) + 1, 1) AS preference FROM p), {_valued("p2", "v")}
+SELECT reference_index, title, contents, item_ord, index, question, old_answer, '자료 없이 쓴 답' AS answer, preference, '' AS preference_desc, 'qa' AS type, value, 'stub' AS oai_model FROM v_v WHERE value <= 5""")
 def qa_pipeline_stub(spark, d):
     return pipelines.qa(_references(spark, d), pipelines.Settings(name="qa", n_datasets=2, tolerance=0.1), _STUB).drop("update_at")
 
 
-@query()
+@query(f"""WITH {_REFS_SQL}, t AS (SELECT *, 0 AS item_ord FROM r1), {_rounds("c", "t", "classification", 1, 0.05)}
+SELECT index, title, contents, 'references' AS type, ['quant', 'law', 'no'][CAST(floor(pick * 3) AS INTEGER) + 1] AS classification, 'stub' AS oai_model FROM c""")
 def classification_stub(spark, d):
     return pipelines.classification(_references(spark, d), pipelines.Settings(name="class", tolerance=0.1), _STUB).drop("update_at")
 
 
+_SHOTS = [(f"mcqa_{n}.txt", p, f"example {n}.{p}") for n in (4, 5, 6) for p in range(n - 3)]
+
+
+@query(f"""WITH s AS (SELECT * FROM (VALUES {", ".join(map(str, _SHOTS))}) v(file, pos, example)), n AS (SELECT file, count(*) AS n FROM s GROUP BY file),
+d AS (SELECT doc_id, 'mcqa_' || (doc_id % 4 + 4) || '.txt' AS file FROM documents)
+SELECT doc_id, example FROM d LEFT JOIN n USING (file) LEFT JOIN s ON s.file = d.file AND s.pos = ('0x' || substr(md5(doc_id::VARCHAR), 1, 8))::BIGINT % n""")
+def fewshot_files(spark, d):
+    shots = spark.createDataFrame(_SHOTS, "file string, pos int, example string")
+    file = F.concat(F.lit("mcqa_"), (F.col("doc_id") % 4 + 4).cast("string"), F.lit(".txt"))
+    return prompts.with_fewshot(_t(spark, d, "documents").select("doc_id"), shots, file, F.col("doc_id").cast("string"))
+
+
 @query("SELECT doc_id, CAST(coalesce(sum(length(text)) OVER (ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS at FROM documents")
 def running_length(spark, d):
     return numbered(_t(spark, d, "documents").select("doc_id", F.length("text").alias("n")), ["doc_id"], "at", F.col("n")).select("doc_id", "at")

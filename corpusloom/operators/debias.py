@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 CONCLUSIONS = tuple(f"{a} {{}}{b}" for a in ("이 풀이대로라면 정답은", "그러므로 고를 답은", "앞의 계산에 비추어 정답은", "위 내용에 따라 정답은", "종합하면 정답은") for b in ("입니다.", "이다.", " 입니다.", "가 됩니다."))
 
 
-def drawn(key: Column, n: int) -> Column:
+def drawn(key: Column, n: int | Column) -> Column:
     """A number below n, by hash of key."""
-    return F.pmod(F.conv(F.left(F.md5(key), F.lit(8)), 16, 10).cast("long"), F.lit(n)).cast("int")
+    return F.pmod(F.conv(F.left(F.md5(key), F.lit(8)), 16, 10).cast("long"), F.lit(n) if isinstance(n, int) else n).cast("int")
 
 
 def permutation(key: Column, n: Column) -> Column:

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.debias import drawn
+from .barrier import fresh
 
 ROLES = {"accounting": "회계 전문가", "market": "금융시장 전문가", "law": "금융법규 전문가", "quant": "퀀트 전문가", "common": "금융 전문가"}
 TASKS = {"knowledge": "지식 이해", "math": "계산과 추론", "common": "종합"}
@@ -156,3 +157,15 @@ def fewshot(task: str, n_options: Column, key: Column) -> Column:
     if task != "common":
         return table(task)
     return F.when(drawn(key, 2) == 0, table("knowledge")).otherwise(table("math"))
+
+
+def with_fewshot(rows: DataFrame, shots: DataFrame, file: Column, key: Column) -> DataFrame:
+    """rows with example, one of the examples in the file named, drawn by hash of key; null where there is no such file.
+
+    shots: file, pos (from 0), example, as `sources.files.fewshots` reads them.
+    """
+    name, n, pos, own = fresh([*rows.columns, "example"], "file", "n", "pos", "own")
+    counts = shots.groupBy(F.col("file").alias(name)).agg(F.count("*").alias(n))
+    asked = rows.withColumn(name, file).join(counts, name, "left").withColumn(pos, drawn(key, F.col(n)))
+    given = shots.select(F.col("file").alias(name), F.col("pos").alias(own), "example")
+    return asked.join(given.withColumnRenamed(own, pos), [name, pos], "left").select(*[c for c in rows.columns if c != "example"], "example")
