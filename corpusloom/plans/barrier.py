@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from collections.abc import Iterable
@@ -10,14 +12,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """spark.checkpoint.dir, which driver and executors share. Where it is unset, a local folder on a local master; else an error."""
+    """spark.checkpoint.dir, which driver and executors share. Where it is unset, a local folder, removed at exit, on a local master; else an error."""
     context = spark.sparkContext
     path = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
     if not path:
         if not context.master.startswith("local") or context.master.startswith("local-cluster"):
             raise RuntimeError("spark.checkpoint.dir has to name a folder that driver and executors share")
-        path = getattr(context, "_corpusloom_folder", None) or tempfile.mkdtemp(prefix="corpusloom-")
-        context._corpusloom_folder = path
+        path = getattr(context, "_corpusloom_folder", None)
+        if not path:
+            path = context._corpusloom_folder = tempfile.mkdtemp(prefix="corpusloom-")
+            atexit.register(shutil.rmtree, path, ignore_errors=True)
     return f"{path.rstrip('/')}/corpusloom-{context.applicationId}"
 
 
