@@ -32,7 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 
-MEMORY, SYMBOLS, WIDE, NAME_BYTES = 256 << 20, 1024, 16, 64
+MEMORY, SYMBOLS, WIDE, NAME_BYTES = 256 << 20, 1024, 8, 64
 _FAR = np.int32(2**30)
 
 
@@ -84,18 +84,19 @@ class Spool:
 
 class _Scan:
     """One direction of induction. Takes waves in scan order and puts their predecessors of type `small` at the end of their
-    symbols' queues: order and prefix from `fill` on, upwards for L and downwards for S."""
+    symbols' queues: order and prefix (if there is one) from `fill` on, upwards for L and downwards for S."""
 
-    def __init__(self, u: np.ndarray, small: int, order: np.ndarray, prefix: np.ndarray, fill: np.ndarray):
+    def __init__(self, u: np.ndarray, small: int, order: np.ndarray, prefix: np.ndarray | None, fill: np.ndarray):
         self.u, self.small, self.order, self.prefix, self.fill = u, small, order, prefix, fill
         self.since = np.full(len(fill), -1, np.int32)  # least common prefix scanned since the last push to a symbol
 
-    def wave(self, suffix: np.ndarray, prefix: np.ndarray) -> None:
+    def wave(self, suffix: np.ndarray, prefix: np.ndarray | None) -> None:
         before = suffix - np.int32(1)
         code = self.u[before]  # of suffix 0: the last one, taken out below
         at = np.flatnonzero((code & 1 == self.small) & (before >= 0))
         if not len(at):
-            np.minimum(self.since, prefix.min(), out=self.since)
+            if prefix is not None:
+                np.minimum(self.since, prefix.min(), out=self.since)
             return
         to = code[at] >> 1
         if len(at) > 1:
@@ -105,19 +106,23 @@ class _Scan:
             sizes = np.diff(first, append=len(at))
         else:
             first, sizes = np.zeros(1, np.int64), np.ones(1, np.int64)
+        targets = to[first]
+        step = np.arange(len(at)) - np.repeat(first, sizes)
+        place = np.repeat(self.fill[targets], sizes) + (-1 - step if self.small else step)
+        self.fill[targets] += -sizes if self.small else sizes
+        self.order[place] = before[at]
+        if prefix is None:
+            return
         start = np.empty(len(at), np.int64)
         start[1:] = at[:-1] + 1
         start[first] = 0
-        targets, pad = to[first], np.append(prefix, _FAR)
+        pad = np.append(prefix, _FAR)
         least = np.minimum.reduceat(pad, np.stack([start, at + 1], 1).reshape(-1))[::2]
         least[first] = np.minimum(least[first], self.since[targets])
         np.minimum(self.since, prefix.min(), out=self.since)
         tail = at[first + sizes - 1] + 1
         self.since[targets] = np.minimum.reduceat(pad, np.stack([tail, np.full(len(tail), len(prefix))], 1).reshape(-1))[::2]
-        step = np.arange(len(at)) - np.repeat(first, sizes)
-        place = np.repeat(self.fill[targets], sizes) + (-1 - step if self.small else step)
-        self.order[place], self.prefix[place] = before[at], least + np.int32(1)
-        self.fill[targets] += -sizes if self.small else sizes
+        self.prefix[place] = least + np.int32(1)
 
 
 class Suffixes:
@@ -181,14 +186,15 @@ class Suffixes:
             left = left[(got == WIDE) & (out[left] < limit)]
         return out
 
-    def induce(self, lms: np.ndarray, lms_prefix: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
-        """Order and common prefixes of all suffixes from those of the LMS suffixes, in order (None: prefixes do not matter)."""
+    def induce(self, lms: np.ndarray, lms_prefix: np.ndarray | None) -> tuple[np.ndarray, np.ndarray | None]:
+        """Order and common prefixes of all suffixes from those of the LMS suffixes, in order. Without these there are no prefixes."""
         scratch, ends = self.scratch, np.cumsum(self.counts)
         lows = ends - self.counts
-        order, prefix = scratch.array(self.n, np.int32), scratch.array(self.n, np.int32)
+        plain = lms_prefix is None
+        order, prefix = scratch.array(self.n, np.int32), None if plain else scratch.array(self.n, np.int32)
         scan = _Scan(self.u, 0, order, prefix, lows.copy())
         last = int(self.u[self.n - 1] >> 1)
-        order[lows[last]], prefix[lows[last]], scan.since[last] = self.n - 1, 0, 0
+        order[lows[last]], scan.since[last] = self.n - 1, 0
         scan.fill[last] += 1
         heads = np.zeros(self.symbols, np.int64)
         for a, b in scratch.pieces(len(lms)):
@@ -196,16 +202,16 @@ class Suffixes:
         bounds = np.append(0, np.cumsum(heads)).tolist()
         for c, low in enumerate(lows.tolist()):
             at = low
-            if (end := int(scan.fill[c])) > low:
+            if (end := int(scan.fill[c])) > low and not plain:
                 prefix[low] = 0
             while at < end:
                 b = min(end, at + scratch.piece)
-                scan.wave(np.asarray(order[at:b]), np.asarray(prefix[at:b]))
+                scan.wave(np.asarray(order[at:b]), None if plain else np.asarray(prefix[at:b]))
                 at, end = b, int(scan.fill[c])
             for a, b in scratch.pieces(bounds[c + 1], bounds[c]):
-                part = np.zeros(b - a, np.int32) if lms_prefix is None else np.array(lms_prefix[a:b])
-                if a == bounds[c]:
-                    part[0] = self._across(order[end - 1], lms[a], lms_prefix) if end > low else 0
+                part = None if plain else np.array(lms_prefix[a:b])
+                if a == bounds[c] and not plain:
+                    part[0] = self._across(order[end - 1], lms[a]) if end > low else 0
                 scan.wave(np.asarray(lms[a:b]), part)
         scan = _Scan(self.u, 1, order, prefix, ends.copy())
         larger = lows.tolist()
@@ -214,24 +220,31 @@ class Suffixes:
             top, back = at, int(scan.fill[c])
             while at > back:  # each has its prefix with the one after it: handed up once it is scanned
                 a = max(back, at - scratch.piece)
-                suffix, up = np.array(order[a:at]), np.array(prefix[a:at])
-                if at == top:
-                    up[-1] = 0
-                scan.wave(suffix[::-1], up[::-1])
-                prefix[a + 1 : min(at + 1, top)] = up[: min(at + 1, top) - a - 1]
+                suffix, up = np.array(order[a:at])[::-1], None if plain else np.array(prefix[a:at])
+                if plain:
+                    scan.wave(suffix, None)
+                else:
+                    if at == top:
+                        up[-1] = 0
+                    scan.wave(suffix, up[::-1])
+                    prefix[a + 1 : min(at + 1, top)] = up[: min(at + 1, top) - a - 1]
                 at, back = a, int(scan.fill[c])
-            if back < top:
-                carry = self._across(order[back - 1], order[back], lms_prefix) if back > low else 0
+            if back < top and not plain:
+                carry = self._across(order[back - 1], order[back]) if back > low else 0
                 prefix[back] = carry
             for b, a in self._downward(low, back):
-                suffix, p = np.asarray(order[a:b])[::-1], np.asarray(prefix[a:b])[::-1]
+                suffix = np.asarray(order[a:b])[::-1]
+                if plain:
+                    scan.wave(suffix, None)
+                    continue
+                p = np.asarray(prefix[a:b])[::-1]
                 scan.wave(suffix, np.append(np.int32(carry), p[:-1]))
                 carry = int(p[-1])
         return order, prefix
 
-    def _across(self, large: int, small: int, prefix: np.ndarray | None) -> int:
+    def _across(self, large: int, small: int) -> int:
         """Common prefix of an L and an S suffix of one symbol: the shorter of their runs."""
-        return 0 if prefix is None else min(self.run(int(large)), self.run(int(small)))
+        return min(self.run(int(large)), self.run(int(small)))
 
     def _downward(self, low: int, high: int) -> Iterator[tuple[int, int]]:
         while high > low:
@@ -240,11 +253,11 @@ class Suffixes:
             high = a
 
 
-def _names(s: Suffixes, place: np.ndarray, ranked: np.ndarray) -> tuple[np.ndarray, int]:
+def _names(s: Suffixes, place: np.ndarray, number: np.ndarray, ranked: np.ndarray) -> tuple[np.ndarray, int]:
     """Per LMS block in order of place, the number of different smaller blocks; and how many there are."""
     names, top, before = s.scratch.array(len(place), np.int32), -1, None
     for a, b in s.scratch.pieces(len(place)):
-        own = np.searchsorted(place, ranked[a:b])
+        own = number[ranked[a:b]]
         both = own if before is None else np.append(before, own)
         size = np.where(both + 1 < len(place), place[np.minimum(both + 1, len(place) - 1)] - place[both] + 1, 0)  # the last one equals no other
         x, y = both[:-1], both[1:]
@@ -313,6 +326,9 @@ def suffix_order(t: np.ndarray, limit: int = 2**30, scratch: Scratch | None = No
     place = s.blocks()
     if not len(place):
         return s.induce(place, np.zeros(0, np.int32))
+    number = scratch.array(n, np.int32)  # of the LMS suffix at a place
+    for a, b in scratch.pieces(len(place)):
+        number[place[a:b]] = np.arange(a, b, dtype=np.int32)
     # LMS blocks in order, by inducing from first symbols alone.
     by_symbol = scratch.array(len(place), np.int32)
     by_symbol[:] = place[np.argsort(s.u[place], kind="stable")]
@@ -324,7 +340,7 @@ def suffix_order(t: np.ndarray, limit: int = 2**30, scratch: Scratch | None = No
         ranked[k : k + len(part)] = part
         k += len(part)
     del order, prefix
-    names, kinds = _names(s, place, ranked)
+    names, kinds = _names(s, place, number, ranked)
     ranked_prefix = scratch.array(len(place), np.int32)
     ranked_prefix[:] = 0
     if kinds < len(place):
@@ -347,7 +363,6 @@ def suffix_order(t: np.ndarray, limit: int = 2**30, scratch: Scratch | None = No
     for a, b in scratch.pieces(len(place), 1):
         x, y = ranked[a - 1 : b - 1].astype(np.int64), ranked[a:b].astype(np.int64)
         known = np.asarray(ranked_prefix[a:b])
-        here = np.searchsorted(place, x)
-        skip = place[np.minimum(here + known, len(place) - 1)] - x
+        skip = place[np.minimum(number[x] + known, len(place) - 1)] - x
         ranked_prefix[a:b] = np.minimum(skip + s.common(x + skip, y + skip, limit), 2**30)
     return s.induce(ranked, ranked_prefix)
