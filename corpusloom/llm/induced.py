@@ -37,15 +37,15 @@ _FAR = np.int32(2**30)
 
 
 class Scratch:
-    """Arrays in memory, or in unlinked files from a sixteenth of `memory` on. spilled: bytes that went to files."""
+    """Arrays in memory, or in unlinked files from a 64th of `memory` on. spilled: bytes that went to files."""
 
     def __init__(self, memory: int = MEMORY):
         self.memory, self.spilled = memory, 0
-        self.piece = max(64, memory // 256)  # items that are worked on at once
+        self.piece = max(64, memory // 1024)  # items that are worked on at once
 
     def array(self, n: int, dtype) -> np.ndarray:
         size = n * np.dtype(dtype).itemsize
-        if size * 16 <= self.memory:
+        if size * 64 <= self.memory:
             return np.empty(n, dtype)
         self.spilled += size
         with tempfile.TemporaryFile() as f:
@@ -58,7 +58,7 @@ class Scratch:
 
 
 class Spool:
-    """Bytes that are added bit by bit: in memory, or in an unlinked file from an eighth of the memory on."""
+    """Bytes that are added bit by bit: in memory, or in an unlinked file from a 32nd of the memory on."""
 
     def __init__(self, scratch: Scratch):
         self.scratch, self.parts, self.size, self.file = scratch, [], 0, None
@@ -66,7 +66,7 @@ class Spool:
     def add(self, data: bytes) -> None:
         self.parts.append(data)
         self.size += len(data)
-        if sum(map(len, self.parts[-64:])) * 8 > self.scratch.memory or self.size * 8 > self.scratch.memory and len(self.parts) >= 64:
+        if sum(map(len, self.parts[-64:])) * 32 > self.scratch.memory or self.size * 32 > self.scratch.memory and len(self.parts) >= 64:
             self.file = self.file or tempfile.TemporaryFile()  # noqa: SIM115
             self.file.writelines(self.parts)
             self.scratch.spilled += sum(map(len, self.parts))
