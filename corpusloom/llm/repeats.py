@@ -8,11 +8,12 @@ fragment. All places of a window thus lie in fragments with the same anchor:
   folded to the first (inside a task before the shuffle, so a passage in a third
   of all texts stays small), and every later copy is covered;
 - where an anchor has fragments that differ, their contents are fetched and given
-  to the operator's own method (`decide`), block by block, which finds the windows
-  that start earlier elsewhere;
+  to the operator's own method (`decide`), block by block, some whole anchors at a
+  time, which finds the windows that start earlier elsewhere;
 - covered ranges come back by document.
 Nothing is sampled or capped: an anchor with more than CROWD different fragments
-is split into its single windows, dealt by their content.
+is split into its single windows, dealt by their content; copies of a window in one
+slice of texts are folded to the first before they are dealt.
 """
 
 from __future__ import annotations
@@ -42,8 +43,9 @@ HEAD = np.dtype([("by", "<u8"), ("key", "<i8"), ("s", "<u4"), ("n", "<u2")])
 
 @dataclass(frozen=True)
 class Unit:
-    """What a token is. `values` are compared by the operator's method: bytes, or 64-bit hashes of words. `most`: tokens that
-    the method is given at once, beyond which a block is worked off anchor by anchor."""
+    """What a token is. `values` are compared by the operator's method: bytes, or 64-bit hashes of words. `most`: tokens of whole
+    anchors that the method is given at once, so its cost follows the number of anchors and not the size of a block; an anchor
+    that has more is given whole."""
 
     window: int
     gram: int
@@ -124,6 +126,18 @@ def _joined(ranges: np.ndarray) -> np.ndarray:
     return out
 
 
+def anchors_at_once(head: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """Ranges of rows(by, n), sorted by anchor, of whole anchors with up to `most` tokens, or of one anchor with more."""
+    last, i = runs(head["by"])[1], 0
+    total = np.cumsum(head["n"].astype(np.int64))[last - 1] if len(head) else last
+    while i < len(head):
+        k = int(np.searchsorted(last, i, "right"))  # the anchor that starts at i
+        before = total[k - 1] if k else 0
+        j = int(last[max(k, int(np.searchsorted(total, before + most, "right")) - 1)])
+        yield i, j
+        i = j
+
+
 def _frame(batches: Iterator[pa.RecordBatch], kind: int) -> pd.DataFrame:
     parts = [b.to_pandas() for b in batches]
     out = pd.concat(parts) if parts else pd.DataFrame({"b": np.zeros(0, np.int32), "data": np.zeros(0, object)})
@@ -134,7 +148,7 @@ def covered(docs: DataFrame, unit: Unit, decide: Callable[[np.ndarray, np.ndarra
     """key and ranges (packed pairs of token numbers) of docs(key, text): the tokens in windows that also start earlier.
 
     decide(values of fragments in order of place, their sizes, window, scratch) gives the places in these values at which
-    windows start that start earlier too, in rising order, in pieces; it is called once for each block. A block comes as a
+    windows start that start earlier too, in rising order, in pieces; it is called for some whole anchors of a block at a time. A block comes as a
     stream of batches: its contents go to scratch files beyond a share of the memory, only 22 bytes a fragment stay.
     """
     spark = docs.sparkSession
@@ -217,7 +231,7 @@ def covered(docs: DataFrame, unit: Unit, decide: Callable[[np.ndarray, np.ndarra
                 got = [np.frombuffer(x, WANT) for x in lists[i:j]]
                 w = np.concatenate(got)
                 base = np.repeat(own[:-1], [len(x) for x in got])
-                by = w["h"]
+                by, copy = w["h"], None
                 if w["crowd"].any():  # one row for each window, dealt by content
                     times = np.where(w["crowd"] > 0, w["m"], 1)
                     step = np.arange(int(times.sum())) - np.repeat(np.cumsum(times) - times, times)
@@ -227,8 +241,15 @@ def covered(docs: DataFrame, unit: Unit, decide: Callable[[np.ndarray, np.ndarra
                     w["m"][crowd] = 1
                     start = base + w["s"]
                     by = np.where(crowd, RangeHash(codes).of(start, start + window), w["h"])
+                    own_crowd = np.flatnonzero(crowd)
+                    own_crowd = own_crowd[np.lexsort((w["s"][own_crowd], w["key"][own_crowd], by[own_crowd]))]
+                    copy = np.zeros(len(w), bool)
+                    copy[own_crowd] = True
+                    copy[own_crowd[runs(by[own_crowd])[0]]] = False
                 head = np.zeros(len(w), HEAD)
                 head["by"], head["key"], head["s"], head["n"] = by, w["key"], w["s"], w["m"] + window - 1
+                if copy is not None:  # the first of them is in the slice, so these are covered: they go without contents
+                    head["n"][copy] = 0
                 n_ = head["n"].astype(np.int64)
                 index = np.repeat(base + w["s"] - (np.cumsum(n_) - n_), n_) + np.arange(int(n_.sum()))
                 heads.append(head)
@@ -243,17 +264,18 @@ def covered(docs: DataFrame, unit: Unit, decide: Callable[[np.ndarray, np.ndarra
     fetched = text.mapInArrow(fetch, "b int, head binary, body binary")
 
     def decided(heads: list[bytes], spool: Spool) -> Iterator[pa.RecordBatch]:
-        head, body, scratch = unpack(heads, HEAD), spool.all(np.uint64 if unit.words else np.uint8), spool.scratch
+        head, body, scratch, done_ = unpack(heads, HEAD), spool.all(np.uint64 if unit.words else np.uint8), spool.scratch, Packer(COVER, n)
+        folded, head = head[head["n"] == 0], head[head["n"] > 0]
+        rows = np.zeros(len(folded), COVER)
+        rows["key"], rows["a"], rows["b"] = folded["key"], folded["s"], folded["s"] + np.uint32(window)
+        rows = _joined(rows)
+        yield from done_.add(rows, mix(rows["key"].view(np.uint64)))
         sizes = head["n"].astype(np.int64)
         start = np.cumsum(sizes) - sizes
         # Fragments of different anchors share no window: anchors are worked off together up to `most` tokens.
         order = np.lexsort((head["s"], head["key"], head["by"]))
         head, sizes, start = head[order], sizes[order], start[order]
-        last = runs(head["by"])[1]
-        total, i, done_ = np.cumsum(sizes), 0, Packer(COVER, n)
-        while i < len(head):
-            before = total[i - 1] if i else 0
-            j = int(last[min(max(int(np.searchsorted(total[last - 1], before + unit.most, "right")) - 1, int(np.searchsorted(last, i, "right"))), len(last) - 1)])
+        for i, j in anchors_at_once(head, unit.most):
             own = np.lexsort((head["s"][i:j], head["key"][i:j])) + i
             ends = np.cumsum(sizes[own])
             flat = scratch.array(int(ends[-1]), body.dtype)
@@ -270,7 +292,6 @@ def covered(docs: DataFrame, unit: Unit, decide: Callable[[np.ndarray, np.ndarra
                 found.append(_joined(rows))
             rows = _joined(np.concatenate(found)) if found else np.zeros(0, COVER)
             yield from done_.add(rows, mix(rows["key"].view(np.uint64)))
-            i = j
         yield from done_.flush()
 
     def streamed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -28,7 +28,8 @@ from .common import table
 from .induced import Scratch, suffix_order
 from .repeats import Unit, covered, keyed
 
-BYTES = Unit(window=100, gram=32, words=False, most=1 << 30)
+#: Beyond a few MB a sort at once costs several times as much a byte: more levels of names.
+BYTES = Unit(window=100, gram=32, words=False, most=2 << 20)
 
 
 def repeated(values: np.ndarray, sizes: np.ndarray, window: int, scratch: Scratch | None = None) -> Iterator[np.ndarray]:

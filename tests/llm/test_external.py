@@ -1,5 +1,7 @@
 """Induced sorting on disk, and windows that repeat, against brute force."""
 
+from collections import Counter
+
 import numpy as np
 import pytest
 
@@ -91,6 +93,41 @@ def test_other_windows(spark, odd, window):
     assert got == want and (window > 300 or sum(want.values()) > 0)
 
 
+def test_blocks_are_worked_off_by_whole_anchors():
+    """A block of 24 MB goes to the sort in parts of at most `most`, but for an anchor that has more by itself."""
+    head = np.zeros(200_000, repeats.HEAD)
+    head["by"], head["n"] = np.sort(np.random.default_rng(1).integers(0, 50_000, len(head))), 120
+    head["by"][60_000:90_000] = head["by"][60_000]  # 3.6 MB
+    most = suffix_dedup.BYTES.most
+    parts = list(repeats.anchors_at_once(head, most))
+    assert [i for i, _ in parts] == [0, *[j for _, j in parts[:-1]]] and parts[-1][1] == len(head) and 12 <= len(parts) <= 14
+    assert all(head["by"][j - 1] != head["by"][j] for _, j in parts[:-1])
+    assert all(int(head["n"][i:j].sum(dtype=np.int64)) <= most or len(set(head["by"][i:j])) == 1 for i, j in parts)
+    assert list(repeats.anchors_at_once(head[:0], most)) == [] and list(repeats.anchors_at_once(head[:3], 1))[-1][1] == 3
+
+
+def test_copies_of_a_crowded_window_go_without_contents(spark, monkeypatch, tmp_path):
+    """A line in 300 texts that differ around it: its windows are given to the method a few times, not 300 times."""
+    monkeypatch.setattr(repeats, "CROWD", 20)
+    rng = np.random.default_rng(3)
+    letters = lambda n: rng.integers(97, 123, n).astype(np.uint8).tobytes()
+    line = letters(160)
+    texts = [letters(150) + line + letters(150) for _ in range(300)]
+
+    def noted(values, sizes, window, scratch):
+        with open(tmp_path / "given", "a") as f:
+            f.writelines(f"{values[e - n : e].tobytes().decode()}\n" for n, e in zip(sizes, np.cumsum(sizes)))
+        yield from suffix_dedup.repeated(values, sizes, window, scratch)
+
+    rows = spark.createDataFrame([(i, t.decode()) for i, t in enumerate(texts)], "key long, text string").repartition(2)
+    got = {r.key: np.frombuffer(r.ranges, np.uint32).reshape(-1, 2).tolist() for r in repeats.covered(rows, suffix_dedup.BYTES, noted).collect()}
+    gone = windows_gone(list(enumerate(texts)), 100)
+    assert all(sum(b - a for a, b in got.get(i, [])) == sum(g) for i, g in enumerate(gone)) and sum(map(sum, gone)) >= 299 * 160
+    given = Counter((tmp_path / "given").read_text().split())
+    inside = {w: n for w, n in given.items() if len(w) == 100 and w.encode() in line}
+    assert inside and max(inside.values()) <= 8
+
+
 def test_windows_that_are_no_windows():
     with pytest.raises(ValueError, match="windows"):
         repeats.Unit(window=20, gram=32, words=False, most=1)
