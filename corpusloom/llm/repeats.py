@@ -144,9 +144,11 @@ def _frame(batches: Iterator[pa.RecordBatch], kind: int) -> pd.DataFrame:
     return out.assign(kind=np.int32(kind))[["kind", "b", "data"]]
 
 
-def covered(docs: DataFrame, unit: Unit, decide: Callable[[np.ndarray, np.ndarray, int, Scratch], Iterable[np.ndarray]]) -> DataFrame:
+def covered(docs: DataFrame, unit: Unit, decide: Callable[[np.ndarray, np.ndarray, int, Scratch], Iterable[np.ndarray]], text: str = "text") -> DataFrame:
     """key and ranges (packed pairs of token numbers) of docs(key, text): the tokens in windows that also start earlier.
 
+    Other columns of docs go through the shuffle of the texts by key, so that a join of docs with the result can use it again.
+
     decide(values of fragments in order of place, their sizes, window, scratch) gives the places in these values at which
     windows start that start earlier too, in rising order, in pieces; it is called for some whole anchors of a block at a time. A block comes as a
     stream of batches: its contents go to scratch files beyond a share of the memory, only 22 bytes a fragment stay.
@@ -197,7 +199,7 @@ def covered(docs: DataFrame, unit: Unit, decide: Callable[[np.ndarray, np.ndarra
         out.append(_frame([*asked.add(want, mix(want["key"].view(np.uint64))), *asked.flush()], 1))
         return pd.concat(out)
 
-    dealt = docs.select("key", "text").mapInArrow(cut, Packer.SCHEMA)
+    dealt = docs.select("key", F.col(text).cast("string")).mapInArrow(cut, Packer.SCHEMA)
     met = written(dealt.groupBy("b").applyInPandas(meet, "kind int, b int, data binary"), "repeat-met")
 
     def wants(blobs):
@@ -260,8 +262,8 @@ def covered(docs: DataFrame, unit: Unit, decide: Callable[[np.ndarray, np.ndarra
                     yield from flush()
         yield from flush()
 
-    text = docs.select("key", "text").join(asked.hint("shuffle_hash"), "key").select("text", "wants")
-    fetched = text.mapInArrow(fetch, "b int, head binary, body binary")
+    texts = docs.join(asked.hint("shuffle_hash"), "key").select(F.col(text).cast("string").alias(text), "wants", *[c for c in docs.columns if c != text])
+    fetched = texts.mapInArrow(fetch, "b int, head binary, body binary")
 
     def decided(heads: list[bytes], spool: Spool) -> Iterator[pa.RecordBatch]:
         head, body, scratch, done_ = unpack(heads, HEAD), spool.all(np.uint64 if unit.words else np.uint8), spool.scratch, Packer(COVER, n)

@@ -76,10 +76,15 @@ def _cut(data: bytes, ranges: bytes | None) -> tuple[bytes, int, int]:
     return b"".join([*stay, data[last:]]), gone, len(r)
 
 
-def spans(docs: DataFrame, unit: Unit = BYTES, whole: bool = False) -> DataFrame:
-    """key, doc_id, text (row: all columns), ranges (packed pairs of byte numbers to remove, or null)."""
-    rows = keyed(docs, whole)
-    return rows.join(covered(rows.select("key", "text"), unit, repeated).hint("shuffle_hash"), "key", "left")
+def spans(docs: DataFrame, unit: Unit = BYTES) -> DataFrame:
+    """key, doc_id, text, ranges (packed pairs of byte numbers to remove, or null)."""
+    return _with_ranges(keyed(docs), unit, "text")
+
+
+def _with_ranges(rows: DataFrame, unit: Unit, text: str) -> DataFrame:
+    """rows(key, text, ...) with ranges. Fetching and this join need the same rows by key: one shuffle serves both."""
+    rows = rows.filter("key is not null")  # no key is; an inner join asks for that, and with it both sides are the same plan
+    return rows.join(covered(rows, unit, repeated, text).hint("shuffle_hash"), "key", "left")
 
 
 def deduplicated(docs: DataFrame, unit: Unit = BYTES, recount: str = "n_chars") -> DataFrame:
@@ -105,8 +110,9 @@ def deduplicated(docs: DataFrame, unit: Unit = BYTES, recount: str = "n_chars")
                     columns[at[recount]] = pa.array([None if t is None else len(t) for t in texts], columns[at[recount]].type)
                 yield pa.RecordBatch.from_arrays(columns, list(at)).filter(pa.array(keep, pa.bool_()))
 
-    rows = spans(docs, unit, True)
-    return rows.select(*[F.col("row")[c].alias(f"_{i}") for i, c in enumerate(docs.columns)], "ranges").mapInArrow(run, schema)
+    own = [f"_{i}" for i in range(len(docs.columns))]
+    rows = keyed(docs, True).select("key", *[F.col("row")[c].alias(o) for c, o in zip(docs.columns, own)])
+    return _with_ranges(rows, unit, own[at["text"]]).select(*own, "ranges").mapInArrow(run, schema)
 
 
 def op10_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -128,6 +128,16 @@ def test_copies_of_a_crowded_window_go_without_contents(spark, monkeypatch, tmp_
     assert inside and max(inside.values()) <= 8
 
 
+@pytest.mark.parametrize("which", ["odd", "repeated"])
+def test_texts_are_shuffled_once(spark, request, which):
+    """Fetching contents and the join with the ranges read one shuffle of the texts."""
+    start = spark.read.parquet(f"{request.getfixturevalue(which)}/documents.parquet")
+    for df in (suffix_dedup.spans(start).select("doc_id", "text", "ranges"), suffix_dedup.deduplicated(start)):
+        df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString().partition("Initial Plan")[0]
+        assert plan.count("ReusedExchange") == 1
+
+
 def test_windows_that_are_no_windows():
     with pytest.raises(ValueError, match="windows"):
         repeats.Unit(window=20, gram=32, words=False, most=1)
