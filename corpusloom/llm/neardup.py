@@ -178,7 +178,11 @@ def apart(long: DataFrame, known: DataFrame) -> DataFrame:
 
 
 def in_blocks(rows: DataFrame) -> DataFrame:
-    """Deals rows(key, node, minor, m, o, ...) to blocks (key, i, j) so that any two members of a list of which one is minor meet in one."""
+    """Deals rows(key, node, minor, m, o, ...) to blocks (key, i, j) so that any two members of a list of which one is minor meet in one.
+
+    rows, of which a document has no more than runs in its sketch, are written: both sides read them, and what they come from is joined once.
+    """
+    rows = written(rows, "near-members")
     many, few = F.ceil(F.col("m") / BLOCK).cast("int"), F.ceil(F.col("o") / BLOCK).cast("int")
     own = lambda wide: F.pmod(F.xxhash64("node"), wide).cast("int")
     right = rows.withColumn("i", F.explode(F.sequence(F.lit(0), few - 1))).withColumn("j", own(many))

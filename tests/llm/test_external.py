@@ -5,7 +5,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from corpusloom.llm import induced, repeats, suffix_dedup
+from corpusloom.llm import induced, neardup, repeats, suffix_dedup
 
 from test_queries import docs, in_order, windows_gone
 from test_queries import test_suffix as suffix_query
@@ -138,6 +138,15 @@ def test_texts_are_shuffled_once(spark, request, which):
         assert plan.count("ReusedExchange") == 1
 
 
+def test_members_of_lists_are_joined_once(spark):
+    """Dealing members to blocks reads what their join made, and makes the join not again for either side."""
+    members = spark.range(1200).selectExpr("id % 2 key", "id node", "id % 3 = 0 minor", "600L m", "200L o")
+    blocks = neardup.in_blocks(members.join(spark.range(1200).selectExpr("id node", "id n").hint("merge"), "node"))
+    assert "Join" not in blocks._jdf.queryExecution().optimizedPlan().toString()
+    dealt = blocks.groupBy("key", "node").agg({"*": "count"}).collect()
+    assert len(dealt) == 1200 and {(r.node % 3 == 0, r[2]) for r in dealt} == {(True, 3), (False, 1)}
+
+
 def test_windows_that_are_no_windows():
     with pytest.raises(ValueError, match="windows"):
         repeats.Unit(window=20, gram=32, words=False, most=1)
