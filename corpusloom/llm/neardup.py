@@ -15,11 +15,13 @@ Lists of more than PAIRED members are never turned into pairs of rows. Their
 members are first compared with the list's representative, the smallest by a hash,
 which lists of one group of copies have in common (each member in the FIRST of its
 lists only). What that links counts as one; only lists whose members are still apart
-go on: the members outside the largest part of a list are compared with all of it, in
+go on. Documents of one group have most of their lists in common: such lists are put
+together where their union has fewer pairs to compare than they have one by one. Then
+the members outside the largest part of a list are compared with all of it, in
 blocks of about BLOCK by BLOCK, first by sketch, and those with a partner by full
 sets, of which a spanning forest of each block's links leaves the task. So work grows
 with the members apart times the list, and every pair of a list that is not joined
-otherwise is compared (a pair that shares several runs in the list of the smallest).
+otherwise is compared (a pair in several lists at least in that of its smallest run).
 A list too long for one task (an estimate from a draw of the documents; it decides on
 the way, not on the result) is dealt to several; joins split hot keys.
 
@@ -39,10 +41,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Packer, RangeHash, buckets, buffers, by_bucket, byte_codes, lower_ascii, mix, runs, salted_join, slices, table, unpack, words, written
+from .common import Packer, RangeHash, buckets, buffers, by_bucket, byte_codes, hot_keys, lower_ascii, mix, runs, salted_join, slices, table, unpack, words, written
 from .components import components
 
-KEEP, RUN, FEW, FIRST, PAIRED, BLOCK, SLACK, SIGMAS, DRAW = 64, 3, 6, 3, 16, 512, 0.28, 6.5, 16
+KEEP, RUN, FEW, FIRST, PAIRED, BLOCK, SLACK, SIGMAS, DRAW, TURNS = 64, 3, 6, 3, 16, 512, 0.28, 6.5, 16, 8
 _A, _B, _C = np.uint64(0x9FB21C651E98DF25), np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F)
 
 _POST = np.dtype([("key", "<u8"), ("node", "<i8"), ("n", "<i4"), ("low", "u1"), ("part", "u1")])
@@ -167,14 +169,42 @@ def listed(reps: DataFrame, percent: int) -> DataFrame:
     return by_bucket(reps.select("node", "n", "sketch").mapInArrow(post, Packer.SCHEMA), lists, "key long, node long, m long")
 
 
-def apart(long: DataFrame, known: DataFrame) -> DataFrame:
+def spread(rows: DataFrame) -> DataFrame:
+    """key, m, o (members, and those outside the largest component), major (that component) of the lists of more than one component."""
+    parts = rows.groupBy("key", "component").agg(F.count("*").alias("c"))
+    lists = parts.groupBy("key").agg(F.sum("c").alias("m"), F.max("c").alias("c"), F.max_by("component", F.struct("c", "component")).alias("major")).filter("m > c")
+    return lists.select("key", "m", (F.col("m") - F.col("c")).alias("o"), "major")
+
+
+def together(rows: DataFrame) -> DataFrame:
+    """rows(key, node, component), written, with lists that have most members in common as one list under the smallest of their keys.
+
+    Lists with the same first member by a hash, another one each turn, are put together if their union has no more pairs to compare
+    than they have. Two members of a list stay in a list; lists of one component may go. A turn that saves little is the last.
+    """
+    pairs = F.col("m").cast("double") * F.col("o")
+    for turn in range(TURNS):
+        hot = hot_keys(rows, ["key"])
+        under = lambda of: (salted_join(rows, of, ["key"], ["node"], hot=hot) if hot else rows.join(of, "key")).select(F.col("into").alias("key"), "node", "component").distinct()  # noqa: B023, E731
+        heads = rows.groupBy("key").agg(F.min_by("node", F.xxhash64("node", F.lit(turn))).alias("head"))
+        lists = written(spread(rows).join(heads, "key").select("key", "head", pairs.alias("pairs")), "near-heads")
+        several = lists.groupBy("head").agg(F.min("key").alias("into"), F.sum("pairs").alias("before"), F.count("*").alias("lists")).filter("lists > 1")
+        union = spread(under(lists.join(several, "head").select("key", "into"))).select(F.col("key").alias("into"), pairs.alias("after"))
+        fewer = written(several.join(union, "into").filter("after <= before"), "near-together")
+        total, saved = lists.agg(F.sum("pairs")).first()[0] or 0, fewer.agg(F.sum(F.col("before") - F.col("after"))).first()[0] or 0
+        if 20 * saved <= total:
+            break
+        rows = written(under(lists.join(fewer.select("head", "into"), "head", "left").select("key", F.coalesce("into", "key").alias("into"))), "near-parts")
+    return rows
+
+
+def apart(long: DataFrame, known: DataFrame, merge: bool = False) -> DataFrame:
     """key, node, component, minor (outside the largest component of its list), m, o (members, and those outside) of the lists
-    whose members are not all linked by known(node, component)."""
+    whose members are not all linked by known(node, component); merge: of such lists put together."""
     rows = long.select("key", "node").distinct().join(known, "node", "left").withColumn("component", F.coalesce("component", "node"))
     rows = written(rows, "near-parts")
-    parts = rows.groupBy("key", "component").agg(F.count("*").alias("c"))
-    lists = parts.groupBy("key").agg(F.sum("c").alias("m"), F.max("c").alias("c"), F.max_by("component", F.struct("c", "component")).alias("major")).filter("m > c")
-    return salted_join(rows, lists.select("key", "m", (F.col("m") - F.col("c")).alias("o"), "major"), ["key"], ["node"]).withColumn("minor", F.col("component") != F.col("major"))
+    rows = together(rows) if merge else rows
+    return salted_join(rows, spread(rows), ["key"], ["node"]).withColumn("minor", F.col("component") != F.col("major"))
 
 
 def in_blocks(rows: DataFrame) -> DataFrame:
@@ -290,7 +320,7 @@ def near_links(docs: DataFrame, size: int = 5, percent: int = 80) -> tuple[DataF
     x, y = sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), sets.select(F.col("node").alias("b"), F.col("shingles").alias("y"))
     links = written(salted_join(near, x, ["a"], ["b"]).join(y, "b").select("a", "b", "x", "y").mapInPandas(_confirmed(percent), "a long, b long"), "near-links")
     known = components(links)
-    left = written(apart(long, known), "near-apart")
+    left = written(apart(long, known, True), "near-apart")
     if not left.limit(1).count():
         return all_docs, known
 
@@ -304,9 +334,9 @@ def near_links(docs: DataFrame, size: int = 5, percent: int = 80) -> tuple[DataF
         rate = percent / 100 * (1 + low / high) / (1 + percent / 100)
         enough = (rate - SIGMAS * np.sqrt(np.maximum(rate * (1 - rate), 0) / KEEP)) * np.minimum(size[:, None], size[None])
         links = (both >= enough) & (both > 0) & _compatible(n[:, None], n[None], percent) & (part[:, None] != part[None])
-        if links.any():  # pairs with a smaller run in common are compared there
+        if links.any():  # pairs with a run in common that is smaller than all of the list's are compared there
             keys, at = _runs_of(pa.array(f["sketch"]))
-            keys, at = keys[keys < key.view(np.uint64)[0]], at[keys < key.view(np.uint64)[0]]
+            keys, at = keys[keys.view(np.int64) < key[0]], at[keys.view(np.int64) < key[0]]
             order = np.argsort(at, kind="stable")
             links &= shared(np.split(keys[order], np.searchsorted(at[order], np.arange(1, len(sk))))) == 0
         some = np.flatnonzero(links.any(1))

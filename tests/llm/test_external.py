@@ -7,7 +7,7 @@ import pytest
 
 from corpusloom.llm import induced, neardup, repeats, suffix_dedup
 
-from test_queries import docs, in_order, windows_gone
+from test_queries import docs, in_order, near_groups, windows_gone
 from test_queries import test_suffix as suffix_query
 
 
@@ -147,6 +147,45 @@ def test_members_of_lists_are_joined_once(spark):
     assert len(dealt) == 1200 and {(r.node % 3 == 0, r[2]) for r in dealt} == {(True, 3), (False, 1)}
 
 
+def test_lists_with_the_same_members_are_dealt_to_blocks_once(spark, monkeypatch):
+    """400 copies of a text with few changes each, of which most stay apart: about the pairs of the group are compared, not those of each list."""
+    monkeypatch.setattr(neardup, "BLOCK", 64)
+    dealt, in_blocks = [], neardup.in_blocks
+
+    def counted(rows):
+        blocks = in_blocks(rows)
+        dealt.append(blocks.count())
+        return blocks
+
+    monkeypatch.setattr(neardup, "in_blocks", counted)
+    rng = np.random.default_rng(9)
+    base, texts = [f"w{i}" for i in range(120)], []
+    for i in range(400):
+        words = list(base)
+        for x in rng.choice(120, int(rng.integers(1, 5)), replace=False):
+            words[x] = f"x{i}.{x}"
+        texts.append((i, " ".join(words)))
+    got = {r.doc_id: r.component_id for r in neardup.groups(spark.createDataFrame(texts, "doc_id long, text string"), 5, 80).collect()}
+    assert got == near_groups(texts, 5, 80) and 100 < len(set(got.values())) < 400
+    assert dealt and dealt[0] <= 4 * 2 * 400 * 7  # both sides of all pairs in blocks of 64, four times
+
+
+def test_lists_put_together_lose_no_pair(spark):
+    """Two members of a list of several components are in one list after; the pairs to compare are no more, and not of lists that have little in common."""
+    rng = np.random.default_rng(2)
+    lists = {k: rng.choice(60, 45, replace=False) + 60 * (k % 2) for k in range(-20, 20)} | {100 + k: [1, *range(1000 + 30 * k, 1030 + 30 * k)] for k in range(6)} | {300: [7, 8], 301: [2000, 2001]}
+    component = {2001: 2000} | {i: i - i % 3 for i in range(30)}
+    rows = spark.createDataFrame([(k, int(x), int(component.get(int(x), x))) for k, xs in lists.items() for x in xs], "key long, node long, component long")
+    after = {}
+    for r in neardup.together(neardup.written(rows, "t")).collect():
+        after.setdefault(r.key, set()).add(r.node)
+    for xs in lists.values():
+        if len({component.get(int(x), int(x)) for x in xs}) > 1:
+            assert any(set(map(int, xs)) <= s for s in after.values())
+    assert sum(len(after.get(100 + k, ())) == 31 for k in range(6)) == 6
+    assert len([k for k in after if k < 100]) < 10 and sum(len(s) ** 2 for s in after.values()) < sum(len(xs) ** 2 for xs in lists.values()) / 2
+
+
 def test_windows_that_are_no_windows():
     with pytest.raises(ValueError, match="windows"):
         repeats.Unit(window=20, gram=32, words=False, most=1)
