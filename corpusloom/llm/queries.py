@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .annular import OP12_SQL, op12_annular
 from .bpe import op4_bpe
 from .mainbody import op6_main_text
 from .mixing import op2_mix
@@ -12,6 +13,7 @@ from .suffix_dedup import op10_suffix
 from .topk import OP1_SQL, op1_topk
 from .toxicity import op8_toxicity
 from .transport import op3_transport_stream
+from .whitening import op13_whitening
 
 # The words of the contracts, for DuckDB.
 _WORDS = r"regexp_extract_all({}, '[^ \t\n\x0B\f\r]+')"
@@ -48,8 +50,8 @@ FROM d JOIN m USING (doc_id) LEFT JOIN n USING (doc_id)
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_topk, op2_mix, op3_transport_stream, op4_bpe, op5_relative_lz, op6_main_text, op7_near, op8_toxicity, op9_kd_tree, op10_suffix)}
+    return {f.__name__: f for f in (op1_topk, op2_mix, op3_transport_stream, op4_bpe, op5_relative_lz, op6_main_text, op7_near, op8_toxicity, op9_kd_tree, op10_suffix, op12_annular, op13_whitening)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_topk": OP1_SQL, "op5_relative_lz": OP5_SQL, "op7_near": OP7_SQL}
+    return {"op1_topk": OP1_SQL, "op5_relative_lz": OP5_SQL, "op7_near": OP7_SQL, "op12_annular": OP12_SQL}
