@@ -7,6 +7,7 @@ from .bpe import op4_bpe
 from .mainbody import op6_main_text
 from .mixing import op2_mix
 from .neardup import op7_near
+from .onebit import OP11_SQL, op11_one_bit
 from .relative_lz import op5_relative_lz
 from .sharding import op9_kd_tree
 from .suffix_dedup import op10_suffix
@@ -50,8 +51,8 @@ FROM d JOIN m USING (doc_id) LEFT JOIN n USING (doc_id)
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_topk, op2_mix, op3_transport_stream, op4_bpe, op5_relative_lz, op6_main_text, op7_near, op8_toxicity, op9_kd_tree, op10_suffix, op12_annular, op13_whitening)}
+    return {f.__name__: f for f in (op1_topk, op2_mix, op3_transport_stream, op4_bpe, op5_relative_lz, op6_main_text, op7_near, op8_toxicity, op9_kd_tree, op10_suffix, op11_one_bit, op12_annular, op13_whitening)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_topk": OP1_SQL, "op5_relative_lz": OP5_SQL, "op7_near": OP7_SQL, "op12_annular": OP12_SQL}
+    return {"op1_topk": OP1_SQL, "op5_relative_lz": OP5_SQL, "op7_near": OP7_SQL, "op11_one_bit": OP11_SQL, "op12_annular": OP12_SQL}
