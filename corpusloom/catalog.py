@@ -386,7 +386,7 @@ def dpo_triples(spark, d):
 
 @query("SELECT doc_id, '아래 자료로 문항을 5개 만드세요.' || chr(10) || '### 제목:' || chr(10) || source || chr(10) || CASE WHEN length(text) > 0 THEN '### 내용:' || chr(10) || text || chr(10) ELSE '' END AS prompt FROM documents")
 def prompts_user_step1(spark, d):
-    return _t(spark, d, "documents").select("doc_id", prompts.user_prompt(5, 제목=F.col("source"), 내용=F.col("text")).alias("prompt"))
+    return _t(spark, d, "documents").selectExpr("doc_id", "source AS title", "text AS contents").select("doc_id", prompts.user_prompt_for("mcqa").alias("prompt"))
 
 
 _EXAMPLES = ", ".join(f"('{t}', {n}, {_text(x)})" for (t, n), x in prompts.FEWSHOTS.items())
@@ -508,25 +508,78 @@ def running_length(spark, d):
 _DOC = "'### 제목:' || chr(10) || source || chr(10) || CASE WHEN length(text) > 0 THEN '### 내용:' || chr(10) || text || chr(10) ELSE '' END"
 
 
-def _generator(kind: str, level: str | None) -> str:
-    text = (prompts.GENERATORS[kind] + (prompts.LEVEL_LINE if level else "")).replace("{role}", prompts.ROLES["market"]).replace("{task}", prompts.TASKS["math"]).replace("{level}", level or "")
-    return f"replace(replace({_text(text)}, '{{n_options}}', CAST(doc_id % 4 + 4 AS VARCHAR)), '{{n_wrong}}', CAST(doc_id % 4 + 3 AS VARCHAR))"
+def _generator(kind: str, level: str) -> str:
+    text = {
+        "mcqa": "'당신은 금융시장 전문가이자 출제 위원입니다. 계산과 추론 능력을 재는 객관식 예시를 만드세요.' || chr(10) || '보기는 ' || (doc_id % 4 + 4) || '개, 정답은 하나, 그럴듯한 오답은 ' || (doc_id % 4 + 3) || '개입니다. question, options, reasoning_process, answer를 차례로 쓰세요.'",
+        "qa": "'당신은 금융시장 전문가이자 출제 위원입니다. 계산과 추론 능력을 재는 서술형 예시를 만드세요.' || chr(10) || 'question과 answer를 차례로 쓰세요.'",
+    }[kind]
+    return text + (f" || chr(10) || '난이도는 {level}입니다.'" if level else "")
 
 
-@query(f"SELECT doc_id, {_generator('mcqa', prompts.LEVELS[1])} || chr(10) || chr(10) || '아래 설명에 맞는 예시를 2개 쓰세요.' || chr(10) || '### 설명:' || chr(10) || {_DOC} AS prompt FROM documents")
+@query(f"SELECT doc_id, {_generator('mcqa', '고급')} || chr(10) || chr(10) || '아래 설명에 맞는 예시를 2개 쓰세요.' || chr(10) || '### 설명:' || chr(10) || {_DOC} AS prompt FROM documents")
 def fewshot_generator(spark, d):
     n = (F.col("doc_id") % 4 + 4).cast("int")
     return _t(spark, d, "documents").select("doc_id", prompts.fewshot_from_reference(F.col("source"), F.col("text"), eval_type="mcqa", n_options=n, task="math", domain="market", n_datasets=2).alias("prompt"))
 
 
-@query(f"SELECT doc_id, {_generator('qa', None)} || chr(10) || chr(10) || '아래 설명에 맞는 검증 문항을 5개 쓰세요.' || chr(10) || '### 설명:' || chr(10) || text AS prompt FROM documents")
+@query(f"SELECT doc_id, {_generator('qa', '')} || chr(10) || chr(10) || '아래 설명에 맞는 검증 문항을 5개 쓰세요.' || chr(10) || '### 설명:' || chr(10) || text AS prompt FROM documents")
 def validation_generator(spark, d):
     return _t(spark, d, "documents").select("doc_id", prompts.generate_validation(F.col("text"), "qa", task="math", domain="market").alias("prompt"))
 
 
-@query(f"SELECT doc_id, [{', '.join(map(_text, prompts.INSTRUCTIONS))}][CAST(doc_id % {len(prompts.INSTRUCTIONS)} + 1 AS INTEGER)] AS instruction FROM documents")
+@query("""SELECT doc_id, ['', '고등학생도 알 수 있는 말로 쓰세요. ', '현업 실무자에게 보고하듯 쓰세요. '][CAST(doc_id % 3 + 1 AS INTEGER)]
+  || ['세 문장 안으로 짧게 답하세요.', '한 문단 정도로 답하세요.', '예를 들어 가며 길게 답하세요.'][CAST(doc_id // 3 % 3 + 1 AS INTEGER)]
+  || ['', ' 결론을 먼저 쓰고 근거를 덧붙이세요.', ' 근거를 차례로 든 다음 결론을 쓰세요.'][CAST(doc_id // 9 % 3 + 1 AS INTEGER)] AS instruction FROM documents""")
 def style_instructions(spark, d):
-    return _t(spark, d, "documents").select("doc_id", prompts.instruction((F.col("doc_id") % len(prompts.INSTRUCTIONS) + 1).cast("int")).alias("instruction"))
+    return _t(spark, d, "documents").select("doc_id", prompts.style(F.col("doc_id")).alias("instruction"))
+
+
+_MCQA_SYSTEM = """'당신은 퀀트 전문가입니다. 주어진 자료로 계산과 추론 능력을 묻는 ' || level || ' 수준의 객관식 문제를 만드세요.' || chr(10) || '보기는 ' || (doc_id % 4 + 4) || '개이며 ''A. ''처럼 문자로 시작합니다. 정답은 하나이고 나머지 ' || (doc_id % 4 + 3) || '개는 그럴듯한 오답입니다.'
+  || chr(10) || '풀이에는 보기의 문자를 쓰지 마세요. question, options, reasoning_process, answer를 한국어로 출력하세요.' || {more} || CASE WHEN length(shot) > 0 THEN chr(10) || chr(10) || '### 예시' || chr(10) || shot ELSE '' END"""
+
+
+@query(f"""WITH d AS (SELECT doc_id, CASE WHEN doc_id % 5 < 2 THEN NULL WHEN doc_id % 5 = 2 THEN '' ELSE text END AS shot FROM documents)
+SELECT doc_id, {_MCQA_SYSTEM.replace("level", "'기초에서 중급'").format(more="''")} AS mcqa_step1,
+  {_MCQA_SYSTEM.replace("level", "'고급'").format(more="chr(10) || '앞선 예시와 뜻이 겹치지 않으며 더 어려운 문제여야 합니다.'")} AS mcqa_step2,
+  '당신은 퀀트 전문가입니다. 주어진 자료로 계산과 추론 능력을 묻는 기초에서 중급 수준의 질문과 답을 만드세요. 질문은 다섯 줄을 넘지 않습니다.' AS qa,
+  '당신은 금융 전문가입니다. 질문에 자료 없이 정확하고 자세하게 답하세요.' AS qa_answer,
+  '문항을 검토해 fake_answer, fake_references, deficient_question, deficient_answer, usable 가운데 하나와 이유를 답하세요.' AS hallucination,
+  '두 답변을 공정하게 비교해 더 나은 쪽을 A, B, 같으면 E로 답하고 이유를 쓰세요.' AS preference,
+  '교육적 가치를 0점에서 시작해 기준을 충족할 때마다 1점씩 더해 5점까지 매기세요.' AS value,
+  '자료의 주제를 knowledge_accounting, knowledge_market, math_accounting, math_market, quant, law, no 가운데 하나로 분류하세요.' AS classification FROM d""")
+def templates_system(spark, d):
+    """All system templates; the example of the multiple-choice ones is a document, empty or missing."""
+    rows = _t(spark, d, "documents").selectExpr("doc_id", "CASE WHEN doc_id % 5 < 2 THEN NULL WHEN doc_id % 5 = 2 THEN '' ELSE text END AS shot")
+    n = (F.col("doc_id") % 4 + 4).cast("int")
+    say = lambda kind, step=1: prompts.system_prompt(kind, step, "quant", "math", n, F.col("shot"))
+    mcqa = [say("mcqa", k).alias(f"mcqa_step{k}") for k in (1, 2)]
+    return rows.select("doc_id", *mcqa, say("qa").alias("qa"), say("qa", 2).alias("qa_answer"), *[say(k).alias(k) for k in ("hallucination", "preference", "value", "classification")])
+
+
+@query("""WITH d AS (SELECT doc_id, CASE WHEN doc_id % 7 = 1 THEN NULL ELSE source END AS title, CASE WHEN doc_id % 7 = 2 THEN '' ELSE text END AS contents, CASE WHEN doc_id % 3 = 0 THEN lang END AS "table", CASE WHEN doc_id % 4 > 0 THEN source || '?' END AS prev,
+  CASE WHEN doc_id % 5 > 0 THEN ['A. ' || lang, 'B. ' || source] ELSE [] END AS options FROM documents), p AS (SELECT *,
+  CASE WHEN length(title) > 0 THEN '### 제목:' || chr(10) || title || chr(10) ELSE '' END || CASE WHEN length(contents) > 0 THEN '### 내용:' || chr(10) || contents || chr(10) ELSE '' END AS ref,
+  CASE WHEN length("table") > 0 THEN '### 표:' || chr(10) || "table" || chr(10) ELSE '' END AS tab,
+  CASE WHEN length(prev) > 0 THEN '### 질문:' || chr(10) || prev || chr(10) ELSE '' END AS ask,
+  CASE WHEN len(options) > 0 THEN '### 선택지:' || chr(10) || array_to_string(options, chr(10)) || chr(10) ELSE '' END AS listed,
+  CASE WHEN length(title) > 0 THEN '### 답:' || chr(10) || title || chr(10) ELSE '' END AS reply FROM d)
+SELECT doc_id, '아래 자료로 문항을 2개 만드세요.' || chr(10) || ref || tab AS mcqa_step1, '아래 자료로 문항을 2개 만드세요.' || chr(10) || ref || tab || '### 예시:' || chr(10) || prev || chr(10) AS mcqa_step2,
+  '아래 자료로 문항을 2개 만드세요.' || chr(10) || ref AS qa, coalesce(prev, '') AS qa_answer, ask || listed AS hallucination, ref || ask || reply AS hallucination_qa,
+  ask || CASE WHEN length(contents) > 0 THEN '### 답변1:' || chr(10) || contents || chr(10) ELSE '' END || CASE WHEN length(title) > 0 THEN '### 답변2:' || chr(10) || title || chr(10) ELSE '' END AS preference,
+  ask || listed || CASE WHEN length("table") > 0 THEN '### 풀이:' || chr(10) || "table" || chr(10) ELSE '' END || reply AS value, ask || reply AS value_qa,
+  CASE WHEN length(contents) > 0 THEN '### 내용:' || chr(10) || contents || chr(10) ELSE '' END AS value_references, ref AS classification FROM p""")
+def templates_user(spark, d):
+    """All user templates over documents, with titles, texts, tables, questions and options missing or empty here and there."""
+    rows = _t(spark, d, "documents").selectExpr(
+        "doc_id", "CASE WHEN doc_id % 7 = 1 THEN NULL ELSE source END AS title", "CASE WHEN doc_id % 7 = 2 THEN '' ELSE text END AS contents", "CASE WHEN doc_id % 3 = 0 THEN lang END AS table",
+        "CASE WHEN doc_id % 4 > 0 THEN concat(source, '?') END AS prev_example", "CASE WHEN doc_id % 5 > 0 THEN array(concat('A. ', lang), concat('B. ', source)) ELSE array() END AS options",
+    ).selectExpr("*", "prev_example AS question", "contents AS old_answer", "title AS answer", "table AS reasoning_process")
+    say = lambda *a, **k: prompts.user_prompt_for(*a, n_datasets=2, **k)
+    return rows.select(
+        "doc_id", say("mcqa", 1, table=True).alias("mcqa_step1"), say("mcqa", 2, table=True).alias("mcqa_step2"), say("qa").alias("qa"), say("qa", 2).alias("qa_answer"), say("hallucination").alias("hallucination"),
+        say("hallucination", kind="qa").alias("hallucination_qa"), say("preference").alias("preference"), say("value").alias("value"), say("value", kind="qa").alias("value_qa"),
+        say("value", kind="references").alias("value_references"), say("classification").alias("classification"),
+    )
 
 
 @query(f"""SELECT doc_id, '아래 자료로 문항을 3개 만드세요.' || chr(10) || {_DOC} || '### 예시:' || chr(10) || lang || chr(10) AS prompt FROM documents""")

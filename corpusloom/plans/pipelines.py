@@ -17,6 +17,7 @@ from ..sources.files import write_errors, write_jsonl
 from . import prompts
 from .barrier import barrier
 from .provider import CompletionProvider, completed
+from .templates import Library
 
 MCQA = "questions array<struct<question string, options array<string>>>, answers array<struct<reasoning_process string, answer string>>"
 QA = "questions array<struct<question string>>, answers array<struct<answer string>>"
@@ -38,6 +39,7 @@ class Settings:
     drop_unusable: bool = False
     if_fewshot: bool = True
     threads: int = 8
+    templates: Library | None = None  # prompts by other files than the package's own
 
     def model_of(self, stage: str) -> str:
         """The model of a stage: mcqa, qa, hallucination, preference, value or classification."""
@@ -84,8 +86,8 @@ def generate_mcqa(references: DataFrame, s: Settings, provider: CompletionProvid
         rows = reshape.split_chunk(rows, 4, ["index"])
         n = F.col("chunk_index") + 4
         example = prompts.fewshot(s.task, n, F.col("index")) if s.if_fewshot else None
-        user = prompts.user_prompt_for("mcqa", step, s.n_datasets)
-        done = completed(_task(rows, s, "mcqa", step, turn, s.n_datasets, prompts.system_prompt("mcqa", step, s.domain, s.task, n, example), user, n), provider, f"{s.name}-mcqa{step}-{turn}", s.threads)
+        user = prompts.user_prompt_for("mcqa", step, s.n_datasets, table="table" in rows.columns, templates=s.templates)
+        done = completed(_task(rows, s, "mcqa", step, turn, s.n_datasets, prompts.system_prompt("mcqa", step, s.domain, s.task, n, example, s.templates), user, n), provider, f"{s.name}-mcqa{step}-{turn}", s.threads)
         x = F.from_json("response", MCQA)
         got = done.filter("status = 'ok'").select("index", F.lit(step).alias("step"), x["questions"]["question"].alias("question"), x["questions"]["options"].alias("options"), x["answers"]["reasoning_process"].alias("reasoning_process"), x["answers"]["answer"].alias("answer"))
         return got.join(rows.select("index", "title", "contents"), "index")
@@ -100,7 +102,7 @@ def judged(items: DataFrame, kind: str, s: Settings, provider: CompletionProvide
     """
     total, todo, turn, found = items.count(), items, 0, None
     while True:
-        done = completed(_task(todo, s, kind, 1, turn, 1, prompts.system_prompt(kind), user, item=F.col("item_ord")), provider, f"{s.name}-{kind}-{turn}", s.threads)
+        done = completed(_task(todo, s, kind, 1, turn, 1, prompts.system_prompt(kind, templates=s.templates), user, item=F.col("item_ord")), provider, f"{s.name}-{kind}-{turn}", s.threads)
         x = F.from_json("response", JUDGES[kind])
         got = done.filter("status = 'ok'").select("index", "item_ord", x.alias("x")).select("index", "item_ord", "x.*")
         if kind == "hallucination":
@@ -137,7 +139,7 @@ def mcqa(references: DataFrame, s: Settings, provider: CompletionProvider) -> Da
     for step in range(1, s.max_step + 1):
         batches = generate_mcqa(rows, s, provider, step)
         items = reshape.explode_batches(batches, ["question", "options", "reasoning_process", "answer"], ["index", "title", "contents", "step"])
-        items = judged(items, "hallucination", s, provider, prompts.user_prompt_for("hallucination"), validate.label_errors(F.col("hallucination"), validate.HALLUCINATION))
+        items = judged(items, "hallucination", s, provider, prompts.user_prompt_for("hallucination", templates=s.templates), validate.label_errors(F.col("hallucination"), validate.HALLUCINATION))
         if s.drop_unusable:
             items = items.filter(~validate.unusable(F.col("hallucination")))
         key = F.concat("index", F.lit(":"), F.col("item_ord").cast("string"), F.lit(f":{step}"))
@@ -146,7 +148,7 @@ def mcqa(references: DataFrame, s: Settings, provider: CompletionProvider) -> Da
         final = final.withColumn("reasoning_process", debias.concluded(F.col("reasoning_process"), F.col("answer"), key)).withColumn("type", F.lit("mcqa"))
 
         def graded(final: DataFrame = final, step: int = step) -> DataFrame:
-            rows = judged(final, "value", s, provider, prompts.user_prompt_for("value"))
+            rows = judged(final, "value", s, provider, prompts.user_prompt_for("value", templates=s.templates))
             return barrier(_stamped(rows.filter(F.col("value").between(0, 5)), s, "mcqa"), f"{s.name}-step{step}")
 
         final = _saved(graded, final, s, "mcqa", step)
@@ -160,7 +162,7 @@ def answered(items: DataFrame, s: Settings, provider: CompletionProvider) -> Dat
     """items(index, item_ord, question, ...) with a closed-book answer; all without one are asked again, up to max_rounds."""
     todo, turn, found = items, 0, None
     while True:
-        done = completed(_task(todo, s, "qa", 2, turn, 1, prompts.system_prompt("qa", 2), F.col("question"), item=F.col("item_ord")), provider, f"{s.name}-qa2-{turn}", s.threads)
+        done = completed(_task(todo, s, "qa", 2, turn, 1, prompts.system_prompt("qa", 2, templates=s.templates), prompts.user_prompt_for("qa", 2, templates=s.templates), item=F.col("item_ord")), provider, f"{s.name}-qa2-{turn}", s.threads)
         ok = done.filter("status = 'ok'").select("index", "item_ord", F.from_json("response", "answer string")["answer"].alias("answer")).filter("answer is not null")
         found = ok if found is None else found.unionByName(ok)
         turn += 1
@@ -173,8 +175,8 @@ def qa(references: DataFrame, s: Settings, provider: CompletionProvider) -> Data
     """Question, grounded answer, closed-book answer, preference and value of items from references."""
 
     def make(rows: DataFrame, turn: int) -> DataFrame:
-        user = prompts.user_prompt_for("qa", 1, s.n_datasets)
-        done = completed(_task(rows, s, "qa", 1, turn, s.n_datasets, prompts.system_prompt("qa", 1, s.domain, s.task), user), provider, f"{s.name}-qa1-{turn}", s.threads)
+        user = prompts.user_prompt_for("qa", 1, s.n_datasets, templates=s.templates)
+        done = completed(_task(rows, s, "qa", 1, turn, s.n_datasets, prompts.system_prompt("qa", 1, s.domain, s.task, templates=s.templates), user), provider, f"{s.name}-qa1-{turn}", s.threads)
         x = F.from_json("response", QA)
         got = done.filter("status = 'ok'").select("index", x["questions"]["question"].alias("question"), x["answers"]["answer"].alias("old_answer"))
         return got.join(rows.select("index", "title", "contents"), "index")
@@ -184,11 +186,11 @@ def qa(references: DataFrame, s: Settings, provider: CompletionProvider) -> Data
     items = reshape.explode_batches(batches, ["question", "old_answer"], ["index", "title", "contents"]).withColumnRenamed("index", "reference_index")
     items = items.withColumn("index", F.concat("reference_index", F.lit("_"), F.col("item_ord").cast("string")))
     items = answered(items, s, provider)
-    items = judged(items, "preference", s, provider, prompts.user_prompt_for("preference"), validate.label_errors(F.col("preference"), validate.PREFERENCE))
+    items = judged(items, "preference", s, provider, prompts.user_prompt_for("preference", templates=s.templates), validate.label_errors(F.col("preference"), validate.PREFERENCE))
     items = items.withColumn("type", F.lit("qa"))
 
     def graded() -> DataFrame:
-        rows = judged(items, "value", s, provider, prompts.user_prompt_for("value", kind="qa"))
+        rows = judged(items, "value", s, provider, prompts.user_prompt_for("value", kind="qa", templates=s.templates))
         return barrier(_stamped(rows.filter(F.col("value").between(0, 5)), s, "qa"), f"{s.name}-qa-final")
 
     return _saved(graded, items, s, "qa", 4)
@@ -197,7 +199,7 @@ def qa(references: DataFrame, s: Settings, provider: CompletionProvider) -> Data
 def classification(references: DataFrame, s: Settings, provider: CompletionProvider) -> DataFrame:
     """references with their topic."""
     rows = references.withColumns({"item_ord": F.lit(0), "type": F.lit("references")})
-    out = judged(rows, "classification", s, provider, prompts.user_prompt_for("classification"), validate.label_errors(F.col("classification"), validate.CLASSIFICATION))
+    out = judged(rows, "classification", s, provider, prompts.user_prompt_for("classification", templates=s.templates), validate.label_errors(F.col("classification"), validate.CLASSIFICATION))
     out = barrier(_stamped(out.drop("item_ord"), s, "classification"), f"{s.name}-classification")
     if s.save_dir:
         write_jsonl(out, f"{s.save_dir}/{s.name.removesuffix('.jsonl')}.jsonl")

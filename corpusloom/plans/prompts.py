@@ -1,4 +1,4 @@
-"""Prompts as data and columns. The wording is our own; variables and output contracts are those of the pipelines."""
+"""Prompts of every stage: template files, and what they are given. The wording is our own; names and output contracts are those of the pipelines."""
 
 from __future__ import annotations
 
@@ -9,50 +9,20 @@ from pyspark.sql import functions as F
 
 from ..operators.debias import drawn
 from .barrier import fresh
+from .templates import Library, library
 
 ROLES = {"accounting": "회계 전문가", "market": "금융시장 전문가", "law": "금융법규 전문가", "quant": "퀀트 전문가", "common": "금융 전문가"}
 TASKS = {"knowledge": "지식 이해", "math": "계산과 추론", "common": "종합"}
 LEVELS = ("기초에서 중급", "고급")
 
-SYSTEM = {
-    "mcqa": "당신은 {role}입니다. 주어진 자료로 {task} 능력을 묻는 {level} 수준의 객관식 문제를 만드세요.\n보기는 {n_options}개이며 'A. '처럼 문자로 시작합니다. 정답은 하나이고 나머지 {n_wrong}개는 그럴듯한 오답입니다.\n풀이에는 보기의 문자를 쓰지 마세요. question, options, reasoning_process, answer를 한국어로 출력하세요.",
-    "qa": "당신은 {role}입니다. 주어진 자료로 {task} 능력을 묻는 {level} 수준의 질문과 답을 만드세요. 질문은 다섯 줄을 넘지 않습니다.",
-    "qa_answer": "당신은 금융 전문가입니다. 질문에 자료 없이 정확하고 자세하게 답하세요.",
-    "hallucination": "문항을 검토해 fake_answer, fake_references, deficient_question, deficient_answer, usable 가운데 하나와 이유를 답하세요.",
-    "preference": "두 답변을 공정하게 비교해 더 나은 쪽을 A, B, 같으면 E로 답하고 이유를 쓰세요.",
-    "value": "교육적 가치를 0점에서 시작해 기준을 충족할 때마다 1점씩 더해 5점까지 매기세요.",
-    "classification": "자료의 주제를 knowledge_accounting, knowledge_market, math_accounting, math_market, quant, law, no 가운데 하나로 분류하세요.",
-}
-HARDER = "\n앞선 예시와 뜻이 겹치지 않으며 더 어려운 문제여야 합니다."
-
-
-#: What a generator of examples and of validation sets is told. The wording is our own.
-GENERATORS = {
-    "mcqa": "당신은 {role}이자 출제 위원입니다. {task} 능력을 재는 객관식 예시를 만드세요.\n보기는 {n_options}개, 정답은 하나, 그럴듯한 오답은 {n_wrong}개입니다. question, options, reasoning_process, answer를 차례로 쓰세요.",
-    "qa": "당신은 {role}이자 출제 위원입니다. {task} 능력을 재는 서술형 예시를 만드세요.\nquestion과 answer를 차례로 쓰세요.",
-}
-LEVEL_LINE = "\n난이도는 {level}입니다."
 DOMAINS = tuple(ROLES)
+#: Roles, tasks and levels are looked up for these stages; judges have none.
+WRITERS = ("mcqa", "qa")
 
-#: System instructions for answers in different styles; the first is none. The wording is our own.
-INSTRUCTIONS = (
-    "",
-    "답만 읽고도 이해할 수 있게 필요한 배경을 빠짐없이 설명하세요.",
-    "길고 자세한 답을 쓰세요.",
-    "처음 배우는 어린이에게 말하듯 쉽게 풀어 주세요.",
-    "요청의 조건을 하나도 놓치지 말고 따르세요.",
-    "자료를 찾아 주는 사서처럼, 더 찾을 것이 없도록 답하세요.",
-    "일을 순서대로 나누어 생각하고, 단계마다 이유를 적으세요.",
-    "객관식이면 먼저 정답을 쓰고, 다른 보기가 틀린 까닭을 쉬운 말로 덧붙이세요.",
-    "무엇을 어떻게 정의했고 어떤 길로 답에 이르렀는지 밝히세요.",
-    "객관식이면 정답을 먼저, 이어서 다른 보기의 잘못을 설명하고, 필요하면 배경 지식을 보태세요.",
-    "질문에 충실히 답하면서 생각의 순서와 근거를 함께 보이세요.",
-    "지시를 그대로 따르고, 끝에 그 결과를 스스로 검산하세요.",
-    "교사로서 과제가 요구하는 것과 지침을 쓰는 방법을 몇 단계로 가르치세요.",
-    "여러 언어를 아는 번역가로서 과제와 지침을 풀어 말한 뒤 해결하고, 지침을 어떻게 썼는지 보이세요.",
-    "정의를 작은 조각으로 나누고, 조각마다 기준에 맞는 보기를 하나씩 들어 주세요.",
-    "정보를 찾는 사람을 도우세요.",
-)
+# Styles of answers, by three choices of our own: for whom, how long, what comes first.
+READERS = ("", "고등학생도 알 수 있는 말로 쓰세요. ", "현업 실무자에게 보고하듯 쓰세요. ")
+LENGTHS = ("세 문장 안으로 짧게 답하세요.", "한 문단 정도로 답하세요.", "예를 들어 가며 길게 답하세요.")
+ORDERS = ("free", "answer", "reasons")
 
 
 @dataclass(frozen=True)
@@ -73,74 +43,92 @@ class PathConfig:
         return self.get("fewshots")
 
 
-def _filled(text: str, role: str, task: str, level: str | None, n_options: Column | None) -> Column:
-    text = text.replace("{role}", ROLES[role]).replace("{task}", TASKS[task]).replace("{level}", level or "")
-    n = F.lit(4) if n_options is None else n_options
-    return F.replace(F.replace(F.lit(text), F.lit("{n_options}"), n.cast("string")), F.lit("{n_wrong}"), (n - 1).cast("string"))
+def _files(templates: Library | None) -> Library:
+    return library() if templates is None else templates
+
+
+def _level(step: int) -> str:
+    """Steps beyond the last level stay at the last."""
+    return LEVELS[min(step, len(LEVELS)) - 1]
+
+
+def _number(x: Column | None) -> tuple[Column, str]:
+    return (F.lit(4) if x is None else x), "number"
 
 
-def generate_fewshot(prompt: Column, eval_type: str, n_options: Column | None = None, task: str = "common", domain: str = "common", n_datasets: int = 1, step: int = 2) -> Column:
+def generate_fewshot(prompt: Column, eval_type: str, n_options: Column | None = None, task: str = "common", domain: str = "common", n_datasets: int = 1, step: int = 2, templates: Library | None = None) -> Column:
     """What asks a model for few-shot examples: the generator's system text at the level of a step, and the user's description."""
-    system = _filled(GENERATORS[eval_type] + LEVEL_LINE, domain, task, LEVELS[min(step, len(LEVELS)) - 1], n_options)
-    return F.concat(system, F.lit(f"\n\n아래 설명에 맞는 예시를 {n_datasets}개 쓰세요.\n### 설명:\n"), prompt)
+    given = {"role": ROLES[domain], "task": TASKS[task], "level": _level(step), "n_options": _number(n_options)}
+    return F.concat(_files(templates).column(f"fewshot_{eval_type}.txt", given), F.lit(f"\n\n아래 설명에 맞는 예시를 {n_datasets}개 쓰세요.\n### 설명:\n"), prompt)
 
 
-def generate_validation(prompt: Column, eval_type: str, n_options: Column | None = None, task: str = "common", domain: str = "common", n_datasets: int = 5) -> Column:
+def generate_validation(prompt: Column, eval_type: str, n_options: Column | None = None, task: str = "common", domain: str = "common", n_datasets: int = 5, templates: Library | None = None) -> Column:
     """What asks a model for items of a validation set; they have no level."""
-    return F.concat(_filled(GENERATORS[eval_type], domain, task, None, n_options), F.lit(f"\n\n아래 설명에 맞는 검증 문항을 {n_datasets}개 쓰세요.\n### 설명:\n"), prompt)
+    given = {"role": ROLES[domain], "task": TASKS[task], "level": None, "n_options": _number(n_options)}
+    return F.concat(_files(templates).column(f"fewshot_{eval_type}.txt", given), F.lit(f"\n\n아래 설명에 맞는 검증 문항을 {n_datasets}개 쓰세요.\n### 설명:\n"), prompt)
 
 
 def fewshot_from_reference(title: Column, contents: Column, **settings) -> Column:
     """generate_fewshot with a reference as its description."""
-    return generate_fewshot(F.concat(section("제목", title), section("내용", contents)), **settings)
-
-
-def instruction(number: Column) -> Column:
-    """The style instruction of a number from 1 on."""
-    return F.element_at(F.array(*[F.lit(t) for t in INSTRUCTIONS]), number)
+    return generate_fewshot(_files(settings.get("templates")).column("reference.txt", {"title": title, "contents": contents}), **settings)
+
+
+def style(number: Column, templates: Library | None = None) -> Column:
+    """The style instruction of a number from 0 on: readers, lengths and orders in turn, and again from the first."""
+    pick = lambda texts, n: F.element_at(F.array(*[F.lit(t) for t in texts]), F.pmod(n, F.lit(len(texts))).cast("int") + 1)
+    given = {"reader": pick(READERS, number), "length": pick(LENGTHS, F.floor(number / len(READERS))), "order": pick(ORDERS, F.floor(number / (len(READERS) * len(LENGTHS))))}
+    return _files(templates).column("style.txt", given)
+
+
+#: What the user's template of a stage is given from the columns of items, by kind; the other names of the template are empty.
+ITEM = {
+    "mcqa": ("title", "contents", "prev_example", "table"),
+    "qa": ("title", "contents"),
+    "qa_answer": ("question",),
+    "hallucination": ("question", "options"),
+    "hallucination qa": ("title", "contents", "question", "answer"),
+    "preference": ("question",),
+    "value": ("question", "options", "reasoning_process", "answer"),
+    "value qa": ("question", "answer"),
+    "value references": ("contents",),
+    "classification": ("title", "contents"),
+}
 
 
-def user_prompt_for(eval_type: str, step: int = 1, n_datasets: int = 5, kind: str = "mcqa") -> Column:
-    """The user prompt of a stage from an item's or a reference's columns. kind: what is judged, mcqa, qa or references."""
-    c, listed = F.col, F.array_join("options", "\n")
-    if eval_type == "mcqa":
-        extra = {"예시": c("prev_example")} if step > 1 else {}
-        return user_prompt(n_datasets, 제목=c("title"), 내용=c("contents"), **extra)
-    if eval_type == "qa":
-        return user_prompt(n_datasets, 제목=c("title"), 내용=c("contents")) if step == 1 else c("question")
-    if eval_type == "hallucination":
-        return user_prompt(질문=c("question"), 선택지=listed) if kind == "mcqa" else user_prompt(제목=c("title"), 내용=c("contents"), 질문=c("question"), 답=c("answer"))
-    if eval_type == "preference":
-        return user_prompt(질문=c("question"), 답변1=c("old_answer"), 답변2=c("answer"))
-    if eval_type == "value":
-        if kind == "references":
-            return user_prompt(내용=c("contents"))
-        extra = {"선택지": listed, "풀이": c("reasoning_process")} if kind == "mcqa" else {}
-        return user_prompt(질문=c("question"), **extra, 답=c("answer"))
-    if eval_type == "classification":
-        return user_prompt(제목=c("title"), 내용=c("contents"))
-    raise ValueError(f"unknown stage {eval_type!r}")
-
-
-def system_prompt(eval_type: str, step: int = 1, domain: str = "common", task: str = "common", n_options: Column | None = None, example: Column | None = None) -> Column:
-    """Steps beyond the last level stay at the last."""
-    key = "qa_answer" if eval_type == "qa" and step == 2 else eval_type
-    text = SYSTEM[key].replace("{role}", ROLES[domain]).replace("{task}", TASKS[task]).replace("{level}", LEVELS[min(step, len(LEVELS)) - 1])
-    out = F.lit(text + (HARDER if eval_type == "mcqa" and step > 1 else ""))
+def user_template(eval_type: str, step: int = 1) -> str:
+    """The file of a stage's user prompt. Steps beyond the second stay at the second."""
     if eval_type == "mcqa":
-        n = F.lit(4) if n_options is None else n_options
-        out = F.replace(F.replace(out, F.lit("{n_options}"), n.cast("string")), F.lit("{n_wrong}"), (n - 1).cast("string"))
-    return F.concat(out, F.coalesce(F.concat(F.lit("\n\n### 예시\n"), example), F.lit(""))) if example is not None else out
+        return f"user_mcqa_step{min(step, 2)}.txt"
+    return "user_qa_answer.txt" if eval_type == "qa" and step == 2 else f"user_{eval_type}.txt"
+
 
+def user_prompt_for(eval_type: str, step: int = 1, n_datasets: int = 5, kind: str = "mcqa", table: bool = False, templates: Library | None = None) -> Column:
+    """The user prompt of a stage from an item's or a reference's columns. kind: what is judged, mcqa, qa or references.
 
-def section(name: str, value: Column) -> Column:
-    """A titled section, or nothing if the value is missing or empty."""
-    return F.when(F.length(value) > 0, F.concat(F.lit(f"### {name}:\n"), value, F.lit("\n"))).otherwise("")
+    table: items have a column of that name. A step beyond the first needs its examples: without one the prompt is null.
+    """
+    key = "qa_answer" if eval_type == "qa" and step == 2 else f"{eval_type} {kind}" if f"{eval_type} {kind}" in ITEM else eval_type
+    if key not in ITEM:
+        raise ValueError(f"unknown stage {eval_type!r}")
+    files, name = _files(templates), user_template(eval_type, step)
+    asked = files.names(name)
+    own = [c for c in ITEM[key] if c != "table" or table]
+    given = {c: (F.col(c), "list" if c == "options" else "text") for c in own if c in asked} | ({"answer1": F.col("old_answer"), "answer2": F.col("answer")} if eval_type == "preference" else {})
+    text = files.column(name, {c: None for c in asked} | {"n_datasets": n_datasets} | given)
+    return F.when(F.col("prev_example").isNotNull(), text) if "prev_example" in given else text
+
+
+def system_template(eval_type: str, step: int = 1) -> str:
+    """The file of a stage's system prompt."""
+    if eval_type == "mcqa":
+        return f"system_mcqa_step{min(step, 2)}.txt"
+    return "system_qa_answer.txt" if eval_type == "qa" and step == 2 else f"system_{eval_type}.txt"
 
 
-def user_prompt(n_datasets: int | None = None, **sections: Column) -> Column:
-    head = [F.lit(f"아래 자료로 문항을 {n_datasets}개 만드세요.\n")] if n_datasets else []
-    return F.concat(*head, *[section(k, v) for k, v in sections.items()]) if head or sections else F.lit("")
+def system_prompt(eval_type: str, step: int = 1, domain: str = "common", task: str = "common", n_options: Column | None = None, example: Column | None = None, templates: Library | None = None) -> Column:
+    """The system prompt of a stage, by its template."""
+    given = {"role": ROLES[domain], "task": TASKS[task], "level": _level(step), "n_options": _number(n_options), "example": example} if eval_type in WRITERS else {}
+    return _files(templates).column(system_template(eval_type, step), given)
 
 
 FEWSHOTS = {

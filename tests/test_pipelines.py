@@ -172,7 +172,8 @@ def test_user_prompts_by_stage(spark):
         prompts.user_prompt_for("other")
     text = row.select(prompts.generate_fewshot(F.lit("d"), "qa", step=1, domain="law")).first()[0]
     assert prompts.ROLES["law"] in text and prompts.LEVELS[0] in text and text.endswith("### 설명:\nd") and "{" not in text
-    assert len(prompts.INSTRUCTIONS) == len(set(prompts.INSTRUCTIONS)) == 16
+    styles = [r[0] for r in spark.range(54).select(prompts.style(F.col("id"))).collect()]
+    assert len(set(styles)) == 27 and styles[:27] == styles[27:] and all(styles)
 
 
 def test_http_provider_pauses_and_asks_by_schema(monkeypatch):
