@@ -18,6 +18,7 @@ from .operators import curate, debias, quality, reshape, training, validate
 from .operators.ordinal import numbered
 from .plans import pipelines, prompts
 from .plans.barrier import shared_folder
+from .plans.ledger import Ledger
 from .plans.provider import StubProvider
 from .sources import extract, files, registry
 
@@ -485,6 +486,18 @@ def classification_stub(spark, d):
     return pipelines.classification(_references(spark, d), pipelines.Settings(name="class", tolerance=0.1), _STUB).drop("update_at")
 
 
+@query(f"""WITH r1 AS (SELECT 'd_' || doc_id AS index, source AS title, text AS contents FROM documents), t AS (SELECT *, 0 AS item_ord FROM r1), {_rounds("c", "t", "classification", 1, 0.01)}
+SELECT index, ['quant', 'law', 'no'][CAST(floor(pick * 3) AS INTEGER) + 1] AS classification, CAST(r + 1 AS BIGINT) AS calls FROM c""")
+def resumed_calls(spark, d):
+    """A run over all documents that ends after its first round, and the same run started again: no call is made twice."""
+    rows = _t(spark, d, "documents").select(F.concat(F.lit("d_"), F.col("doc_id").cast("string")).alias("index"), F.col("source").alias("title"), F.col("text").alias("contents"))
+    kept = Ledger(f"{_folder(spark)}/ledger", slices=2)
+    pipelines.classification(rows, pipelines.Settings(name="stopped", tolerance=0.02, max_rounds=1, ledger=kept), _STUB)
+    found = pipelines.classification(rows, pipelines.Settings(name="again", tolerance=0.02, ledger=kept), _STUB)
+    made = kept.calls(spark, "classification").groupBy("index").agg(F.count("*").alias("calls"))
+    return found.join(made, "index").select("index", "classification", "calls")
+
+
 _SHOTS = [(f"mcqa_{n}.txt", p, f"example {n}.{p}") for n in (4, 5, 6) for p in range(n - 3)]
 
 

@@ -16,6 +16,7 @@ from ..operators import debias, reshape, validate
 from ..sources.files import write_errors, write_jsonl
 from . import prompts
 from .barrier import barrier
+from .ledger import Ledger
 from .provider import CompletionProvider, completed
 from .templates import Library
 
@@ -40,6 +41,9 @@ class Settings:
     if_fewshot: bool = True
     threads: int = 8
     templates: Library | None = None  # prompts by other files than the package's own
+    ledger: Ledger | None = None  # where calls are kept, so that a run started again makes none twice
+    rate: float | None = None  # calls a second, all tasks together; else the provider's own
+    partitions: int | None = None  # tasks of a stage of calls
 
     def model_of(self, stage: str) -> str:
         """The model of a stage: mcqa, qa, hallucination, preference, value or classification."""
@@ -57,6 +61,10 @@ def _task(rows: DataFrame, s: Settings, kind: str, step: int, turn: int, n: int,
     )
 
 
+def _called(s: Settings, provider: CompletionProvider, name: str, rows: DataFrame, kind: str, *task, **more) -> DataFrame:
+    return completed(_task(rows, s, kind, *task, **more), provider, name, s.threads, s.partitions, s.ledger, kind, s.rate)
+
+
 def _stamped(df: DataFrame, s: Settings, kind: str) -> DataFrame:
     return df.withColumns({"oai_model": F.lit(s.model_of(kind)), "update_at": F.date_format(F.current_date(), "yyyy-MM-dd")})
 
@@ -87,7 +95,7 @@ def generate_mcqa(references: DataFrame, s: Settings, provider: CompletionProvid
         n = F.col("chunk_index") + 4
         example = prompts.fewshot(s.task, n, F.col("index")) if s.if_fewshot else None
         user = prompts.user_prompt_for("mcqa", step, s.n_datasets, table="table" in rows.columns, templates=s.templates)
-        done = completed(_task(rows, s, "mcqa", step, turn, s.n_datasets, prompts.system_prompt("mcqa", step, s.domain, s.task, n, example, s.templates), user, n), provider, f"{s.name}-mcqa{step}-{turn}", s.threads)
+        done = _called(s, provider, f"{s.name}-mcqa{step}-{turn}", rows, "mcqa", step, turn, s.n_datasets, prompts.system_prompt("mcqa", step, s.domain, s.task, n, example, s.templates), user, n)
         x = F.from_json("response", MCQA)
         got = done.filter("status = 'ok'").select("index", F.lit(step).alias("step"), x["questions"]["question"].alias("question"), x["questions"]["options"].alias("options"), x["answers"]["reasoning_process"].alias("reasoning_process"), x["answers"]["answer"].alias("answer"))
         return got.join(rows.select("index", "title", "contents"), "index")
@@ -102,7 +110,7 @@ def judged(items: DataFrame, kind: str, s: Settings, provider: CompletionProvide
     """
     total, todo, turn, found = items.count(), items, 0, None
     while True:
-        done = completed(_task(todo, s, kind, 1, turn, 1, prompts.system_prompt(kind, templates=s.templates), user, item=F.col("item_ord")), provider, f"{s.name}-{kind}-{turn}", s.threads)
+        done = _called(s, provider, f"{s.name}-{kind}-{turn}", todo, kind, 1, turn, 1, prompts.system_prompt(kind, templates=s.templates), user, item=F.col("item_ord"))
         x = F.from_json("response", JUDGES[kind])
         got = done.filter("status = 'ok'").select("index", "item_ord", x.alias("x")).select("index", "item_ord", "x.*")
         if kind == "hallucination":
@@ -162,7 +170,7 @@ def answered(items: DataFrame, s: Settings, provider: CompletionProvider) -> Dat
     """items(index, item_ord, question, ...) with a closed-book answer; all without one are asked again, up to max_rounds."""
     todo, turn, found = items, 0, None
     while True:
-        done = completed(_task(todo, s, "qa", 2, turn, 1, prompts.system_prompt("qa", 2, templates=s.templates), prompts.user_prompt_for("qa", 2, templates=s.templates), item=F.col("item_ord")), provider, f"{s.name}-qa2-{turn}", s.threads)
+        done = _called(s, provider, f"{s.name}-qa2-{turn}", todo, "qa", 2, turn, 1, prompts.system_prompt("qa", 2, templates=s.templates), prompts.user_prompt_for("qa", 2, templates=s.templates), item=F.col("item_ord"))
         ok = done.filter("status = 'ok'").select("index", "item_ord", F.from_json("response", "answer string")["answer"].alias("answer")).filter("answer is not null")
         found = ok if found is None else found.unionByName(ok)
         turn += 1
@@ -176,7 +184,7 @@ def qa(references: DataFrame, s: Settings, provider: CompletionProvider) -> Data
 
     def make(rows: DataFrame, turn: int) -> DataFrame:
         user = prompts.user_prompt_for("qa", 1, s.n_datasets, templates=s.templates)
-        done = completed(_task(rows, s, "qa", 1, turn, s.n_datasets, prompts.system_prompt("qa", 1, s.domain, s.task, templates=s.templates), user), provider, f"{s.name}-qa1-{turn}", s.threads)
+        done = _called(s, provider, f"{s.name}-qa1-{turn}", rows, "qa", 1, turn, s.n_datasets, prompts.system_prompt("qa", 1, s.domain, s.task, templates=s.templates), user)
         x = F.from_json("response", QA)
         got = done.filter("status = 'ok'").select("index", x["questions"]["question"].alias("question"), x["answers"]["answer"].alias("old_answer"))
         return got.join(rows.select("index", "title", "contents"), "index")

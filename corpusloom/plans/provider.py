@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import hashlib
 import json
-import threading
 import time
 from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
@@ -16,6 +15,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 
 from .barrier import barrier
+from .ledger import Ledger
+from .rate import one_budget, paced, permit
 
 
 class CompletionProvider(Protocol):
@@ -81,8 +82,8 @@ def json_schema(shape) -> dict:
 
 @dataclass
 class HttpProvider:
-    """A chat interface over HTTPS. `rate` calls a second are shared by `tasks` concurrent tasks; each call is tried `tries`
-    times, with a pause that doubles, and asks for an answer by the schema of its kind."""
+    """A chat interface over HTTPS. `rate` is what a stage of calls keeps to, all tasks together; each call is tried `tries`
+    times, with a pause that doubles and a permit of the stage, and asks for an answer by the schema of its kind."""
 
     url: str
     key: str
@@ -90,7 +91,6 @@ class HttpProvider:
     rate: float = 10.0
     timeout: float = 60.0
     tries: int = 3
-    tasks: int = 1
     pause: float = 1.0
 
     def complete(self, task: dict) -> dict:
@@ -99,7 +99,8 @@ class HttpProvider:
         body = {"model": task.get("model") or self.model, "messages": [{"role": "system", "content": task["system"]}, {"role": "user", "content": task["user"]}], "response_format": form}
         head = {"Content-Type": "application/json", "Authorization": f"Bearer {self.key}", "Idempotency-Key": hashlib.sha1(json.dumps(task, sort_keys=True).encode()).hexdigest()}
         for i in range(self.tries):
-            _wait(self.rate / self.tasks)
+            if i:
+                permit()
             try:
                 with urlopen(Request(self.url, json.dumps(body).encode(), head), timeout=self.timeout) as r:  # noqa: S310
                     return json.loads(json.loads(r.read())["choices"][0]["message"]["content"])
@@ -110,38 +111,53 @@ class HttpProvider:
         raise AssertionError
 
 
-_lock, _next = threading.Lock(), [0.0]
-
-
-def _wait(rate: float) -> None:
-    """Holds a worker's calls to `rate` a second."""
-    with _lock:
-        at = max(time.monotonic(), _next[0])
-        _next[0] = at + 1 / rate
-    time.sleep(max(0.0, at - time.monotonic()))
-
-
 TASK = ("eval_type", "model", "step", "round", "n_datasets", "n_options", "system", "user")
 
 
-def completed(tasks: DataFrame, provider: CompletionProvider, name: str, threads: int = 8, partitions: int | None = None) -> DataFrame:
-    """index, item_ord, status, error, response (JSON) of tasks(index, item_ord, *TASK): one call each, written before it is used.
+def calls(tasks: DataFrame, provider: CompletionProvider, threads: int = 8, partitions: int | None = None, rate: float | None = None, period: float = 5.0) -> DataFrame:
+    """tasks with status, error and response (JSON) of one call each. Lazy: it has to be written before it is used.
 
-    A task that raises gives a row with status 'error'; it never fails the stage. Reading the result again calls nothing.
+    A task that raises gives a row with status 'error'; it never fails the stage. rate: calls a second of the whole stage.
     """
-    tasks = tasks.select("index", "item_ord", *TASK)
+    context, rate = tasks.sparkSession.sparkContext, rate or getattr(provider, "rate", None)
+    if context.getConf().get("spark.speculation", "false") == "true":
+        raise RuntimeError("spark.speculation would make calls twice")
+    if rate and not partitions:
+        partitions = context.defaultParallelism
     if partitions:
         tasks = tasks.repartition(partitions, "index", "item_ord")
+    shared = bool(rate) and one_budget(context, partitions)
 
     def one(task: dict) -> tuple:
         try:
-            return task["index"], task["item_ord"], "ok", None, json.dumps(provider.complete(task), ensure_ascii=False)
+            return *task.values(), "ok", None, json.dumps(provider.complete(task), ensure_ascii=False)
         except Exception as e:  # noqa: BLE001
-            return task["index"], task["item_ord"], "error", f"{type(e).__name__}: {e}", None
+            return *task.values(), "error", f"{type(e).__name__}: {e}", None
+
+    columns = [*tasks.columns, "status", "error", "response"]
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        if rate:
+            rows = (row for f in frames for row in f.to_dict("records"))
+            for done in paced(rows, one, rate, threads, period, partitions, shared):
+                yield pd.DataFrame(done, columns=columns)
+            return
         with ThreadPoolExecutor(threads) as pool:
             for f in frames:
-                yield pd.DataFrame(list(pool.map(one, f.to_dict("records"))), columns=["index", "item_ord", "status", "error", "response"])
+                yield pd.DataFrame(list(pool.map(one, f.to_dict("records"))), columns=columns)
 
-    return barrier(tasks.mapInPandas(run, "index string, item_ord int, status string, error string, response string"), name)
+    types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in tasks.schema)
+    return tasks.mapInPandas(run, f"{types}, status string, error string, response string", barrier=shared)
+
+
+def completed(tasks: DataFrame, provider: CompletionProvider, name: str, threads: int = 8, partitions: int | None = None, ledger: Ledger | None = None, kind: str = "call", rate: float | None = None, period: float = 5.0) -> DataFrame:
+    """index, item_ord, status, error, response (JSON) of tasks(index, item_ord, *TASK), one call each, written before it is used.
+
+    ledger: calls that are in it, among those of their kind, are not made again, and all that are made go into it; without
+    one they are written at a barrier.
+    """
+    tasks = tasks.select("index", "item_ord", *TASK)
+    make = lambda rows: calls(rows, provider, threads, partitions, rate, period)
+    if ledger is None:
+        return barrier(make(tasks).select("index", "item_ord", "status", "error", "response"), name)
+    return ledger.completed(tasks, kind, ["index", "item_ord", *TASK], make)
