@@ -7,8 +7,12 @@ for, and by the same rules in SQL.
 
 from __future__ import annotations
 
+import glob
+import json
 import tempfile
 import uuid
+from pathlib import Path
+from urllib.parse import parse_qs, urlsplit
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +24,7 @@ from .plans import pipelines, prompts
 from .plans.barrier import shared_folder
 from .plans.ledger import Ledger
 from .plans.provider import StubProvider
-from .sources import extract, files, registry
+from .sources import extract, files, registry, rest
 
 _QUERIES: dict = {}
 _SQL: dict[str, str] = {}
@@ -671,6 +675,32 @@ def _folder(spark) -> str:
     return f"{shared_folder(spark)}/catalog-{uuid.uuid4().hex}"
 
 
+class _Served:
+    """A search interface over files: the answer to a query's start lies below folder/query=.../start=...; executors read the shared folder."""
+
+    def __init__(self, folder: str):
+        self.folder = folder
+
+    def __call__(self, url: str, headers: dict) -> bytes:
+        asked = parse_qs(urlsplit(url).query, keep_blank_values=True)
+        paths = sorted(glob.glob(f"{self.folder}/query={asked['query'][0]}/start={asked['start'][0]}/*.txt"))
+        lines = [line for p in paths for line in Path(p).read_text(encoding="utf-8").split("\n") if line]
+        return ('{"items": [' + ", ".join(lines) + "]}").encode()
+
+
+@query("SELECT 'lang ' || coalesce(lang, '') AS query, CAST(doc_id // 64 AS INTEGER) AS page, doc_id, source AS title, text FROM documents")
+def rest_pages(spark, d):
+    """All documents through the search source: a language is a query, 64 doc_ids are a page."""
+    docs = _t(spark, d, "documents").select(F.concat(F.lit("lang "), F.coalesce("lang", F.lit(""))).alias("query"), (F.col("doc_id") - F.col("doc_id") % 64 + 1).alias("start"), F.to_json(F.struct("doc_id", "source", "text")).alias("value"))
+    folder = f"{_folder(spark)}/served"
+    docs.repartition("query", "start").write.partitionBy("query", "start").text(folder)
+    queries, last = docs.agg(F.collect_set("query"), F.max("start")).first()
+    rest.register(spark, _Served(folder.removeprefix("file:")), "_pages")
+    found = spark.read.format("rest_search_pages").options(url="https://example.org/v1", queries=json.dumps(sorted(queries)), display=64, pages=(last or 0) // 64 + 1).load()
+    item = F.from_json("item", "doc_id long, source string, text string")
+    return found.filter("status = 'ok'").select("query", "page", item.alias("x")).select("query", "page", "x.doc_id", F.col("x.source").alias("title"), "x.text")
+
+
 @query("SELECT doc_id, text, lang, source, n_chars FROM documents")
 def jsonl_round_trip(spark, d):
     rows, path = _t(spark, d, "documents").select("doc_id", "text", "lang", "source", "n_chars"), f"{_folder(spark)}/documents.jsonl"
