@@ -715,6 +715,18 @@ def multi_jsonl_round_trip(spark, d):
     return files.read_multi_jsonl(spark, path, rows.schema)
 
 
+@query("""WITH d AS (SELECT doc_id, text, lang, octet_length(encode(CAST(to_json({'doc_id': doc_id, 'text': text, 'lang': lang}) AS VARCHAR))) + 1 AS n FROM documents),
+t AS (SELECT CAST(sum(n) AS BIGINT) // 65536 + 1 AS f, count(*) AS c FROM d), o AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS i FROM d)
+SELECT 'documents_' || CAST(CASE WHEN i < c % f * (c // f + 1) THEN i // (c // f + 1) ELSE c % f + (i - c % f * (c // f + 1)) // greatest(1, c // f) END AS INTEGER) || '.jsonl' AS file, count(*) AS rows,
+  min(doc_id) AS first, max(doc_id) AS last FROM o, t GROUP BY 1""")
+def named_files(spark, d):
+    """The files of a split write, as Spark lists them: their names, and which rows of the whole table each holds."""
+    rows, path = _t(spark, d, "documents").select("doc_id", "text", "lang"), _folder(spark)
+    files.write_multi_jsonl(rows, path, "documents", ["doc_id"], 1 / 16)
+    own = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1)
+    return files.read_multi_jsonl(spark, path, rows.schema).groupBy(own.alias("file")).agg(F.count("*").alias("rows"), F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
+
+
 @query("SELECT CAST(seq AS INTEGER) AS seq, v AS valid_type_index, q AS question, '4' AS n_options FROM (VALUES (0, 'fin_ratio', 'q1'), (1, 'fin_concept', 'q3'), (2, 'mkt_analysis', 'q4')) t(seq, v, q)")
 def registry_rows(spark, d):
     with tempfile.TemporaryDirectory() as folder:  # a registry is a small file of the driver

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import debias, reshape, validate
-from ..sources.files import write_errors, write_jsonl
+from ..sources.files import write_errors, write_jsonl, write_jsonl_file
 from . import prompts
 from .barrier import barrier
 from .ledger import Ledger
@@ -36,6 +36,7 @@ class Settings:
     max_rounds: int = 10
     model: str | dict[str, str] = "stub"  # one for all stages, or by stage
     save_dir: str | None = None
+    save_parts: bool = False  # results are folders of parts, where one file each would be too large
     log_dir: str | None = None  # where the items of a failed step go; beside save_dir if none is named
     drop_unusable: bool = False
     if_fewshot: bool = True
@@ -45,6 +46,12 @@ class Settings:
     rate: float | None = None  # calls a second, all tasks together; else the provider's own
     partitions: int | None = None  # tasks of a stage of calls
 
+    def save(self, df: DataFrame, path: str, order: list[str]) -> None:
+        if self.save_parts:
+            write_jsonl(df, path)
+        else:
+            write_jsonl_file(df, path, order)
+
     def model_of(self, stage: str) -> str:
         """The model of a stage: mcqa, qa, hallucination, preference, value or classification."""
         if isinstance(self.model, str):
@@ -133,7 +140,7 @@ def _saved(make, items: DataFrame, s: Settings, kind: str, step: int) -> DataFra
     try:
         df = make()
         if s.save_dir:
-            write_jsonl(df, f"{s.save_dir}/{name}.jsonl")
+            s.save(df, f"{s.save_dir}/{name}.jsonl", ["index", "item_ord"])
         return df
     except Exception as e:
         if s.log_dir or s.save_dir:
@@ -210,7 +217,7 @@ def classification(references: DataFrame, s: Settings, provider: CompletionProvi
     out = judged(rows, "classification", s, provider, prompts.user_prompt_for("classification", templates=s.templates), validate.label_errors(F.col("classification"), validate.CLASSIFICATION))
     out = barrier(_stamped(out.drop("item_ord"), s, "classification"), f"{s.name}-classification")
     if s.save_dir:
-        write_jsonl(out, f"{s.save_dir}/{s.name.removesuffix('.jsonl')}.jsonl")
+        s.save(out, f"{s.save_dir}/{s.name.removesuffix('.jsonl')}.jsonl", ["index"])
     return out
 
 

@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 import json
+import re
 from datetime import datetime
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..operators.ordinal import numbered, tile
 from ..plans.barrier import fresh
+from . import sink
 
 
 def read_json(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
@@ -39,9 +41,26 @@ def write_json(obj, path: str, overwrite: bool = True) -> None:
         f.write(json.dumps(obj, ensure_ascii=False) + "\n")
 
 
-def write_jsonl(df: DataFrame, path: str, overwrite: bool = True, single: bool = False) -> None:
-    """One JSON object a line, nulls written. single: one part, for small results."""
-    (df.coalesce(1) if single else df).write.mode("overwrite" if overwrite else "append").option("ignoreNullFields", False).json(path)
+def write_jsonl(df: DataFrame, path: str, overwrite: bool = True) -> None:
+    """One JSON object a line, nulls written: a folder of as many parts as df has."""
+    df.write.mode("overwrite" if overwrite else "append").option("ignoreNullFields", False).json(path)
+
+
+def _line(columns: list[str]) -> Column:
+    return F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
+
+
+def write_jsonl_file(df: DataFrame, path: str, order: list[str] | None = None, overwrite: bool = True) -> None:
+    """One JSON object a line in one file of that very name, which one task writes: for results of a size that is still read as a file.
+
+    The file appears whole or not at all; appending replaces it by one that has the old lines before the new. order: of the
+    lines; without one they come as they are.
+    """
+    folder, _, name = path.rpartition("/")
+    file, line = fresh(df.columns, "file", "line")
+    rows = df.withColumns({file: F.lit(name), line: _line(df.columns)})
+    rows = rows.repartition(1).sortWithinPartitions(*order) if order else rows.coalesce(1)
+    sink.write_lines(rows.select(F.col(file).alias("file"), F.col(line).alias("line")), folder or ".", overwrite=overwrite)
 
 
 def file_split_plan(df: DataFrame, order: list[str], max_bytes: int) -> DataFrame:
@@ -51,27 +70,22 @@ def file_split_plan(df: DataFrame, order: list[str], max_bytes: int) -> DataFram
 
 def _planned(df: DataFrame, order: list[str], max_bytes: int) -> tuple[DataFrame, int]:
     at, size = fresh([*df.columns, "file_idx"], "at", "bytes")
-    rows = numbered(df, order, at).withColumn(size, F.octet_length(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})) + 1)
+    rows = numbered(df, order, at).withColumn(size, F.octet_length(_line(df.columns)) + 1)
     total, n = rows.agg(F.sum(size), F.count("*")).first()
     files = int(total or 0) // max_bytes + 1
     return rows.withColumn("file_idx", tile(F.col(at), n, files)).drop(at, size), min(files, n)
 
 
-def write_multi_jsonl(df: DataFrame, folder: str, name: str, order: list[str], max_size_mb: int = 10) -> int:
-    """Writes the files of the split plan as folder/name_{i}.jsonl, each a folder of one part; returns how many.
+def write_multi_jsonl(df: DataFrame, folder: str, name: str, order: list[str], max_size_mb: float = 10) -> int:
+    """Writes the files of the split plan as folder/name_{i}.jsonl, each one file in order; returns how many.
 
-    The parts are written in one job, one task a file, and then renamed.
+    All appear, and files of that name with other numbers go, when the last one is written; if the write fails, none does.
     """
-    plan, n = _planned(df, order, max_size_mb << 20)
-    spark, parts = df.sparkSession, f"{folder}/{name}.parts"
-    plan.repartition("file_idx").sortWithinPartitions("file_idx", *order).write.mode("overwrite").option("ignoreNullFields", False).partitionBy("file_idx").json(parts)
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    fs = path(parts).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    for i in range(n):
-        target = path(f"{folder}/{name}_{i}.jsonl")
-        fs.delete(target, True)
-        fs.rename(path(f"{parts}/file_idx={i}"), target)
-    fs.delete(path(parts), True)
+    plan, n = _planned(df, order, int(max_size_mb * 2**20))
+    file, line = fresh([*df.columns, "file_idx"], "file", "line")
+    rows = plan.repartition("file_idx").sortWithinPartitions("file_idx", *order)
+    rows = rows.withColumns({file: F.concat(F.lit(f"{name}_"), F.col("file_idx").cast("string"), F.lit(".jsonl")), line: _line(df.columns)})
+    sink.write_lines(rows.select(F.col(file).alias("file"), F.col(line).alias("line")), folder, re.escape(f"{name}_") + r"\d+\.jsonl")
     return n
 
 

@@ -124,7 +124,7 @@ def test_files(spark, tmp_path):
     n = files.write_multi_jsonl(df, str(tmp_path), "out", ["i"], 1)
     back = files.read_multi_jsonl(spark, str(tmp_path), "i int, s string")
     assert back.count() == 50
-    files.write_jsonl(df, str(tmp_path / "one.jsonl"), single=True)
+    files.write_jsonl_file(df, str(tmp_path / "one.jsonl"))
     assert n == 1 and files.read_jsonl(spark, str(tmp_path / "one.jsonl"), "i int, s string").count() == 50
     assert '"s":null' in next((tmp_path / "one.jsonl").glob("part*")).read_text()
     (tmp_path / "a").mkdir()
