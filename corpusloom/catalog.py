@@ -24,7 +24,7 @@ from .plans import pipelines, prompts
 from .plans.barrier import shared_folder
 from .plans.ledger import Ledger
 from .plans.provider import StubProvider
-from .sources import extract, files, registry, rest
+from .sources import elements, extract, files, registry, rest
 
 _QUERIES: dict = {}
 _SQL: dict[str, str] = {}
@@ -417,6 +417,28 @@ def html_extract(spark, d):
     return _t(spark, d, "pages").select("page_id", extract.extract_report(F.col("html"), "html").alias("text"))
 
 
+_STRIPPED = f"regexp_replace(html, '^{_WS}+|{_WS}+$', '', 'g')"
+
+
+@query(f"""SELECT page_id, CASE page_id % 6 WHEN 3 THEN NULL WHEN 4 THEN NULL ELSE
+  'II. 사업의 내용' || chr(10) || url || chr(10) || CASE WHEN page_id % 6 = 1 THEN '' ELSE '세부 & 기타' || chr(10) END || {_STRIPPED} || CASE WHEN page_id % 6 = 2 THEN chr(10) || '<끝>' ELSE '' END END AS text FROM pages""")
+def filings(spark, d):
+    """Business sections of filings made from pages: nested sections and tables, marked sections, no title, no section, and ends that are missing."""
+    html = F.replace(F.replace(F.replace("html", F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+    rows = _t(spark, d, "pages").select("page_id", "url", html.alias("body"), (F.col("page_id") % 6).alias("k"))
+    head = F.lit("<?xml version='1.0'?><DOCUMENT><!-- <TITLE>사업의 내용</TITLE> --><SECTION-1><TITLE>I. 회사의 개요</TITLE><P>앞</P></SECTION-1>")
+    opened, title = F.when(F.col("k") == 4, "<PART>").otherwise('<SECTION-1 ACLASS="a>b">'), F.when(F.col("k") == 3, "II. 다른 내용").otherwise("II. 사업의 내용")
+    inner = F.when(F.col("k") == 1, "").otherwise("<SECTION-2><TITLE>세부 &#38; 기타</TITLE>")
+    closed = F.when(F.col("k") == 1, "").otherwise("</SECTION-2>")
+    last = F.when(F.col("k") == 2, "<![CDATA[<끝>]]>").otherwise("")
+    table = F.lit("<TABLE><TR><TD>표<TABLE><TR><TD>안</TD></TR></TABLE>밖</TD></TR></TABLE>")
+    filing = F.concat(
+        head, opened, F.lit("<TITLE>"), title, F.lit("</TITLE><P>"), F.col("url"), F.when(F.col("k") == 5, "").otherwise("</P>"), table, inner, F.lit("<P>"), F.col("body"), F.lit("</P>"), F.lit("<IMG SRC='x'/>"), last, closed,
+        F.when(F.col("k") == 4, "</PART>").otherwise("</SECTION-1>"), F.lit("<SECTION-1><TITLE>III. 뒤</TITLE><P>뒤</P></SECTION-1></DOCUMENT>"),
+    )
+    return elements.section_texts(rows.select("page_id", filing.alias("filing")), "filing").select("page_id", "text")
+
+
 @query("SELECT CAST(item_id AS VARCHAR) AS path, array_to_string([x for x in string_split_regex(text, '[.] ') if x <> ''], chr(10)) AS contents FROM benchmark")
 def pdf_text(spark, d):
     """Pages from bytes: the texts stand in for files, a form feed ends a page."""
