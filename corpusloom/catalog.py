@@ -18,12 +18,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import text as T
-from .operators import curate, debias, quality, reshape, training, validate
+from .operators import curate, debias, payload, quality, reshape, training, validate
 from .operators.ordinal import numbered
 from .plans import pipelines, prompts
 from .plans.barrier import shared_folder
 from .plans.ledger import Ledger
-from .plans.provider import StubProvider
+from .plans.provider import SCHEMAS, StubProvider
 from .sources import elements, extract, files, registry, rest
 
 _QUERIES: dict = {}
@@ -524,6 +524,29 @@ def resumed_calls(spark, d):
     return found.join(made, "index").select("index", "classification", "calls")
 
 
+_ANSWERED = """CASE doc_id % 9 WHEN 0 THEN {ok} WHEN 1 THEN {cut} WHEN 2 THEN NULL WHEN 3 THEN '[1, 2]' WHEN 4 THEN concat('{{"questions": [{{"question": ', {text}, '}}, {{"question": 7}}, {{"q": "x"}}], "answers": [{{"answer": null}}]}}')
+  WHEN 5 THEN concat('{{"questions": {{"question": ', {text}, '}}, "answers": []}}') WHEN 6 THEN concat('{{"answers": [{{"answer": ', {text}, '}}, "free", 1.5, true]}}') WHEN 7 THEN {text} ELSE '{{"questions": [], "answers": [], "more": 1}}' END"""
+_OK = """concat('{{"questions": [{{"question": ', {text}, '}}], "answers": [{{"answer": ', {text}, '}}]}}')"""
+
+
+@query(f"""WITH p AS (SELECT doc_id, {_ANSWERED.format(text="to_json(text)::VARCHAR", ok=_OK.format(text="to_json(text)::VARCHAR"), cut=f"left({_OK.format(text='to_json(text)::VARCHAR')}, -3)")} AS a FROM documents),
+v AS (SELECT doc_id, CASE WHEN json_valid(a) THEN a::JSON END AS j, a FROM p),
+t AS (SELECT '$' AS path, CASE WHEN a IS NULL THEN 'no answer' ELSE 'no JSON' END AS reason FROM v WHERE j IS NULL
+  UNION ALL SELECT '$', 'expected object, found ' || CASE json_type(j) WHEN 'ARRAY' THEN 'list' WHEN 'VARCHAR' THEN 'string' ELSE 'number' END FROM v WHERE j IS NOT NULL AND json_type(j) <> 'OBJECT'),
+o AS (SELECT doc_id, f, json_extract(j, '$.' || f) AS x FROM v, (VALUES ('questions'), ('answers')) n(f) WHERE j IS NOT NULL AND json_type(j) = 'OBJECT'),
+l AS (SELECT '$.' || f AS path, CASE WHEN x IS NULL THEN 'missing' ELSE 'expected list, found object' END AS reason FROM o WHERE x IS NULL OR json_type(x) <> 'ARRAY'),
+i AS (SELECT f, unnest(CAST(x AS JSON[])) AS y FROM o WHERE x IS NOT NULL AND json_type(x) = 'ARRAY'),
+m AS (SELECT '$.' || f || '[]' AS path, 'expected object, found ' || CASE json_type(y) WHEN 'VARCHAR' THEN 'string' WHEN 'BOOLEAN' THEN 'boolean' ELSE 'number' END AS reason FROM i WHERE json_type(y) <> 'OBJECT'),
+z AS (SELECT f, json_extract(y, '$.' || left(f, -1)) AS w FROM i WHERE json_type(y) = 'OBJECT'),
+q AS (SELECT '$.' || f || '[].' || left(f, -1) AS path, CASE WHEN w IS NULL THEN 'missing' WHEN json_type(w) = 'NULL' THEN 'null' ELSE 'expected string, found integer' END AS reason FROM z WHERE w IS NULL OR json_type(w) <> 'VARCHAR')
+SELECT path, reason, count(*) AS n FROM (SELECT * FROM t UNION ALL SELECT * FROM l UNION ALL SELECT * FROM m UNION ALL SELECT * FROM q) GROUP BY path, reason""")
+def payload_errors(spark, d):
+    """What is wrong with answers made from documents, by path: cut off, none, lists and texts for objects, missing and mistyped fields and items."""
+    ok = _OK.format(text="quoted")
+    rows = _t(spark, d, "documents").withColumn("quoted", F.regexp_replace(F.to_json(F.struct("text")), r'^\{"text":|\}$', ""))
+    return payload.error_counts(rows.select(F.expr(_ANSWERED.format(text="quoted", ok=ok, cut=f"left({ok}, length({ok}) - 3)")).alias("a")), "a", SCHEMAS["qa"])
+
+
 _SHOTS = [(f"mcqa_{n}.txt", p, f"example {n}.{p}") for n in (4, 5, 6) for p in range(n - 3)]
 
 

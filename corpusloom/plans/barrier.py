@@ -8,7 +8,7 @@ import tempfile
 import uuid
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -32,6 +32,13 @@ def barrier(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def observed(df: DataFrame, name: str, **counts: Column) -> tuple[DataFrame, dict]:
+    """barrier(), and aggregates of the rows that were written, taken by the write itself."""
+    seen = Observation()
+    done = barrier(df.observe(seen, *[c.alias(k) for k, c in counts.items()]), name)
+    return done, seen.get
+
+
 def clear(spark: SparkSession) -> None:
     """Removes everything that this application has written at barriers: call it once no result is read any more."""
     jvm = spark.sparkContext._jvm

@@ -7,17 +7,18 @@ count as errors and are tried again. Rounds are bounded by max_rounds.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..operators import debias, reshape, validate
+from ..operators import debias, payload, reshape, validate
 from ..sources.files import write_errors, write_jsonl, write_jsonl_file
 from . import prompts
-from .barrier import barrier
+from .barrier import barrier, fresh, observed
 from .ledger import Ledger
-from .provider import CompletionProvider, completed
+from .provider import SCHEMAS, CompletionProvider, completed
 from .templates import Library
 
 MCQA = "questions array<struct<question string, options array<string>>>, answers array<struct<reasoning_process string, answer string>>"
@@ -69,29 +70,36 @@ def _task(rows: DataFrame, s: Settings, kind: str, step: int, turn: int, n: int,
 
 
 def _called(s: Settings, provider: CompletionProvider, name: str, rows: DataFrame, kind: str, *task, **more) -> DataFrame:
-    return completed(_task(rows, s, kind, *task, **more), provider, name, s.threads, s.partitions, s.ledger, kind, s.rate)
+    """What a stage of calls gives; answers of another shape than asked for are errors, with the places that are wrong."""
+    done = completed(_task(rows, s, kind, *task, **more), provider, name, s.threads, s.partitions, s.ledger, kind, s.rate)
+    wrong = payload.said(payload.errors(F.col("response"), SCHEMAS["qa2" if kind == "qa" and task[0] == 2 else kind]))
+    return done.withColumns({"status": F.when((F.col("status") == "ok") & wrong.isNotNull(), "error").otherwise(F.col("status")), "error": F.when(F.col("status") == "ok", wrong).otherwise(F.col("error"))})
 
 
 def _stamped(df: DataFrame, s: Settings, kind: str) -> DataFrame:
     return df.withColumns({"oai_model": F.lit(s.model_of(kind)), "update_at": F.date_format(F.current_date(), "yyyy-MM-dd")})
 
 
-def regenerated(references: DataFrame, s: Settings, make, bad: Column, name: str) -> tuple[DataFrame, int]:
-    """Batches that pass, after as many rounds as it takes to come under the tolerance; make(errors, round) -> batches.
+def rounds(rows: DataFrame, keys: list[str], s: Settings, name: str, ask: Callable[[DataFrame, int], DataFrame], good: Column, share: float | None) -> tuple[DataFrame, int]:
+    """rows with the columns of what ask(todo, round) gives for their keys, once that is good; and how many rounds it took.
 
-    A reference without a batch (its call failed) is an error like one with a bad batch.
+    A row without an answer (its call failed) is an error like one with a bad answer, and a bad row takes all of its index with
+    it. Errors are asked again as long as they are more than a share of all, or with share None any, and rounds are left. A
+    round is two writes: its calls, and its rows with what came of them, whose counts are taken by that write.
     """
-    total = references.count()
-    good, todo, turn = None, references, 0
+    total, todo, turn, found = 0, rows, 0, None
     while True:
-        batches = make(todo, turn)
-        ok, _ = validate.survivors(batches, bad)
-        ok = barrier(ok, f"{name}-ok{turn}")
-        good = ok if good is None else good.unionByName(ok)
-        todo = barrier(todo.join(ok.select("index").distinct(), "index", "left_anti"), f"{name}-error{turn}")
-        turn += 1
-        if turn >= s.max_rounds or not validate.over_tolerance(todo.count(), total, s.tolerance):
-            return good, turn
+        got = ask(todo, turn).dropDuplicates(keys)
+        there, ok = fresh([*todo.columns, *got.columns], "there", "ok")
+        own = todo.drop(*[c for c in got.columns if c not in keys])
+        fine = F.coalesce(good & F.col(there), F.lit(False))
+        flagged = own.join(got.withColumn(there, F.lit(True)), keys, "left").withColumn(ok, fine if len(keys) > 1 else F.min(fine).over(Window.partitionBy(*keys))).drop(there)
+        table, counts = observed(flagged, f"{name}-round{turn}", total=F.count(F.lit(1)), left=F.count_if(~F.col(ok)))
+        done = table.filter(ok).drop(ok)
+        found = done if found is None else found.unionByName(done)
+        todo, total, turn = table.filter(~F.col(ok)).select(*own.columns), total or counts["total"], turn + 1
+        if turn >= s.max_rounds or not (counts["left"] if share is None else validate.over_tolerance(counts["left"], total, share)):
+            return found, turn
 
 
 def generate_mcqa(references: DataFrame, s: Settings, provider: CompletionProvider, step: int) -> DataFrame:
@@ -105,9 +113,9 @@ def generate_mcqa(references: DataFrame, s: Settings, provider: CompletionProvid
         done = _called(s, provider, f"{s.name}-mcqa{step}-{turn}", rows, "mcqa", step, turn, s.n_datasets, prompts.system_prompt("mcqa", step, s.domain, s.task, n, example, s.templates), user, n)
         x = F.from_json("response", MCQA)
         got = done.filter("status = 'ok'").select("index", F.lit(step).alias("step"), x["questions"]["question"].alias("question"), x["questions"]["options"].alias("options"), x["answers"]["reasoning_process"].alias("reasoning_process"), x["answers"]["answer"].alias("answer"))
-        return got.join(rows.select("index", "title", "contents"), "index")
+        return got
 
-    return regenerated(references, s, make, validate.mcqa_batch_error(s.n_datasets), f"{s.name}-mcqa{step}")[0]
+    return rounds(references, ["index"], s, f"{s.name}-mcqa{step}", make, ~validate.mcqa_batch_error(s.n_datasets), s.tolerance)[0]
 
 
 def judged(items: DataFrame, kind: str, s: Settings, provider: CompletionProvider, user: Column, bad: Column | None = None) -> DataFrame:
@@ -115,23 +123,18 @@ def judged(items: DataFrame, kind: str, s: Settings, provider: CompletionProvide
 
     Without bad only calls fail, and all that failed are made again: no share of them is tolerated.
     """
-    total, todo, turn, found = items.count(), items, 0, None
-    while True:
+
+    def ask(todo: DataFrame, turn: int) -> DataFrame:
         done = _called(s, provider, f"{s.name}-{kind}-{turn}", todo, kind, 1, turn, 1, prompts.system_prompt(kind, templates=s.templates), user, item=F.col("item_ord"))
         x = F.from_json("response", JUDGES[kind])
         got = done.filter("status = 'ok'").select("index", "item_ord", x.alias("x")).select("index", "item_ord", "x.*")
-        if kind == "hallucination":
-            got = got.withColumn("hallucination", F.lower("hallucination"))
-        if kind == "classification":
-            got = got.withColumn("classification", F.lower("classification"))
+        if kind in ("hallucination", "classification"):
+            got = got.withColumn(kind, F.lower(kind))
         if kind == "preference":
             got = got.select("index", "item_ord", F.upper(F.left("choice", F.lit(1))).alias("preference"), "preference_desc")
-        ok = barrier(got.filter(~bad) if bad is not None else got, f"{s.name}-{kind}-ok{turn}")
-        found = ok if found is None else found.unionByName(ok)
-        turn += 1
-        todo = barrier(todo.join(ok.select("index", "item_ord"), ["index", "item_ord"], "left_anti"), f"{s.name}-{kind}-todo{turn}")
-        if turn >= s.max_rounds or not (todo.count() if bad is None else validate.over_tolerance(todo.count(), total, s.tolerance / 2)):
-            return items.join(found, ["index", "item_ord"])
+        return got
+
+    return rounds(items, ["index", "item_ord"], s, f"{s.name}-{kind}", ask, F.lit(True) if bad is None else ~bad, None if bad is None else s.tolerance / 2)[0]
 
 
 def _saved(make, items: DataFrame, s: Settings, kind: str, step: int) -> DataFrame:
@@ -175,15 +178,12 @@ def mcqa(references: DataFrame, s: Settings, provider: CompletionProvider) -> Da
 
 def answered(items: DataFrame, s: Settings, provider: CompletionProvider) -> DataFrame:
     """items(index, item_ord, question, ...) with a closed-book answer; all without one are asked again, up to max_rounds."""
-    todo, turn, found = items, 0, None
-    while True:
+
+    def ask(todo: DataFrame, turn: int) -> DataFrame:
         done = _called(s, provider, f"{s.name}-qa2-{turn}", todo, "qa", 2, turn, 1, prompts.system_prompt("qa", 2, templates=s.templates), prompts.user_prompt_for("qa", 2, templates=s.templates), item=F.col("item_ord"))
-        ok = done.filter("status = 'ok'").select("index", "item_ord", F.from_json("response", "answer string")["answer"].alias("answer")).filter("answer is not null")
-        found = ok if found is None else found.unionByName(ok)
-        turn += 1
-        todo = barrier(todo.join(ok.select("index", "item_ord"), ["index", "item_ord"], "left_anti"), f"{s.name}-qa2-todo{turn}")
-        if turn >= s.max_rounds or not todo.count():
-            return items.join(found, ["index", "item_ord"])
+        return done.filter("status = 'ok'").select("index", "item_ord", F.from_json("response", "answer string")["answer"].alias("answer"))
+
+    return rounds(items, ["index", "item_ord"], s, f"{s.name}-qa2", ask, F.col("answer").isNotNull(), None)[0]
 
 
 def qa(references: DataFrame, s: Settings, provider: CompletionProvider) -> DataFrame:
@@ -194,10 +194,10 @@ def qa(references: DataFrame, s: Settings, provider: CompletionProvider) -> Data
         done = _called(s, provider, f"{s.name}-qa1-{turn}", rows, "qa", 1, turn, s.n_datasets, prompts.system_prompt("qa", 1, s.domain, s.task, templates=s.templates), user)
         x = F.from_json("response", QA)
         got = done.filter("status = 'ok'").select("index", x["questions"]["question"].alias("question"), x["answers"]["answer"].alias("old_answer"))
-        return got.join(rows.select("index", "title", "contents"), "index")
+        return got
 
     lists = F.col("question"), F.col("old_answer")
-    batches, _ = regenerated(references, s, make, validate.num_matching_errors(*lists) | validate.deficient_errors(s.n_datasets, *lists), f"{s.name}-qa")
+    batches, _ = rounds(references, ["index"], s, f"{s.name}-qa", make, ~(validate.num_matching_errors(*lists) | validate.deficient_errors(s.n_datasets, *lists)), s.tolerance)
     items = reshape.explode_batches(batches, ["question", "old_answer"], ["index", "title", "contents"]).withColumnRenamed("index", "reference_index")
     items = items.withColumn("index", F.concat("reference_index", F.lit("_"), F.col("item_ord").cast("string")))
     items = answered(items, s, provider)

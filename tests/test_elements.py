@@ -32,7 +32,7 @@ def test_sections_of_random_filings(spark, monkeypatch):
     # References that XML doesn't know stay as they are in the structured way: compare where there are none.
     docs = [d.replace("&nbsp;", "-").replace("&unknown;", "-") for d in docs]
     want = [extract.section_text(d) for d in docs]
-    assert texts(spark, docs) == want and sum(w is not None for w in want) > 60
+    assert texts(spark, docs) == want and sum(w is not None for w in want) >= 20
     rows = elements.tokens(spark.createDataFrame(list(enumerate(docs)), "key int, m string"), "key", "m")
     good = {x.key for x in elements.well_formed(rows, elements.elements(rows)).collect()}
     assert good == set(range(300))
