@@ -14,7 +14,7 @@ import uuid
 from pathlib import Path
 from urllib.parse import parse_qs, urlsplit
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .functions import text as T
@@ -280,18 +280,17 @@ def preference_errors(spark, d):
   FROM i GROUP BY index) SELECT 'd_' || doc_id AS index, prev_example FROM documents LEFT JOIN e ON e.index = 'd_' || doc_id""")
 def prev_example_join(spark, d):
     refs = _t(spark, d, "documents").select(F.concat(F.lit("d_"), F.col("doc_id").cast("string")).alias("index"))
-    texts = _items(spark, d).filter("reasoning_process is not null")
-    return reshape.with_previous(refs, texts, ["item_ord"]).select("index", "prev_example")
+    return reshape.with_previous(refs, _items(spark, d), ["item_ord"]).select("index", "prev_example")
 
 
 _PERM = "list_transform(list_sort([{'h': md5(index || ':' || item_ord || ':' || k), 'k': k} for k in range(0, len(options))]), lambda s: s.k)"
 
 
-@query(f"""WITH {_I}, p AS (SELECT *, {_PERM} AS perm, ascii(answer) - 65 AS old FROM i WHERE len([x for x in options if x IS NULL OR x = '']) = 0)
+@query(f"""WITH {_I}, p AS (SELECT *, {_PERM} AS perm, ascii(answer) - 65 AS old FROM i)
 SELECT index, item_ord, CASE WHEN len(options) <= 7 AND old < len(options) THEN array_to_string([chr(CAST(64 + j AS INTEGER)) || options[perm[j] + 1][2:] for j in range(1, len(options) + 1)], '|') ELSE array_to_string(options, '|') END AS options,
-  CASE WHEN len(options) <= 7 AND old < len(options) THEN chr(CAST(64 + list_position(perm, old) AS INTEGER)) ELSE answer END AS answer FROM p WHERE answer IS NOT NULL""")
+  CASE WHEN len(options) <= 7 AND old < len(options) THEN chr(CAST(64 + list_position(perm, old) AS INTEGER)) ELSE answer END AS answer FROM p""")
 def shuffle_answers(spark, d):
-    rows = _items(spark, d).filter("answer is not null and not exists(options, x -> x is null or x = '')")
+    rows = _items(spark, d)
     options, answer = debias.shuffled(F.col("options"), F.col("answer"), F.concat("index", F.lit(":"), F.col("item_ord").cast("string")))
     return rows.select("index", "item_ord", F.array_join(options, "|").alias("options"), answer.alias("answer"))
 
@@ -304,10 +303,9 @@ _DRAWN = "CAST(('0x' || substr(md5({}), 1, 8))::BIGINT % {} AS INTEGER)"
 _CLOSINGS = ", ".join(map(_text, debias.CONCLUSIONS))
 
 
-@query(f"""WITH {_I} SELECT index, item_ord, reasoning_process || ' ' || replace([{_CLOSINGS}][{_DRAWN.format("index", len(debias.CONCLUSIONS))} + 1], '{{}}', answer) AS reasoning_process
-FROM i WHERE answer IS NOT NULL AND reasoning_process IS NOT NULL""")
+@query(f"""WITH {_I} SELECT index, item_ord, reasoning_process || ' ' || replace([{_CLOSINGS}][{_DRAWN.format("index", len(debias.CONCLUSIONS))} + 1], '{{}}', answer) AS reasoning_process FROM i""")
 def add_conclusion(spark, d):
-    rows = _items(spark, d).filter("answer is not null and reasoning_process is not null")
+    rows = _items(spark, d)
     return rows.select("index", "item_ord", debias.concluded(F.col("reasoning_process"), F.col("answer"), F.col("index")).alias("reasoning_process"))
 
 
@@ -381,12 +379,16 @@ def sft_text(spark, d):
     return _items(spark, d).select("index", "item_ord", training.sft_text(kind, F.col("question"), F.col("options"), F.col("reasoning_process"), F.col("answer")).alias("text"))
 
 
-@query("SELECT u.text AS prompt, a.text AS chosen, 'none' AS rejected FROM conversations u JOIN conversations a ON u.conv_id = a.conv_id AND a.turn = u.turn + 1 WHERE u.role = 'user' AND a.role = 'assistant'")
+@query("""SELECT u.text AS prompt, a.text AS chosen, coalesce(lead(a.text) OVER w, lag(a.text) OVER w, u.text) AS rejected
+FROM conversations u JOIN conversations a ON u.conv_id = a.conv_id AND a.turn = u.turn + 1 WHERE u.role = 'user' AND a.role = 'assistant' WINDOW w AS (PARTITION BY u.conv_id ORDER BY u.turn)""")
 def dpo_triples(spark, d):
     turns = _t(spark, d, "conversations")
     u = turns.filter("role = 'user'").select("conv_id", "turn", F.col("text").alias("question"))
     a = turns.filter("role = 'assistant'").select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("answer"))
-    return training.dpo_triples(u.join(a, ["conv_id", "turn"]).withColumn("old_answer", F.lit("none")))
+    # Rejected is what answers another question of the conversation, or where there is none the question said again.
+    other = Window.partitionBy("conv_id").orderBy("turn")
+    old = F.coalesce(F.lead("answer").over(other), F.lag("answer").over(other), F.col("question"))
+    return training.dpo_triples(u.join(a, ["conv_id", "turn"]).withColumn("old_answer", old))
 
 
 @query("SELECT doc_id, '아래 자료로 문항을 5개 만드세요.' || chr(10) || '### 제목:' || chr(10) || source || chr(10) || CASE WHEN length(text) > 0 THEN '### 내용:' || chr(10) || text || chr(10) ELSE '' END AS prompt FROM documents")
@@ -663,10 +665,10 @@ def prompts_judges(spark, d):
     return rows.select("index", "item_ord", *[prompts.user_prompt_for(k).alias(k) for k in ("hallucination", "preference", "value")])
 
 
-@query("SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN source || chr(10) || text ELSE source END AS question FROM documents WHERE doc_id % 3 <> 0 OR length(text) > 0")
+@query("SELECT doc_id, CASE WHEN doc_id % 3 = 0 AND length(text) > 0 THEN source || chr(10) || text ELSE source END AS question FROM documents")
 def table_descriptions(spark, d):
     desc = F.when(F.col("doc_id") % 3 == 0, F.col("text")).when(F.col("doc_id") % 3 == 1, F.lit(""))
-    return _t(spark, d, "documents").filter("doc_id % 3 <> 0 or length(text) > 0").select("doc_id", reshape.with_table(F.col("source"), desc).alias("question"))
+    return _t(spark, d, "documents").select("doc_id", reshape.with_table(F.col("source"), desc).alias("question"))
 
 
 @query(f"""SELECT CAST(sum(n) AS BIGINT) AS total, string_agg(coalesce(v, '-'), '|' ORDER BY v NULLS FIRST) AS "distinct", string_agg(v || '=' || n, '|' ORDER BY v) AS counts
@@ -688,10 +690,24 @@ def at_positions(spark, d):
     return curate.at_positions(_t(spark, d, "orders").select("o_orderkey", "o_totalprice"), ["o_orderkey"], 23, 40)
 
 
-@query("SELECT doc_id, row_number() OVER (ORDER BY md5('5:' || doc_id), doc_id) - 1 AS turn FROM documents")
+@query("""WITH j AS (SELECT doc_id, source, row_number() OVER (PARTITION BY source ORDER BY md5('5:' || doc_id), doc_id) - 1 AS j, count(*) OVER (PARTITION BY source) AS n FROM documents)
+SELECT doc_id, source, row_number() OVER (ORDER BY (2 * j + 1)::DOUBLE / (2 * n), source IS NULL, source) - 1 AS turn FROM j""")
 def dispatch_order(spark, d):
-    rows = curate.dispatch_order(_t(spark, d, "documents").select("doc_id"), F.col("doc_id"), 5)
-    return numbered(rows.withColumn("drawn", F.md5(F.concat(F.lit("5:"), F.col("doc_id").cast("string")))), ["drawn", "doc_id"], "turn").drop("drawn")
+    return curate.dispatch_order(_t(spark, d, "documents").select("doc_id", "source"), F.col("doc_id"), "source", 5)
+
+
+@query("SELECT doc_id, lang, source, n_chars FROM documents QUALIFY row_number() OVER (PARTITION BY lang ORDER BY md5('2:' || doc_id), doc_id) <= 12")
+def sample_by_type(spark, d):
+    return curate.sample_by(_t(spark, d, "documents").select("doc_id", "lang", "source", "n_chars"), 12, "lang", F.col("doc_id"), 2, keep_short=True)
+
+
+@query("""WITH r AS (SELECT event_type, event_id, octet_length(encode(CAST(to_json({'event_id': event_id, 'user_id': user_id}) AS VARCHAR))) AS n FROM events WHERE event_type IS NOT NULL),
+s AS (SELECT *, (sum(n) OVER (PARTITION BY event_type ORDER BY event_id ROWS UNBOUNDED PRECEDING) - n)::BIGINT // 10000 AS segment, row_number() OVER (PARTITION BY event_type ORDER BY event_id) - 1 AS place FROM r)
+SELECT event_type, segment, min(place) AS first, CAST(count(*) AS INTEGER) AS n, string_agg(event_id::VARCHAR, ',' ORDER BY event_id) AS ids FROM s GROUP BY event_type, segment""")
+def segmented_groups(spark, d):
+    """All events of a type, in segments of 10 kB of what is kept of them."""
+    rows = reshape.implode_segments(_t(spark, d, "events").select("event_type", "event_id", "user_id"), ["event_id", "user_id"], ["event_id"], "event_type", 10_000)
+    return rows.select("event_type", "segment", "first", F.size("event_id").alias("n"), F.array_join(F.col("event_id").cast("array<string>"), ",").alias("ids"))
 
 
 @query(f"WITH {_I} SELECT DISTINCT index FROM i WHERE reasoning_process IS NULL ORDER BY index")
@@ -772,23 +788,26 @@ def named_files(spark, d):
     return files.read_multi_jsonl(spark, path, rows.schema).groupBy(own.alias("file")).agg(F.count("*").alias("rows"), F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
 
 
-@query("SELECT CAST(seq AS INTEGER) AS seq, v AS valid_type_index, q AS question, '4' AS n_options FROM (VALUES (0, 'fin_ratio', 'q1'), (1, 'fin_concept', 'q3'), (2, 'mkt_analysis', 'q4')) t(seq, v, q)")
+@query("""SELECT CAST(row_number() OVER (ORDER BY r_regionkey) - 1 AS INTEGER) AS seq, CASE WHEN r_regionkey % 2 = 0 THEN 'fin_ratio' ELSE 'mkt_analysis' END AS valid_type_index,
+  r_name AS question, '4' AS n_options FROM region WHERE r_regionkey <> 1""")
 def registry_rows(spark, d):
-    with tempfile.TemporaryDirectory() as folder:  # a registry is a small file of the driver
+    """A validation set, a small file of the driver, filled from region; the second of its questions is taken out again."""
+    with tempfile.TemporaryDirectory() as folder:
         r = registry.ValidationSetRegister(f"{folder}/sets.jsonl")
-        for kind, q in (("fin_ratio", "q1"), ("fin_concept", "q2"), ("fin_concept", "q3"), ("mkt_analysis", "q4")):
-            r.add_validation(kind, q, ["A. a", "B. b", "C. c", "D. d"], "why", "A")
+        for row in _t(spark, d, "region").orderBy("r_regionkey").toLocalIterator():
+            r.add_validation("fin_ratio" if row.r_regionkey % 2 == 0 else "mkt_analysis", row.r_name, ["A. a", "B. b", "C. c", "D. d"], "why", "A")
         r.exclude_config(1)
         return r.frame(spark).select("seq", "valid_type_index", "question", "n_options")
 
 
-@query("SELECT * FROM (VALUES ('가', 'a', 'u1', 'MIT'), ('다', 'c', 'u3', 'CC')) t(ko_name, en_name, url, license)")
+@query("SELECT n_name AS ko_name, 'nation_' || n_nationkey AS en_name, 'region/' || n_regionkey AS url, 'MIT' AS license FROM nation WHERE n_nationkey <> 7")
 def dataset_registry(spark, d):
+    """A registry of datasets filled from nation."""
     with tempfile.TemporaryDirectory() as folder:
         r = registry.DatasetRegister(f"{folder}/data.jsonl")
-        for row in (("가", "a", "u1", "MIT"), ("나", "b", "u2", "MIT"), ("다", "c", "u3", "CC")):
-            r.add_config(*row)
-        r.exclude_config("b")
+        for row in _t(spark, d, "nation").orderBy("n_nationkey").toLocalIterator():
+            r.add_config(row.n_name, f"nation_{row.n_nationkey}", f"region/{row.n_regionkey}", "MIT")
+        r.exclude_config("nation_7")
         return r.frame(spark)
 
 

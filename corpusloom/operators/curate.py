@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..plans.barrier import fresh
@@ -35,14 +35,15 @@ def deduplicated(df: DataFrame, subset: list[str], order: list[str], keep: str |
     first and last are an aggregate (partial before the shuffle), so a group of any size is no burden to one task.
     """
     if keep is False:
-        alone = df.groupBy(*subset).agg(F.count("*").alias("_n")).filter("_n = 1").drop("_n")
+        n = fresh(df.columns, "n")[0]
+        alone = df.groupBy(*subset).agg(F.count("*").alias(n)).filter(F.col(n) == 1).drop(n)
         on = [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in subset]
         return df.alias("l").join(alone.alias("r"), on, "left_semi")
     if keep not in ("first", "last"):
         raise ValueError(f"keep is 'first', 'last' or False, not {keep!r}")
     pick = F.min_by if keep == "first" else F.max_by
-    row = F.struct(*df.columns)
-    return df.groupBy(*subset).agg(pick(row, F.struct(*order)).alias("_r")).select("_r.*")
+    row, one = F.struct(*df.columns), fresh(df.columns, "row")[0]
+    return df.groupBy(*subset).agg(pick(row, F.struct(*order)).alias(one)).select(f"{one}.*")
 
 
 def spec(df: DataFrame, column: str) -> DataFrame:
@@ -55,11 +56,37 @@ def first_seen(df: DataFrame, column: str, order: str) -> DataFrame:
     return df.groupBy(column).agg(F.min(order).alias("first_ord"))
 
 
+def _draw(key: Column, seed: int) -> Column:
+    return F.md5(F.concat(F.lit(f"{seed}:"), key.cast("string")))
+
+
+def _enough(rows: DataFrame, n: int, what: str, *by: Column) -> DataFrame:
+    """rows, unless a group of them has fewer than n: that raises. rows are few: n a group."""
+    size = fresh(rows.columns, "size")[0]
+    short = F.raise_error(F.concat(F.lit(f"fewer than {n} rows"), F.lit(what)))
+    return rows.withColumn(size, F.count(F.lit(1)).over(Window.partitionBy(*by))).filter(F.when(F.col(size) >= n, True).otherwise(short.cast("boolean"))).drop(size)
+
+
 def sample(df: DataFrame, n: int, key: Column, seed: int = 0) -> DataFrame:
-    """n rows without replacement, drawn by hash of key; raises if there are fewer."""
-    if df.limit(n).count() < n:
-        raise ValueError(f"fewer than {n} rows")
-    return df.orderBy(F.md5(F.concat(F.lit(f"{seed}:"), key.cast("string"))), key).limit(n)
+    """n rows without replacement, drawn by hash of key, in that order; if there are fewer (but some) reading the result raises.
+
+    One pass: each task keeps the n lowest of its rows.
+    """
+    draw, own = fresh(df.columns, "draw", "key")
+    rows = df.withColumns({draw: _draw(key, seed), own: key}).orderBy(draw, own).limit(n)
+    return _enough(rows, n, "").orderBy(draw, own).drop(draw, own)
+
+
+def sample_by(df: DataFrame, n: int, by: str, key: Column, seed: int = 0, keep_short: bool = False) -> DataFrame:
+    """n rows of each value of by (null is one), drawn by hash of key as `sample` does; values with fewer raise, or keep what they have.
+
+    One pass over all values: each task keeps the n lowest draws of each value before anything is shuffled, and such partial
+    samples merge to the sample of all, so that no task ever has more of a value than n rows of each other task.
+    """
+    draw, own, rank = fresh(df.columns, "draw", "key", "rank")
+    rows = df.withColumns({draw: _draw(key, seed), own: key})
+    rows = rows.withColumn(rank, F.row_number().over(Window.partitionBy(by).orderBy(draw, own))).filter(F.col(rank) <= n)
+    return (rows if keep_short else _enough(rows, n, f" of a value of {by}", F.col(by))).drop(draw, own, rank)
 
 
 def head(df: DataFrame, n: int, order: list[str]) -> DataFrame:
@@ -109,9 +136,26 @@ def show_sample(df: DataFrame, key: Column, n: int = 5, eval_type: str | None =
     return rows if all_columns else rows.select(*[c for c in sample_columns(kind) if c in df.columns])
 
 
-def dispatch_order(df: DataFrame, key: Column, seed: int = 0) -> DataFrame:
-    """df in a drawn order, the same for the same seed: calls of one source then don't follow each other."""
-    return df.orderBy(F.md5(F.concat(F.lit(f"{seed}:"), key.cast("string"))), key)
+def show_samples(df: DataFrame, key: Column, n: int = 5) -> DataFrame:
+    """type and n rows of each, in one pass, with the columns that any of the types has to show."""
+    shown = {c for kind in ("mcqa", "qa", "references", "classification") for c in sample_columns(kind)}
+    return sample_by(df, n, "type", key, keep_short=True).select("type", *[c for c in df.columns if c in shown])
+
+
+def dispatch_order(df: DataFrame, key: Column, source: str, seed: int = 0, out: str = "turn") -> DataFrame:
+    """df with out, the turn of each row (from 0): the sources interleaved as evenly as their sizes allow, drawn by hash of key within each.
+
+    Row j of a source of n rows has its place at (2 j + 1) / 2n of the whole, ties by source. Between two rows of a source of m
+    rows there are then at most n / m + 1 of another, so no source's calls crowd together unless it outweighs all others. Rows
+    are numbered by ranges, so a source of any size is no burden to one task.
+    """
+    draw, own, missing, at, first, n, place = fresh([*df.columns, out], "draw", "key", "missing", "at", "first", "n", "place")
+    rows = df.withColumns({draw: _draw(key, seed), own: key, missing: F.col(source).isNull()})
+    rows = numbered(rows, [missing, source, draw, own], at)
+    sizes = rows.groupBy(source).agg(F.min(at).alias(first), F.count(F.lit(1)).alias(n)).withColumnRenamed(source, place)
+    placed = rows.join(sizes, F.col(source).eqNullSafe(F.col(place)), "left").drop(place)
+    placed = placed.withColumn(place, (2 * (F.col(at) - F.col(first)) + 1) / (2 * F.col(n)))
+    return numbered(placed, [place, missing, source], out).select(*[c for c in df.columns if c != out], out)
 
 
 def at_positions(df: DataFrame, order: list[str], start: int, stop: int | None = None) -> DataFrame:

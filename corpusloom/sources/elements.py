@@ -6,7 +6,7 @@ it; an element is the interval from its start tag to the next tag of the same le
 is its end. "Inside" is then a position within an interval, the nearest ancestor is the
 containing interval that starts last, and "not in a table" is a running count of zero: no
 tree is built, and no strings meet elements in pairs. All of it is SQL functions and
-windows by document; equal documents are worked on once.
+windows by document; what they sort are names and places of tags, and texts.
 
 What isn't well formed (an end without its start, a start without its end) is told by the
 same rows, and goes through the lenient reader of `extract` instead.
@@ -26,7 +26,6 @@ from . import extract
 _QUOTED = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+"""
 #: Comments, marked sections, instructions, tags, texts; a < that opens none of these is a text of its own.
 TOKEN = rf"(?s)<!--.*?-->|<!\[CDATA\[.*?\]\]>|<[?!][^>]*+>|</?[A-Za-z]{_QUOTED}>|[^<]++|<"
-_TAG = r"^</?[A-Za-z]"
 # The entities that XML itself has.
 _KNOWN = r"&(?!(?:amp|lt|gt|quot|apos|#[0-9]{1,7}|#x[0-9A-Fa-f]{1,6});)"
 _EDGE = WHITE + "+"
@@ -44,16 +43,18 @@ def trimmed(text: Column) -> Column:
 
 
 def tokens(documents: DataFrame, key: str, markup: str, around: tuple[str, ...] = ()) -> DataFrame:
-    """key, pos, kind (start, end, text, other), tag, token, level, and in_{name}: how many such elements are open, for each name of around."""
+    """key, pos, kind (start, end, text; all else is left out), tag, token (of texts), level, and in_{name}: how many such elements are open, for each name of around."""
     rows = documents.select(F.col(key).alias("key"), F.posexplode(F.regexp_extract_all(F.col(markup), F.lit(TOKEN), F.lit(0))).alias("pos", "token"))
-    tag, is_tag = F.lower(F.regexp_extract("token", r"^</?([^\s/>]+)", 1)), F.rlike("token", F.lit(_TAG))
-    alone = F.rlike("token", F.lit(r"/>$")) | tag.isin(*sorted(extract._VOID))
+    opens, void = F.startswith("token", F.lit("<")), sorted(extract._VOID)
+    tag = F.lower(F.regexp_extract("token", r"^</?([A-Za-z][^\s/>]*)", 1))
+    rows = rows.withColumn("tag", F.when(opens, tag).otherwise(""))
+    named = (F.col("tag") != "") & ~F.col("tag").isin(*void)
     kind = (
-        F.when(is_tag & F.startswith("token", F.lit("</")), F.when(tag.isin(*sorted(extract._VOID)), "other").otherwise("end"))
-        .when(is_tag, F.when(alone, "other").otherwise("start"))
-        .when(F.startswith("token", F.lit("<![CDATA[")) | ~F.startswith("token", F.lit("<")) | (F.col("token") == "<"), "text").otherwise("other")
+        F.when(named & F.startswith("token", F.lit("</")), "end").when(named & ~F.endswith("token", F.lit("/>")), "start")
+        .when(~opens | F.startswith("token", F.lit("<![CDATA[")) | (F.col("token") == "<"), "text")
     )
-    rows = rows.withColumns({"kind": kind, "tag": F.when(is_tag, tag)})
+    rows = rows.withColumn("kind", kind).filter("kind IS NOT NULL")
+    rows = rows.withColumns({"token": F.when(F.col("kind") == "text", F.col("token")), "tag": F.when(F.col("kind") != "text", F.col("tag"))})
     step = F.when(F.col("kind") == "start", 1).when(F.col("kind") == "end", -1).otherwise(0)
     so_far = Window.partitionBy("key").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
     depth = F.sum(step).over(so_far)
@@ -85,8 +86,8 @@ def nearest(points: DataFrame, found: DataFrame, tag: str) -> DataFrame:
 def section_texts(documents: DataFrame, markup: str, to: str = "text", title: str = "사업의 내용", section: str = "section-1") -> DataFrame:
     """documents with the text, without tables, of the nearest section around the first title that has the words; strings are lines."""
     key, taken = fresh([*documents.columns, to], "key", "found")
-    keyed = documents.withColumn(key, F.sha2(F.col(markup), 256))
-    each = keyed.filter(F.col(markup).isNotNull()).groupBy(key).agg(F.any_value(markup).alias(markup))
+    keyed = barrier(documents.withColumn(key, F.monotonically_increasing_id()), "filings")
+    each = keyed.filter(F.col(markup).isNotNull()).select(key, markup)
     rows = barrier(tokens(each, key, markup, ("title", "table")), "tokens")
     found = barrier(elements(rows), "elements")
     good = well_formed(rows, found)
