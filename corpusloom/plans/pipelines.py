@@ -17,6 +17,7 @@ from ..operators import debias, payload, reshape, validate
 from ..sources.files import write_errors, write_jsonl, write_jsonl_file
 from . import prompts
 from .barrier import barrier, fresh, observed
+from .graph import END, Graph, State
 from .ledger import Ledger
 from .provider import SCHEMAS, CompletionProvider, completed
 from .templates import Library
@@ -43,6 +44,7 @@ class Settings:
     if_fewshot: bool = True
     threads: int = 8
     templates: Library | None = None  # prompts by other files than the package's own
+    state_dir: str | None = None  # where the state is kept after each node, so that a stopped run goes on with the next
     ledger: Ledger | None = None  # where calls are kept, so that a run started again makes none twice
     rate: float | None = None  # calls a second, all tasks together; else the provider's own
     partitions: int | None = None  # tasks of a stage of calls
@@ -151,29 +153,41 @@ def _saved(make, items: DataFrame, s: Settings, kind: str, step: int) -> DataFra
         raise
 
 
-def mcqa(references: DataFrame, s: Settings, provider: CompletionProvider) -> DataFrame:
-    """All steps of multiple-choice items from references(index, title, contents)."""
-    rows, out = references, None
-    for step in range(1, s.max_step + 1):
-        batches = generate_mcqa(rows, s, provider, step)
-        items = reshape.explode_batches(batches, ["question", "options", "reasoning_process", "answer"], ["index", "title", "contents", "step"])
-        items = judged(items, "hallucination", s, provider, prompts.user_prompt_for("hallucination", templates=s.templates), validate.label_errors(F.col("hallucination"), validate.HALLUCINATION))
-        if s.drop_unusable:
-            items = items.filter(~validate.unusable(F.col("hallucination")))
-        key = F.concat("index", F.lit(":"), F.col("item_ord").cast("string"), F.lit(f":{step}"))
+def mcqa_graph(s: Settings, provider: CompletionProvider) -> Graph:
+    """Steps of multiple-choice items over a state of rows (index, title, contents) and step: generate, judge, grade, and again."""
+
+    def generate(x: State) -> State:
+        batches = generate_mcqa(x["rows"], s, provider, x["step"])
+        return {"items": reshape.explode_batches(batches, ["question", "options", "reasoning_process", "answer"], ["index", "title", "contents", "step"])}
+
+    def judge(x: State) -> State:
+        items = judged(x["items"], "hallucination", s, provider, prompts.user_prompt_for("hallucination", templates=s.templates), validate.label_errors(F.col("hallucination"), validate.HALLUCINATION))
+        return {"items": items.filter(~validate.unusable(F.col("hallucination"))) if s.drop_unusable else items}
+
+    def grade(x: State) -> State:
+        step, key = x["step"], F.concat("index", F.lit(":"), F.col("item_ord").cast("string"), F.lit(f":{x['step']}"))
         options, answer = debias.shuffled(F.col("options"), F.col("answer"), key)
-        final = items.withColumns({"options": options, "answer": answer})
+        final = x["items"].withColumns({"options": options, "answer": answer})
         final = final.withColumn("reasoning_process", debias.concluded(F.col("reasoning_process"), F.col("answer"), key)).withColumn("type", F.lit("mcqa"))
 
-        def graded(final: DataFrame = final, step: int = step) -> DataFrame:
+        def graded() -> DataFrame:
             rows = judged(final, "value", s, provider, prompts.user_prompt_for("value", templates=s.templates))
             return barrier(_stamped(rows.filter(F.col("value").between(0, 5)), s, "mcqa"), f"{s.name}-step{step}")
 
-        final = _saved(graded, final, s, "mcqa", step)
-        out = final if out is None else out.unionByName(final)
-        if step < s.max_step:  # items as they were before the shuffle are the next step's examples; references without any stay out
-            rows = reshape.with_previous(rows, items, ["item_ord"]).filter("prev_example is not null")
-    return out
+        saved = _saved(graded, final, s, "mcqa", step)
+        return {"result": x["result"].unionByName(saved) if "result" in x else saved}
+
+    def advance(x: State) -> State:
+        # Items as they were before the shuffle are the next step's examples; references without any stay out.
+        return {"rows": reshape.with_previous(x["rows"], x["items"], ["item_ord"]).filter("prev_example is not null"), "step": x["step"] + 1}
+
+    more = (lambda x: "advance" if x["step"] < s.max_step else END, ("advance", END))
+    return Graph("generate", {"generate": generate, "judge": judge, "grade": grade, "advance": advance}, {"generate": "judge", "judge": "grade", "grade": more, "advance": "generate"})
+
+
+def mcqa(references: DataFrame, s: Settings, provider: CompletionProvider) -> DataFrame:
+    """All steps of multiple-choice items from references(index, title, contents)."""
+    return mcqa_graph(s, provider).run(references.sparkSession, {"rows": references, "step": 1}, s.state_dir)["result"]
 
 
 def answered(items: DataFrame, s: Settings, provider: CompletionProvider) -> DataFrame:
@@ -186,42 +200,64 @@ def answered(items: DataFrame, s: Settings, provider: CompletionProvider) -> Dat
     return rounds(items, ["index", "item_ord"], s, f"{s.name}-qa2", ask, F.col("answer").isNotNull(), None)[0]
 
 
-def qa(references: DataFrame, s: Settings, provider: CompletionProvider) -> DataFrame:
-    """Question, grounded answer, closed-book answer, preference and value of items from references."""
+def qa_graph(s: Settings, provider: CompletionProvider) -> Graph:
+    """Question and grounded answer, closed-book answer, preference and value, over a state of rows (index, title, contents)."""
 
     def make(rows: DataFrame, turn: int) -> DataFrame:
         user = prompts.user_prompt_for("qa", 1, s.n_datasets, templates=s.templates)
         done = _called(s, provider, f"{s.name}-qa1-{turn}", rows, "qa", 1, turn, s.n_datasets, prompts.system_prompt("qa", 1, s.domain, s.task, templates=s.templates), user)
         x = F.from_json("response", QA)
-        got = done.filter("status = 'ok'").select("index", x["questions"]["question"].alias("question"), x["answers"]["answer"].alias("old_answer"))
-        return got
+        return done.filter("status = 'ok'").select("index", x["questions"]["question"].alias("question"), x["answers"]["answer"].alias("old_answer"))
 
-    lists = F.col("question"), F.col("old_answer")
-    batches, _ = rounds(references, ["index"], s, f"{s.name}-qa", make, ~(validate.num_matching_errors(*lists) | validate.deficient_errors(s.n_datasets, *lists)), s.tolerance)
-    items = reshape.explode_batches(batches, ["question", "old_answer"], ["index", "title", "contents"]).withColumnRenamed("index", "reference_index")
-    items = items.withColumn("index", F.concat("reference_index", F.lit("_"), F.col("item_ord").cast("string")))
-    items = answered(items, s, provider)
-    items = judged(items, "preference", s, provider, prompts.user_prompt_for("preference", templates=s.templates), validate.label_errors(F.col("preference"), validate.PREFERENCE))
-    items = items.withColumn("type", F.lit("qa"))
+    def generate(x: State) -> State:
+        lists = F.col("question"), F.col("old_answer")
+        batches, _ = rounds(x["rows"], ["index"], s, f"{s.name}-qa", make, ~(validate.num_matching_errors(*lists) | validate.deficient_errors(s.n_datasets, *lists)), s.tolerance)
+        items = reshape.explode_batches(batches, ["question", "old_answer"], ["index", "title", "contents"]).withColumnRenamed("index", "reference_index")
+        return {"items": items.withColumn("index", F.concat("reference_index", F.lit("_"), F.col("item_ord").cast("string")))}
 
-    def graded() -> DataFrame:
-        rows = judged(items, "value", s, provider, prompts.user_prompt_for("value", kind="qa", templates=s.templates))
-        return barrier(_stamped(rows.filter(F.col("value").between(0, 5)), s, "qa"), f"{s.name}-qa-final")
+    def answer(x: State) -> State:
+        return {"items": answered(x["items"], s, provider)}
+
+    def compare(x: State) -> State:
+        items = judged(x["items"], "preference", s, provider, prompts.user_prompt_for("preference", templates=s.templates), validate.label_errors(F.col("preference"), validate.PREFERENCE))
+        return {"items": items.withColumn("type", F.lit("qa"))}
+
+    def grade(x: State) -> State:
+        def graded() -> DataFrame:
+            rows = judged(x["items"], "value", s, provider, prompts.user_prompt_for("value", kind="qa", templates=s.templates))
+            return barrier(_stamped(rows.filter(F.col("value").between(0, 5)), s, "qa"), f"{s.name}-qa-final")
+
+        return {"result": _saved(graded, x["items"], s, "qa", 4)}
+
+    return Graph("generate", {"generate": generate, "answer": answer, "compare": compare, "grade": grade}, {"generate": "answer", "answer": "compare", "compare": "grade", "grade": END})
+
+
+def qa(references: DataFrame, s: Settings, provider: CompletionProvider) -> DataFrame:
+    """Question, grounded answer, closed-book answer, preference and value of items from references."""
+    return qa_graph(s, provider).run(references.sparkSession, {"rows": references}, s.state_dir)["result"]
+
+
+def classification_graph(s: Settings, provider: CompletionProvider) -> Graph:
+    """Topics of references, over a state of rows (index, title, contents): classify, then save."""
+
+    def classify(x: State) -> State:
+        rows = x["rows"].withColumns({"item_ord": F.lit(0), "type": F.lit("references")})
+        return {"items": judged(rows, "classification", s, provider, prompts.user_prompt_for("classification", templates=s.templates), validate.label_errors(F.col("classification"), validate.CLASSIFICATION))}
+
+    def save(x: State) -> State:
+        out = barrier(_stamped(x["items"].drop("item_ord"), s, "classification"), f"{s.name}-classification")
+        if s.save_dir:
+            s.save(out, f"{s.save_dir}/{s.name.removesuffix('.jsonl')}.jsonl", ["index"])
+        return {"result": out}
 
-    return _saved(graded, items, s, "qa", 4)
+    return Graph("classify", {"classify": classify, "save": save}, {"classify": "save", "save": END})
 
 
 def classification(references: DataFrame, s: Settings, provider: CompletionProvider) -> DataFrame:
     """references with their topic."""
-    rows = references.withColumns({"item_ord": F.lit(0), "type": F.lit("references")})
-    out = judged(rows, "classification", s, provider, prompts.user_prompt_for("classification", templates=s.templates), validate.label_errors(F.col("classification"), validate.CLASSIFICATION))
-    out = barrier(_stamped(out.drop("item_ord"), s, "classification"), f"{s.name}-classification")
-    if s.save_dir:
-        s.save(out, f"{s.save_dir}/{s.name.removesuffix('.jsonl')}.jsonl", ["index"])
-    return out
+    return classification_graph(s, provider).run(references.sparkSession, {"rows": references}, s.state_dir)["result"]
 
 
 def workflow_graph(kind: str = "mcqa") -> str:
-    """The rounds of a pipeline as Mermaid text."""
-    tail = ["judge -->|errors| judge", "judge --> debias", "debias --> grade", "grade --> save"] if kind == "mcqa" else ["judge -->|errors| judge", "judge --> grade", "grade --> save"]
-    return "\n    ".join(["graph TD", "start --> generate", "generate --> validate", "validate -->|errors| generate", "validate --> judge", *tail, *(["save -->|next step| generate"] if kind == "mcqa" else []), "save --> finish"])
+    """The nodes of a pipeline as Mermaid text."""
+    return {"mcqa": mcqa_graph, "qa": qa_graph, "classification": classification_graph}[kind](Settings(), None).mermaid()
