@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..operators.ordinal import numbered, tile
+from ..operators.ordinal import positions, tile
 from ..plans.barrier import fresh
 from . import sink
 
@@ -70,7 +70,7 @@ def file_split_plan(df: DataFrame, order: list[str], max_bytes: int) -> DataFram
 
 def _planned(df: DataFrame, order: list[str], max_bytes: int) -> tuple[DataFrame, int]:
     at, size = fresh([*df.columns, "file_idx"], "at", "bytes")
-    rows = numbered(df, order, at).withColumn(size, F.octet_length(_line(df.columns)) + 1)
+    rows = positions(df.withColumn(size, F.octet_length(_line(df.columns)) + 1), order, at, name="split")
     total, n = rows.agg(F.sum(size), F.count("*")).first()
     files = int(total or 0) // max_bytes + 1
     return rows.withColumn("file_idx", tile(F.col(at), n, files)).drop(at, size), min(files, n)
