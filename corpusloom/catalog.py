@@ -24,7 +24,7 @@ from .plans import pipelines, prompts
 from .plans.barrier import shared_folder
 from .plans.ledger import Ledger
 from .plans.provider import SCHEMAS, StubProvider
-from .sources import elements, extract, files, registry, rest
+from .sources import elements, extract, files, registry, rest, sink
 
 _QUERIES: dict = {}
 _SQL: dict[str, str] = {}
@@ -311,7 +311,7 @@ def add_conclusion(spark, d):
 
 @query("SELECT p_partkey FROM part WHERE p_size BETWEEN 0 AND 5")
 def value_range(spark, d):
-    return _t(spark, d, "part").filter(F.col("p_size").between(0, 5)).select("p_partkey")
+    return curate.graded(_t(spark, d, "part"), "p_size").select("p_partkey")
 
 
 _MAPPER = {"Brand#11": 10, "Brand#12": 25, "Brand#23": 40, "Brand#99": 1}
@@ -369,7 +369,7 @@ def union_all(spark, d):
 @query(f"WITH {_B}, e AS (SELECT count(*) FILTER (WHERE {_OPTION_BAD}) AS errors, count(*) AS total FROM b) SELECT errors, total, errors > greatest(1, CAST(floor(0.3 * total) AS BIGINT)) AS again FROM e")
 def error_rate_gate(spark, d):
     counts = _batches(spark, d).agg(F.count_if(validate.option_errors(F.col("options"))).alias("errors"), F.count("*").alias("total"))
-    return counts.withColumn("again", F.col("errors") > F.greatest(F.lit(1), F.floor(F.lit(0.3) * F.col("total"))))
+    return counts.withColumn("again", validate.over_tolerance(F.col("errors"), F.col("total"), 0.3))
 
 
 @query(f"""WITH {_I} SELECT index, item_ord, CASE WHEN doc_id % 2 = 0 THEN '### 질문: ' || question || chr(10) || '### 선택지:' || chr(10) || array_to_string(options, chr(10)) || chr(10) || '### 정답: ' || reasoning_process || '### 정답: ' || answer
@@ -517,11 +517,13 @@ def classification_stub(spark, d):
 @query(f"""WITH r1 AS (SELECT 'd_' || doc_id AS index, source AS title, text AS contents FROM documents), t AS (SELECT *, 0 AS item_ord FROM r1), {_rounds("c", "t", "classification", 1, 0.01)}
 SELECT index, ['quant', 'law', 'no'][CAST(floor(pick * 3) AS INTEGER) + 1] AS classification, CAST(r + 1 AS BIGINT) AS calls FROM c""")
 def resumed_calls(spark, d):
-    """A run over all documents that ends after its first round, and the same run started again: no call is made twice."""
+    """A run over all documents that ends after its first round, and the same run started again: no call is made twice. Read from the file it saves."""
     rows = _t(spark, d, "documents").select(F.concat(F.lit("d_"), F.col("doc_id").cast("string")).alias("index"), F.col("source").alias("title"), F.col("text").alias("contents"))
     kept = Ledger(f"{_folder(spark)}/ledger", slices=2)
     pipelines.classification(rows, pipelines.Settings(name="stopped", tolerance=0.02, max_rounds=1, ledger=kept), _STUB)
-    found = pipelines.classification(rows, pipelines.Settings(name="again", tolerance=0.02, ledger=kept), _STUB)
+    saved = f"{_folder(spark)}/saved"
+    pipelines.classification(rows, pipelines.Settings(name="again", tolerance=0.02, ledger=kept, save_dir=saved), _STUB)
+    found = files.read_jsonl(spark, f"{saved}/again.jsonl", "index string, classification string")
     made = kept.calls(spark, "classification").groupBy("index").agg(F.count("*").alias("calls"))
     return found.join(made, "index").select("index", "classification", "calls")
 
@@ -549,16 +551,17 @@ def payload_errors(spark, d):
     return payload.error_counts(rows.select(F.expr(_ANSWERED.format(text="quoted", ok=ok, cut=f"left({ok}, length({ok}) - 3)")).alias("a")), "a", SCHEMAS["qa"])
 
 
-_SHOTS = [(f"mcqa_{n}.txt", p, f"example {n}.{p}") for n in (4, 5, 6) for p in range(n - 3)]
-
-
-@query(f"""WITH s AS (SELECT * FROM (VALUES {", ".join(map(str, _SHOTS))}) v(file, pos, example)), n AS (SELECT file, count(*) AS n FROM s GROUP BY file),
-d AS (SELECT doc_id, 'mcqa_' || (doc_id % 4 + 4) || '.txt' AS file FROM documents)
-SELECT doc_id, example FROM d LEFT JOIN n USING (file) LEFT JOIN s ON s.file = d.file AND s.pos = ('0x' || substr(md5(doc_id::VARCHAR), 1, 8))::BIGINT % n""")
+@query("""WITH s AS (SELECT 'shots_' || (item_id % 3) || '.txt' AS file, row_number() OVER (PARTITION BY item_id % 3 ORDER BY item_id) - 1 AS pos, count(*) OVER (PARTITION BY item_id % 3) AS n, text FROM benchmark),
+d AS (SELECT doc_id, 'shots_' || (doc_id % 4) || '.txt' AS file FROM documents)
+SELECT doc_id, CASE WHEN pos = n - 1 THEN text || chr(10) ELSE text END AS example FROM d LEFT JOIN s ON s.file = d.file AND s.pos = ('0x' || substr(md5(doc_id::VARCHAR), 1, 8))::BIGINT % n""")
 def fewshot_files(spark, d):
-    shots = spark.createDataFrame(_SHOTS, "file string, pos int, example string")
-    file = F.concat(F.lit("mcqa_"), (F.col("doc_id") % 4 + 4).cast("string"), F.lit(".txt"))
-    return prompts.with_fewshot(_t(spark, d, "documents").select("doc_id"), shots, file, F.col("doc_id").cast("string"))
+    """Examples from files, made of the benchmark's texts, drawn for each document; for every fourth there is no file."""
+    own = _t(spark, d, "benchmark").groupBy(F.concat(F.lit("shots_"), (F.col("item_id") % 3).cast("string"), F.lit(".txt")).alias("file"))
+    texts = own.agg(F.array_sort(F.collect_list(F.struct("item_id", "text"))).alias("s")).select("file", F.array_join(F.transform("s", lambda x: x["text"]), "<SEP>").alias("line"))
+    folder = f"{_folder(spark)}/fewshots"
+    sink.write_lines(texts.repartition("file").sortWithinPartitions("file"), folder)
+    file = F.concat(F.lit("shots_"), (F.col("doc_id") % 4).cast("string"), F.lit(".txt"))
+    return prompts.with_fewshot(_t(spark, d, "documents").select("doc_id"), files.fewshots(spark, folder), file, F.col("doc_id").cast("string"))
 
 
 @query("SELECT doc_id, CAST(coalesce(sum(length(text)) OVER (ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS at FROM documents")

@@ -101,13 +101,23 @@ def union_all(*frames: DataFrame) -> DataFrame:
     return out
 
 
-def spec_report(df: DataFrame, column: str) -> DataFrame:
-    """One row: total (rows), distinct (the values in order, null first, null as well), counts (a map of the values but null)."""
+def spec_report(df: DataFrame, column: str, most: int = 10_000) -> DataFrame:
+    """One row: total (rows), distinct (the values in order, null first, null as well), counts (a map of the values but null).
+
+    A column with more than `most` different values is nothing for one row and raises; `spec` and `first_seen` report any.
+    """
     counts = df.groupBy(column).agg(F.count("*").alias("n"))
     pairs = F.array_sort(F.collect_list(F.struct(F.col(column).cast("string").alias("v"), "n")))
     known = lambda p: p["v"].isNotNull()
-    report = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total"), pairs.alias("p"))
-    return report.select("total", F.transform("p", lambda p: p["v"]).alias("distinct"), F.map_from_entries(F.filter("p", known)).alias("counts"))
+    # No task takes more than most + 1 values together, whatever the column holds.
+    report = counts.limit(most + 1).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total"), pairs.alias("p"))
+    fits = F.when(F.size("p") <= most, F.col("p")).otherwise(F.raise_error(F.lit(f"{column} has more than {most} values")))
+    return report.withColumn("p", fits).select("total", F.transform("p", lambda p: p["v"]).alias("distinct"), F.map_from_entries(F.filter("p", known)).alias("counts"))
+
+
+def graded(df: DataFrame, value: str = "value", low: int = 0, high: int = 5) -> DataFrame:
+    """Rows whose grade is one: a number from low to high."""
+    return df.filter(F.col(value).between(low, high))
 
 
 def single_value(df: DataFrame, column: str = "type"):

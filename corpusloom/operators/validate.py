@@ -98,6 +98,8 @@ def mcqa_batch_error(n: int) -> Column:
     )
 
 
-def over_tolerance(errors: int, total: int, ratio: float) -> bool:
-    """More errors than the tolerated share, of which at least one is always tolerated."""
+def over_tolerance(errors, total, ratio: float):
+    """More errors than the tolerated share, of which at least one is always tolerated: of numbers, or of columns."""
+    if isinstance(errors, Column):
+        return errors > F.greatest(F.lit(1), F.floor(F.lit(ratio) * total))
     return errors > max(1, int(ratio * total))

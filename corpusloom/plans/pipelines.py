@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..operators import debias, payload, reshape, validate
+from ..operators import curate, debias, payload, reshape, validate
 from ..sources.files import write_errors, write_jsonl, write_jsonl_file
 from . import prompts
 from .barrier import barrier, fresh, observed
@@ -172,7 +172,7 @@ def mcqa_graph(s: Settings, provider: CompletionProvider) -> Graph:
 
         def graded() -> DataFrame:
             rows = judged(final, "value", s, provider, prompts.user_prompt_for("value", templates=s.templates))
-            return barrier(_stamped(rows.filter(F.col("value").between(0, 5)), s, "mcqa"), f"{s.name}-step{step}")
+            return barrier(_stamped(curate.graded(rows), s, "mcqa"), f"{s.name}-step{step}")
 
         saved = _saved(graded, final, s, "mcqa", step)
         return {"result": x["result"].unionByName(saved) if "result" in x else saved}
@@ -225,7 +225,7 @@ def qa_graph(s: Settings, provider: CompletionProvider) -> Graph:
     def grade(x: State) -> State:
         def graded() -> DataFrame:
             rows = judged(x["items"], "value", s, provider, prompts.user_prompt_for("value", kind="qa", templates=s.templates))
-            return barrier(_stamped(rows.filter(F.col("value").between(0, 5)), s, "qa"), f"{s.name}-qa-final")
+            return barrier(_stamped(curate.graded(rows), s, "qa"), f"{s.name}-qa-final")
 
         return {"result": _saved(graded, x["items"], s, "qa", 4)}
 
