@@ -22,6 +22,7 @@ from dataclasses import dataclass
 from urllib.parse import urlencode
 from urllib.request import Request, urlopen
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import (
     DataSource,
@@ -109,15 +110,16 @@ class Asking:
                 time.sleep(self.pause * 2**i)
         raise AssertionError
 
-    def rows(self, partition: Requests) -> Iterator[tuple]:
+    def rows(self, partition: Requests) -> Iterator[pa.RecordBatch]:
+        """A batch for each request, so that a task holds one response at a time."""
         for request in partition.asked:
             try:
-                found = self.parsed(self.response(self.url(request)))
+                items = self.parsed(self.response(self.url(request)))
+                n, said = len(items), {"pos": range(len(items)), "status": ["ok"] * len(items), "error": [None] * len(items), "item": items}
             except Exception as e:  # noqa: BLE001
-                yield *request.values(), None, "error", f"{type(e).__name__}: {e}", None
-                continue
-            for pos, item in enumerate(found):
-                yield *request.values(), pos, "ok", None, item
+                n, said = 1, {"pos": [None], "status": ["error"], "error": [f"{type(e).__name__}: {e}"], "item": [None]}
+            own = {k: [v] * n for k, v in request.items()}
+            yield pa.RecordBatch.from_arrays([pa.array(v, pa.int32() if k in ("page", "pos", "request") else pa.string()) for k, v in (own | said).items()], [*own, *said])
 
 
 class Search(Asking):
@@ -179,7 +181,7 @@ class Reader(DataSourceReader):
     def partitions(self) -> list[Requests]:
         return self.asking.dealt(self.asked) or [Requests([])]
 
-    def read(self, partition: Requests) -> Iterator[tuple]:
+    def read(self, partition: Requests) -> Iterator[pa.RecordBatch]:
         return self.asking.rows(partition)
 
 
@@ -198,7 +200,7 @@ class Stream(DataSourceStreamReader):
     def partitions(self, start: dict, end: dict) -> list[Requests]:
         return self.asking.dealt(self.asking.requests(start["page"], end["page"]))
 
-    def read(self, partition: Requests) -> Iterator[tuple]:
+    def read(self, partition: Requests) -> Iterator[pa.RecordBatch]:
         return self.asking.rows(partition)
 
 
