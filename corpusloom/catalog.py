@@ -438,7 +438,7 @@ def filings(spark, d):
         head, opened, F.lit("<TITLE>"), title, F.lit("</TITLE><P>"), F.col("url"), F.when(F.col("k") == 5, "").otherwise("</P>"), table, inner, F.lit("<P>"), F.col("body"), F.lit("</P>"), F.lit("<IMG SRC='x'/>"), last, closed,
         F.when(F.col("k") == 4, "</PART>").otherwise("</SECTION-1>"), F.lit("<SECTION-1><TITLE>III. 뒤</TITLE><P>뒤</P></SECTION-1></DOCUMENT>"),
     )
-    return elements.section_texts(rows.select("page_id", filing.alias("filing")), "filing").select("page_id", "text")
+    return elements.section_texts(rows.select("page_id", filing.alias("filing")), "filing", by="page_id").select("page_id", "text")
 
 
 @query("SELECT CAST(item_id AS VARCHAR) AS path, array_to_string([x for x in string_split_regex(text, '[.] ') if x <> ''], chr(10)) AS contents FROM benchmark")

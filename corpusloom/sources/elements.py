@@ -42,8 +42,11 @@ def trimmed(text: Column) -> Column:
     return F.regexp_replace(text, rf"^{_EDGE}|{_EDGE}$", "")
 
 
-def tokens(documents: DataFrame, key: str, markup: str, around: tuple[str, ...] = ()) -> DataFrame:
-    """key, pos, kind (start, end, text; all else is left out), tag, token (of texts), level, and in_{name}: how many such elements are open, for each name of around."""
+def tokens(documents: DataFrame, key: str, markup: str, around: tuple[str, ...] = (), texts: bool = True) -> DataFrame:
+    """key, pos, kind (start, end, text; all else is left out), tag, token (of texts), level, and in_{name}: how many such elements are open, for each name of around.
+
+    texts False: without token, so that only names and places are shuffled; a text is then the token at pos of its document.
+    """
     rows = documents.select(F.col(key).alias("key"), F.posexplode(F.regexp_extract_all(F.col(markup), F.lit(TOKEN), F.lit(0))).alias("pos", "token"))
     opens, void = F.startswith("token", F.lit("<")), sorted(extract._VOID)
     tag = F.lower(F.regexp_extract("token", r"^</?([A-Za-z][^\s/>]*)", 1))
@@ -55,6 +58,7 @@ def tokens(documents: DataFrame, key: str, markup: str, around: tuple[str, ...]
     )
     rows = rows.withColumn("kind", kind).filter("kind IS NOT NULL")
     rows = rows.withColumns({"token": F.when(F.col("kind") == "text", F.col("token")), "tag": F.when(F.col("kind") != "text", F.col("tag"))})
+    rows = rows if texts else rows.drop("token")
     step = F.when(F.col("kind") == "start", 1).when(F.col("kind") == "end", -1).otherwise(0)
     so_far = Window.partitionBy("key").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
     depth = F.sum(step).over(so_far)
@@ -62,12 +66,12 @@ def tokens(documents: DataFrame, key: str, markup: str, around: tuple[str, ...]
     return rows.withColumns({"level": F.when(F.col("kind") == "end", depth + 1).otherwise(depth), **opened})
 
 
-def elements(rows: DataFrame) -> DataFrame:
-    """key, tag, level, first, last, closed of tokens(): an interval for each element; closed: its end is of the same name."""
+def elements(rows: DataFrame, *carried: str) -> DataFrame:
+    """key, tag, level, first, last, closed of tokens(): an interval for each element; closed: its end is of the same name. carried: columns of its start."""
     within = Window.partitionBy("key", "level").orderBy("pos")
-    tags = rows.filter("kind IN ('start', 'end')").select("key", "tag", "level", "kind", F.col("pos").alias("first"), F.lead("pos").over(within).alias("last"), F.lead("kind").over(within).alias("next_kind"), F.lead("tag").over(within).alias("next_tag"))
+    tags = rows.filter("kind IN ('start', 'end')").select("key", "tag", "level", "kind", *carried, F.col("pos").alias("first"), F.lead("pos").over(within).alias("last"), F.lead("kind").over(within).alias("next_kind"), F.lead("tag").over(within).alias("next_tag"))
     closed = (F.col("next_kind") == "end") & (F.col("next_tag") == F.col("tag"))
-    return tags.filter("kind = 'start'").select("key", "tag", "level", "first", "last", F.coalesce(closed, F.lit(False)).alias("closed"))
+    return tags.filter("kind = 'start'").select("key", "tag", "level", "first", "last", F.coalesce(closed, F.lit(False)).alias("closed"), *carried)
 
 
 def well_formed(rows: DataFrame, found: DataFrame) -> DataFrame:
@@ -83,25 +87,42 @@ def nearest(points: DataFrame, found: DataFrame, tag: str) -> DataFrame:
     return around.groupBy("key").agg(F.max_by(F.struct("first", "last"), "first").alias("x")).select("key", "x.first", "x.last")
 
 
-def section_texts(documents: DataFrame, markup: str, to: str = "text", title: str = "사업의 내용", section: str = "section-1") -> DataFrame:
-    """documents with the text, without tables, of the nearest section around the first title that has the words; strings are lines."""
+def section_texts(documents: DataFrame, markup: str, to: str = "text", title: str = "사업의 내용", section: str = "section-1", by: str | None = None) -> DataFrame:
+    """documents with the text, without tables, of the nearest section around the first title that has the words; strings are lines.
+
+    by: a column that tells documents apart (unique, never null); without one they are numbered and written first.
+    """
     key, taken = fresh([*documents.columns, to], "key", "found")
-    keyed = barrier(documents.withColumn(key, F.monotonically_increasing_id()), "filings")
+    keyed = documents.withColumn(key, F.col(by)) if by else barrier(documents.withColumn(key, F.monotonically_increasing_id()), "filings")
     each = keyed.filter(F.col(markup).isNotNull()).select(key, markup)
-    rows = barrier(tokens(each, key, markup, ("title", "table")), "tokens")
-    found = barrier(elements(rows), "elements")
+    rows = barrier(tokens(each, key, markup, ("title", "table"), texts=False), "tokens")
+    found = barrier(elements(rows, "in_table"), "elements")
     good = well_formed(rows, found)
-    string = trimmed(F.when(F.startswith("token", F.lit("<![CDATA[")), F.regexp_extract("token", r"(?s)^<!\[CDATA\[(.*)\]\]>$", 1)).otherwise(decoded(F.col("token"))))
-    texts = rows.filter("kind = 'text'").withColumn("string", string).filter("string <> ''")
     # A string in a title belongs to the title that starts last before it.
-    titles = rows.filter("in_title > 0 OR kind = 'start' AND tag = 'title'").withColumn("at", F.max(F.when((F.col("kind") == "start") & (F.col("tag") == "title"), F.col("pos"))).over(Window.partitionBy("key").orderBy("pos")))
-    words = titles.filter("kind = 'text'").groupBy("key", "at").agg(F.array_sort(F.collect_list(F.struct("pos", string.alias("string")))).alias("strings"))
-    first = words.filter(F.contains(F.array_join(F.transform("strings", lambda x: x["string"]), " "), F.lit(title))).groupBy("key").agg(F.min("at").alias("at"))
-    spans = nearest(first.join(good, "key", "left_semi"), found, section)
-    # Tables around the section don't count: as many are open at its start.
-    base = rows.filter((F.col("kind") == "start") & (F.col("tag") == section)).select("key", F.col("pos").alias("first"), F.col("in_table").alias("base"))
-    lines = texts.join(spans.join(base, ["key", "first"]), "key").filter("pos > first AND pos < last AND in_table = base").groupBy("key").agg(F.array_sort(F.collect_list(F.struct("pos", "string"))).alias("strings"))
-    joined = F.coalesce(F.array_join(F.transform("strings", lambda x: x["string"]), "\n"), F.lit(""))  # a section without strings has the empty text
-    structured = good.join(spans, "key", "left").join(lines, "key", "left").select(F.col("key").alias(key), F.when(F.col("first").isNotNull(), joined).alias(taken))
-    lenient = each.join(good.withColumnRenamed("key", key), key, "left_anti").select(key, extract.extract_report(F.col(markup), "xml").alias(taken))
-    return keyed.join(structured.unionByName(lenient), key, "left").select(*[c for c in documents.columns if c != to], F.col(taken).alias(to))
+    owned = rows.filter("in_title > 0 OR kind = 'start' AND tag = 'title'").withColumn("at", F.max(F.when((F.col("kind") == "start") & (F.col("tag") == "title"), F.col("pos"))).over(Window.partitionBy("key").orderBy("pos")))
+    titles = owned.filter("kind = 'text'").groupBy("key", "at").agg(F.array_sort(F.collect_list("pos")).alias("places")).groupBy("key").agg(F.array_sort(F.collect_list(F.struct("at", "places"))).alias("titles"))
+    sections = found.filter(F.col("tag") == section).groupBy("key").agg(F.collect_list(F.struct("first", "last", "in_table")).alias("sections"))
+    strings = rows.filter("kind = 'text'").groupBy("key").agg(F.array_sort(F.collect_list(F.struct("pos", "in_table"))).alias("strings"))
+    # What is known of a document's structure is one row of places; its texts are looked up where the document is.
+    shape = good.join(titles, "key").join(sections, "key").join(strings, "key").select(F.col("key").alias(key), F.struct("titles", "sections", "strings").alias(taken))
+    joined = keyed.filter(F.col(markup).isNotNull()).join(shape, key, "left")
+    token, spot, span = fresh([*joined.columns], "token", "spot", "span")
+
+    def string(place: Column) -> Column:
+        x = F.get(F.col(token), place)
+        return trimmed(F.when(F.startswith(x, F.lit("<![CDATA[")), F.regexp_extract(x, r"(?s)^<!\[CDATA\[(.*)\]\]>$", 1)).otherwise(decoded(x)))
+
+    def lines(places: Column) -> Column:
+        return F.filter(F.transform(places, string), lambda x: x != "")
+
+    read = joined.filter(F.col(taken).isNotNull()).withColumn(token, F.regexp_extract_all(F.col(markup), F.lit(TOKEN), F.lit(0)))
+    told = F.filter(F.col(taken)["titles"], lambda t: F.contains(F.array_join(lines(t["places"]), " "), F.lit(title)))
+    read = read.withColumn(spot, F.get(told, F.lit(0))["at"])
+    # The innermost section around it is the one that starts last. Tables around the section don't count: as many are open at its start.
+    read = read.withColumn(span, F.array_max(F.filter(F.col(taken)["sections"], lambda x: (x["first"] < F.col(spot)) & (F.col(spot) < x["last"]))))
+    inside = F.filter(F.col(taken)["strings"], lambda x: (x["pos"] > F.col(span)["first"]) & (x["pos"] < F.col(span)["last"]) & (x["in_table"] == F.col(span)["in_table"]))
+    text = F.when(F.col(span).isNotNull(), F.array_join(lines(F.transform(inside, lambda x: x["pos"])), "\n"))
+    columns = [c for c in documents.columns if c != to]
+    lenient = joined.filter(F.col(taken).isNull()).withColumn(taken, extract.extract_report(F.col(markup), "xml"))
+    out = read.select(*columns, text.alias(to)).unionByName(lenient.select(*columns, F.col(taken).alias(to)))
+    return out.unionByName(keyed.filter(F.col(markup).isNull()).select(*columns, F.lit(None).cast("string").alias(to)))

@@ -60,6 +60,8 @@ def test_sections_of_random_filings(spark, monkeypatch):
 )
 def test_sections(spark, doc, want):
     assert texts(spark, [doc, doc]) == [want, want]
+    named = spark.createDataFrame([(7, doc)], "i int, m string")
+    assert [tuple(r) for r in elements.section_texts(named, "m", by="i").select("i", "text").collect()] == [(7, want)]
 
 
 def test_intervals(spark):

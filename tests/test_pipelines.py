@@ -2,6 +2,7 @@
 
 import hashlib
 import json
+from datetime import UTC, datetime
 
 import pytest
 from pyspark.sql import functions as F
@@ -138,7 +139,9 @@ def test_models_by_stage(spark, tmp_path):
             return super().complete(task)
 
     models = {"mcqa": "m1", "hallucination": "m2", "value": "m3"}
+    days = [datetime.now(UTC).date().isoformat()]
     got = pipelines.mcqa(refs(spark, 3), pipelines.Settings(name="m", n_datasets=1, max_step=1, model=models), Noting()).collect()
+    assert {r.update_at for r in got} <= {*days, datetime.now(UTC).date().isoformat()}
     assert {tuple(x.split()) for x in open(log)} == set(models.items()) and {r.oai_model for r in got} == {"m1"}
     with pytest.raises(ValueError, match="no model"):
         pipelines.Settings(model=models).model_of("qa")

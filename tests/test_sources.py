@@ -136,6 +136,8 @@ def test_reports_and_positions(spark):
     df = spark.createDataFrame([(i, "ab"[i % 2] if i else None, "qa", "x") for i in range(7)], "i int, v string, type string, _at string")
     r = curate.spec_report(df, "v").first()
     assert (r.total, r.distinct, r.counts) == (7, [None, "a", "b"], {"a": 3, "b": 3})
+    with pytest.raises(Exception, match="more than 2 values"):
+        curate.spec_report(df, "v", 2).collect()
     assert curate.single_value(df) == "qa"
     for bad in (df.filter("false"), df.withColumn("type", F.col("v"))):
         with pytest.raises(ValueError, match="value"):
