@@ -6,8 +6,12 @@ code points), which neither Java's \\s nor its (?U) form matches exactly.
 
 from __future__ import annotations
 
+import functools
+import re
+import sys
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +22,17 @@ PUNCTUATION = r"[!-/:-@\[-`{-~]"
 GPT_PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 KEPT = r"\uac00-\ud7a3\u3131-\u318e\u1100-\u11ffa-zA-Z0-9.,!?'\""
 
+IS_WHITE, IS_PUNCTUATION, IS_LATIN, IS_KEPT = 1, 2, 4, 8
+
+
+@functools.cache
+def kinds() -> np.ndarray:
+    """Of each code point, which of the classes above it is in, as bits."""
+    out = np.zeros(sys.maxunicode + 1, np.uint8)
+    for bit, chars in ((IS_WHITE, WHITE[1:-1]), (IS_PUNCTUATION, PUNCTUATION[1:-1]), (IS_LATIN, "a-zA-Z"), (IS_KEPT, KEPT)):
+        out[[m.start() for m in re.finditer(f"[{chars}]", "".join(map(chr, range(0xD800))))]] |= bit
+    return out
+
 
 def _share(text: Column, others: str, total: Column, on_empty: str) -> Column:
     """Characters not in the class `others` per total; on_empty 'error' raises for a total of 0, 'drop' gives null.

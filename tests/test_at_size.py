@@ -1,8 +1,13 @@
 """Queries whose results or tasks went wrong on larger tables."""
 
 import duckdb
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
 from corpusloom import catalog
+from corpusloom.functions import text as T
+from corpusloom.operators import quality
 from corpusloom.sources import extract
 
 
@@ -20,3 +25,44 @@ def test_html_extract_leaves_references_that_were_cut(spark, tmp_path):
     got = {r.page_id: r.text for r in catalog.html_extract(spark, str(tmp_path)).collect()}
     assert got == dict(oracle("html_extract", tmp_path, "pages")) and got[0] == "a & b&amp a & b&amp"
     assert extract.body_text(pages[0][1]) == "a & b&\na & b&"  # the operator reads as browsers do, unless asked not to
+
+
+TEXTS = ["", None, " \t", "가 나　다 abc", "a" * 9 + " \n b", "😀 x😀y é!", "a  b", "한글!?'\"", "1234", "...a", " end ", "١٢ x", "\x1c\x85k "]
+
+
+@pytest.mark.parametrize("unicode, normalize", [(True, True), (True, False), (False, True), (False, False)])
+def test_quality_filter_says_what_the_columns_say(spark, unicode, normalize):
+    df = spark.createDataFrame(list(enumerate(TEXTS * 3)), "i int, contents string")
+    c = F.col("contents")
+    clean = T.remove_unicode(c) if unicode else c
+    clean = T.normalize(clean) if normalize else clean
+    for limits in ({"punctuation": 0.4, "english": 0.8, "number": 0.6}, {"english": 0.5}, {"punctuation": 0.2}, {}):
+        ratios = {"punctuation": T.punctuation_ratio, "english": T.english_ratio, "number": T.number_ratio}
+        want = df
+        for name, most in limits.items():
+            want = want.filter(T.keeps(ratios[name](c), most))
+        want = [tuple(r) for r in want.orderBy("i").select(clean, F.regexp_count(clean, F.lit("[^ ]+"))).collect()]
+        options = {k: k in limits for k in ratios} | {f"{k}_ratio": v for k, v in limits.items()} | {"unicode": unicode, "normalize": normalize, "token": False}
+        got = quality.quality_filter(df, "t", ["i"], **options)
+        assert [tuple(r) for r in got.orderBy("seq").select("contents", "tokens").collect()] == want
+        full = quality.quality_filter(df, "t", ["i"], return_type="full", **options).collect()
+        whole = "".join(x for x, _ in want if x is not None)
+        assert [(r.title, r.contents, r.tokens) for r in full] == [("t", whole, sum(1 for x in whole.split(" ") if x))]
+
+
+def test_whole_text_is_put_together_from_pieces(spark, monkeypatch):
+    """quality_full collected its rows, and the tokens of the whole text, as lists in one task."""
+    monkeypatch.setattr(quality, "_PIECE", 7)
+    df = spark.createDataFrame([(i, f"가{i} 나 " if i % 3 else f" x{i}") for i in range(50)], "i int, contents string")
+    full = quality.quality_filter(df, "t", ["i"], token=False, english=False, number=False, return_type="full")
+    plan = full._jdf.queryExecution().executedPlan().toString()
+    assert "mapInArrow" in plan or "MapInArrow" in plan
+    assert "regexp_extract_all" not in plan
+    text = "".join(r.contents for r in df.orderBy("i").collect())
+    assert [(r.contents, r.tokens) for r in full.collect()] == [(text, len(text.split()))]
+
+
+def test_an_empty_text_raises_if_asked(spark):
+    df = spark.createDataFrame([(0, "a"), (1, "")], "i int, contents string")
+    with pytest.raises(PySparkException, match="a text is empty"):
+        quality.quality_filter(df, "t", ["i"], number=False, on_empty="error", token=False).collect()
