@@ -85,10 +85,24 @@ def word_tokens(text: Column) -> Column:
     return F.regexp_count(text, F.lit("[^ ]+"))
 
 
+def sliced(texts: list[str], most: int = 1 << 18) -> Iterator[list[str]]:
+    """Runs of texts of at most `most` characters together, or of one text: an encoding takes many times the memory of its text."""
+    part, size = [], 0
+    for x in texts:
+        if part and size + len(x) > most:
+            yield part
+            part, size = [], 0
+        part.append(x)
+        size += len(x)
+    if part:
+        yield part
+
+
 def bpe_tokens(spark: SparkSession, path: str, name: str = "own", pattern: str = GPT_PATTERN):
     """A pandas UDF that counts tokens by a vocabulary file: token ranks (*.tiktoken) or a tokenizers file (*.json).
 
-    The file is read on the driver and sent to the executors (a few MB, whatever the data); each worker builds one encoder.
+    The file is read on the driver and sent to the executors (a few MB, whatever the data); each worker builds one encoder
+    and has the encodings of one run of `sliced` texts at a time, however many rows a batch has.
     Special-token text is plain text; null has no tokens.
     """
     import base64
@@ -108,13 +122,13 @@ def bpe_tokens(spark: SparkSession, path: str, name: str = "own", pattern: str =
             encoder.encode_special_tokens = True
             encoder.no_truncation()
             encoder.no_padding()
-            sizes = lambda texts: [len(x.ids) for x in encoder.encode_batch(texts, add_special_tokens=False)]
+            sizes = lambda texts: [len(x.ids) for x in encoder.encode_batch_fast(texts, add_special_tokens=False)]
         else:
             import tiktoken
 
             encoder = tiktoken.Encoding(name, pat_str=pattern, mergeable_ranks=sent.value, special_tokens={})
             sizes = lambda texts: [len(encoder.encode_ordinary(x)) for x in texts]
         for texts in batches:
-            yield pd.Series(sizes(texts.fillna("").tolist()), dtype="int32")
+            yield pd.Series([n for part in sliced(texts.fillna("").tolist()) for n in sizes(part)], dtype="int32")
 
     return count

@@ -66,3 +66,19 @@ def test_an_empty_text_raises_if_asked(spark):
     df = spark.createDataFrame([(0, "a"), (1, "")], "i int, contents string")
     with pytest.raises(PySparkException, match="a text is empty"):
         quality.quality_filter(df, "t", ["i"], number=False, on_empty="error", token=False).collect()
+
+
+def test_encodings_are_held_for_a_slice_of_a_batch(spark):
+    """token_count_bpe held the encodings of all texts of a batch, 10,000 of them, with their offsets."""
+    texts = ["ab" * 50, "", "c" * 1000, "d" * 10] * 3
+    parts = list(T.sliced(texts, 120))
+    assert [x for p in parts for x in p] == texts and all(len(p) == 1 or sum(map(len, p)) <= 120 for p in parts) and list(T.sliced([])) == []
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    plain = Tokenizer.from_file(path)
+    plain.encode_special_tokens = True
+    df = spark.createDataFrame([(x,) for x in [*texts, "Ünï 가나 <|endoftext|>", None]], "t string")
+    got = [r.n for r in df.select(T.bpe_tokens(spark, path)("t").alias("n")).collect()]
+    assert got == [len(plain.encode(r.t or "", add_special_tokens=False).ids) for r in df.collect()]
