@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators import curate, debias, payload, reshape, validate
-from ..sources.files import write_errors, write_jsonl, write_jsonl_file
+from ..sources.files import write_errors, write_jsonl, write_jsonl_sized
 from . import prompts
 from .barrier import barrier, fresh, observed
 from .graph import END, Graph, State
@@ -38,7 +38,8 @@ class Settings:
     max_rounds: int = 10
     model: str | dict[str, str] = "stub"  # one for all stages, or by stage
     save_dir: str | None = None
-    save_parts: bool = False  # results are folders of parts, where one file each would be too large
+    save_parts: bool = False  # results are folders of parts, whatever their size
+    file_mb: float = 256  # results of more MB than that are folders of parts in order, as one task writes a file
     log_dir: str | None = None  # where the items of a failed step go; beside save_dir if none is named
     drop_unusable: bool = False
     if_fewshot: bool = True
@@ -53,7 +54,7 @@ class Settings:
         if self.save_parts:
             write_jsonl(df, path)
         else:
-            write_jsonl_file(df, path, order)
+            write_jsonl_sized(df, path, order, self.file_mb)
 
     def model_of(self, stage: str) -> str:
         """The model of a stage: mcqa, qa, hallucination, preference, value or classification."""

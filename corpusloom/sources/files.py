@@ -63,6 +63,21 @@ def write_jsonl_file(df: DataFrame, path: str, order: list[str] | None = None, o
     sink.write_lines(rows.select(F.col(file).alias("file"), F.col(line).alias("line")), folder or ".", overwrite=overwrite)
 
 
+def write_jsonl_sized(df: DataFrame, path: str, order: list[str], max_mb: float = 256) -> int:
+    """One file of that name as by `write_jsonl_file`, or where its lines take more than max_mb a folder of that name; returns the parts.
+
+    The folder's parts take about max_mb each and are in order: the rows of the first come before those of the next. Readers of
+    JSON Lines read both alike. df is read twice or thrice, so it should be a written table.
+    """
+    size = df.agg(F.sum(F.octet_length(_line(df.columns)) + 1)).first()[0] or 0
+    if size <= max_mb * 2**20:
+        write_jsonl_file(df, path, order)
+        return 1
+    n = int(size // (max_mb * 2**20)) + 1
+    write_jsonl(df.repartitionByRange(n, *order).sortWithinPartitions(*order), path)
+    return n
+
+
 def file_split_plan(df: DataFrame, order: list[str], max_bytes: int) -> DataFrame:
     """df with file_idx: contiguous files of equal counts, as many as the JSON size takes at max_bytes each."""
     return _planned(df, order, max_bytes)[0]

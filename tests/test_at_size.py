@@ -1,5 +1,7 @@
 """Queries whose results or tasks went wrong on larger tables."""
 
+import json
+
 import duckdb
 import pytest
 from pyspark.errors import PySparkException
@@ -8,7 +10,8 @@ from pyspark.sql import functions as F
 from corpusloom import catalog
 from corpusloom.functions import text as T
 from corpusloom.operators import quality
-from corpusloom.sources import extract
+from corpusloom.plans.pipelines import Settings
+from corpusloom.sources import extract, files
 
 
 def oracle(name, tmp_path, table):
@@ -82,3 +85,21 @@ def test_encodings_are_held_for_a_slice_of_a_batch(spark):
     df = spark.createDataFrame([(x,) for x in [*texts, "Ünï 가나 <|endoftext|>", None]], "t string")
     got = [r.n for r in df.select(T.bpe_tokens(spark, path)("t").alias("n")).collect()]
     assert got == [len(plain.encode(r.t or "", add_special_tokens=False).ids) for r in df.collect()]
+
+
+def test_results_beyond_a_file_are_parts_in_order(spark, tmp_path):
+    """resumed_calls saved all its rows by one task, which read as much as they are."""
+    df = spark.createDataFrame([(f"d_{i:04}", "가" * (i % 50), None) for i in range(900, 0, -1)], "index string, contents string, x string").repartition(3)
+    for name, most in (("small", 1), ("large", 0.02)):
+        path = f"{tmp_path}/{name}.jsonl"
+        Settings(file_mb=most).save(df, path, ["index"])
+        rows = files.read_jsonl(spark, path, df.schema)
+        assert sorted(rows.collect()) == sorted(df.collect())
+        parts = sorted(p for p in (tmp_path / f"{name}.jsonl").glob("part-*.json")) or [tmp_path / f"{name}.jsonl"]
+        lines = [x for p in parts for x in p.read_text().splitlines()]
+        assert [json.loads(x)["index"] for x in lines] == [f"d_{i:04}" for i in range(1, 901)] and '"x":null' in lines[0]
+        assert (len(parts) == 1) == (name == "small") and max(p.stat().st_size for p in parts) < 2 * most * 2**20
+    Settings(file_mb=1).save(df, f"{tmp_path}/large.jsonl", ["index"])  # a folder gives way to a file, and the other way round
+    Settings(file_mb=0.02).save(df, f"{tmp_path}/small.jsonl", ["index"])
+    assert (tmp_path / "large.jsonl").is_file() and (tmp_path / "small.jsonl").is_dir()
+    assert files.read_multi_jsonl(spark, str(tmp_path), df.schema).count() == 1800
