@@ -82,8 +82,8 @@ def _pieces(rows: DataFrame, keys: list[str], size: int) -> DataFrame:
     return parts.groupBy("seq").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "part"))), lambda u: u["part"]), "").alias("contents"))
 
 
-def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row: the pieces put together, and their runs of other than spaces. The text is held as bytes, not as a list of its tokens."""
+def _joined(batches: Iterator[pa.RecordBatch], title: str) -> Iterator[pa.RecordBatch]:
+    """One row, as it is to be, as each projection of it in Spark takes twice its size: title, the pieces put together, and their runs of other than spaces. The text is held as bytes, not as a list of its tokens."""
     whole, n, after = bytearray(), 0, True
     for batch in batches:
         for piece in batch.column(1).cast(pa.binary()):
@@ -96,7 +96,7 @@ def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if len(whole) >= 1 << 31:
                 raise ValueError("the text is longer than a row can hold (2^31 bytes): take return_type 'chunk'")
     ends = pa.py_buffer(np.array([0, len(whole)], np.int32))
-    yield pa.RecordBatch.from_arrays([pa.StringArray.from_buffers(1, ends, pa.py_buffer(whole)), pa.array([n], pa.int32())], ["contents", "_words"])
+    yield pa.RecordBatch.from_arrays([pa.array([title]), pa.StringArray.from_buffers(1, ends, pa.py_buffer(whole)), pa.array([n], pa.int32())], ["title", "contents", "tokens"])
 
 
 def quality_filter(
@@ -118,8 +118,7 @@ def quality_filter(
     keys = [f"_{o}" for o in order]
     rows = df.select(*[F.col(o).alias(k) for o, k in zip(order, keys)], F.col("contents").cast("string").alias("contents"))
     rows = _filtered(rows, punctuation_ratio if punctuation else None, english_ratio if english else None, unicode, normalize, on_empty)
-    counted = lambda text, words: F.col(words) if tokens is T.word_tokens else tokens(F.col(text)).cast("int")
-    rows = rows.withColumn("tokens", counted("contents", "_words")).drop("_words")
+    rows = rows.withColumn("tokens", F.col("_words") if tokens is T.word_tokens else tokens(F.col("contents")).cast("int")).drop("_words")
     if token:
         rows = rows.filter(F.col("tokens") > token_threshold)
     if return_type == "split":
@@ -127,7 +126,7 @@ def quality_filter(
     if return_type == "full":  # one text by definition: bounded by what a row can hold, 2^31 bytes
         none = df.sparkSession.range(1).select(F.lit(-1).cast("long").alias("seq"), F.lit("").alias("contents"))  # an empty text has its row too
         pieces = _pieces(rows, keys, _PIECE).unionByName(none).repartition(1).sortWithinPartitions("seq")
-        whole = pieces.mapInArrow(_joined, "contents string, _words int")
-        return whole.select(F.lit(title).alias("title"), "contents", counted("contents", "_words").alias("tokens"))
+        whole = pieces.mapInArrow(lambda batches: _joined(batches, title), "title string, contents string, tokens int")
+        return whole if tokens is T.word_tokens else whole.withColumn("tokens", tokens(F.col("contents")).cast("int"))
     joined = _pieces(rows, keys, chunk_size)
     return joined.select(F.col("seq").cast("int").alias("seq"), F.lit(title).alias("title"), "contents", tokens(F.col("contents")).cast("int").alias("tokens"))
