@@ -12,11 +12,11 @@ of compatible sizes pass if the estimate from the sketch of the union is near
 enough, and are confirmed by the exact Jaccard similarity of their full sets.
 
 Lists of more than PAIRED members are never turned into pairs of rows. Their
-members are first compared with the list's representative, the smallest by a hash,
-which lists of one group of copies have in common (each member in the FIRST of its
-lists only). What that links counts as one; only lists whose members are still apart
-go on. Documents of one group have most of their lists in common: such lists are put
-together where their union has fewer pairs to compare than they have one by one. Then
+members are first compared with the list's representative, the member of most long
+lists, as that has many runs in common with others (each member in the FIRST of its
+lists only). What that links counts as one; only lists whose members are still apart go on. Documents of one group have most of their lists in common: such lists are put
+together where their union has fewer pairs to compare than they have one by one, which
+is found from the lists, long ones by a draw of their members. Then
 the members outside the largest part of a list are compared with all of it, in
 blocks of about BLOCK by BLOCK, first by sketch, and those with a partner by full
 sets, of which a spanning forest of each block's links leaves the task. So work grows
@@ -38,13 +38,13 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import Packer, RangeHash, buckets, buffers, by_bucket, byte_codes, hot_keys, lower_ascii, mix, runs, salted_join, slices, table, unpack, words, written
 from .components import components
 
-KEEP, RUN, FEW, FIRST, PAIRED, BLOCK, SLACK, SIGMAS, DRAW, TURNS = 64, 3, 6, 3, 16, 512, 0.28, 6.5, 16, 8
+KEEP, RUN, FEW, FIRST, PAIRED, BLOCK, SLACK, SIGMAS, DRAW, TURNS, DRAWN = 64, 3, 6, 3, 16, 512, 0.28, 6.5, 16, 8, 4096
 _A, _B, _C = np.uint64(0x9FB21C651E98DF25), np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F)
 
 _POST = np.dtype([("key", "<u8"), ("node", "<i8"), ("n", "<i4"), ("low", "u1"), ("part", "u1")])
@@ -176,26 +176,68 @@ def spread(rows: DataFrame) -> DataFrame:
     return lists.select("key", "m", (F.col("m") - F.col("c")).alias("o"), "major")
 
 
+def drawn_lists(rows: DataFrame, hot: DataFrame | None) -> DataFrame:
+    """key, m, o, rate, and h, nodes, components of the members, of the lists of more than one component; of one with over DRAWN members of a draw.
+
+    Rates are powers of two and nodes are drawn by one hash, so of two draws the thinner one is in both. Those of hot keys are
+    thinned before they are collected.
+    """
+    classes, h = {}, F.xxhash64("node", F.lit(11))
+    if hot:
+        piece = rows.count() // int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        for r in hot.collect():
+            classes.setdefault(1 << (r["__pieces"] * piece // DRAWN).bit_length(), []).append(r["key"])
+    thinned = F.coalesce(*[F.when(F.col("key").isin(keys), F.lit(n)) for n, keys in classes.items()], F.lit(1))
+    members = rows.filter(F.pmod(h, thinned) == 0).groupBy("key").agg(F.collect_list(F.struct(h.alias("h"), "node", "component")).alias("s"))
+    m = F.col("m").cast("double")
+    lists = spread(rows).join(members, "key", "left").withColumn("rate", F.greatest(thinned, F.pow(F.lit(2.0), F.ceil(F.log2(m / DRAWN)))).cast("long"))
+    drawn = F.filter(F.coalesce("s", F.array()), lambda x: F.pmod(x["h"], F.col("rate")) == 0)
+    return lists.withColumn("s", drawn).select("key", m.alias("m"), F.col("o").cast("double").alias("o"), "rate", F.col("s.h").alias("h"), F.col("s.node").alias("nodes"), F.col("s.component").alias("components"))
+
+
+def _put_together(f: pd.DataFrame) -> pd.DataFrame:
+    """Lists with one head: under the smallest of their keys, if their union has no more pairs to compare than they have."""
+    f = f.drop(columns="head").assign(into=f["key"])
+    if len(f) == 1:
+        return f
+    rate, into = int(f["rate"].max()), f["key"].min()
+    h, nodes, parts = (np.concatenate(f[c].to_list()) for c in ("h", "nodes", "components"))
+    at = np.flatnonzero(h % rate == 0)
+    at = at[np.unique(nodes[at], return_index=True)[1]]
+    counts = np.unique(parts[at], return_counts=True)[1]
+    m, o = float(rate * len(at)), float(rate * (len(at) - counts.max(initial=0)))
+    if m * o > (f["m"] * f["o"]).sum():
+        return f
+    while len(at) > DRAWN:
+        rate, at = 2 * rate, at[h[at] % (2 * rate) == 0]
+    only = lambda x: [x[at] if k == into else None for k in f["key"]]
+    return pd.DataFrame({"key": f["key"], "m": m, "o": o, "rate": rate, "h": only(h), "nodes": only(nodes), "components": only(parts), "into": into})
+
+
 def together(rows: DataFrame) -> DataFrame:
     """rows(key, node, component), written, with lists that have most members in common as one list under the smallest of their keys.
 
     Lists with the same first member by a hash, another one each turn, are put together if their union has no more pairs to compare
-    than they have. Two members of a list stay in a list; lists of one component may go. A turn that saves little is the last.
+    than they have. Two members of a list stay in a list; lists of one component go. A turn that saves little is the last. What is put
+    together is found from the lists (at most as many of a turn have one head as runs are in its sketch); the rows are joined once.
     """
-    pairs = F.col("m").cast("double") * F.col("o")
+    hot = hot_keys(rows, ["key"])
+    lists, under = written(drawn_lists(rows, hot), "near-heads"), None
+    if not lists.limit(1).count():
+        return rows.limit(0)
     for turn in range(TURNS):
-        hot = hot_keys(rows, ["key"])
-        under = lambda of: (salted_join(rows, of, ["key"], ["node"], hot=hot) if hot else rows.join(of, "key")).select(F.col("into").alias("key"), "node", "component").distinct()  # noqa: B023, E731
-        heads = rows.groupBy("key").agg(F.min_by("node", F.xxhash64("node", F.lit(turn))).alias("head"))
-        lists = written(spread(rows).join(heads, "key").select("key", "head", pairs.alias("pairs")), "near-heads")
-        several = lists.groupBy("head").agg(F.min("key").alias("into"), F.sum("pairs").alias("before"), F.count("*").alias("lists")).filter("lists > 1")
-        union = spread(under(lists.join(several, "head").select("key", "into"))).select(F.col("key").alias("into"), pairs.alias("after"))
-        fewer = written(several.join(union, "into").filter("after <= before"), "near-together")
-        total, saved = lists.agg(F.sum("pairs")).first()[0] or 0, fewer.agg(F.sum(F.col("before") - F.col("after"))).first()[0] or 0
-        if 20 * saved <= total:
+        head = F.array_min(F.transform("nodes", lambda x: F.struct(F.xxhash64(x, F.lit(turn)).alias("by"), x.alias("node"))))["node"]  # noqa: B023
+        put = written(
+            lists.withColumn("head", F.coalesce(head, "key")).groupBy("head").applyInPandas(_put_together, "key long, m double, o double, rate long, h array<long>, nodes array<long>, components array<long>, into long"), "near-together"
+        )
+        to = put.select("key", "into")
+        under = to if under is None else under.select(F.col("key").alias("list"), F.col("into").alias("key")).join(to, "key").select(F.col("list").alias("key"), "into")
+        pairs = F.sum(F.col("m") * F.col("o"))
+        total, left = lists.agg(pairs).first()[0], (lists := put.filter("key = into").drop("into")).agg(pairs).first()[0]
+        if 20 * (total - left) <= total:
             break
-        rows = written(under(lists.join(fewer.select("head", "into"), "head", "left").select("key", F.coalesce("into", "key").alias("into"))), "near-parts")
-    return rows
+    joined = salted_join(rows, under, ["key"], ["node"], hot=hot) if hot else rows.join(under, "key")
+    return written(joined.select(F.col("into").alias("key"), "node", "component").distinct(), "near-parts")
 
 
 def apart(long: DataFrame, known: DataFrame, merge: bool = False) -> DataFrame:
@@ -308,7 +350,8 @@ def near_links(docs: DataFrame, size: int = 5, percent: int = 80) -> tuple[DataF
     # Short lists: their pairs. Long lists: each member in its lowest runs with the list's representative.
     long = lists.filter("m < 2")
     first = long.filter("m = 1").select("key", "node")
-    heads = first.groupBy("key").agg(F.min_by("node", F.xxhash64("node")).alias("a"))
+    central = long.withColumn("lists", F.count("*").over(Window.partitionBy("node")))
+    heads = central.groupBy("key").agg(F.max("m").alias("m"), F.min_by("node", F.struct(-F.col("lists"), F.xxhash64("node"))).alias("a")).filter("m = 1").drop("m")
     starred = salted_join(first, heads, ["key"], ["node"]).select("a", F.col("node").alias("b")).filter("a <> b")
     pairs = written(lists.filter("m = 2").select(F.col("key").alias("a"), F.col("node").alias("b")).unionByName(starred).distinct(), "near-pairs")
     # Only a, the representative, can be hot: b is in few lists.

@@ -5,7 +5,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from corpusloom.llm import induced, neardup, repeats, suffix_dedup
+from corpusloom.llm import common, induced, neardup, repeats, suffix_dedup
 
 from test_queries import docs, in_order, near_groups, windows_gone
 from test_queries import test_suffix as suffix_query
@@ -186,6 +186,36 @@ def test_lists_put_together_lose_no_pair(spark):
     assert len([k for k in after if k < 100]) < 10 and sum(len(s) ** 2 for s in after.values()) < sum(len(xs) ** 2 for xs in lists.values()) / 2
 
 
+def test_members_of_lists_put_together_are_joined_once(spark, monkeypatch):
+    """Turns look at lists; the members, hot keys among them, are joined with what their lists became once, not twice a turn."""
+    monkeypatch.setattr(common, "HOT_ROWS", 1)
+    joined, salted_join = [], neardup.salted_join
+
+    def counted(left, right, *args, **more):
+        joined.append(left.count())
+        return salted_join(left, right, *args, **more)
+
+    monkeypatch.setattr(neardup, "salted_join", counted)
+    rows = spark.createDataFrame([(k, i, i - i % 2) for k in range(3) for i in range(60) if i % 20 != k], "key long, node long, component long")
+    got = neardup.together(neardup.written(rows, "t")).collect()
+    assert joined == [171] and {r.key for r in got} == {0} and sorted(r.node for r in got) == list(range(60))
+
+
+@pytest.mark.parametrize("hot_rows", [1, 64])
+def test_lists_put_together_by_a_draw_lose_no_pair(spark, monkeypatch, hot_rows):
+    """Lists of more members than are drawn, hot and other ones: each is in one list after, and those that are alike in one of them."""
+    monkeypatch.setattr(common, "HOT_ROWS", hot_rows)
+    monkeypatch.setattr(neardup, "DRAWN", 8)
+    rng = np.random.default_rng(4)
+    lists = {k: rng.choice(80, 60, replace=False) for k in range(12)} | {50: rng.choice(9000, 900, replace=False), 51: [100, 101]}
+    rows = spark.createDataFrame([(k, int(x), int(x)) for k, xs in lists.items() for x in xs], "key long, node long, component long")
+    after = {}
+    for r in neardup.together(neardup.written(rows, "t")).collect():
+        after.setdefault(r.key, set()).add(r.node)
+    assert all(any(set(map(int, xs)) <= s for s in after.values()) for xs in lists.values())
+    assert len(after) < 10
+
+
 def test_windows_that_are_no_windows():
     with pytest.raises(ValueError, match="windows"):
         repeats.Unit(window=20, gram=32, words=False, most=1)
